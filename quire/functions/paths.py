@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quire.functions.text import WS_CHARS, py_strip
+from quire.functions.text import WS_CHARS, let, py_strip
 
 # Fixed values that must equal the reference's.
 # UUID namespace for URLs (RFC 4122), used for the file uid (UUIDv5 of "<hash>:<path>").
@@ -53,29 +53,38 @@ def is_office_temp(p: Column, ext: Column) -> Column:
 def normalize_path(p: Column) -> Column:
     """Strip, backslashes to slashes, then ``posixpath.normpath``.
 
-    Two leading slashes are kept, three or more collapse to one; '..' climbs where it can and is dropped at the
-    root of an absolute path; an empty result is '.'.
+    One pass over the '/'-separated parts: leading empty parts count the leading slashes (two are kept, three or
+    more collapse to one), '' and '.' parts vanish, '..' pops where it can, is kept at the front of a relative path
+    and dropped at the root of an absolute one. An empty result is '.'.
     """
-    s = F.replace(py_strip(p), F.lit("\\"), F.lit("/"))
-    lead = (
-        F.when(s.startswith("//") & ~s.startswith("///"), F.lit("//"))
-        .when(s.startswith("/"), F.lit("/"))
-        .otherwise(F.lit(""))
+    parts = F.split(F.replace(py_strip(p), F.lit("\\"), F.lit("/")), "/")
+    init = F.struct(
+        F.array().cast("array<string>").alias("stack"), F.lit(0).alias("lead"), F.lit(False).alias("seen"),
+        F.lit(0).alias("n"),
     )
-    parts = F.filter(F.split(s, "/"), lambda x: (x != "") & (x != "."))
-    absolute = lead != ""
 
     def step(acc, x):
-        keep_dotdot = (~absolute) & ((F.size(acc) == 0) | (F.element_at(acc, -1) == ".."))
-        return (
-            F.when((x != "..") | keep_dotdot, F.concat(acc, F.array(x)))
-            .when(F.size(acc) > 0, F.slice(acc, 1, F.size(acc) - 1))
-            .otherwise(acc)
+        stack, lead, seen = acc["stack"], acc["lead"], acc["seen"]
+        leading = (~seen) & (x == "")
+        keep_dotdot = (lead == 0) & ((F.size(stack) == 0) | (F.element_at(stack, -1) == ".."))
+        new_stack = (
+            F.when(leading | (x == "") | (x == "."), stack)
+            .when((x != "..") | keep_dotdot, F.concat(stack, F.array(x)))
+            .when(F.size(stack) > 0, F.slice(stack, 1, F.size(stack) - 1))
+            .otherwise(stack)
         )
+        return F.struct(
+            new_stack.alias("stack"), F.when(leading, lead + 1).otherwise(lead).alias("lead"),
+            (seen | (x != "")).alias("seen"), (acc["n"] + 1).alias("n"),
+        )
+
+    def finish(acc):
+        slashes = F.when(acc["seen"], acc["lead"]).otherwise(acc["n"] - 1)
+        lead = F.when(slashes == 2, F.lit("//")).when(slashes >= 1, F.lit("/")).otherwise(F.lit(""))
+        joined = F.concat(lead, F.array_join(acc["stack"], "/"))
+        return F.when(joined == "", F.lit(".")).otherwise(joined)
 
-    stack = F.aggregate(parts, F.array().cast("array<string>"), step)
-    joined = F.concat(lead, F.array_join(stack, "/"))
-    return F.when(s == "", F.lit(".")).otherwise(F.when(joined == "", F.lit(".")).otherwise(joined))
+    return F.aggregate(parts, init, step, finish)
 
 
 def ordered_distinct(values: Column) -> Column:
@@ -89,18 +98,21 @@ def path_candidates(p: Column) -> Column:
     The normalised path; when its first part starts with 'volume' and more parts follow, the rest as an absolute
     and as a relative path; when absolute, the path without leading slashes.
     """
-    norm = normalize_path(p)
-    parts = F.filter(F.split(norm, "/"), lambda x: x != "")
-    rest = F.array_join(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1))), "/")
-    volume = F.element_at(parts, 1).startswith("volume") & (F.size(parts) > 1)
-    return ordered_distinct(
-        F.array(
-            norm,
-            F.when(volume, F.concat(F.lit("/"), rest)),
-            F.when(volume, rest),
-            F.when(norm.startswith("/"), F.ltrim(norm, F.lit("/"))),
+
+    def build(norm):
+        parts = F.filter(F.split(norm, "/"), lambda x: x != "")
+        rest = F.array_join(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1))), "/")
+        volume = F.element_at(parts, 1).startswith("volume") & (F.size(parts) > 1)
+        return ordered_distinct(
+            F.array(
+                norm,
+                F.when(volume, F.concat(F.lit("/"), rest)),
+                F.when(volume, rest),
+                F.when(norm.startswith("/"), F.ltrim(norm, F.lit("/"))),
+            )
         )
-    )
+
+    return let(normalize_path(p), build)
 
 
 def content_hash(content: Column) -> Column:

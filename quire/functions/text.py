@@ -59,3 +59,12 @@ def literal_replacement(c: Column) -> Column:
 def regex_quote(c: Column) -> Column:
     """Quote a column value for use as a literal regex pattern (``\\Q...\\E`` with inner ``\\E`` split)."""
     return F.concat(F.lit(r"\Q"), F.replace(c, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+
+
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    Nesting a column expression several times inside another copies its whole tree; binding it through a one-element
+    ``transform`` keeps the expression linear in size.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
