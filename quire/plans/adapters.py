@@ -145,3 +145,13 @@ def messy_paths(documents: DataFrame) -> DataFrame:
         .otherwise(F.substring(c, F.lit(2), F.length(c)))
     )
     return documents.select(k.alias("id"), raw.alias("raw_path"))
+
+
+def clean_inputs(documents: DataFrame) -> DataFrame:
+    """Documents as cleaning input ``(id, markdown, original_path, source)``; every 7th name carries quotes."""
+    k = F.col("doc_id")
+    original = F.concat(
+        F.lit("/corpus/"), F.col("source"), F.lit("/doc"), _s(k),
+        F.when(k % 7 == 0, F.lit('"q"')).otherwise(F.lit("")), F.lit(".txt"),
+    )
+    return documents.select(k.alias("id"), F.col("text").alias("markdown"), original.alias("original_path"), "source")

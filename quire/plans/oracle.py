@@ -170,3 +170,93 @@ SELECT id, 1 AS pos, norm AS candidate FROM n
 UNION ALL SELECT id, 2, '/' || rest FROM n
 UNION ALL SELECT id, 3, rest FROM n
 UNION ALL SELECT id, 4, ltrim(norm, '/') FROM n WHERE starts_with(norm, '/')"""
+
+
+# ------------------------------------------------------------------------------------------------ cleaning
+# RE2 classes standing for Python's white space (LF excluded in HWS) and decimal digits.
+HWS = r"[\pZ\t\x0b\x0c\r\x1c-\x1f\x{85}]"
+WSX = r"[\pZ\s\x0b\x1c-\x1f\x{85}]"
+NWS = r"[^\pZ\s\x0b\x1c-\x1f\x{85}]"
+DG = r"\p{Nd}"
+PAGE = (
+    HWS + "*(?:(?i:page)" + HWS + "+" + DG + "+(?:" + HWS + "+(?i:of)" + HWS + "+" + DG + "+)?|"
+    + DG + "+" + HWS + "*/" + HWS + "*" + DG + "+|-+" + HWS + "*" + DG + "+" + HWS + "*-+|" + DG + "+)" + HWS + "*"
+)
+
+
+def _q(pattern: str) -> str:
+    return pattern.replace("'", "''")
+
+
+def clean_chain(src: str, name_expr: str) -> str:
+    """CTEs ``c0`` .. ``c20`` over ``src(id, s)``; ``c20(id, s)`` holds the cleaned text.
+
+    Covers the rules the driver data exercises: line ends, header, the four entities of the data (``&amp;`` last, one
+    pass), comments, anchors, breaks, noise/paragraph/all tags, garbage, emphasis pairs, headings, page lines, blank
+    runs, strip and header. Tables and images do not occur in ``pages``/``documents``; their rules are checked by the
+    extraction queries and the operator tests.
+    """
+    nl = "chr(10)"
+    steps = [
+        f"replace(replace(s, chr(13) || chr(10), {nl}), chr(13), {nl})",
+        # Drop a header block carrying our keys
+        f"CASE WHEN starts_with(s, '---' || {nl}) AND strpos(substr(s, 5), {nl} || '---' || {nl}) > 0 "
+        f"AND (contains(left(s, strpos(substr(s, 5), {nl} || '---' || {nl}) + 8), 'file_name:') "
+        f"OR contains(left(s, strpos(substr(s, 5), {nl} || '---' || {nl}) + 8), 'source_file_id:')) "
+        f"THEN substr(s, strpos(substr(s, 5), {nl} || '---' || {nl}) + 9) ELSE s END",
+        # C3
+        "replace(regexp_replace(replace(replace(replace(s, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), "
+        "'&amp;?', '&', 'g'), chr(160), ' ')",
+        "regexp_replace(s, '<!--.*?-->', '', 'gs')",
+        f"regexp_replace(s, '{_q(r'(?i)<a' + WSX + r'+[^>]*(?:id|name)=[\"' + chr(39) + r']?_Toc[^>]*>' + WSX + r'*</a>')}', '', 'g')",
+        f"regexp_replace(s, '(?i)<br\\b[^>]*>|</p>|</div>|</section>|</article>', {nl}, 'g')",
+        "regexp_replace(s, '(?i)</?(?:a|span|div|u|font|strong|b|em|i|section|article|header|footer|center)\\b[^>]*>',"
+        " '', 'g')",
+        f"regexp_replace(regexp_replace(regexp_replace(s, '(?i)(<t[dh]\\b[^>]*>){WSX}*<p\\b[^>]*>', '\\1', 'g'), "
+        f"'(?i)</p>{WSX}*(</t[dh]>)', '\\1', 'g'), '(?i)</?p\\b[^>]*>', {nl}, 'g')",
+        "regexp_replace(s, '</?([a-zA-Z][a-zA-Z0-9]*)\\b[^>]*>', '', 'g')",
+        # C13
+        "replace(replace(replace(replace(replace(replace(replace(replace(s, chr(8203), ''), chr(8204), ''), "
+        "chr(8205), ''), chr(65279), ''), chr(65533), ''), chr(160), ' '), '\\_', ''), 'text_image', '')",
+        # C14: marker pairs by lazy patterns; a left-over '***' becomes '*'
+        "replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(s, "
+        "'\\*\\*\\*(.+?)\\*\\*\\*', '\\1', 'gs'), '___(.+?)___', '\\1', 'gs'), '\\*\\*(.+?)\\*\\*', '\\1', 'gs'), "
+        "'__(.+?)__', '\\1', 'gs'), '~~(.+?)~~', '\\1', 'gs'), '***', '*')",
+        # C17
+        f"regexp_replace(regexp_replace(regexp_replace(s, '{HWS}+(\\n|$)', '\\1', 'g'), "
+        f"'(?m)^{HWS}+#', '#', 'g'), '(?m)^(#{{1,6}})({NWS})', '\\1 \\2', 'g')",
+        # C18
+        f"regexp_replace(regexp_replace(s, '(?m)^{_q(PAGE)}\\n', '', 'g'), '(?:\\A|\\n){_q(PAGE)}\\z', '')",
+        # C19
+        f"regexp_replace(regexp_replace(s, '[ \\t]+\\n', {nl}, 'g'), '\\n{{3,}}', {nl} || {nl}, 'g')",
+        # C20
+        f"regexp_replace(s, '^{WSX}+|{WSX}+$', '', 'g')",
+    ]
+    ctes = [f"c0 AS (SELECT id, s, {name_expr} AS name FROM {src})"]
+    for i, expr in enumerate(steps, start=1):
+        ctes.append(f"c{i} AS (SELECT id, {expr} AS s, name FROM c{i - 1})")
+    last = len(steps)
+    ctes.append(
+        f"cleaned AS (SELECT id, CASE WHEN name <> '' THEN '---' || {nl} || 'file_name: \"' || "
+        f"replace(replace(name, '\\', '\\\\'), '\"', '\\\"') || '\"' || {nl} || '---' || {nl} || s || {nl} "
+        f"ELSE s || {nl} END AS s FROM c{last})"
+    )
+    return ",\n".join(ctes)
+
+
+ORACLES["clean_pages"] = (
+    "WITH src AS (SELECT page_id AS id, html AS s, url FROM pages),\n"
+    + clean_chain("src", "regexp_extract(regexp_replace(url, '/+$', ''), '[^/]*$')")
+    + "\nSELECT id AS page_id, length(s) AS cleaned_len, md5(s) AS cleaned_md5 FROM cleaned"
+)
+
+DOC_ORIGINAL = (
+    "'/corpus/' || source || '/doc' || CAST(doc_id AS VARCHAR) || "
+    "CASE WHEN doc_id % 7 = 0 THEN '\"q\"' ELSE '' END || '.txt'"
+)
+
+ORACLES["clean_documents"] = (
+    f"WITH src AS (SELECT doc_id AS id, text AS s, {DOC_ORIGINAL} AS original_path FROM documents),\n"
+    + clean_chain("src", "regexp_extract(original_path, '[^/]*$')")
+    + "\nSELECT id AS doc_id, length(s) AS cleaned_len, md5(s) AS cleaned_md5 FROM cleaned"
+)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import paths as P
+from quire.operators import documents as D
 from quire.operators import register as R
 from quire.plans import adapters as A
 
@@ -74,3 +75,29 @@ def path_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messy.select(
         "id", F.posexplode(P.path_candidates(F.col("raw_path"))).alias("pos", "candidate")
     ).select("id", (F.col("pos") + 1).alias("pos"), "candidate")
+
+
+# ---------------------------------------------------------------------------------------------- cleaning
+
+
+def _cleaned_summary(df: DataFrame, key: str) -> DataFrame:
+    return df.select(
+        F.col("id").alias(key), F.length("cleaned").alias("cleaned_len"), F.md5("cleaned").alias("cleaned_md5")
+    )
+
+
+@query("clean_pages")
+def clean_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = A.read_table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("id"), F.col("html").alias("markdown"), F.col("url").alias("original_path")
+    )
+    return _cleaned_summary(D.clean_documents(pages, file_name=None, parse_path=None), "page_id")
+
+
+def doc_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.clean_inputs(_docs(spark, sf_dir))
+
+
+@query("clean_documents")
+def clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cleaned_summary(D.clean_documents(doc_inputs(spark, sf_dir), file_name=None, parse_path=None), "doc_id")
