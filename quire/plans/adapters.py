@@ -155,3 +155,24 @@ def clean_inputs(documents: DataFrame) -> DataFrame:
         F.when(k % 7 == 0, F.lit('"q"')).otherwise(F.lit("")), F.lit(".txt"),
     )
     return documents.select(k.alias("id"), F.col("text").alias("markdown"), original.alias("original_path"), "source")
+
+
+def archive_listing(documents: DataFrame) -> DataFrame:
+    """Listing ``(path, length)`` of the registry's archive sources; every 13th is missing."""
+    k = F.col("doc_id")
+    path = F.concat(F.lit("/archive/"), F.col("source"), F.lit("/doc"), _s(k), F.lit("."), _pick(REGISTRY_EXTS, k % 8))
+    return documents.filter(k % 13 != 0).select(path.alias("path"), F.octet_length("text").cast("bigint").alias("length"))
+
+
+def source_listing(documents: DataFrame) -> DataFrame:
+    """Every listed source file: the catalogue inventory and the archive."""
+    return inventory(documents, with_content=False).select("path", "length").unionByName(archive_listing(documents))
+
+
+def parse_outcomes(registry_df: DataFrame) -> DataFrame:
+    """Parse results for the running rows ``(id, ok, parse_path)``: every third fails; outputs are keyed by hash."""
+    k = F.col("id")
+    return registry_df.filter(F.col("parse_status") == 1).select(
+        "id", (k % 3 != 0).alias("ok"), F.concat(F.lit(MD_ROOT + "/"), F.col("file_hash"), F.lit(".md")).alias(
+            "parse_path")
+    )

@@ -57,8 +57,8 @@ registry AS (
               WHEN doc_id % 11 = 4 THEN '{A.MD_ROOT}/doc' || CAST(doc_id AS VARCHAR) || '.txt'
               WHEN doc_id % 5 = 3 THEN 'doc' || CAST(doc_id AS VARCHAR) || '.markdown'
               ELSE '{A.MD_ROOT}/doc' || CAST(doc_id AS VARCHAR) || '.md' END AS parse_path,
-         {_list(A.STATES)}[doc_id % 4 + 1] AS parse_status,
-         {_list(A.STATES)}[(doc_id // 4) % 4 + 1] AS clean_status,
+         CAST({_list(A.STATES)}[doc_id % 4 + 1] AS TINYINT) AS parse_status,
+         CAST({_list(A.STATES)}[(doc_id // 4) % 4 + 1] AS TINYINT) AS clean_status,
          CAST({A.BASE_TIME} AS BIGINT) AS created_at,
          CAST({A.BASE_TIME} + doc_id AS BIGINT) AS updated_at,
          text
@@ -260,3 +260,117 @@ ORACLES["clean_documents"] = (
     + clean_chain("src", "regexp_extract(original_path, '[^/]*$')")
     + "\nSELECT id AS doc_id, length(s) AS cleaned_len, md5(s) AS cleaned_md5 FROM cleaned"
 )
+
+
+# ------------------------------------------------------------------------------------------------ state, claims
+ARCHIVE = f"""
+archive AS (
+  SELECT '/archive/' || source || '/doc' || CAST(doc_id AS VARCHAR) || '.' || {_list(A.REGISTRY_EXTS)}[doc_id % 8 + 1]
+           AS path, CAST(strlen(text) AS BIGINT) AS length
+  FROM documents WHERE doc_id % 13 <> 0
+)"""
+
+LISTING = f"""{INVENTORY.strip()}, {ARCHIVE.strip()},
+listing AS (SELECT path, length FROM inventory UNION ALL SELECT path, length FROM archive)"""
+
+NOW = A.NOW
+
+RECOVERED = f"""
+WITH {REGISTRY.strip()}, {LISTING},
+r1 AS (SELECT *, coalesce(clean_status = 1 AND updated_at < {NOW} - 3600, false) AS crp FROM registry),
+r2 AS (SELECT * REPLACE (CASE WHEN crp THEN 0 ELSE clean_status END AS clean_status,
+                         CASE WHEN crp THEN {NOW} ELSE updated_at END AS updated_at) FROM r1),
+r3 AS (SELECT *, clean_status = -1 AS crf FROM r2),
+r4 AS (SELECT * REPLACE (CASE WHEN crf THEN 0 ELSE clean_status END AS clean_status,
+                         CASE WHEN crf THEN {NOW} ELSE updated_at END AS updated_at) FROM r3),
+r5 AS (SELECT *, parse_status = 1 AS rp FROM r4),
+r6 AS (SELECT * REPLACE (CASE WHEN rp THEN 0 ELSE parse_status END AS parse_status,
+                         CASE WHEN rp THEN {NOW} ELSE updated_at END AS updated_at) FROM r5),
+r7 AS (SELECT *, trim(coalesce(original_path, '')) <> ''
+                 AND original_path IN (SELECT path FROM listing) AS src FROM r6),
+r8 AS (SELECT *, parse_status = -1 AND src AS rf, parse_status = -1 AND NOT src AS kf FROM r7),
+recovered AS (
+  SELECT * REPLACE (CAST(CASE WHEN rf THEN 0 ELSE parse_status END AS TINYINT) AS parse_status,
+                    CAST(clean_status AS TINYINT) AS clean_status,
+                    CAST(CASE WHEN rf OR kf THEN {NOW} ELSE updated_at END AS BIGINT) AS updated_at) FROM r8
+)"""
+
+ORACLES["state_recovery"] = RECOVERED + "\nSELECT id, parse_status, clean_status, updated_at FROM recovered"
+
+ORACLES["state_counts"] = RECOVERED + """
+SELECT count(*) FILTER (WHERE crp) AS clean_recovered_processing, count(*) FILTER (WHERE crf) AS clean_recovered_failed,
+       count(*) FILTER (WHERE rp) AS recovered_processing, count(*) FILTER (WHERE rf) AS recovered_failed,
+       count(*) FILTER (WHERE kf) AS kept_failed
+FROM recovered"""
+
+ORACLES["status_update"] = f"""
+WITH {REGISTRY.strip()},
+res AS (SELECT id, id % 3 <> 0 AS ok, '{A.MD_ROOT}/' || file_hash || '.md' AS path FROM registry WHERE parse_status = 1),
+t3 AS (
+  SELECT r.* REPLACE (
+           CAST(CASE WHEN x.ok THEN 2 WHEN x.ok IS NOT NULL THEN -1 ELSE r.parse_status END AS TINYINT) AS parse_status,
+           CASE WHEN x.ok THEN x.path ELSE r.parse_path END AS parse_path,
+           CASE WHEN x.ok IS NOT NULL THEN {NOW} ELSE r.updated_at END AS updated_at)
+  FROM registry r LEFT JOIN res x ON x.id = r.id
+)
+SELECT id, parse_status,
+       CAST(CASE WHEN id % 10 = 1 THEN 0 ELSE clean_status END AS TINYINT) AS clean_status, parse_path,
+       CAST(CASE WHEN id % 10 = 1 THEN {NOW + 1} ELSE updated_at END AS BIGINT) AS updated_at
+FROM t3"""
+
+PARSE_CLAIMS = """
+pclaims AS (
+  SELECT *, CAST((row_number() OVER (ORDER BY id) - 1) // 5 AS BIGINT) AS claim_no,
+         CAST((row_number() OVER (ORDER BY id) - 1) % 5 AS INTEGER) AS claim_pos
+  FROM registry WHERE parse_status = 0
+)"""
+
+ORACLES["claims_parse"] = f"WITH {REGISTRY.strip()}, {PARSE_CLAIMS.strip()}\nSELECT id, claim_no, claim_pos FROM pclaims"
+
+ORACLES["claims_clean"] = f"""
+WITH {REGISTRY.strip()},
+c AS (SELECT id, row_number() OVER (ORDER BY file_size, id) - 1 AS rn FROM registry
+      WHERE clean_status = 0 AND parse_status = 2 AND parse_path <> '')
+SELECT id, CAST(rn // 5 AS BIGINT) AS claim_no, CAST(rn % 5 AS INTEGER) AS claim_pos FROM c"""
+
+ROUTE = ("CASE WHEN {e} IN ('pdf','docx','xlsx','pptx') THEN 'parser' WHEN {e} = 'txt' THEN 'passthrough' "
+         "ELSE 'unsupported' END")
+ONE_STEP = "CASE WHEN {e} IN ('pdf','docx','xlsx','pptx') THEN 'parser' ELSE 'unsupported' END"
+NEXT = "regexp_replace(lower(coalesce(file_ext, '')), '^[.]+', '')"
+
+ORACLES["routes"] = f"""
+WITH {REGISTRY.strip()}
+SELECT id, {ROUTE.format(e=NEXT)} AS route, {ONE_STEP.format(e=NEXT)} AS one_step_route FROM registry"""
+
+ORACLES["by_extension"] = f"""
+WITH {REGISTRY.strip()}
+SELECT {NEXT} AS ext, count(*) AS files, min(id) AS first_id, max(id) AS last_id FROM registry GROUP BY 1"""
+
+ORACLES["passthrough_results"] = f"""
+WITH {REGISTRY.strip()}
+SELECT id, trim(coalesce(original_path, '')) <> '' AS ok,
+       CASE WHEN trim(coalesce(original_path, '')) <> '' THEN trim(original_path) END AS parse_path
+FROM registry WHERE {ROUTE.format(e=NEXT)} = 'passthrough'"""
+
+ORACLES["request_batches"] = f"""
+WITH {REGISTRY.strip()}, {LISTING}, {PARSE_CLAIMS.strip()},
+todo AS (SELECT * FROM pclaims WHERE {ROUTE.format(e=NEXT)} = 'parser'),
+paths AS (SELECT DISTINCT original_path AS p FROM todo),
+cand AS (
+  SELECT p, 1 AS r, p AS c FROM paths
+  UNION ALL SELECT p, 2, '/' || regexp_replace(p, '^/?volume[^/]*/', '') FROM paths
+    WHERE regexp_matches(p, '^/?volume[^/]*/.')
+  UNION ALL SELECT p, 3, regexp_replace(p, '^/?volume[^/]*/', '') FROM paths WHERE regexp_matches(p, '^/?volume[^/]*/.')
+  UNION ALL SELECT p, 4, ltrim(p, '/') FROM paths WHERE starts_with(p, '/')
+),
+found AS (SELECT DISTINCT p FROM cand JOIN listing ON c = path),
+files AS (SELECT t.* FROM todo t JOIN found f ON f.p = t.original_path),
+w1 AS (SELECT *, file_size > 20000 AS large,
+              sum(CAST(file_size > 20000 AS INTEGER)) OVER (PARTITION BY claim_no ORDER BY claim_pos
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seg FROM files),
+w2 AS (SELECT *, row_number() OVER (PARTITION BY claim_no, seg, large ORDER BY claim_pos) - 1 AS rn FROM w1),
+w3 AS (SELECT *, CASE WHEN large THEN 0 ELSE 1 + rn // 2 END AS sub FROM w2)
+SELECT id, claim_no, CAST(dense_rank() OVER (PARTITION BY claim_no ORDER BY seg, sub) AS INTEGER) AS batch_in_claim,
+       CAST(CASE WHEN large THEN 0 ELSE rn % 2 END AS INTEGER) AS batch_pos, large,
+       file_name AS upload_name, file_name AS local_name
+FROM w3"""

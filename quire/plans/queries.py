@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import paths as P
+from quire.operators import batching as B
 from quire.operators import documents as D
 from quire.operators import register as R
+from quire.operators import state as S
 from quire.plans import adapters as A
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +103,88 @@ def doc_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("clean_documents")
 def clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cleaned_summary(D.clean_documents(doc_inputs(spark, sf_dir), file_name=None, parse_path=None), "doc_id")
+
+
+# ---------------------------------------------------------------------------------------------- state, claims
+
+
+def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.registry(_docs(spark, sf_dir))
+
+
+def _recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    reg = A.registry(docs)
+    reg = S.recover_stale_clean(reg, A.NOW, S.STALE_SECONDS, flag="clean_recovered_processing")
+    reg = S.recover_failed(reg, "clean_status", A.NOW, flag="clean_recovered_failed")
+    return S.recover_parse(reg, A.source_listing(docs), A.NOW)
+
+
+@query("state_recovery")
+def state_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _recovered(spark, sf_dir).select("id", "parse_status", "clean_status", "updated_at")
+
+
+@query("state_counts")
+def state_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.transition_counts(
+        _recovered(spark, sf_dir),
+        ["clean_recovered_processing", "clean_recovered_failed", "recovered_processing", "recovered_failed",
+         "kept_failed"],
+    )
+
+
+@query("status_update")
+def status_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reg = _registry(spark, sf_dir)
+    reg = S.apply_parse_results(reg, A.parse_outcomes(reg), A.NOW)
+    resets = reg.filter(F.col("id") % 10 == 1).select("id")
+    reg = S.apply_status(reg, resets, "clean_status", S.PENDING, A.NOW + 1, flag="reset")
+    return reg.select("id", "parse_status", "clean_status", "parse_path", "updated_at")
+
+
+@query("claims_parse")
+def claims_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.parse_claims(_registry(spark, sf_dir)).select("id", "claim_no", "claim_pos")
+
+
+@query("claims_clean")
+def claims_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.clean_claims(_registry(spark, sf_dir)).select("id", "claim_no", "claim_pos")
+
+
+@query("routes")
+def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reg = _registry(spark, sf_dir)
+    return reg.select(
+        "id", B.route(F.col("file_ext")).alias("route"), B.route(F.col("file_ext"), "one_step").alias("one_step_route")
+    )
+
+
+@query("by_extension")
+def by_extension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.by_extension(_registry(spark, sf_dir))
+
+
+@query("passthrough_results")
+def passthrough_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reg = _registry(spark, sf_dir)
+    return B.passthrough_results(reg.filter(B.route(F.col("file_ext")) == "passthrough"))
+
+
+REQUEST_LARGE_LIMIT = 20000  # lowered large-file limit so the driver data has large files
+
+
+def _parser_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    claimed = B.parse_claims(A.registry(docs))
+    to_parser = claimed.filter(B.route(F.col("file_ext")) == "parser")
+    found = R.resolve_paths(to_parser.select("original_path").distinct(), A.source_listing(docs))
+    files = to_parser.join(found.select("original_path", "resolved_path"), "original_path")
+    return B.request_rows(files)
+
+
+@query("request_batches")
+def request_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    batches = B.request_batches(_parser_requests(spark, sf_dir), large_limit=REQUEST_LARGE_LIMIT)
+    return batches.select("id", "claim_no", "batch_in_claim", "batch_pos", "large", "upload_name", "local_name")
