@@ -176,3 +176,86 @@ def parse_outcomes(registry_df: DataFrame) -> DataFrame:
         "id", (k % 3 != 0).alias("ok"), F.concat(F.lit(MD_ROOT + "/"), F.col("file_hash"), F.lit(".md")).alias(
             "parse_path")
     )
+
+
+def _json_str(c: Column) -> Column:
+    """A JSON string literal of ``c`` (escaped by ``to_json``)."""
+    return F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
+
+
+def reply_markdown(k: Column, text: Column) -> Column:
+    """The Markdown the parser returns for document k: its text, an image reference and a bare mention unless
+    ``k % 5 = 0``, a reference to an image that is never returned when ``k % 7 = 1``."""
+    return F.concat(
+        text,
+        F.when(k % 5 != 0, F.concat(F.lit("\n![fig](images/p"), _s(k), F.lit(".png)\nsee p"), _s(k), F.lit(".png")))
+        .otherwise(F.lit("")),
+        F.when(k % 7 == 1, F.concat(F.lit("\n![gone](missing"), _s(k), F.lit(".png)"))).otherwise(F.lit("")),
+    )
+
+
+def _images_json(k: Column) -> Column:
+    """Images of document k (unless ``k % 5 = 0``) in one of three shapes by ``k % 3``; in the first shape an
+    undecodable extra image when ``k % 5 = 4``."""
+    b64 = F.base64(F.encode(F.concat(F.lit("img-"), _s(k)), "UTF-8"))
+    junk = F.base64(F.encode(F.concat(F.lit("junk-"), _s(k)), "UTF-8"))
+    name = F.concat(F.lit("p"), _s(k), F.lit(".png"))
+    wrapped = F.concat(F.lit("data:image/png;base64,"), F.substring(b64, 1, 4), F.lit("\n"), F.substring(b64, 5, 200))
+    shape0 = F.concat(
+        F.lit('"images": {'), _json_str(F.concat(F.lit("images/"), name)), F.lit(": "), _json_str(b64),
+        F.when(k % 5 == 4, F.concat(F.lit(', "bad'), _s(k), F.lit('.png": "a*b"'))).otherwise(F.lit("")), F.lit("}"),
+    )
+    shape1 = F.concat(F.lit('"images": {'), _json_str(name), F.lit(': {"base64": '), _json_str(wrapped), F.lit("}}"))
+    shape2 = F.concat(
+        F.lit('"images": [{"filename": '), _json_str(name), F.lit(', "data": '), _json_str(b64), F.lit("}, "),
+        _json_str(junk), F.lit(', {"name": "empty.png"}]'),
+    )
+    return F.when(k % 5 == 0, F.lit(None)).when(k % 3 == 0, shape0).when(k % 3 == 1, shape1).otherwise(shape2)
+
+
+REPLY_FORMS = ("by_uid", "by_name", "by_stem", "array", "second_container", "not_json")
+
+
+def parser_replies(requests: DataFrame, documents: DataFrame) -> DataFrame:
+    """Replies ``(batch_no, status_code, body)``, one per request batch, in six shapes by ``batch_no % 6``:
+    results keyed by uid / by file name / by stem (bare string items), an array with varying name fields and a
+    non-object item, an empty ``results`` with the entries under ``result``, and a body that is not JSON. A batch
+    of one file answers under an unrelated key every other time (single-entry fallback); every 7th batch (from 3)
+    is answered 503."""
+    k = F.col("id")
+    form = F.col("batch_no") % 6
+    md = _json_str(reply_markdown(k, F.col("text")))
+    images = _images_json(k)
+    with_images = lambda head: F.concat(head, F.when(images.isNotNull(), F.concat(F.lit(", "), images))
+                                        .otherwise(F.lit("")), F.lit("}"))
+    name_field = F.when(F.col("batch_pos") == 0, F.lit("file_name")).otherwise(F.lit("name"))
+    item = (
+        F.when(form == 0, with_images(F.concat(F.lit('{"md_content": '), md)))
+        .when(form == 1, with_images(F.concat(F.lit('{"markdown": '), md)))
+        .when(form == 2, md)
+        .when(form == 3, with_images(F.concat(F.lit('{"'), name_field, F.lit('": '), _json_str(F.col("file_name")),
+                                              F.lit(', "md": '), md)))
+        .otherwise(with_images(F.concat(F.lit('{"content": '), md)))
+    )
+    key = (
+        F.when((F.col("batch_size") == 1) & (F.col("batch_no") % 2 == 1) & form.isin(0, 1, 4), F.lit("only"))
+        .when(form == 0, F.col("file_uid"))
+        .when(form == 2, F.regexp_replace(F.col("local_name"), r"\.[^.]*$", ""))
+        .otherwise(F.col("file_name"))
+    )
+    entry = F.when(form == 3, item).otherwise(F.concat(_json_str(key), F.lit(": "), item))
+    texts = documents.select(F.col("doc_id").alias("id"), "text")
+    rows = requests.join(texts, "id").select("batch_no", "batch_pos", "batch_size", entry.alias("entry"))
+    per_batch = rows.groupBy("batch_no").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("batch_pos", "entry"))), lambda x: x["entry"]),
+                     ", ").alias("entries")
+    )
+    f = F.col("batch_no") % 6
+    body = (
+        F.when(f == 3, F.concat(F.lit('{"results": [5, '), F.col("entries"), F.lit("]}")))
+        .when(f == 4, F.concat(F.lit('{"results": {}, "result": {'), F.col("entries"), F.lit("}}")))
+        .when(f == 5, F.lit("busy"))
+        .otherwise(F.concat(F.lit('{"results": {'), F.col("entries"), F.lit("}}")))
+    )
+    status = F.when(F.col("batch_no") % 7 == 3, F.lit(503)).otherwise(F.lit(200))
+    return per_batch.select("batch_no", status.alias("status_code"), body.alias("body"))

@@ -352,7 +352,7 @@ SELECT id, trim(coalesce(original_path, '')) <> '' AS ok,
        CASE WHEN trim(coalesce(original_path, '')) <> '' THEN trim(original_path) END AS parse_path
 FROM registry WHERE {ROUTE.format(e=NEXT)} = 'passthrough'"""
 
-ORACLES["request_batches"] = f"""
+REQUEST_CHAIN = f"""
 WITH {REGISTRY.strip()}, {LISTING}, {PARSE_CLAIMS.strip()},
 todo AS (SELECT * FROM pclaims WHERE {ROUTE.format(e=NEXT)} = 'parser'),
 paths AS (SELECT DISTINCT original_path AS p FROM todo),
@@ -369,8 +369,89 @@ w1 AS (SELECT *, file_size > 20000 AS large,
               sum(CAST(file_size > 20000 AS INTEGER)) OVER (PARTITION BY claim_no ORDER BY claim_pos
                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seg FROM files),
 w2 AS (SELECT *, row_number() OVER (PARTITION BY claim_no, seg, large ORDER BY claim_pos) - 1 AS rn FROM w1),
-w3 AS (SELECT *, CASE WHEN large THEN 0 ELSE 1 + rn // 2 END AS sub FROM w2)
-SELECT id, claim_no, CAST(dense_rank() OVER (PARTITION BY claim_no ORDER BY seg, sub) AS INTEGER) AS batch_in_claim,
-       CAST(CASE WHEN large THEN 0 ELSE rn % 2 END AS INTEGER) AS batch_pos, large,
-       file_name AS upload_name, file_name AS local_name
-FROM w3"""
+w3 AS (SELECT *, CASE WHEN large THEN 0 ELSE 1 + rn // 2 END AS sub FROM w2),
+batches AS (
+  SELECT *, CAST(dense_rank() OVER (PARTITION BY claim_no ORDER BY seg, sub) AS INTEGER) AS batch_in_claim,
+         CAST(CASE WHEN large THEN 0 ELSE rn % 2 END AS INTEGER) AS batch_pos
+  FROM w3
+)"""
+
+ORACLES["request_batches"] = REQUEST_CHAIN + """
+SELECT id, claim_no, batch_in_claim, batch_pos, large, file_name AS upload_name, file_name AS local_name FROM batches"""
+
+# ------------------------------------------------------------------------------------------------ replies
+# The replies adapter answers batch b in form b % 6 (0 by uid, 1 by name, 2 by stem as bare strings, 3 array,
+# 4 second container, 5 not JSON) and with 503 when b % 7 = 3. What each file must get follows from that without
+# reading JSON.
+REPLY_CHAIN = REQUEST_CHAIN + """,
+reqs AS (
+  SELECT *, CAST(claim_no * 10 + batch_in_claim AS BIGINT) AS batch_no,
+         count(*) OVER (PARTITION BY claim_no * 10 + batch_in_claim) AS batch_size
+  FROM batches
+),
+exp AS (
+  SELECT r.*, batch_no % 6 AS form, batch_no % 7 <> 3 AS answered,
+         batch_no % 7 <> 3 AND batch_no % 6 <> 5 AS has_md,
+         batch_no % 7 <> 3 AND batch_no % 6 NOT IN (2, 5) AND id % 5 <> 0 AS has_images
+  FROM reqs r
+),
+md AS (
+  SELECT e.*,
+    CASE WHEN has_md THEN d.text
+      || CASE WHEN id % 5 = 0 THEN ''
+              WHEN has_images THEN chr(10) || '![fig](/images/' || CAST(id AS VARCHAR) || '/p' || CAST(id AS VARCHAR)
+                   || '.png)' || chr(10) || 'see /images/' || CAST(id AS VARCHAR) || '/p' || CAST(id AS VARCHAR) || '.png'
+              ELSE chr(10) || '![fig](images/p' || CAST(id AS VARCHAR) || '.png)' || chr(10) || 'see p'
+                   || CAST(id AS VARCHAR) || '.png' END
+      || CASE WHEN id % 7 = 1 THEN chr(10) || '![gone](missing' || CAST(id AS VARCHAR) || '.png)' ELSE '' END
+    END AS markdown
+  FROM exp e JOIN documents d ON d.doc_id = e.id
+)"""
+
+ORACLES["reply_audit"] = REPLY_CHAIN + """
+SELECT DISTINCT batch_no, CASE WHEN answered THEN 200 ELSE 503 END AS status_code, answered AS response_success,
+       form <> 5 AS is_json,
+       CASE form WHEN 3 THEN 'array' WHEN 5 THEN 'none' ELSE 'object' END AS form,
+       CAST(CASE form WHEN 3 THEN batch_size + 1 WHEN 5 THEN 0 ELSE batch_size END AS INTEGER) AS entries
+FROM exp"""
+
+ORACLES["reply_match"] = REPLY_CHAIN + """
+SELECT id, batch_no, CASE WHEN answered THEN 'success' ELSE 'failed' END AS parse_status,
+       length(markdown) AS md_len, md5(markdown) AS md_md5
+FROM md"""
+
+ORACLES["parse_outcomes"] = REPLY_CHAIN + f"""
+SELECT id, has_md AS ok, CASE WHEN has_md THEN '{A.MD_ROOT}/' || file_hash || '.md' END AS parse_path FROM exp"""
+
+ORACLES["images_decoded"] = REPLY_CHAIN + """
+SELECT id AS file_id, 'p' || CAST(id AS VARCHAR) || '.png' AS image_name,
+       '/images/' || CAST(id AS VARCHAR) || '/p' || CAST(id AS VARCHAR) || '.png' AS url,
+       strlen('img-' || CAST(id AS VARCHAR)) AS n_bytes, md5('img-' || CAST(id AS VARCHAR)) AS bytes_md5
+FROM exp WHERE has_images
+UNION ALL
+SELECT id, 'image_2.png', '/images/' || CAST(id AS VARCHAR) || '/image_2.png',
+       strlen('junk-' || CAST(id AS VARCHAR)), md5('junk-' || CAST(id AS VARCHAR))
+FROM exp WHERE has_images AND id % 3 = 2"""
+
+ORACLES["dangling_images"] = REPLY_CHAIN + """
+SELECT id, 0 AS pos, 'p' || CAST(id AS VARCHAR) || '.png' AS image_name FROM exp
+WHERE has_md AND id % 5 <> 0 AND NOT has_images
+UNION ALL
+SELECT id, CASE WHEN id % 5 <> 0 THEN 1 ELSE 0 END, 'missing' || CAST(id AS VARCHAR) || '.png' FROM exp
+WHERE has_md AND id % 7 = 1"""
+
+ORACLES["parse_counters"] = REPLY_CHAIN + f""",
+claimed AS (SELECT p.id, p.claim_no, {ROUTE.format(e=NEXT)} AS route,
+                   trim(coalesce(p.original_path, '')) <> '' AS has_path FROM pclaims p),
+rows AS (
+  SELECT c.claim_no, c.route, e.id IS NOT NULL AS downloaded,
+         CASE WHEN c.route = 'parser' THEN coalesce(e.has_md, false)
+              WHEN c.route = 'passthrough' THEN c.has_path ELSE false END AS ok
+  FROM claimed c LEFT JOIN exp e ON e.id = c.id
+)
+SELECT claim_no, count(DISTINCT claim_no) AS cycles, count(*) AS picked,
+       count(*) FILTER (WHERE route = 'parser' AND downloaded) AS downloaded,
+       count(*) FILTER (WHERE ok) AS success, count(*) FILTER (WHERE NOT ok) AS failed,
+       count(*) FILTER (WHERE route = 'unsupported') AS unsupported,
+       count(*) FILTER (WHERE route = 'passthrough' AND ok) AS passthrough
+FROM rows GROUP BY ROLLUP (claim_no)"""

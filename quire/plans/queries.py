@@ -15,6 +15,8 @@ from quire.functions import paths as P
 from quire.operators import batching as B
 from quire.operators import documents as D
 from quire.operators import register as R
+from quire.operators import replies as RP
+from quire.operators import metrics as M
 from quire.operators import state as S
 from quire.plans import adapters as A
 
@@ -188,3 +190,78 @@ def _parser_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 def request_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     batches = B.request_batches(_parser_requests(spark, sf_dir), large_limit=REQUEST_LARGE_LIMIT)
     return batches.select("id", "claim_no", "batch_in_claim", "batch_pos", "large", "upload_name", "local_name")
+
+
+# ---------------------------------------------------------------------------------------------- replies
+
+PARSE_OUTPUT_DIR = "/md"
+
+
+def _batched_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parser requests with their request batch: ``batch_no = claim_no * 10 + batch_in_claim`` (a claim holds at
+    most five files, so at most five batches) and the batch size."""
+    from pyspark.sql import Window
+
+    batches = B.request_batches(_parser_requests(spark, sf_dir), large_limit=REQUEST_LARGE_LIMIT)
+    batches = batches.withColumn("batch_no", (F.col("claim_no") * 10 + F.col("batch_in_claim")).cast("bigint"))
+    return batches.withColumn("batch_size", F.count(F.lit(1)).over(Window.partitionBy("batch_no")))
+
+
+def _reply_inputs(spark: SparkSession, sf_dir: str):
+    requests = _batched_requests(spark, sf_dir)
+    replies = A.parser_replies(requests, _docs(spark, sf_dir))
+    return requests, replies
+
+
+def _parse_results(spark: SparkSession, sf_dir: str):
+    requests, replies = _reply_inputs(spark, sf_dir)
+    return requests, RP.parse_results(requests, replies)
+
+
+@query("reply_audit")
+def reply_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, replies = _reply_inputs(spark, sf_dir)
+    return RP.reply_audit(replies)
+
+
+@query("reply_match")
+def reply_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, results = _parse_results(spark, sf_dir)
+    md = F.col("markdown_content")
+    return results.select("id", "batch_no", "parse_status", F.length(md).alias("md_len"), F.md5(md).alias("md_md5"))
+
+
+@query("parse_outcomes")
+def parse_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    requests, results = _parse_results(spark, sf_dir)
+    return RP.parse_verdicts(results, requests, PARSE_OUTPUT_DIR)
+
+
+@query("images_decoded")
+def images_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    requests, replies = _reply_inputs(spark, sf_dir)
+    stored = RP.stored_images(RP.matched_files(requests, replies).where(F.col("entries").isNotNull()))
+    return stored.select(
+        "file_id", "image_name", "url", F.octet_length("bytes").alias("n_bytes"), F.md5("bytes").alias("bytes_md5")
+    )
+
+
+@query("dangling_images")
+def dangling_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    requests, replies = _reply_inputs(spark, sf_dir)
+    files = RP.matched_files(requests, replies).where(F.col("raw_markdown").isNotNull())
+    return RP.dangling_references(files)
+
+
+@query("parse_counters")
+def parse_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    claimed = B.parse_claims(A.registry(docs)).withColumn("route", B.route(F.col("file_ext")))
+    requests, results = _parse_results(spark, sf_dir)
+    verdicts = RP.parse_verdicts(results, requests, PARSE_OUTPUT_DIR)
+    passthrough = B.passthrough_results(claimed.filter(F.col("route") == "passthrough"))
+    outcome = verdicts.select("id", "ok", F.lit(True).alias("downloaded")).unionByName(
+        passthrough.select("id", "ok", F.lit(False).alias("downloaded"))
+    )
+    rows = claimed.join(outcome, "id", "left")
+    return M.parse_counters(rows)
