@@ -50,14 +50,14 @@ def is_office_temp(p: Column, ext: Column) -> Column:
     return ext.isin(*OFFICE_FILE_TYPES) & path_name(p).startswith(OFFICE_TEMP_PREFIX)
 
 
-def normalize_path(p: Column) -> Column:
+def normalize_path(p: Column, strip: bool = True) -> Column:
     """Strip, backslashes to slashes, then ``posixpath.normpath``.
 
     One pass over the '/'-separated parts: leading empty parts count the leading slashes (two are kept, three or
     more collapse to one), '' and '.' parts vanish, '..' pops where it can, is kept at the front of a relative path
     and dropped at the root of an absolute one. An empty result is '.'.
     """
-    parts = F.split(F.replace(py_strip(p), F.lit("\\"), F.lit("/")), "/")
+    parts = F.split(F.replace(py_strip(p), F.lit("\\"), F.lit("/")), "/") if strip else F.split(p, "/")
     init = F.struct(
         F.array().cast("array<string>").alias("stack"), F.lit(0).alias("lead"), F.lit(False).alias("seen"),
         F.lit(0).alias("n"),

@@ -115,7 +115,8 @@ def registry(documents: DataFrame) -> DataFrame:
 
 
 def markdown_store(documents: DataFrame) -> DataFrame:
-    """Markdown files that exist ``(path, content)``: the parse output of every document, missing every 19th.
+    """Markdown files that exist ``(path, content)``: the parse output of every document, missing every 19th;
+    every 23rd (from 5) ends with a byte that is not UTF-8.
 
     Stored under the path its registry row resolves to (absolute under the root, or the relative name placed under
     the root); '.txt' outputs exist too, so that the suffix rule has work.
@@ -127,7 +128,10 @@ def markdown_store(documents: DataFrame) -> DataFrame:
         .when(k % 5 == 3, F.concat(F.lit(MD_ROOT + "/doc"), _s(k), F.lit(".markdown")))
         .otherwise(F.concat(F.lit(MD_ROOT + "/doc"), _s(k), F.lit(".md")))
     )
-    return documents.filter(k % 19 != 7).select(path.alias("path"), F.encode(F.col("text"), "UTF-8").alias("content"))
+    content = F.encode(F.col("text"), "UTF-8")
+    damaged = F.concat(content, F.unhex(F.lit("FF")))  # one invalid UTF-8 byte every 23rd (from 5)
+    return documents.filter(k % 19 != 7).select(
+        path.alias("path"), F.when(k % 23 == 5, damaged).otherwise(content).alias("content"))
 
 
 def messy_paths(documents: DataFrame) -> DataFrame:
@@ -259,3 +263,15 @@ def parser_replies(requests: DataFrame, documents: DataFrame) -> DataFrame:
     )
     status = F.when(F.col("batch_no") % 7 == 3, F.lit(503)).otherwise(F.lit(200))
     return per_batch.select("batch_no", status.alias("status_code"), body.alias("body"))
+
+
+UPLOAD_REPLY_BODIES = ('{"status":"success"}', '{"status":"failure"}', '{"status":"partial_success"}',
+                       '{"status":"duplicated"}', "ok")
+
+
+def upload_replies(batches: DataFrame, key: str = "batch_no") -> DataFrame:
+    """Retrieval-server replies ``(batch_no, status_code, body)``, by ``batch_no % 5``: success, failure,
+    partial_success, duplicated, not JSON (the middle two are rejections)."""
+    b = F.col(key)
+    return batches.select(b.alias("batch_no")).distinct().select(
+        "batch_no", F.lit(200).alias("status_code"), _pick(UPLOAD_REPLY_BODIES, F.col("batch_no") % 5).alias("body"))

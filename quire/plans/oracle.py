@@ -455,3 +455,106 @@ SELECT claim_no, count(DISTINCT claim_no) AS cycles, count(*) AS picked,
        count(*) FILTER (WHERE route = 'unsupported') AS unsupported,
        count(*) FILTER (WHERE route = 'passthrough' AND ok) AS passthrough
 FROM rows GROUP BY ROLLUP (claim_no)"""
+
+
+# ------------------------------------------------------------------------------------------------ uploads
+STORE = f"""
+store AS (
+  SELECT doc_id AS k,
+         CASE WHEN doc_id % 7 = 2 THEN '/x/doc' || CAST(doc_id AS VARCHAR) || '.md'
+              WHEN doc_id % 11 = 4 THEN '{A.MD_ROOT}/doc' || CAST(doc_id AS VARCHAR) || '.txt'
+              WHEN doc_id % 5 = 3 THEN '{A.MD_ROOT}/doc' || CAST(doc_id AS VARCHAR) || '.markdown'
+              ELSE '{A.MD_ROOT}/doc' || CAST(doc_id AS VARCHAR) || '.md' END AS path,
+         doc_id % 23 = 5 AS damaged, text
+  FROM documents WHERE doc_id % 19 <> 7
+)"""
+
+UPLOAD_OK = "({k}) % 5 IN (0, 3, 4)"  # success, duplicated and not-JSON replies are accepted
+
+RAW_UPLOAD = f"""
+WITH {REGISTRY.strip()}, {STORE.strip()},
+parsed AS (
+  SELECT id, parse_path, row_number() OVER (ORDER BY id) - 1 AS rn FROM registry
+  WHERE parse_status = 2 AND parse_path <> ''
+),
+resolved AS (
+  SELECT id, rn,
+         CASE WHEN parse_path = ' ' THEN '{A.MD_ROOT}/ '
+              WHEN starts_with(parse_path, '{A.MD_ROOT}/../') THEN NULL
+              WHEN starts_with(parse_path, '/') THEN parse_path
+              ELSE '{A.MD_ROOT}/' || parse_path END AS markdown_path
+  FROM parsed
+),
+verdicts AS (
+  SELECT r.id, CAST(r.rn // 5 AS BIGINT) AS page_no,
+         CASE WHEN r.markdown_path IS NULL THEN 'skipped'
+              WHEN s.path IS NULL THEN 'failed'
+              WHEN NOT (ends_with(lower(r.markdown_path), '.md') OR ends_with(lower(r.markdown_path), '.markdown'))
+                THEN 'skipped'
+              WHEN s.damaged THEN 'failed'
+              WHEN NOT {UPLOAD_OK.format(k='r.id')} THEN 'failed'
+              ELSE 'uploaded' END AS verdict
+  FROM resolved r LEFT JOIN store s ON s.path = r.markdown_path
+)"""
+
+ORACLES["raw_upload_page"] = RAW_UPLOAD + "\nSELECT id, page_no, verdict FROM verdicts"
+
+ORACLES["raw_upload_counters"] = RAW_UPLOAD + """
+SELECT count(*) AS picked, count(*) FILTER (WHERE verdict = 'uploaded') AS success,
+       count(*) FILTER (WHERE verdict = 'failed') AS failed, count(*) FILTER (WHERE verdict = 'uploaded') AS uploaded,
+       count(*) FILTER (WHERE verdict = 'skipped') AS skipped
+FROM verdicts"""
+
+ORACLES["utf8_repair"] = f"""
+WITH {STORE.strip()}
+SELECT path, length(text) + CASE WHEN damaged THEN 1 ELSE 0 END AS n_chars, md5(text) AS text_md5,
+       true AS readable, damaged AS repaired
+FROM store"""
+
+CLEAN_FLOW = f"""
+WITH {REGISTRY.strip()}, {STORE.strip()},
+rec AS (
+  SELECT * REPLACE (CASE WHEN clean_status = 1 AND updated_at < {NOW} - 3600 THEN 0
+                         WHEN clean_status = -1 THEN 0 ELSE clean_status END AS clean_status)
+  FROM registry
+),
+claimed AS (
+  SELECT id, file_name, parse_path, row_number() OVER (ORDER BY file_size, id) - 1 AS rn FROM rec
+  WHERE clean_status = 0 AND parse_status = 2 AND parse_path <> ''
+),
+flow AS (
+  SELECT c.id, c.file_name, CAST(c.rn // 5 AS BIGINT) AS claim_no, CAST((c.rn // 5) % 2 + 1 AS INTEGER) AS worker_no,
+         s.path IS NOT NULL AND {UPLOAD_OK.format(k='c.id')} AS ok, s.text
+  FROM claimed c LEFT JOIN store s ON s.path = c.parse_path
+),
+src AS (SELECT id, text AS s, file_name FROM flow),
+{clean_chain('src', 'trim(file_name)')}"""
+
+ORACLES["upload_outcomes"] = CLEAN_FLOW + """
+SELECT f.id, f.claim_no, f.worker_no, f.ok, CAST(CASE WHEN f.ok THEN 2 ELSE -1 END AS TINYINT) AS clean_status,
+       md5(c.s) AS cleaned_md5
+FROM flow f JOIN cleaned c ON c.id = f.id"""
+
+ORACLES["clean_counters"] = CLEAN_FLOW + """
+SELECT worker_no, count(*) AS picked, count(*) FILTER (WHERE ok) AS success, count(*) FILTER (WHERE NOT ok) AS failed,
+       count(*) FILTER (WHERE ok) AS uploaded
+FROM flow GROUP BY ROLLUP (worker_no)"""
+
+ONE_STEP = REPLY_CHAIN + f""",
+one AS (
+  SELECT e.id, e.claim_no, e.claim_pos, e.original_path,
+         CASE WHEN NOT e.has_md THEN 'parse_failed' WHEN {UPLOAD_OK.format(k='e.claim_no')} THEN 'uploaded'
+              ELSE 'upload_failed' END AS outcome
+  FROM exp e
+)"""
+
+ORACLES["one_step_outcomes"] = ONE_STEP + """
+SELECT o.id, o.outcome,
+       CAST(CASE WHEN o.outcome = 'uploaded' THEN 2 ELSE -1 END AS TINYINT) AS parse_status,
+       CAST(CASE WHEN o.outcome = 'uploaded' THEN 2 WHEN o.outcome = 'upload_failed' THEN -1 ELSE r.clean_status END
+            AS TINYINT) AS clean_status
+FROM one o JOIN registry r ON r.id = o.id"""
+
+ORACLES["upload_batches"] = ONE_STEP + """
+SELECT claim_no, CAST(count(*) AS INTEGER) AS n_texts, string_agg(original_path, '|' ORDER BY claim_pos) AS file_sources
+FROM one WHERE outcome <> 'parse_failed' GROUP BY claim_no"""

@@ -18,7 +18,9 @@ from quire.operators import register as R
 from quire.operators import replies as RP
 from quire.operators import metrics as M
 from quire.operators import state as S
+from quire.operators import upload as U
 from quire.plans import adapters as A
+from quire.session import checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -265,3 +267,94 @@ def parse_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = claimed.join(outcome, "id", "left")
     return M.parse_counters(rows)
+
+
+# ---------------------------------------------------------------------------------------------- uploads
+
+
+def _raw_upload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    parsed = S.parsed(A.registry(docs))
+    replies = A.upload_replies(parsed, "id")
+    verdicts = U.raw_upload_verdicts(parsed, A.markdown_store(docs), replies, A.MD_ROOT)
+    pages = B.claims(parsed.select("id"), ["id"], RAW_UPLOAD_PAGE).withColumnRenamed("claim_no", "page_no")
+    return verdicts.join(pages.select("id", "page_no"), "id")
+
+
+RAW_UPLOAD_PAGE = 5
+
+
+@query("raw_upload_page")
+def raw_upload_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _raw_upload(spark, sf_dir).select("id", "page_no", "verdict")
+
+
+@query("raw_upload_counters")
+def raw_upload_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.upload_counters(_raw_upload(spark, sf_dir))
+
+
+@query("utf8_repair")
+def utf8_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = A.markdown_store(_docs(spark, sf_dir))
+    text = U.read_markdown(F.col("content"))
+    return store.select(
+        "path", F.length(text).alias("n_chars"), F.md5(F.replace(text, F.lit("�"), F.lit(""))).alias("text_md5"),
+        F.col("content").cast("string").isNotNull().alias("readable"),
+        (U.strict_utf8(F.col("content")).isNull()).alias("repaired"),
+    )
+
+
+CLEAN_WORKERS = 2
+
+
+def _clean_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    reg = S.recover_clean(A.registry(docs), A.NOW)
+    claimed = B.clean_claims(reg)
+    claimed = claimed.withColumn("worker_no", (F.col("claim_no") % CLEAN_WORKERS + 1).cast("int"))
+    store = A.markdown_store(docs)
+    outcomes = U.clean_outcomes(claimed, store, A.upload_replies(claimed, "id"))
+    texts = store.select(F.col("path").alias("parse_path"), U.read_markdown(F.col("content")).alias("markdown"))
+    cleaned = D.clean_documents(outcomes.join(texts, "parse_path", "left"))
+    return cleaned.withColumn("clean_status", F.when(F.col("ok"), F.lit(2)).otherwise(F.lit(-1)).cast("tinyint"))
+
+
+@query("upload_outcomes")
+def upload_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clean_flow(spark, sf_dir).select(
+        "id", "claim_no", "worker_no", "ok", "clean_status", F.md5("cleaned").alias("cleaned_md5"))
+
+
+@query("clean_counters")
+def clean_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.clean_counters(_clean_flow(spark, sf_dir))
+
+
+def _one_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    requests, results = _parse_results(spark, sf_dir)
+    results = results.join(requests.select("id", "claim_no", "claim_pos", "original_path"), "id")
+    return U.one_step_outcomes(results, A.upload_replies(requests, "claim_no"), "claim_no")
+
+
+@query("one_step_outcomes")
+def one_step_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outcomes = _one_step(spark, sf_dir)
+    reg = S.apply_one_step_results(_registry(spark, sf_dir), outcomes.withColumn("parse_path", F.lit("")), A.NOW)
+    return outcomes.select("id", "outcome").join(reg.select("id", "parse_status", "clean_status"), "id")
+
+
+@query("upload_batches")
+def upload_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checkpoint_dir(spark)
+    # Parse results are written before cleaning (the Markdown store of the one-step flow): a reliable checkpoint in
+    # the shared folder cuts the lineage and keeps each stage's generated code small.
+    prepared = _one_step(spark, sf_dir).filter("prepared").select(
+        "id", "file_uid", "file_name", "file_type", "absolute_path", "markdown_content", "claim_no", "claim_pos",
+        "original_path",
+    ).checkpoint()
+    records = D.clean_record_from_parse(prepared).join(
+        prepared.select("id", "claim_no", "claim_pos", F.col("original_path").alias("src")), "id")
+    cleaned = D.clean_documents(records, parse_path=None)
+    pay = U.payloads(cleaned, batch="claim_no", order="claim_pos", text="cleaned", source="src")
+    return pay.select("claim_no", "n_texts", F.array_join("file_sources", "|").alias("file_sources"))
