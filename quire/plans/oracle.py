@@ -558,3 +558,6 @@ FROM one o JOIN registry r ON r.id = o.id"""
 ORACLES["upload_batches"] = ONE_STEP + """
 SELECT claim_no, CAST(count(*) AS INTEGER) AS n_texts, string_agg(original_path, '|' ORDER BY claim_pos) AS file_sources
 FROM one WHERE outcome <> 'parse_failed' GROUP BY claim_no"""
+
+
+ORACLES["stream_register"] = VERDICTS + "\nSELECT id, original_path, verdict FROM verdicts"
