@@ -361,3 +361,12 @@ def markdown_store_rows(results: DataFrame, requested: DataFrame) -> DataFrame:
     key = F.coalesce(F.nullif(F.col("file_hash"), F.lit("")), F.col("id").cast("string"))
     return rows.select(key.alias("doc_key"), "id", F.col("markdown_content").alias("markdown"))
 
+
+
+def insert_image_refs(existing: DataFrame, candidates: DataFrame) -> DataFrame:
+    """SNK5: ``(file_uid, image_file, inserted)`` for every distinct candidate; ``inserted`` is false when the pair
+    is already present. Appending the inserted rows to ``existing`` gives the new table."""
+    distinct = candidates.select("file_uid", "image_file").dropDuplicates()
+    present = existing.select("file_uid", "image_file").dropDuplicates().withColumn("_present", F.lit(True))
+    return distinct.join(present, ["file_uid", "image_file"], "left").select(
+        "file_uid", "image_file", F.col("_present").isNull().alias("inserted"))

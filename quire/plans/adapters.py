@@ -275,3 +275,26 @@ def upload_replies(batches: DataFrame, key: str = "batch_no") -> DataFrame:
     b = F.col(key)
     return batches.select(b.alias("batch_no")).distinct().select(
         "batch_no", F.lit(200).alias("status_code"), _pick(UPLOAD_REPLY_BODIES, F.col("batch_no") % 5).alias("body"))
+
+
+def block_documents(documents: DataFrame) -> DataFrame:
+    """Documents with blocks added by k, so that every cleaning rule has work ``(id, markdown, source)``: an old
+    metadata header (k % 6 = 0), an HTML table with a ragged row and a pipe (k % 5 = 1), a Markdown and an HTML
+    image (k % 4 = 2), a zero-width mark (k % 7 = 3), page-number lines (k % 3 = 1), a heading (k % 8 = 5),
+    CRLF line ends and a run of blank lines (k % 9 = 4)."""
+    k = F.col("doc_id")
+    ks = _s(k)
+    header = F.when(k % 6 == 0, F.lit('---\nfile_name: "old"\n---\n')).otherwise(F.lit(""))
+    table = F.when(k % 5 == 1, F.concat(
+        F.lit("\n<table><tr><th>h"), ks, F.lit("</th><th>v</th></tr><tr><td>a|"), ks,
+        F.lit("<br>x</td></tr><tr><td>1</td><td>2</td><td>3</td></tr></table>\n"))).otherwise(F.lit(""))
+    images = F.when(k % 4 == 2, F.concat(
+        F.lit("\n![pic](img/"), ks, F.lit("/fig%201.png?x=1)\n<img src=\"im/p"), ks, F.lit('.png">\n'))
+    ).otherwise(F.lit(""))
+    zw = F.when(k % 7 == 3, F.lit("\u200b")).otherwise(F.lit(""))
+    pages = F.when(k % 3 == 1, F.concat(F.lit("\nPage "), _s(k % 9), F.lit(" of 9\n"), ks, F.lit("\n"))).otherwise(
+        F.lit(""))
+    heading = F.when(k % 8 == 5, F.concat(F.lit("\n##Heading "), ks, F.lit("\n"))).otherwise(F.lit(""))
+    tail = F.when(k % 9 == 4, F.lit("\r\nend  \r\n\r\n\r\n\r\nx")).otherwise(F.lit(""))
+    md = F.concat(header, zw, F.col("text"), table, images, pages, heading, tail)
+    return documents.select(k.alias("id"), md.alias("markdown"), "source")

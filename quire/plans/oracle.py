@@ -48,6 +48,9 @@ registry AS (
          'doc' || CAST(doc_id AS VARCHAR) || '.' || {_list(A.REGISTRY_EXTS)}[doc_id % 8 + 1] AS file_name,
          {_list(A.REGISTRY_EXTS)}[doc_id % 8 + 1] AS file_ext,
          CAST(strlen(text) AS BIGINT) AS file_size,
+         md5(CASE WHEN doc_id % 29 = 0 THEN {_catpath(M)}
+                  ELSE '/archive/' || source || '/doc' || CAST(doc_id AS VARCHAR) || '.'
+                       || {_list(A.REGISTRY_EXTS)}[doc_id % 8 + 1] END) AS file_uid,
          CASE WHEN doc_id % 31 = 0 THEN sha256(text) ELSE sha256(text || '#v0') END AS file_hash,
          CASE WHEN doc_id % 29 = 0 THEN {_catpath(M)}
               ELSE '/archive/' || source || '/doc' || CAST(doc_id AS VARCHAR) || '.'
@@ -561,3 +564,35 @@ FROM one WHERE outcome <> 'parse_failed' GROUP BY claim_no"""
 
 
 ORACLES["stream_register"] = VERDICTS + "\nSELECT id, original_path, verdict FROM verdicts"
+
+
+# ------------------------------------------------------------------------------------------------ extraction
+ORACLES["doc_tables"] = """
+WITH t AS (SELECT doc_id FROM documents WHERE doc_id % 5 = 1),
+cells AS (
+  SELECT doc_id, 0 AS row_no, 0 AS col_no, 'h' || CAST(doc_id AS VARCHAR) AS cell FROM t
+  UNION ALL SELECT doc_id, 0, 1, 'v' FROM t UNION ALL SELECT doc_id, 0, 2, '' FROM t
+  UNION ALL SELECT doc_id, 1, 0, 'a\\|' || CAST(doc_id AS VARCHAR) || ' x' FROM t
+  UNION ALL SELECT doc_id, 1, 1, '' FROM t UNION ALL SELECT doc_id, 1, 2, '' FROM t
+  UNION ALL SELECT doc_id, 2, 0, '1' FROM t UNION ALL SELECT doc_id, 2, 1, '2' FROM t
+  UNION ALL SELECT doc_id, 2, 2, '3' FROM t
+)
+SELECT doc_id, CAST(0 AS INTEGER) AS table_no, CAST(row_no AS INTEGER) AS row_no, CAST(col_no AS INTEGER) AS col_no,
+       cell FROM cells"""
+
+ORACLES["doc_images"] = """
+SELECT doc_id, CAST(0 AS INTEGER) AS pos, 'fig 1.png' AS name FROM documents WHERE doc_id % 4 = 2
+UNION ALL
+SELECT doc_id, CAST(1 AS INTEGER), 'p' || CAST(doc_id AS VARCHAR) || '.png' FROM documents WHERE doc_id % 4 = 2"""
+
+ORACLES["removed_lines"] = """
+SELECT doc_id, 'Page ' || CAST(doc_id % 9 AS VARCHAR) || ' of 9' AS line FROM documents WHERE doc_id % 3 = 1
+UNION ALL
+SELECT doc_id, CAST(doc_id AS VARCHAR) FROM documents WHERE doc_id % 3 = 1"""
+
+ORACLES["image_refs"] = REPLY_CHAIN + """,
+imgs AS (
+  SELECT id, file_uid, 'p' || CAST(id AS VARCHAR) || '.png' AS image_file FROM exp WHERE has_images
+  UNION ALL SELECT id, file_uid, 'image_2.png' FROM exp WHERE has_images AND id % 3 = 2
+)
+SELECT DISTINCT file_uid, image_file, id % 3 <> 0 AS inserted FROM imgs"""

@@ -387,3 +387,39 @@ def stream_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Verdicts equal the one-shot job; the file facts of a repeated path may differ (a path inserted by an earlier
     # batch is skipped before its file is read, as the reference does across its pages).
     return read_verdicts(spark, f"{base}/out").select("id", "original_path", "verdict")
+
+
+# ---------------------------------------------------------------------------------------------- extraction
+
+
+@query("doc_tables")
+def doc_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.doc_tables(A.block_documents(_docs(spark, sf_dir)))
+
+
+@query("doc_images")
+def doc_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.doc_images(A.block_documents(_docs(spark, sf_dir)))
+
+
+@query("removed_lines")
+def removed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.removed_lines(A.block_documents(_docs(spark, sf_dir))).select("doc_id", "line")
+
+
+@query("clean_audit")
+def clean_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.stage_audit(A.block_documents(_docs(spark, sf_dir)))
+
+
+@query("image_refs")
+def image_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK5: a reference row per stored image, inserted unless present (existing rows: every third file's)."""
+    requests, replies = _reply_inputs(spark, sf_dir)
+    files = RP.matched_files(requests, replies).where(F.col("entries").isNotNull())
+    stored = RP.stored_images(files).join(
+        requests.select(F.col("id").alias("file_id"), "file_uid"), "file_id")
+    candidates = stored.select("file_uid", F.col("image_name").alias("image_file"))
+    existing = stored.filter(F.col("file_id") % 3 == 0).select(
+        "file_uid", F.col("image_name").alias("image_file"))
+    return RP.insert_image_refs(existing, candidates.unionByName(candidates))
