@@ -57,7 +57,7 @@ IMAGE_URL_ROOT = "/images/"
 # ------------------------------------------------------------------------------------------------ helpers
 
 
-def rewrite_matches(s: Column, pattern: str, fn, guard: str | None = None) -> Column:
+def rewrite_matches(s: Column, pattern: str, fn, guard: str | None = None, prefilter: str | None = None) -> Column:
     """Replace every match of ``pattern`` in ``s`` by ``fn(match)`` (a Column function of the matched text)."""
 
     def body(v):
@@ -68,6 +68,8 @@ def rewrite_matches(s: Column, pattern: str, fn, guard: str | None = None) -> Co
 
     rewritten = let(s, body)
     cond = s.rlike(guard if guard else pattern)
+    if prefilter is not None:
+        cond = s.contains(prefilter) & cond
     return F.when(cond, rewritten).otherwise(s)
 
 
@@ -106,8 +108,13 @@ def html_image_to_markdown(match: Column) -> Column:
 # ------------------------------------------------------------------------------------------------ stages
 
 
+def _guard(s: Column, test: Column, value: Column) -> Column:
+    """``value`` where ``test`` holds, else ``s`` unchanged (CASE WHEN evaluates only the chosen branch)."""
+    return F.when(test, value).otherwise(s)
+
+
 def c1_line_endings(s: Column) -> Column:
-    return F.replace(F.replace(s, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    return _guard(s, s.contains("\r"), F.replace(F.replace(s, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")))
 
 
 def c2_drop_header(s: Column) -> Column:
@@ -169,53 +176,69 @@ def table_to_markdown(table: Column) -> Column:
 
 
 def c4_tables(s: Column) -> Column:
-    return rewrite_matches(s, TABLE, table_to_markdown, guard=r"(?i)<table")
+    return rewrite_matches(s, TABLE, table_to_markdown, guard=r"(?i)<table", prefilter="<")
 
 
 def c6_comments(s: Column) -> Column:
-    return F.regexp_replace(s, HTML_COMMENT, "")
+    return _guard(s, s.contains("<!--"), F.regexp_replace(s, HTML_COMMENT, ""))
 
 
 def c7_toc_anchors(s: Column) -> Column:
-    return F.regexp_replace(s, TOC_ANCHOR, "")
+    return _guard(s, s.contains("_Toc"), F.regexp_replace(s, TOC_ANCHOR, ""))
 
 
 def c8_html_images(s: Column) -> Column:
-    return rewrite_matches(s, HTML_IMAGE, html_image_to_markdown, guard=r"(?i)<img")
+    return rewrite_matches(s, HTML_IMAGE, html_image_to_markdown, guard=r"(?i)<img", prefilter="<")
 
 
 def c9_line_breaks(s: Column) -> Column:
-    return F.regexp_replace(s, LINE_BREAK_TAG, "\n")
+    return _guard(s, s.contains("<"), F.regexp_replace(s, LINE_BREAK_TAG, "\n"))
 
 
 def c10_noise_tags(s: Column) -> Column:
-    return F.regexp_replace(s, NOISE_TAG, "")
+    return _guard(s, s.contains("<"), F.regexp_replace(s, NOISE_TAG, ""))
 
 
 def c11_paragraphs(s: Column) -> Column:
-    s = F.regexp_replace(s, CELL_OPEN_P, "$1")
-    s = F.regexp_replace(s, P_CLOSE_CELL, "$1")
-    return F.regexp_replace(s, PARAGRAPH_TAG, "\n")
+    out = F.regexp_replace(s, CELL_OPEN_P, "$1")
+    out = F.regexp_replace(out, P_CLOSE_CELL, "$1")
+    return _guard(s, s.contains("<"), F.regexp_replace(out, PARAGRAPH_TAG, "\n"))
 
 
 def c12_all_tags(s: Column) -> Column:
-    return F.regexp_replace(s, ANY_TAG, "")
+    return _guard(s, s.contains("<"), F.regexp_replace(s, ANY_TAG, ""))
 
 
 def c13_garbage(s: Column) -> Column:
     """Zero-width marks, NUL and U+FFFD removed, NBSP to blank; then literal '\\_', then 'text_image', removed."""
-    s = F.translate(s, "\xa0" + ZERO_WIDTH_AND_GARBAGE, " ")
-    s = F.replace(s, F.lit("\\_"), F.lit(""))
-    return F.replace(s, F.lit("text_image"), F.lit(""))
+    marks = "\xa0" + ZERO_WIDTH_AND_GARBAGE
+    present = s.contains(marks[0])
+    for ch in marks[1:]:
+        present = present | s.contains(ch)
+    out = _guard(s, present, F.translate(s, marks, " "))
+    out = F.replace(out, F.lit("\\_"), F.lit(""))
+    return F.replace(out, F.lit("text_image"), F.lit(""))
+
+
+def c14_passes():
+    """C14 as five passes (each a projection of its own): bold-italic, bold, italic '*', italic '_', strike.
+    Spans may cross lines; code is not exempt. Each pass only runs on texts holding its marker."""
+    star = r"(?s)(?<!\*)\*(?!" + WS + r")(.+?)(?<!" + WS + r")\*(?!\*)"
+    under = r"(?s)(?<!" + WORD + r")_(?!" + WS + r")(.+?)(?<!" + WS + r")_(?!" + WORD + r")"
+    return [
+        lambda s: _guard(s, s.contains("***") | s.contains("___"), F.regexp_replace(s, r"(?s)(\*\*\*|___)(.+?)\1", "$2")),
+        lambda s: _guard(s, s.contains("**") | s.contains("__"), F.regexp_replace(s, r"(?s)(\*\*|__)(.+?)\1", "$2")),
+        lambda s: _guard(s, s.contains("*"), F.regexp_replace(s, star, "$1")),
+        lambda s: _guard(s, s.contains("_"), F.regexp_replace(s, under, "$1")),
+        lambda s: _guard(s, s.contains("~~"), F.regexp_replace(s, r"(?s)~~(.+?)~~", "$1")),
+    ]
 
 
 def c14_emphasis(s: Column) -> Column:
-    """Bold/italic/strike markers removed; spans may cross lines; code is not exempt."""
-    s = F.regexp_replace(s, r"(?s)(\*\*\*|___)(.+?)\1", "$2")
-    s = F.regexp_replace(s, r"(?s)(\*\*|__)(.+?)\1", "$2")
-    s = F.regexp_replace(s, r"(?s)(?<!\*)\*(?!" + WS + r")(.+?)(?<!" + WS + r")\*(?!\*)", "$1")
-    s = F.regexp_replace(s, r"(?s)(?<!" + WORD + r")_(?!" + WS + r")(.+?)(?<!" + WS + r")_(?!" + WORD + r")", "$1")
-    return F.regexp_replace(s, r"(?s)~~(.+?)~~", "$1")
+    """Bold/italic/strike markers removed (all passes in one expression; see ``c14_passes``)."""
+    for step in c14_passes():
+        s = step(s)
+    return s
 
 
 def _is_digits(c: Column) -> Column:
@@ -256,20 +279,29 @@ def markdown_image_ref(match: Column, record_id: Column, markdown_path: Column)
 
 
 def c15_image_refs(s: Column, record_id: Column, markdown_path: Column) -> Column:
-    return rewrite_matches(s, MD_IMAGE, lambda m: markdown_image_ref(m, record_id, markdown_path), guard=r"!\[")
+    return rewrite_matches(s, MD_IMAGE, lambda m: markdown_image_ref(m, record_id, markdown_path), guard=r"!\[", prefilter="![")
 
 
-def c17_headings(s: Column, mode: str = "reference") -> Column:
-    """Right-strip every line; heading lines are stripped on both sides and get a blank after the '#' run.
-
-    ``mode='reference'`` keeps the reference's backtracking rule (``## T`` -> ``# # T``); ``'fixed'`` only splits a
-    '#' run from a following non-'#' character.
-    """
-    s = F.regexp_replace(s, HWS + r"+(?=\n|\z)", "")
-    s = F.regexp_replace(s, r"(?md)^" + HWS + r"+(?=#)", "")
+def c17_steps(mode: str = "reference"):
+    """C17 as three projections: right-strip every line; strip heading lines on the left; put a blank after the
+    leading '#' run. ``mode='reference'`` keeps the reference's backtracking rule (``## T`` -> ``# # T``);
+    ``'fixed'`` only splits a '#' run from a following non-'#' character."""
     if mode == "fixed":
-        return F.regexp_replace(s, r"(?md)^(#{1,6})([^#\p{IsWhite_Space}\x1c-\x1f])", "$1 $2")
-    return F.regexp_replace(s, r"(?md)^(#{1,6})(" + NOT_WS + ")", "$1 $2")
+        heading = r"(?md)^(#{1,6})([^#\p{IsWhite_Space}\x1c-\x1f])"
+    else:
+        heading = r"(?md)^(#{1,6})(" + NOT_WS + ")"
+    return [
+        lambda s: _guard(s, s.rlike(HWS + r"(?:\n|\z)"), F.regexp_replace(s, HWS + r"+(?=\n|\z)", "")),
+        lambda s: _guard(s, s.contains("#"), F.regexp_replace(s, r"(?md)^" + HWS + r"+(?=#)", "")),
+        lambda s: _guard(s, s.contains("#"), F.regexp_replace(s, heading, "$1 $2")),
+    ]
+
+
+def c17_headings(s: Column, mode: str = "reference") -> Column:
+    """Right-strip every line; heading lines are stripped on both sides and get a blank after the '#' run."""
+    for step in c17_steps(mode):
+        s = step(s)
+    return s
 
 
 def c18_page_lines(s: Column) -> Column:
@@ -279,8 +311,8 @@ def c18_page_lines(s: Column) -> Column:
 
 
 def c19_blank_runs(s: Column) -> Column:
-    s = F.regexp_replace(s, r"[ \t]+\n", "\n")
-    return F.regexp_replace(s, r"\n{3,}", "\n\n")
+    out = _guard(s, s.contains(" \n") | s.contains("\t\n"), F.regexp_replace(s, r"[ \t]+\n", "\n"))
+    return _guard(out, out.contains("\n\n\n"), F.regexp_replace(out, r"\n{3,}", "\n\n"))
 
 
 def metadata_name(file_name: Column, original_path: Column, parse_path: Column) -> Column:

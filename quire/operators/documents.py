@@ -30,9 +30,9 @@ def _stage_columns(record_id: Column, markdown_path: Column, name: Column, headi
         ("C11", C.c11_paragraphs),
         ("C12", C.c12_all_tags),
         ("C13", C.c13_garbage),
-        ("C14", C.c14_emphasis),
+        ("C14", C.c14_passes()),
         ("C15", lambda s: C.c15_image_refs(s, record_id, markdown_path)),
-        ("C17", lambda s: C.c17_headings(s, heading_mode)),
+        ("C17", C.c17_steps(heading_mode)),
         ("C18", C.c18_page_lines),
         ("C19", C.c19_blank_runs),
         ("C20", lambda s: C.c20_finish(s, name)),
@@ -58,7 +58,8 @@ def clean_documents(docs: DataFrame, text: str = "markdown", id_col: str | None
     for stage, fn in _stage_columns(record_id, col(parse_path), name, heading_mode):
         if until == stage:
             break
-        df = df.withColumn(TEXT, fn(F.col(TEXT)))
+        for step in fn if isinstance(fn, list) else [fn]:
+            df = df.withColumn(TEXT, step(F.col(TEXT)))
         if keep_stages:
             df = df.withColumn(f"_after_{stage}", F.col(TEXT))
     return df.withColumnRenamed(TEXT, out)

@@ -283,7 +283,7 @@ def rewrite_image_names(md: Column, names: Column) -> Column:
         return F.when(new.isNotNull(), F.concat(F.lit("!["), F.regexp_extract(m, MD_IMAGE, 1), F.lit("]("), new,
                                                 F.lit(")"))).otherwise(m)
 
-    step1 = rewrite_matches(md, MD_IMAGE, ref, guard=r"!\[")
+    step1 = rewrite_matches(md, MD_IMAGE, ref, guard=r"!\[", prefilter="![")
     edge = r"[\p{L}\p{N}_/.\-]"
 
     def bare(acc, e):
