@@ -95,51 +95,54 @@ def register_verdicts(nas_files: DataFrame, listing: DataFrame, registry: DataFr
         .when(is_office_temp(p, ext), F.lit("skipped_temp"))
     )
     rows = rows.withColumn("early", early)
+    decided = rows.filter(F.col("early").isNotNull())
+    open_rows = rows.filter(F.col("early").isNull())
 
-    # Per distinct path still open: known in the registry (J1), else resolved (J3) and hashed.
-    open_paths = rows.filter(F.col("early").isNull()).select("original_path").distinct()
+    # Per distinct open path: known in the registry (J1), else resolved (J3) and hashed (S4) -- once per path.
     known = registry.select("original_path").where(F.col("original_path").isNotNull()).distinct()
-    unknown = open_paths.join(known, "original_path", "left_anti")
-    resolved = resolve_paths(unknown, listing)
-    hashes = hasher(resolved.select(F.col("resolved_path").alias("path")).distinct())
-    info = resolved.join(hashes.withColumnRenamed("path", "resolved_path"), "resolved_path", "left")
-    path_facts = (
-        open_paths.join(unknown.withColumn("unknown", F.lit(True)), "original_path", "left")
-        .join(info, "original_path", "left")
-    )
-    rows = rows.join(path_facts, "original_path", "left")
+    flagged = open_rows.select("original_path").distinct().join(
+        known.withColumn("known", F.lit(True)), "original_path", "left")
+    resolved = resolve_paths(flagged.filter(F.col("known").isNull()).select("original_path"), listing)
+    hashes = hasher(resolved.select(F.col("resolved_path").alias("path")))
+    facts = flagged.join(
+        resolved.join(hashes.withColumnRenamed("path", "resolved_path"), "resolved_path", "left"),
+        "original_path", "left")
+    open_rows = open_rows.join(facts, "original_path", "left")
 
     name = path_name(F.col("resolved_path"))
-    rows = rows.withColumn("file_name", name).withColumn("file_ext", file_ext(name))
-    found = F.col("early").isNull() & F.col("unknown") & F.col("file_hash").isNotNull()
+    open_rows = open_rows.withColumn("file_name", name).withColumn("file_ext", file_ext(name))
+    found = F.col("known").isNull() & F.col("file_hash").isNotNull()
     if enforce_limits:
         over = (
             (F.length(p) > MAX_TEXT) | (F.length(F.col("file_name")) > MAX_TEXT) | (F.col("file_size") > MAX_SIZE)
         )
-        rows = rows.withColumn("over_limit", found & over)
+        open_rows = open_rows.withColumn("over_limit", found & over)
         found = found & ~F.col("over_limit")
-    rows = rows.withColumn("found", found)
+    open_rows = open_rows.withColumn("found", found)
 
-    # W1 + J2: smallest id per new hash; hashes already registered are removed first (distinct, so unique keys).
+    # W1 + J2: smallest id per new hash (partial aggregation); hashes already registered are removed (distinct,
+    # so unique keys); winners come back on the unique id.
     registered = registry.select("file_hash").where(F.col("file_hash").isNotNull()).distinct()
     winners = (
-        rows.filter("found").groupBy("file_hash").agg(F.min("id").alias("id"))
+        open_rows.filter("found").groupBy("file_hash").agg(F.min("id").alias("id"))
         .join(registered, "file_hash", "left_anti").select("id", F.lit(True).alias("winner"))
     )
-    rows = rows.join(winners, "id", "left")
+    open_rows = open_rows.join(winners, "id", "left")
 
     verdict = (
-        F.when(F.col("early").isNotNull(), F.col("early"))
-        .when(F.col("unknown").isNull(), F.lit("skipped_existing"))
+        F.when(F.col("known"), F.lit("skipped_existing"))
         .when(F.col("file_hash").isNull(), F.lit("missing_remote"))
     )
     if enforce_limits:
         verdict = verdict.when(F.col("over_limit"), F.lit("failed"))
     verdict = verdict.when(F.col("winner"), F.lit("inserted")).otherwise(F.lit("skipped_existing"))
-    return rows.select(
-        "id", "original_path", verdict.alias("verdict"), "resolved_path", "file_name", "file_ext", "file_size",
-        "file_hash",
+    cols = ["id", "original_path", "verdict", "resolved_path", "file_name", "file_ext", "file_size", "file_hash"]
+    done = decided.select(
+        "id", "original_path", F.col("early").alias("verdict"), F.lit(None).cast("string").alias("resolved_path"),
+        F.lit(None).cast("string").alias("file_name"), F.lit(None).cast("string").alias("file_ext"),
+        F.lit(None).cast("bigint").alias("file_size"), F.lit(None).cast("string").alias("file_hash"),
     )
+    return open_rows.select(*[verdict.alias("verdict") if c == "verdict" else c for c in cols]).unionByName(done)
 
 
 def scan_counters(verdicts: DataFrame) -> DataFrame:
