@@ -228,8 +228,8 @@ def parser_replies(requests: DataFrame, documents: DataFrame) -> DataFrame:
     is answered 503."""
     k = F.col("id")
     form = F.col("batch_no") % 6
-    md = _json_str(reply_markdown(k, F.col("text")))
-    images = _images_json(k)
+    md = F.col("md")
+    images = F.col("images")
     with_images = lambda head: F.concat(head, F.when(images.isNotNull(), F.concat(F.lit(", "), images))
                                         .otherwise(F.lit("")), F.lit("}"))
     name_field = F.when(F.col("batch_pos") == 0, F.lit("file_name")).otherwise(F.lit("name"))
@@ -247,9 +247,12 @@ def parser_replies(requests: DataFrame, documents: DataFrame) -> DataFrame:
         .when(form == 2, F.regexp_replace(F.col("local_name"), r"\.[^.]*$", ""))
         .otherwise(F.col("file_name"))
     )
-    entry = F.when(form == 3, item).otherwise(F.concat(_json_str(key), F.lit(": "), item))
+    entry = F.when(form == 3, F.col("item")).otherwise(F.concat(_json_str(key), F.lit(": "), F.col("item")))
     texts = documents.select(F.col("doc_id").alias("id"), "text")
-    rows = requests.join(texts, "id").select("batch_no", "batch_pos", "batch_size", entry.alias("entry"))
+    rows = requests.join(texts, "id")
+    rows = rows.withColumn("md", _json_str(reply_markdown(k, F.col("text")))).withColumn("images", _images_json(k))
+    rows = rows.withColumn("item", item)
+    rows = rows.select("batch_no", "batch_pos", "batch_size", entry.alias("entry"))
     per_batch = rows.groupBy("batch_no").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("batch_pos", "entry"))), lambda x: x["entry"]),
                      ", ").alias("entries")
