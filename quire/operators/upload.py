@@ -120,3 +120,11 @@ def one_step_outcomes(results: DataFrame, replies: DataFrame, batch: str = "clai
         .otherwise(F.lit("upload_failed"))
     )
     return with_reply.withColumn("outcome", outcome)
+
+
+def cleaned_store_rows(cleaned: DataFrame, save: bool = True, text: str = "cleaned") -> DataFrame | None:
+    """SNK6: the one-step flow's optional cleaned-Markdown store, one row per document keyed by its id
+    (``doc_key``); ``save=False`` stores nothing and the parse path stays ''."""
+    if not save:
+        return None
+    return cleaned.select(F.col("id").cast("string").alias("doc_key"), "id", F.col(text).alias("markdown"))

@@ -86,3 +86,9 @@ def test_payload(spark):
                                  "batch_no bigint, pos int, text string, file_source string")
     out = {r.batch_no: r.payload for r in U.payloads(docs).collect()}
     assert out == {1: '{"texts":["t0","t1"],"file_sources":["s0","s1"]}', 2: '{"texts":["u"],"file_sources":[""]}'}
+
+
+def test_cleaned_store_rows(spark):
+    df = spark.createDataFrame([(3, "x\n")], "id bigint, cleaned string")
+    assert U.cleaned_store_rows(df, save=False) is None
+    assert [tuple(r) for r in U.cleaned_store_rows(df).collect()] == [("3", 3, "x\n")]
