@@ -191,7 +191,7 @@ def _q(pattern: str) -> str:
     return pattern.replace("'", "''")
 
 
-def clean_chain(src: str, name_expr: str) -> str:
+def clean_chain(src: str, name_expr: str, audit: bool = False):
     """CTEs ``c0`` .. ``c20`` over ``src(id, s)``; ``c20(id, s)`` holds the cleaned text.
 
     Covers the rules the driver data exercises: line ends, header, the four entities of the data (``&amp;`` last, one
@@ -238,6 +238,8 @@ def clean_chain(src: str, name_expr: str) -> str:
     ctes = [f"c0 AS (SELECT id, s, {name_expr} AS name FROM {src})"]
     for i, expr in enumerate(steps, start=1):
         ctes.append(f"c{i} AS (SELECT id, {expr} AS s, name FROM c{i - 1})")
+    if audit:
+        return ",\n".join(ctes), len(steps)
     last = len(steps)
     ctes.append(
         f"cleaned AS (SELECT id, CASE WHEN name <> '' THEN '---' || {nl} || 'file_name: \"' || "
@@ -596,3 +598,37 @@ imgs AS (
   UNION ALL SELECT id, file_uid, 'image_2.png' FROM exp WHERE has_images AND id % 3 = 2
 )
 SELECT DISTINCT file_uid, image_file, id % 3 <> 0 AS inserted FROM imgs"""
+
+
+# Stage audit on the plain documents: the SQL chain's steps line up with the Spark stages; C4, C8 and C15 have
+# nothing to act on in these texts (no tables or images) and change nothing.
+_AUDIT_STEPS = [("C1", 0, 1), ("C2", 1, 2), ("C3", 2, 3), ("C4", 3, 3), ("C6", 3, 4), ("C7", 4, 5), ("C8", 5, 5),
+                ("C9", 5, 6), ("C10", 6, 7), ("C11", 7, 8), ("C12", 8, 9), ("C13", 9, 10), ("C14", 10, 11),
+                ("C15", 11, 11), ("C17", 11, 12), ("C18", 12, 13), ("C19", 13, 14), ("C20", 14, "cleaned")]
+
+
+def _audit_sql() -> str:
+    chain, last = clean_chain("src", "regexp_extract(original_path, '[^/]*$')", audit=True)
+    nl = "chr(10)"
+    cleaned = (
+        f"cleaned AS (SELECT id, CASE WHEN name <> '' THEN '---' || {nl} || 'file_name: \"' || "
+        f"replace(replace(name, '\\', '\\\\'), '\"', '\\\"') || '\"' || {nl} || '---' || {nl} || s || {nl} "
+        f"ELSE s || {nl} END AS s FROM c{last})"
+    )
+    parts = []
+    for stage, a, b in _AUDIT_STEPS:
+        left = f"c{a}"
+        right = b if isinstance(b, str) else f"c{b}"
+        parts.append(
+            f"SELECT d.source, '{stage}' AS stage, x.s <> y.s AS changed, length(x.s) - length(y.s) AS removed "
+            f"FROM {left} x JOIN {right} y ON x.id = y.id JOIN documents d ON d.doc_id = x.id"
+        )
+    return (
+        f"WITH src AS (SELECT doc_id AS id, text AS s, {DOC_ORIGINAL} AS original_path FROM documents),\n"
+        + chain + ",\n" + cleaned + ",\nsteps AS (" + "\nUNION ALL ".join(parts) + ")\n"
+        + "SELECT source, stage, count(*) FILTER (WHERE changed) AS docs_changed, "
+          "CAST(sum(removed) AS BIGINT) AS chars_removed FROM steps GROUP BY source, stage"
+    )
+
+
+ORACLES["clean_audit"] = _audit_sql()

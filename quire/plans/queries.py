@@ -409,7 +409,8 @@ def removed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("clean_audit")
 def clean_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.stage_audit(A.block_documents(_docs(spark, sf_dir)))
+    """Per stage and source: documents changed and characters removed, over the whole documents table."""
+    return D.stage_audit(doc_inputs(spark, sf_dir), file_name=None, parse_path=None)
 
 
 @query("image_refs")
