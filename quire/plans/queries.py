@@ -88,7 +88,7 @@ def path_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _cleaned_summary(df: DataFrame, key: str) -> DataFrame:
     return df.select(
-        F.col("id").alias(key), F.length("cleaned").alias("cleaned_len"), F.md5("cleaned").alias("cleaned_md5")
+        F.col("id").alias(key), F.length("cleaned").cast("bigint").alias("cleaned_len"), F.md5("cleaned").alias("cleaned_md5")
     )
 
 
@@ -230,7 +230,7 @@ def reply_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reply_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, results = _parse_results(spark, sf_dir)
     md = F.col("markdown_content")
-    return results.select("id", "batch_no", "parse_status", F.length(md).alias("md_len"), F.md5(md).alias("md_md5"))
+    return results.select("id", "batch_no", "parse_status", F.length(md).cast("bigint").alias("md_len"), F.md5(md).alias("md_md5"))
 
 
 @query("parse_outcomes")
@@ -244,7 +244,7 @@ def images_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests, replies = _reply_inputs(spark, sf_dir)
     stored = RP.stored_images(RP.matched_files(requests, replies).where(F.col("entries").isNotNull()))
     return stored.select(
-        "file_id", "image_name", "url", F.octet_length("bytes").alias("n_bytes"), F.md5("bytes").alias("bytes_md5")
+        "file_id", "image_name", "url", F.octet_length("bytes").cast("bigint").alias("n_bytes"), F.md5("bytes").alias("bytes_md5")
     )
 
 
@@ -299,7 +299,7 @@ def utf8_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = A.markdown_store(_docs(spark, sf_dir))
     text = U.read_markdown(F.col("content"))
     return store.select(
-        "path", F.length(text).alias("n_chars"), F.md5(F.replace(text, F.lit("�"), F.lit(""))).alias("text_md5"),
+        "path", F.length(text).cast("bigint").alias("n_chars"), F.md5(F.replace(text, F.lit("�"), F.lit(""))).alias("text_md5"),
         F.col("content").cast("string").isNotNull().alias("readable"),
         (U.strict_utf8(F.col("content")).isNull()).alias("repaired"),
     )
