@@ -206,7 +206,11 @@ def _batched_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     batches = B.request_batches(_parser_requests(spark, sf_dir), large_limit=REQUEST_LARGE_LIMIT)
     batches = batches.withColumn("batch_no", (F.col("claim_no") * 10 + F.col("batch_in_claim")).cast("bigint"))
-    return batches.withColumn("batch_size", F.count(F.lit(1)).over(Window.partitionBy("batch_no")))
+    batches = batches.withColumn("batch_size", F.count(F.lit(1)).over(Window.partitionBy("batch_no")))
+    # The request table is what was sent; it feeds the replies and both sides of the match, so it is written once
+    # (reliable checkpoint in the shared folder) instead of being recomputed per branch.
+    checkpoint_dir(spark)
+    return batches.checkpoint()
 
 
 def _reply_inputs(spark: SparkSession, sf_dir: str):
