@@ -25,6 +25,7 @@ from quire.functions.paths import (
 )
 from quire.functions.text import py_strip
 from quire.operators.numbering import dense_number
+from quire.session import checkpoint_dir
 
 VERDICTS = ("inserted", "skipped_existing", "skipped_unsupported", "skipped_temp", "missing_remote", "failed")
 COUNTERS = ("fetched", "checked") + VERDICTS
@@ -119,6 +120,10 @@ def register_verdicts(nas_files: DataFrame, listing: DataFrame, registry: DataFr
         open_rows = open_rows.withColumn("over_limit", found & over)
         found = found & ~F.col("over_limit")
     open_rows = open_rows.withColumn("found", found)
+    # The open rows with their file facts feed both the winner aggregate and the verdicts: write them once (reliable
+    # checkpoint in the shared folder) rather than recompute the resolution and hashing per branch.
+    checkpoint_dir(open_rows.sparkSession)
+    open_rows = open_rows.checkpoint()
 
     # W1 + J2: smallest id per new hash (partial aggregation); hashes already registered are removed (distinct,
     # so unique keys); winners come back on the unique id.
