@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import packing, token_counts
+from quire.llm import mixing, packing, quality_rules, token_counts
 from quire.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,12 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = read(spark, sf_dir, "labels").where(F.col("quality") == 1)
+    return quality_rules.quality_rules(read(spark, sf_dir, "documents"), trusted)
+
+
 @query
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
@@ -30,3 +36,8 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(read(spark, sf_dir, "documents"))
