@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import mixing, packing, quality_rules, token_counts
+from quire.llm import attention_quality, mixing, packing, quality_rules, token_counts, toxicity
 from quire.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,12 +32,22 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).drop("ids")
 
 
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(read(spark, sf_dir, "documents"))
