@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import attention_quality, mixing, packing, quality_rules, token_counts, toxicity
+from quire.llm import attention_quality, mixing, packing, quality_rules, secret_scan, token_counts, toxicity, winnowing
 from quire.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_scan(read(spark, sf_dir, "documents"))
+
+
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
@@ -48,6 +53,11 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attention_quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query
+def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.edited_fingerprints(read(spark, sf_dir, "documents"))
+
+
 @query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(read(spark, sf_dir, "documents"))
