@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import attention_quality, mixing, packing, quality_rules, secret_scan, token_counts, toxicity, winnowing
+from quire.llm import attention_quality, mixing, packing, quality_rules, secret_scan, shingle_join, token_counts, toxicity, winnowing
 from quire.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(read(spark, sf_dir, "documents"), trusted)
 
 
+@query
+def op2_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.near_duplicates(read(spark, sf_dir, "documents")).drop("text_hash", "class_hash")
+
+
 @query
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
