@@ -18,6 +18,8 @@ ids are packed once per row; extra columns are ignored; a document longer than a
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -37,12 +39,31 @@ BATCH_BYTES = 1 << 20
 _ENCODERS: dict[str, Callable[[list[str]], list[bytes]]] = {}
 
 
+#: A full stop or comma beside a mark: they would be one pre-token.
+_RUN = re.compile(r"[.,][^\w \t\n\r\x0b\f]|[^\w \t\n\r\x0b\f][.,]|_[.,]|[.,]_")
+
+
+def pre_tokens(text: str) -> list[bytes]:
+    """The words of a text, in a form that has the same ids and fewer different words.
+
+    The tokenizer lower-cases what it reads and keeps a run of marks apart from letters and digits. So a composed text
+    may be lower-cased here (but for special strings, and a letter whose lower case depends on its neighbours), and
+    single full stops and commas may stand apart.
+    """
+    if "<|" in text or "\u03a3" in text or not unicodedata.is_normalized("NFC", text):
+        return text.encode().split()
+    text = text.lower()
+    if not _RUN.search(text):
+        text = text.replace(".", " . ").replace(",", " , ")
+    return text.encode().split()
+
+
 def word_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     """``texts -> ids`` (little-endian unsigned 32-bit) for a tokenizer file whose pre-tokens never hold white space.
 
-    Such a tokenizer encodes the words of a text independently, so each word is encoded once per batch and looked
-    up in a cache of bounded size. New words of letters only are encoded many at a time, joined by spaces: each is
-    one pre-token there and its last id carries the end-of-word mark, which tells the words' ids apart again.
+    Such a tokenizer (here one that also lower-cases) encodes the words of a text independently, so each word is encoded once per batch and looked
+    up in a cache of bounded size. New words of letters are encoded many at a time, joined by spaces: each is one
+    pre-token and its last id carries the end-of-word mark, which tells the words' ids apart again.
     """
     if path in _ENCODERS:
         return _ENCODERS[path]
@@ -62,22 +83,21 @@ def word_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
         rest = [i for i, t in enumerate(texts) if not t.isalpha()]
         for at in range(0, len(plain), 64):
             part = plain[at : at + 64]
-            ids = np.array(tok.encode(" ".join(texts[i] for i in part), add_special_tokens=False).ids, dtype="<u4")
-            ends = np.flatnonzero(closes[ids]) + 1
-            if len(ends) != len(part) or ends[-1] != len(ids):  # a letter that the normalizer splits
+            ids = np.array(tok.encode(" ".join([texts[i] for i in part]), add_special_tokens=False).ids, dtype="<u4")
+            ends = (np.flatnonzero(closes[ids]) + 1) * 4
+            if len(ends) != len(part) or ends[-1] != ids.nbytes:  # the normalizer has split a letter
                 rest += part
                 continue
-            raw, stops = ids.tobytes(), (ends * 4).tolist()
-            for i, a, b in zip(part, [0, *stops], stops):
-                cache[words[i]] = raw[a:b]
+            raw, stops = ids.tobytes(), ends.tolist()
+            cache.update((words[i], raw[a:b]) for i, a, b in zip(part, [0, *stops], stops))
         for at in range(0, len(rest), 1024):
             part = rest[at : at + 1024]
             for i, e in zip(part, tok.encode_batch_fast([texts[i] for i in part], add_special_tokens=False), strict=True):
                 cache[words[i]] = np.array(e.ids, dtype="<u4").tobytes()
 
     def encode(texts: list[str]) -> list[bytes]:
-        words = [t.encode().split() for t in texts]
-        new = set().union(*words) - cache.keys()
+        words = [pre_tokens(t) for t in texts]
+        new = set().union(*words).difference(cache)
         if len(cache) + len(new) > CACHE_WORDS:
             cache.clear()
             new = set().union(*words)
