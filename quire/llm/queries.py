@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import attention_quality, mixing, packing, quality_rules, secret_scan, shingle_join, token_counts, toxicity, winnowing
+from quire.llm import attention_quality, mixing, packing, quality_rules, secret_scan, sharding, shingle_join, token_counts, toxicity, winnowing
 from quire.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,11 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attention_quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(read(spark, sf_dir, "documents"))
+
+
 @query
 def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.edited_fingerprints(read(spark, sf_dir, "documents"))
