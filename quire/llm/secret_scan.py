@@ -7,7 +7,7 @@ touch no base span.
 
 Both models are trained from labelled samples, as transition counts of neighbouring characters. Ordinary: runs of
 identifier characters in a bounded sample of documents (``SAMPLE_DOCS``, those with the smallest hash of the id).
-Random: the base matches in these documents, and digests of the sampled ids in hex, base 64 and upper case. A model has
+Random: the base matches in these documents, and ``DIGESTS`` digests of each sampled id in hex, base 64 and upper case. A model has
 one number per pair of ASCII characters, smoothed by a uniform prior.
 
 Everything is DataFrame expressions. A text is scanned where it is read, without any shuffle. Spark gives matches but
@@ -37,6 +37,7 @@ MIN_VALUE = 6
 KINDS = ("assign", "access", "hex", "markov")
 
 SAMPLE_DOCS = 4_000
+DIGESTS = 8
 MIN_RUN = 16
 MIN_LLR = 12.0
 RUN = r"[A-Za-z0-9+/_=-]"
@@ -105,8 +106,13 @@ def training_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFram
     base = "|".join(f"(?:{p})" for p in (ASSIGN, ACCESS, HEX))
     ordinary = F.regexp_extract_all(F.regexp_replace("text", base, " "), F.lit(RUN + "{6,}"), F.lit(0))
     secret = F.regexp_extract_all("text", F.lit(f"{ACCESS}|{HEX}"), F.lit(0))
-    digest = F.sha2(F.col("doc_id").cast("string").cast("binary"), 256)
-    made = F.array(digest, F.translate(F.base64(F.unhex(digest)), "=\r\n", ""), F.translate(F.upper(F.base64(F.unhex(digest))), "+/=\r\n", ""))
+
+    def strings(i: Column) -> Column:
+        digest = F.sha2(F.concat_ws(":", F.col("doc_id").cast("string"), i.cast("string")).cast("binary"), 256)
+        dense = F.translate(F.base64(F.unhex(digest)), "=\r\n", "")
+        return F.array(digest, dense, F.translate(F.upper(dense), "+/", ""))
+
+    made = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(DIGESTS)), strings))
     return sampled.select(F.explode(ordinary).alias("run"), F.lit(False).alias("random")).unionAll(
         sampled.select(F.explode(F.concat(secret, made)).alias("run"), F.lit(True).alias("random")))
 
@@ -147,18 +153,21 @@ def _said(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s.kind), s.start.cast("string"), s.end.cast("string"))))
 
 
-def secret_scan(docs: DataFrame, min_llr: float = MIN_LLR) -> DataFrame:
-    """``(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_markov)`` of every row of ``docs``."""
-    found = with_spans(docs.select("doc_id", "text"), train(training_sample(docs)), min_llr).drop("text")
+def secret_scan(docs: DataFrame, ratios: list[float] | None = None, min_llr: float = MIN_LLR) -> DataFrame:
+    """``(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_markov)`` of every row of ``docs``.
+
+    ``ratios`` are those of ``train``; without them they are learned from ``docs``.
+    """
+    found = with_spans(docs.select("doc_id", "text"), ratios or train(training_sample(docs)), min_llr).drop("text")
     count = lambda kind: F.size(F.filter("base", lambda s: s.kind == kind)).cast("long")
     return found.select(
         "doc_id", *[count(i).alias(f"n_{KINDS[i]}") for i in range(3)], F.sha2(_said(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         _said(F.array_sort(F.concat("base", "extra"))).alias("spans"), F.size("extra").cast("long").alias("n_markov"))
 
 
-def redacted(docs: DataFrame, marker: str = "[SECRET]", min_llr: float = MIN_LLR) -> DataFrame:
+def redacted(docs: DataFrame, marker: str = "[SECRET]", ratios: list[float] | None = None, min_llr: float = MIN_LLR) -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by ``marker`` (touching spans by one), and ``n_chars`` to match."""
-    found = with_spans(docs.select(F.struct(*docs.columns).alias("row"), F.col("text")), train(training_sample(docs)), min_llr)
+    found = with_spans(docs.select(F.struct(*docs.columns).alias("row"), F.col("text")), ratios or train(training_sample(docs)), min_llr)
     text = F.col("text")
 
     def step(acc: Column, s: Column) -> Column:
