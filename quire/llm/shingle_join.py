@@ -293,7 +293,8 @@ def links(docs: DataFrame, reps: DataFrame, similarity: float = SIMILARITY) -> D
     wanted = likely.select("uid").distinct().join(reps.select("uid", "doc_id", "text_hash"), "uid")
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     wanted = wanted.select("uid", F.col("doc_id").alias("d"), F.col("text_hash").alias("h"))
-    fetched = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))).select("uid", "text")
+    # merged at every size: what is wanted grows with the table
+    fetched = texts.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))).select("uid", "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches, "text", BATCH_BYTES):
@@ -347,5 +348,5 @@ def one_per_class(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs``, all columns, that stand for their class of near-duplicates: one row each, the least id."""
     chosen = near_duplicates(docs, similarity).select("class_id", "class_hash").distinct()
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("d"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
-    kept = rows.join(chosen, F.col("d").eqNullSafe(F.col("class_id")) & (F.col("h") == F.col("class_hash")))
+    kept = rows.join(chosen.hint("merge"), F.col("d").eqNullSafe(F.col("class_id")) & (F.col("h") == F.col("class_hash")))
     return kept.dropDuplicates(["d", "h"]).select("row.*")
