@@ -74,8 +74,9 @@ def rewrite_matches(s: Column, pattern: str, fn, guard: str | None = None, prefi
 
 
 def percent_decode(c: Column) -> Column:
-    """``urllib.parse.unquote``; '+' stays '+'. An undecodable value is kept as it is."""
-    return F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
+    """``urllib.parse.unquote``: '+' and a '%' that no two hex digits follow stay as they are."""
+    escaped = F.regexp_replace(F.replace(c, F.lit("+"), F.lit("%2B")), "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.coalesce(F.try_url_decode(escaped), c)
 
 
 def clean_image_path(c: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Run counters (AGG2, AGG3, AGG4): one aggregate pass, per claim or worker plus the total via ``rollup``."""
+"""Run counters (AGG2, AGG3, AGG4): one aggregate pass, per claim plus the total via ``rollup``."""
 
 from __future__ import annotations
 
@@ -25,9 +25,9 @@ def parse_counters(rows: DataFrame) -> DataFrame:
 
 
 def clean_counters(rows: DataFrame) -> DataFrame:
-    """AGG3 over cleaned rows ``(worker_no, ok)``: picked, success, failed, uploaded per worker and in total."""
+    """AGG3 over cleaned rows ``(claim_no, ok)``: picked, success, failed, uploaded per claim and in total."""
     ok = F.coalesce(F.col("ok"), F.lit(False))
-    return rows.rollup("worker_no").agg(
+    return rows.rollup("claim_no").agg(
         F.count(F.lit(1)).alias("picked"), F.count_if(ok).alias("success"), F.count_if(~ok).alias("failed"),
         F.count_if(ok).alias("uploaded"),
     )

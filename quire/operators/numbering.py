@@ -2,7 +2,8 @@
 
 A global ``row_number()`` over an ordering moves every row into one task. Instead:
 
-1. range-partition on the order key and sort within partitions;
+1. write the rows once (range partitioning samples its input and then reads it again), range-partition on the order
+   key and sort within partitions;
 2. fix that placement with a reliable checkpoint (a recomputed shuffle could place rows differently);
 3. count rows per partition (one small row per partition) and turn the counts into running offsets;
 4. number each row as ``offset[partition] + position in partition``; the position comes from
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.session import checkpoint_dir
+from quire.session import checkpoint_dir, scratch_path
 
 
 def dense_number(df: DataFrame, order_cols: list[str], name: str = "rn", start: int = 1,
@@ -25,6 +26,9 @@ def dense_number(df: DataFrame, order_cols: list[str], name: str = "rn", start:
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "number")
+    df.write.parquet(path)
+    df = spark.read.schema(df.schema).parquet(path)
     placed = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols).checkpoint(eager=True)
     tagged = placed.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

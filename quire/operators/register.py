@@ -30,9 +30,6 @@ from quire.session import checkpoint_dir
 VERDICTS = ("inserted", "skipped_existing", "skipped_unsupported", "skipped_temp", "missing_remote", "failed")
 COUNTERS = ("fetched", "checked") + VERDICTS
 READY_STATUS = 3
-# Column limits of the registry table (255 characters; 2^31 - 1 bytes), used when ``enforce_limits`` is set.
-MAX_TEXT = 255
-MAX_SIZE = 2**31 - 1
 
 Hasher = Callable[[DataFrame], DataFrame]
 
@@ -53,12 +50,12 @@ def catalogue_page(nas_files: DataFrame, last_id: int, size: int = 1000) -> Data
 
 
 def table_hasher(inventory: DataFrame) -> Hasher:
-    """Hash files held in a table with a ``content`` column; only requested paths are hashed."""
+    """Hash files held in a table with a ``content`` column, where they are read: 64 characters a file are joined to
+    the requested paths, no bytes are shuffled."""
 
     def hasher(paths: DataFrame) -> DataFrame:
-        return inventory.select("path", "content").join(paths, "path", "left_semi").select(
-            "path", content_hash(F.col("content")).alias("file_hash")
-        )
+        hashed = inventory.select("path", content_hash(F.col("content")).alias("file_hash"))
+        return hashed.join(paths, "path")  # distinct paths; a semi-join would be pushed below the hash
 
     return hasher
 
@@ -77,12 +74,12 @@ def resolve_paths(paths: DataFrame, listing: DataFrame) -> DataFrame:
     )
 
 
-def register_verdicts(nas_files: DataFrame, listing: DataFrame, registry: DataFrame, hasher: Hasher,
-                      enforce_limits: bool = False) -> DataFrame:
+def register_verdicts(nas_files: DataFrame, listing: DataFrame, registry: DataFrame, hasher: Hasher) -> DataFrame:
     """FLT4: one verdict per ready catalogue row, in the reference's rule order.
 
     blank -> missing_remote; unsupported type -> skipped_unsupported; Office temp -> skipped_temp; path already in
-    the registry (exact) -> skipped_existing; no candidate found -> missing_remote; content already registered, or
+    the registry (exact) -> skipped_existing; no candidate found -> missing_remote; a file that cannot be read (the
+    hasher gives an ``error``) -> failed; content already registered, or
     not the smallest id with this new content -> skipped_existing; else inserted.
 
     Returns ``id, original_path, verdict, resolved_path, file_name, file_ext, file_size, file_hash``.
@@ -104,7 +101,9 @@ def register_verdicts(nas_files: DataFrame, listing: DataFrame, registry: DataFr
     flagged = open_rows.select("original_path").distinct().join(
         known.withColumn("known", F.lit(True)), "original_path", "left")
     resolved = resolve_paths(flagged.filter(F.col("known").isNull()).select("original_path"), listing)
-    hashes = hasher(resolved.select(F.col("resolved_path").alias("path")))
+    hashes = hasher(resolved.select(F.col("resolved_path").alias("path")).distinct())
+    if "error" not in hashes.columns:
+        hashes = hashes.withColumn("error", F.lit(None).cast("string"))
     facts = flagged.join(
         resolved.join(hashes.withColumnRenamed("path", "resolved_path"), "resolved_path", "left"),
         "original_path", "left")
@@ -113,12 +112,6 @@ def register_verdicts(nas_files: DataFrame, listing: DataFrame, registry: DataFr
     name = path_name(F.col("resolved_path"))
     open_rows = open_rows.withColumn("file_name", name).withColumn("file_ext", file_ext(name))
     found = F.col("known").isNull() & F.col("file_hash").isNotNull()
-    if enforce_limits:
-        over = (
-            (F.length(p) > MAX_TEXT) | (F.length(F.col("file_name")) > MAX_TEXT) | (F.col("file_size") > MAX_SIZE)
-        )
-        open_rows = open_rows.withColumn("over_limit", found & over)
-        found = found & ~F.col("over_limit")
     open_rows = open_rows.withColumn("found", found)
     # The open rows with their file facts feed both the winner aggregate and the verdicts: write them once (reliable
     # checkpoint in the shared folder) rather than recompute the resolution and hashing per branch.
@@ -136,10 +129,9 @@ def register_verdicts(nas_files: DataFrame, listing: DataFrame, registry: DataFr
 
     verdict = (
         F.when(F.col("known"), F.lit("skipped_existing"))
+        .when(F.col("error").isNotNull(), F.lit("failed"))
         .when(F.col("file_hash").isNull(), F.lit("missing_remote"))
     )
-    if enforce_limits:
-        verdict = verdict.when(F.col("over_limit"), F.lit("failed"))
     verdict = verdict.when(F.col("winner"), F.lit("inserted")).otherwise(F.lit("skipped_existing"))
     cols = ["id", "original_path", "verdict", "resolved_path", "file_name", "file_ext", "file_size", "file_hash"]
     done = decided.select(

@@ -5,10 +5,9 @@ single-entry fallback), J6/SET3 (files without a result), JS2 (Markdown of an it
 (images, strict base64, URL, last duplicate wins), J8/J9 (image rewrite and dangling references), FLT8, FLT10,
 PRJ3, SNK2, T3 inputs, AGG2.
 
-Replies are rows ``(batch_no, status_code, body)``; requests are rows ``(batch_no, id, file_uid, file_name,
-local_name, absolute_path, ...)``. Matching is an equi-join on ``(batch_no, key)`` against at most five candidate
-keys per requested file, then ``min_by`` on the candidate rank (or array position): no per-row lookups and no
-group larger than one request batch.
+Replies are rows ``(batch_no, status_code, body)``, one per batch; requests are rows ``(batch_no, id, file_uid,
+file_name, local_name, absolute_path, ...)``. Matching is one equi-join of a batch's requests (a few, gathered into a
+row) with its reply; each file then chooses its item in that row.
 """
 
 from __future__ import annotations
@@ -27,6 +26,8 @@ IMAGE_NAME_KEYS = ("image_name", "file_name", "filename", "name")
 IMAGE_CONTENT_KEYS = ("content", "base64", "data", "image_base64")
 IMAGE_URL_ROOT = "/images/"
 
+LARGE_BODY = 16 * 1024 * 1024  # no string in a smaller body reaches the parser's bound
+BLOB = "[A-Za-z0-9+/=]{1048576,}"
 VMAP = "map<string,variant>"
 VARR = "array<variant>"
 
@@ -79,22 +80,36 @@ def _first_truthy_value(v: Column, keys) -> Column:
 # ------------------------------------------------------------------------------------------------ containers
 
 
-def reply_containers(replies: DataFrame) -> DataFrame:
+def reply_containers(replies: DataFrame, *keep: str) -> DataFrame:
     """SRC4 + JS1: per reply, the result container as a map (object form) or an array (array form).
 
     ``results`` is used unless it is missing or falsy (empty object, empty array, '', 0), then ``result``. A reply
     that is not JSON gives neither. ``response_success`` is FLT10's 2xx test; a request not answered 2xx failed.
-    The body is parsed once; each step reads the previous one as a column.
+    The body is parsed once; each step reads the previous one as a column. Of repeated keys the last one counts.
+    The JSON parser behind VARIANT takes strings of up to 20 million characters, less than a large image in base64. A
+    large body that it refuses is parsed again with its long base64 runs cut out; they are kept in ``blobs`` and put
+    back where an image's content is read. ``over_limit`` marks a large body in braces that cannot be parsed even then.
     """
-    df = replies.withColumn("_v", F.try_parse_json(F.col("body")))
+    replies.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    body = F.col("body")
+    df = replies.withColumn("_v", F.try_parse_json(body))
+    refused = F.col("_v").isNull() & (F.octet_length(body) > LARGE_BODY)
+    df = df.withColumn("blobs", F.when(refused, F.regexp_extract_all(body, F.lit(BLOB), F.lit(0))))
+    rest = F.slice(F.split(body, BLOB, -1), 2, F.size("blobs"))
+    slim = F.concat(F.element_at(F.split(body, BLOB, -1), 1), F.array_join(F.transform(
+        rest, lambda piece, i: F.concat(_blob_mark(i), piece)), ""))
+    df = df.withColumn("_v", F.coalesce("_v", F.when(F.size("blobs") > 0, F.try_parse_json(slim))))
     df = df.withColumn("_res", F.try_variant_get("_v", "$.results", "variant"))
     df = df.withColumn("_c", F.when(_is_truthy(F.col("_res")), F.col("_res"))
                        .otherwise(F.try_variant_get("_v", "$.result", "variant")))
+    large = F.col("_v").isNull() & (F.octet_length(body) > LARGE_BODY)
+    braced = let(py_strip(body), lambda s: s.startswith("{") & s.endswith("}"))
     return df.select(
         "batch_no", "status_code", F.col("_v").isNotNull().alias("is_json"),
+        F.coalesce(large & braced, F.lit(False)).alias("over_limit"),
         F.coalesce(F.col("status_code").between(200, 299), F.lit(False)).alias("response_success"),
         F.try_variant_get("_c", "$", VMAP).alias("entries"),
-        F.try_variant_get("_c", "$", VARR).alias("items"),
+        F.try_variant_get("_c", "$", VARR).alias("items"), "blobs", *keep,
     )
 
 
@@ -112,76 +127,36 @@ def reply_audit(replies: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------------------------------------ matching
 
 
-HEADER_KEY = "\u0000header"
-ANY_KEY = "\u0000any"
-
-
-def reply_rows(replies: DataFrame) -> DataFrame:
-    """One row per reply entry ``(batch_no, key, item, ord, form, ...)``, plus a header row per reply (batch facts)
-    and, when the container holds exactly one entry, a wildcard row (the single-entry fallback).
-
-    Object entries are keyed by their name; array items by the first truthy of their name fields (objects only)
-    and ordered by position.
-    """
-    c = reply_containers(replies)
-    c = c.withColumn("form", F.when(F.col("entries").isNotNull(), F.lit("object"))
-                     .when(F.col("items").isNotNull(), F.lit("array")))
-    c = c.withColumn("n", F.coalesce(F.size("entries"), F.size("items"), F.lit(0)))
-    entry = "struct<key:string,item:variant,ord:int>"
-    obj = F.transform(F.map_entries("entries"), lambda e, i: F.struct(
-        e["key"].alias("key"), e["value"].alias("item"), i.alias("ord")))
-    arr = F.transform("items", lambda x, i: F.struct(
-        F.when(F.coalesce(_vtype(x).startswith("OBJECT"), F.lit(False)), _first_truthy(x, ITEM_NAME_KEYS))
-        .alias("key"), x.alias("item"), i.alias("ord")))
-    only = F.when(F.col("entries").isNotNull(), F.element_at(F.map_values("entries"), 1)).otherwise(
-        F.element_at("items", 1))
-    header = F.array(F.struct(F.lit(HEADER_KEY).alias("key"), F.lit(None).cast("variant").alias("item"),
-                              F.lit(None).cast("int").alias("ord")))
-    wildcard = F.when(F.col("n") == 1, F.array(F.struct(F.lit(ANY_KEY).alias("key"), only.alias("item"),
-                                                          F.lit(1 << 30).alias("ord"))))
-    empty = F.array().cast(f"array<{entry}>")
-    rows = F.concat(header.cast(f"array<{entry}>"), F.coalesce(obj, arr, empty).cast(f"array<{entry}>"),
-                    F.coalesce(wildcard, empty).cast(f"array<{entry}>"))
-    return c.select("batch_no", "status_code", "response_success", "is_json", "form", "n", F.inline(rows))
-
-
-def request_keys(requests: DataFrame) -> DataFrame:
-    """Candidate keys per requested file. Object form (J4), ranked: uid, file name, local name, local stem, local
-    path. Array form (J5): uid, file name, its stem (array position decides). Plus the header and wildcard keys."""
-    uid = F.coalesce(F.col("file_uid"), F.lit(""))
-
-    def k(rank, key, form):
-        return F.struct(F.lit(rank).alias("rank"), key.alias("key"), F.lit(form).alias("applies"))
-
-    keys = F.array(
-        k(0, F.lit(HEADER_KEY), "any"), k(1, uid, "object"), k(2, F.col("file_name"), "object"),
-        k(3, F.col("local_name"), "object"), k(4, name_stem(F.col("local_name")), "object"),
-        k(5, F.col("absolute_path"), "object"), k(1, uid, "array"), k(1, F.col("file_name"), "array"),
-        k(1, name_stem(F.col("file_name")), "array"), k(9, F.lit(ANY_KEY), "any"),
-    )
-    return requests.select("batch_no", "id", F.inline(keys)).where(F.col("key").isNotNull())
-
-
 def match_items(requests: DataFrame, replies: DataFrame) -> DataFrame:
     """J4 + J5: the result item of every requested file (NULL when none matches), with its batch facts.
 
-    One equi-join of candidate keys with reply rows on ``(batch_no, key)``, then one aggregate per requested file:
-    object form takes the best rank, array form the first position, the wildcard row last.
+    A request batch holds a few files (its size is a parameter), so they are gathered into one row, joined to the reply
+    of their batch once, and each file chooses its item from the parsed container in that row: the body, with its
+    images, crosses the network once. Object form, by rank: uid, file name, local name, local stem, local path. Array
+    form: the first item named like the uid, the file name or its stem (an object without a name is named ''). A
+    container of exactly one entry serves any file.
     """
-    rows = reply_rows(replies)
-    keys = request_keys(requests.select("batch_no", "id", "file_uid", "file_name", "local_name", "absolute_path"))
-    hits = keys.join(rows, ["batch_no", "key"])
-    is_header = F.col("key") == HEADER_KEY
-    usable = ~is_header & ((F.col("applies") == "any") | (F.col("applies") == F.col("form")))
-    order = F.when(usable, F.when(F.col("key") == ANY_KEY, F.lit(1 << 30))
-                   .when(F.col("form") == "object", F.col("rank")).otherwise(F.col("ord")))
-    facts = hits.groupBy("batch_no", "id").agg(
-        F.max(F.when(is_header, F.col("response_success"))).alias("response_success"),
-        F.max(F.when(is_header, F.col("status_code"))).alias("status_code"),
-        F.max(F.when(is_header, F.col("form"))).alias("form"),
-        F.min_by(F.col("item"), order).alias("item"),
-    )
-    return requests.join(facts, ["batch_no", "id"], "left")
+    asked = requests.groupBy("batch_no").agg(F.collect_list(F.struct(*requests.columns)).alias("_asked"))
+    bodies = replies.select("batch_no", "status_code", "body")
+    joined = asked.join(bodies, "batch_no", "left")
+    c = reply_containers(joined, "_asked")
+    c = c.withColumn("form", F.when(F.col("entries").isNotNull(), F.lit("object"))
+                     .when(F.col("items").isNotNull(), F.lit("array")))
+    c = c.withColumn("_names", F.transform("items", lambda x: F.when(
+        F.coalesce(_vtype(x).startswith("OBJECT"), F.lit(False)), F.coalesce(_first_truthy(x, ITEM_NAME_KEYS), F.lit("")))))
+    c = c.withColumn("_file", F.explode("_asked")).drop("_asked")
+    uid, name, local = F.coalesce(F.col("_file.file_uid"), F.lit("")), F.col("_file.file_name"), F.col("_file.local_name")
+    by_key = F.coalesce(*[F.try_element_at(F.col("entries"), k) for k in (
+        uid, name, local, name_stem(local), F.col("_file.absolute_path"))])
+    wanted = F.array(uid, name, name_stem(name))
+    spot = F.filter(F.transform("_names", lambda x, i: F.when(F.array_contains(wanted, x), i + 1)), lambda i: i.isNotNull())
+    by_name = F.try_element_at(F.col("items"), F.try_element_at(spot, F.lit(1)))
+    only = F.when(F.size("entries") == 1, F.element_at(F.map_values("entries"), 1)).when(
+        F.size("items") == 1, F.element_at("items", 1))
+    item = F.coalesce(F.when(F.col("form") == "object", by_key).when(F.col("form") == "array", by_name), only)
+    answered = F.when(F.col("status_code").isNotNull(), F.col("response_success"))
+    return c.select(*[F.col("_file")[x].alias(x) for x in requests.columns],
+                    answered.alias("response_success"), "status_code", "form", item.alias("item"), "blobs")
 
 
 def item_markdown(item: Column) -> Column:
@@ -197,20 +172,41 @@ def item_markdown(item: Column) -> Column:
 # ------------------------------------------------------------------------------------------------ images
 
 
+def _blob_mark(i: Column) -> Column:
+    return F.concat(F.lit("@@blob:"), i.cast("string"), F.lit("@@"))
+
+
+def _with_blobs(content: Column, blobs: Column) -> Column:
+    """An image's content with the base64 runs that were cut out of its reply."""
+    put = F.aggregate(F.sequence(F.lit(0), F.size(blobs) - 1), content,
+                      lambda s, i: F.replace(s, _blob_mark(i), F.get(blobs, i)))
+    return F.when(content.contains("@@blob:"), put).otherwise(content)
+
+
 def _after_first_comma(s: Column) -> Column:
     return F.substring(s, F.instr(s, ",") + 1, F.length(s))
 
 
+def _image_text(content: Column) -> Column:
+    """The base64 text of an image value: data-URI prefix cut at the first comma, white space removed."""
+    bare = let(py_strip(content), lambda s: F.when(
+        F.lower(F.substring(s, 1, 5)).startswith("data:") & s.contains(","), _after_first_comma(s)).otherwise(s))
+    return F.regexp_replace(bare, WS + "+", "")
+
+
+def _is_base64(s: Column) -> Column:
+    return s.rlike(r"^[A-Za-z0-9+/]*={0,2}\z") & (F.length(s) % 4 == 0)
+
+
 def decode_image(content: Column) -> Column:
-    """JS5: strict base64 (data-URI prefix cut at the first comma, white space removed); NULL when invalid.
+    """JS5: strict base64; NULL when invalid. Spark's ``unbase64`` accepts missing padding and junk characters, so
+    validity is tested first."""
+    return let(_image_text(content), lambda s: F.when(_is_base64(s), F.unbase64(s)))
 
-    Spark's ``unbase64`` accepts missing padding and junk characters, so validity is tested first.
-    """
-    s = py_strip(content)
-    s = F.when(F.lower(s).startswith("data:") & s.contains(","), _after_first_comma(s)).otherwise(s)
-    s = F.regexp_replace(s, WS + "+", "")
-    ok = s.rlike(r"^[A-Za-z0-9+/]*={0,2}\z") & (F.length(s) % 4 == 0)
-    return F.when(ok, F.unbase64(s))
+
+def is_image(content: Column) -> Column:
+    """Whether ``decode_image`` gives bytes, without decoding."""
+    return let(_image_text(content), lambda s: F.coalesce(_is_base64(s), F.lit(False)))
 
 
 def image_entries(item: Column) -> Column:
@@ -240,14 +236,23 @@ def image_entries(item: Column) -> Column:
             F.when(is_obj, content_of(raw)).when(_is_string(x), _vstr(x)).alias("content"),
         )
 
-    arr = F.filter(F.transform(F.try_variant_get(images, "$", VARR), from_item),
-                   lambda e: e["raw_name"].isNotNull() & e["content"].isNotNull())
+    named = F.filter(F.transform(F.try_variant_get(images, "$", VARR), from_item),
+                     lambda e: e["raw_name"].isNotNull() & e["content"].isNotNull())
+
+    def last_of_name(all_):
+        """One entry per raw name, at its first place and with its last content (also one that will not decode)."""
+        firsts = F.filter(all_, lambda e: ~F.exists(all_, lambda x: (x["pos"] < e["pos"]) & (x["raw_name"] == e["raw_name"])))
+        return F.transform(firsts, lambda e: F.struct(
+            e["pos"].alias("pos"), e["raw_name"].alias("raw_name"),
+            F.element_at(F.filter(all_, lambda x: x["raw_name"] == e["raw_name"]), -1)["content"].alias("content")))
+
+    arr = let(named, last_of_name)
     return F.coalesce(obj.cast(f"array<{t}>"), arr.cast(f"array<{t}>"), F.array().cast(f"array<{t}>"))
 
 
 def stored_image_names(entries: Column) -> Column:
     """Base names of the entries that decode (the names an image is stored under), distinct."""
-    ok = F.filter(entries, lambda e: (path_name(e["raw_name"]) != "") & decode_image(e["content"]).isNotNull())
+    ok = F.filter(entries, lambda e: (path_name(e["raw_name"]) != "") & is_image(e["content"]))
     return F.array_distinct(F.transform(ok, lambda e: path_name(e["raw_name"])))
 
 
@@ -314,6 +319,9 @@ def matched_files(requests: DataFrame, replies: DataFrame) -> DataFrame:
     m = m.withColumn("raw_markdown", F.when(F.col("response_success"), item_markdown(F.col("item"))))
     m = m.withColumn("raw_markdown", F.when(F.col("raw_markdown") != "", F.col("raw_markdown")))
     m = m.withColumn("entries", F.when(F.col("raw_markdown").isNotNull(), image_entries(F.col("item"))))
+    whole = F.transform("entries", lambda e: F.struct(
+        e["pos"].alias("pos"), e["raw_name"].alias("raw_name"), _with_blobs(e["content"], F.col("blobs")).alias("content")))
+    m = m.withColumn("entries", F.when(F.size("blobs") > 0, whole).otherwise(F.col("entries"))).drop("blobs")
     return m.withColumn("names", stored_image_names(F.col("entries"))).drop("item")
 
 

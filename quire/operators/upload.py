@@ -46,8 +46,11 @@ def payloads(docs: DataFrame, batch: str = "batch_no", order: str = "pos", text:
 
 def reply_ok(status_code: Column, body: Column) -> Column:
     """FLT11: a reply fails when it is not 2xx, or when its JSON ``status`` is 'failure' or 'partial_success';
-    anything else (other statuses, no status, not JSON) is success."""
-    status = F.try_variant_get(F.try_parse_json(body), "$.status", "string")
+    anything else (other statuses, no status, not JSON) is success. Of repeated keys the last one counts, which a
+    VARIANT leaves out (it is NULL then) and ``from_json`` tells."""
+    parsed = F.try_parse_json(body)
+    last = F.from_json(body, "status string").getField("status")
+    status = F.when(parsed.isNotNull(), F.try_variant_get(parsed, "$.status", "string")).otherwise(last)
     http_ok = F.coalesce(status_code.between(200, 299), F.lit(True))
     return http_ok & ~F.coalesce(status.isin(*FAILURE_STATUSES), F.lit(False))
 
@@ -82,20 +85,22 @@ def raw_upload_verdicts(parsed: DataFrame, store: DataFrame, replies: DataFrame,
     failed; not .md/.markdown -> skipped; not valid UTF-8 -> failed; upload rejected -> failed; else uploaded.
     Each document is its own upload batch (``batch_no = id``)."""
     rows = parsed.withColumn("markdown_path", resolve_markdown_path(F.col("parse_path"), root, cwd))
+    # the verdict needs to know whether a file is there and readable, not its text; rows outside the root join nothing
     files = store.select(F.col("path").alias("markdown_path"), F.lit(True).alias("exists"),
-                         strict_utf8(F.col("content")).alias("text"))
-    rows = rows.join(files, "markdown_path", "left")
+                         F.is_valid_utf8(F.col("content").cast("string")).alias("valid"))
+    inside = rows.where(F.col("markdown_path").isNotNull()).join(files, "markdown_path", "left")
+    rows = inside.unionByName(rows.where(F.col("markdown_path").isNull()), allowMissingColumns=True)
     rows = batch_verdicts(rows.withColumn("batch_no", F.col("id")), replies)
     suffix = F.lower(F.regexp_extract(path_name(F.col("markdown_path")), r"(?s)^.+(\.[^.]+)\z", 1))
     verdict = (
         F.when(F.col("markdown_path").isNull(), F.lit("skipped"))
         .when(F.col("exists").isNull(), F.lit("failed"))
         .when(~suffix.isin(*MARKDOWN_SUFFIXES), F.lit("skipped"))
-        .when(F.col("text").isNull(), F.lit("failed"))
+        .when(~F.coalesce(F.col("valid"), F.lit(False)), F.lit("failed"))
         .when(~F.col("upload_ok"), F.lit("failed"))
         .otherwise(F.lit("uploaded"))
     )
-    return rows.select("id", "markdown_path", verdict.alias("verdict"), "text", "original_path")
+    return rows.select("id", "markdown_path", verdict.alias("verdict"), "original_path")
 
 
 def clean_outcomes(claimed: DataFrame, store: DataFrame, replies: DataFrame) -> DataFrame:

@@ -528,7 +528,7 @@ claimed AS (
   WHERE clean_status = 0 AND parse_status = 2 AND parse_path <> ''
 ),
 flow AS (
-  SELECT c.id, c.file_name, CAST(c.rn // 5 AS BIGINT) AS claim_no, CAST((c.rn // 5) % 2 + 1 AS INTEGER) AS worker_no,
+  SELECT c.id, c.file_name, CAST(c.rn // 5 AS BIGINT) AS claim_no,
          s.path IS NOT NULL AND {UPLOAD_OK.format(k='c.id')} AS ok, s.text
   FROM claimed c LEFT JOIN store s ON s.path = c.parse_path
 ),
@@ -536,14 +536,14 @@ src AS (SELECT id, text AS s, file_name FROM flow),
 {clean_chain('src', 'trim(file_name)')}"""
 
 ORACLES["upload_outcomes"] = CLEAN_FLOW + """
-SELECT f.id, f.claim_no, f.worker_no, f.ok, CAST(CASE WHEN f.ok THEN 2 ELSE -1 END AS TINYINT) AS clean_status,
+SELECT f.id, f.claim_no, f.ok, CAST(CASE WHEN f.ok THEN 2 ELSE -1 END AS TINYINT) AS clean_status,
        md5(c.s) AS cleaned_md5
 FROM flow f JOIN cleaned c ON c.id = f.id"""
 
 ORACLES["clean_counters"] = CLEAN_FLOW + """
-SELECT worker_no, count(*) AS picked, count(*) FILTER (WHERE ok) AS success, count(*) FILTER (WHERE NOT ok) AS failed,
+SELECT claim_no, count(*) AS picked, count(*) FILTER (WHERE ok) AS success, count(*) FILTER (WHERE NOT ok) AS failed,
        count(*) FILTER (WHERE ok) AS uploaded
-FROM flow GROUP BY ROLLUP (worker_no)"""
+FROM flow GROUP BY ROLLUP (claim_no)"""
 
 ONE_STEP = REPLY_CHAIN + f""",
 one AS (

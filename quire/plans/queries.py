@@ -309,14 +309,10 @@ def utf8_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-CLEAN_WORKERS = 2
-
-
 def _clean_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs(spark, sf_dir)
     reg = S.recover_clean(A.registry(docs), A.NOW)
     claimed = B.clean_claims(reg)
-    claimed = claimed.withColumn("worker_no", (F.col("claim_no") % CLEAN_WORKERS + 1).cast("int"))
     store = A.markdown_store(docs)
     outcomes = U.clean_outcomes(claimed, store, A.upload_replies(claimed, "id"))
     texts = store.select(F.col("path").alias("parse_path"), U.read_markdown(F.col("content")).alias("markdown"))
@@ -327,7 +323,7 @@ def _clean_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("upload_outcomes")
 def upload_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _clean_flow(spark, sf_dir).select(
-        "id", "claim_no", "worker_no", "ok", "clean_status", F.md5("cleaned").alias("cleaned_md5"))
+        "id", "claim_no", "ok", "clean_status", F.md5("cleaned").alias("cleaned_md5"))
 
 
 @query("clean_counters")

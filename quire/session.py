@@ -41,14 +41,17 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage and is only read. Where it is unset (local tests) a fresh
-    folder under the system temp directory is used, once per application.
+    On a cluster this setting names shared storage and is only read; without it nothing may be written, as a local
+    folder of one machine is not the others'. With a local master (tests) a fresh folder under the system temp
+    directory is used, once per application.
     """
     sc = spark.sparkContext
     app = sc.applicationId
     if app not in _BASES:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
         if not configured:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             configured = tempfile.mkdtemp(prefix="quire-ckpt-")
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)

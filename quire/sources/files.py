@@ -1,20 +1,26 @@
 """File sources: the catalogue table (SRC1), file listings (SRC2) and content hashes (S4), parser replies (SRC4).
 
-A listing is read with Spark's ``binaryFile`` source without its ``content`` column, so no file bytes are read; the
-``length`` filter is pushed down. Bytes are read only for the files that still need a hash, by ``hash_files``: a
-``mapInPandas`` over the (partitioned) path table that streams each file in 1 MiB chunks into SHA-256, so memory per
-task stays flat whatever the file size and no path list passes through the driver.
+A listing is read with Spark's ``binaryFile`` source without its ``content`` column, so no file bytes are read. The
+source leaves out files of no bytes; they are added from the same file index. Bytes are read only for the files that
+still need a hash, by ``hash_files``: a ``mapInPandas`` over the (partitioned) path table that streams each file in
+1 MiB chunks into SHA-256, so memory per task stays flat whatever the file size. A file that cannot be read is told
+apart from one that is not there by its ``error``. (Spark's index of the listed files is held by the driver, as for
+every file source; a catalogue of very many files is better listed into a table.)
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.functions.paths import content_hash
+
 CHUNK_BYTES = 1024 * 1024  # hash read size (fixed value of the reference)
 
 
@@ -28,12 +34,9 @@ def read_catalogue(spark: SparkSession, path: str, fmt: str = "parquet", **optio
     return df.select(F.col("id").cast("bigint"), F.col("full_path").cast("string"), F.col("status").cast("int"))
 
 
-def list_files(spark: SparkSession, root: str, mount: str = "", glob: str | None = None,
-               max_bytes: int | None = None) -> DataFrame:
-    """SRC2: listing ``(path, uri, modificationTime, length)`` of every file under ``root``.
-
-    Spark's ``binaryFile`` source does not list zero-length files; where empty files matter, list them into a
-    table and use the table inventory (``quire.operators.register.table_hasher``).
+def list_files(spark: SparkSession, root: str, mount: str = "", glob: str | None = None) -> DataFrame:
+    """SRC2: listing ``(path, uri, modificationTime, length)`` of every file under ``root``, empty ones included
+    (their ``modificationTime`` is NULL).
 
     ``path`` is the file's location as the catalogue names it: the URI without its scheme and without the
     ``mount`` prefix (``file:/mnt/nas/volume1/a.pdf`` with mount ``/mnt/nas`` -> ``/volume1/a.pdf``).
@@ -41,47 +44,72 @@ def list_files(spark: SparkSession, root: str, mount: str = "", glob: str | None
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    df = reader.load(root).select(F.col("path").alias("uri"), "modificationTime", "length")
-    if max_bytes is not None:
-        df = df.filter(F.col("length") <= max_bytes)
-    bare = F.regexp_replace(F.col("uri"), r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
-    if mount:
-        bare = F.regexp_replace(bare, "^" + _regex_literal(mount.rstrip("/")), "")
-    return df.select(bare.alias("path"), "uri", "modificationTime", "length")
+    files = reader.load(root)
+    df = files.select(F.col("path").alias("uri"), "modificationTime", "length")
+    # the index writes file:///x, the rows file:/x
+    names = spark.createDataFrame([(unquote(u).replace("file:///", "file:/"),) for u in files.inputFiles()], "uri string")
+    none = names.join(df.select("uri"), "uri", "left_anti").select(
+        "uri", F.lit(None).cast("timestamp").alias("modificationTime"), F.lit(0).cast("bigint").alias("length"))
+    df = df.unionByName(none)
+    return df.select(_bare(F.col("uri"), mount).alias("path"), "uri", "modificationTime", "length")
+
+
+def _bare(uri: Column, mount: str) -> Column:
+    bare = F.regexp_replace(uri, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    return F.regexp_replace(bare, "^" + _regex_literal(mount.rstrip("/")), "") if mount else bare
 
 
 def _regex_literal(text: str) -> str:
     return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
 
 
-def _sha256_stream(uri: str) -> str | None:
+def _sha256_stream(uri: str) -> tuple[str | None, str | None]:
+    """``(hash, None)``, ``(None, None)`` for a file that is not there, or ``(None, error)``."""
     import pyarrow.fs as pafs
 
     try:
-        fs, path = pafs.FileSystem.from_uri(uri)
-    except (ValueError, TypeError):
-        fs, path = pafs.LocalFileSystem(), uri
-    digest = hashlib.sha256()
-    try:
+        if "://" in uri or uri.startswith("file:/"):
+            fs, path = pafs.FileSystem.from_uri(quote(re.sub("^file:/+", "file:///", uri), safe="/:@?=&+,;"))
+        else:
+            fs, path = pafs.LocalFileSystem(), uri
+        digest = hashlib.sha256()
         with fs.open_input_stream(path) as stream:
             while True:
                 chunk = stream.read(CHUNK_BYTES)
                 if not chunk:
                     break
                 digest.update(chunk)
-    except OSError:
-        return None
-    return digest.hexdigest()
+    except FileNotFoundError:
+        return None, None
+    except (OSError, ValueError) as error:  # pyarrow's ArrowInvalid, for a scheme it lacks, is a ValueError
+        return None, str(error)
+    return digest.hexdigest(), None
 
 
 def _hash_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield pd.DataFrame({"path": batch["path"], "file_hash": [_sha256_stream(u) for u in batch["uri"]]})
+        found = [_sha256_stream(u) for u in batch["uri"]]
+        yield pd.DataFrame({"path": batch["path"], "file_hash": [h for h, _ in found], "error": [e for _, e in found]})
 
 
 def hash_files(paths: DataFrame) -> DataFrame:
-    """S4 for files on storage: ``(path, uri)`` -> ``(path, file_hash)``; unreadable files give NULL."""
-    return paths.select("path", "uri").mapInPandas(_hash_batches, "path string, file_hash string")
+    """S4 for files on storage: ``(path, uri)`` -> ``(path, file_hash, error)``; a file that cannot be read has an
+    ``error``, one that is gone neither."""
+    return paths.select("path", "uri").mapInPandas(_hash_batches, "path string, file_hash string, error string")
+
+
+def spark_hasher(spark: SparkSession, root: str, mount: str = ""):
+    """A registration ``hasher`` for storage that only Spark reads: hashes in the scan, then keeps the wanted paths."""
+
+    def hasher(paths: DataFrame) -> DataFrame:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+        rows = files.select(_bare(F.col("path"), mount).alias("path"), content_hash(F.col("content")).alias("file_hash"))
+        empty = F.sha2(F.lit("").cast("binary"), 256)
+        wanted = paths.select("path").distinct()
+        return wanted.join(rows, "path", "left").select(
+            "path", F.coalesce("file_hash", empty).alias("file_hash"), F.lit(None).cast("string").alias("error"))
+
+    return hasher
 
 
 def listing_hasher(listing: DataFrame):

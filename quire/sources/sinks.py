@@ -1,7 +1,8 @@
 """Sinks: registry snapshots (SNK1), the Markdown store (SNK2, SNK6), the image store (SNK3).
 
-Datasets are immutable: a registry change writes a new snapshot folder, then a one-row pointer names it, so a
-failed write never leaves a half-updated registry and a rerun of the same version rewrites the same folder.
+Datasets are immutable: a registry change writes a new snapshot folder, then a one-row pointer file of its own names
+it. Pointers are never overwritten; the largest version that has one is current. So a write that fails at any point
+leaves the last registry in place, and a rerun of the same version rewrites the same folders.
 """
 
 from __future__ import annotations
@@ -13,23 +14,26 @@ IMAGE_BUCKETS = 256
 
 
 def write_registry_snapshot(registry: DataFrame, base: str, version: int) -> str:
-    """SNK1: write ``registry`` as snapshot ``version`` and point ``<base>/_current`` at it."""
+    """SNK1: write ``registry`` as snapshot ``version``, then its pointer under ``<base>/current``."""
     target = f"{base.rstrip('/')}/v={version}"
     registry.write.mode("overwrite").parquet(target)
     spark = registry.sparkSession
     spark.createDataFrame([(version,)], "version bigint").coalesce(1).write.mode("overwrite").json(
-        f"{base.rstrip('/')}/_current")
+        f"{base.rstrip('/')}/current/v={version}")
     return target
 
 
 def read_registry(spark: SparkSession, base: str) -> DataFrame:
-    version = spark.read.json(f"{base.rstrip('/')}/_current").first()["version"]
+    pointers = spark.read.schema("version bigint").json(f"{base.rstrip('/')}/current/*")
+    version = pointers.agg(F.max("version")).first()[0]
     return spark.read.parquet(f"{base.rstrip('/')}/v={version}")
 
 
 def write_markdown_store(rows: DataFrame, path: str) -> None:
-    """SNK2/SNK6: one row per ``doc_key`` (the file hash, else the id); the same key is one document."""
-    rows.select("doc_key", "markdown").dropDuplicates(["doc_key"]).write.mode("overwrite").parquet(path)
+    """SNK2/SNK6: one row per ``doc_key`` (the file hash, else the id); of rows with one key the largest id stays,
+    as the last file written does in a folder."""
+    last = F.max_by("markdown", "id").alias("markdown")
+    rows.groupBy("doc_key").agg(last).write.mode("overwrite").parquet(path)
 
 
 def write_image_store(images: DataFrame, path: str) -> None:

@@ -27,11 +27,11 @@ CATALOGUE_SCHEMA = StructType([
 
 
 def _read_written(spark: SparkSession, path: str, before: int) -> DataFrame | None:
-    try:
-        df = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - nothing written yet
+    """Rows that batches before ``before`` have written; None before the first one. Errors of a read are raised."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
         return None
-    return df.filter(F.col("batch_id") < before).drop("batch_id")
+    return spark.read.parquet(path).filter(F.col("batch_id") < before).drop("batch_id")
 
 
 def register_batch_writer(spark: SparkSession, out_dir: str, listing: DataFrame, base_registry: DataFrame,

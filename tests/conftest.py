@@ -12,6 +12,6 @@ NOW = 1700010000
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[*]", 8)
+    s = build_session("local[*]", 8, extra={"spark.driver.memory": "4g"})
     checkpoint_dir(s)
     yield s

@@ -84,3 +84,13 @@ def test_extraction_tables(spark):
     cells = [(r.row_no, r.col_no, r.cell) for r in doc_tables(df).orderBy("row_no", "col_no").collect()]
     assert cells == [(0, 0, "h"), (0, 1, ""), (1, 0, "a"), (1, 1, "b")]
     assert [r.line for r in removed_lines(df).collect()] == ["7"]
+
+
+def test_percent_decoding_equals_python(spark):
+    from urllib.parse import unquote
+
+    from quire.functions.clean import percent_decode
+
+    values = ["100%25 50%.png", "a%20b%.png", "%zz%20.png", "a+b%2Bc", "%C3%A9%2", "plain", "%%41%", "%E4%B8%AD"]
+    got = spark.createDataFrame([(v,) for v in values], "v string").select("v", percent_decode(F.col("v")).alias("d")).collect()
+    assert {r.v: r.d for r in got} == {v: unquote(v) for v in values}

@@ -1,5 +1,9 @@
 """Parser replies (FIXTURES.md section 5), upload replies (section 7) and raw-upload paths (section 8)."""
 
+import base64
+import hashlib
+import json
+
 from pyspark.sql import functions as F
 
 from quire.operators import replies as RP
@@ -92,3 +96,66 @@ def test_cleaned_store_rows(spark):
     df = spark.createDataFrame([(3, "x\n")], "id bigint, cleaned string")
     assert U.cleaned_store_rows(df, save=False) is None
     assert [tuple(r) for r in U.cleaned_store_rows(df).collect()] == [("3", 3, "x\n")]
+
+
+def test_repeated_keys_and_unnamed_items(spark):
+    requests = spark.createDataFrame(
+        [(1, 10, "", "a.pdf", "a.pdf", "/t/a.pdf"), (2, 20, "u", "b.pdf", "b.pdf", "/t/b.pdf"), (3, 30, "v", "c.pdf", "c.pdf", "/t/c.pdf")],
+        "batch_no long, id long, file_uid string, file_name string, local_name string, absolute_path string")
+    good = base64.b64encode(b"png").decode()
+    bodies = [
+        (1, 200, json.dumps({"results": [{"name": "x", "md": "first"}, {"md": "unnamed"}]})),
+        (2, 200, '{"results": {"u": {"md": "old"}, "u": {"md": "new"}, "w": {"md": "-"}}}'),
+        (3, 200, json.dumps({"results": [{"name": "v", "md": "![](i.png)", "images": [{"name": "i.png", "content": good}, {"name": "i.png", "content": "!"}, {"name": "j.png", "content": good}]}]})),
+    ]
+    replies = spark.createDataFrame(bodies, "batch_no long, status_code int, body string")
+    got = {r.id: r for r in RP.matched_files(requests, replies).collect()}
+    assert got[10].raw_markdown == "unnamed"  # an item without a name is named ''
+    assert got[20].raw_markdown == "new"  # of repeated keys the last
+    assert got[30].names == ["j.png"]  # the later entry of a name replaces the earlier one, even one that won't decode
+
+
+def test_repeated_status_and_large_replies(spark):
+    rows = [(1, '{"status": "success", "status": "failure"}'), (2, '{"status": "failure", "status": "success"}'), (3, "not json"), (4, None), (5, '{"status": "partial_success"}')]
+    df = spark.createDataFrame(rows, "i int, body string")
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
+    got = {r.i: r.ok for r in df.select("i", U.reply_ok(F.lit(200), F.col("body")).alias("ok")).collect()}
+    assert got == {1: False, 2: True, 3: True, 4: True, 5: False}
+    big = '{"results": {"a": {"md": "' + "x, " * (7 << 20) + '"}}}'
+    c = RP.reply_containers(spark.createDataFrame([(1, 200, big), (2, 200, "junk"), (3, 200, "{}")], "batch_no long, status_code int, body string"))
+    assert {r.batch_no: (r.is_json, r.over_limit) for r in c.select("batch_no", "is_json", "over_limit").collect()} == {1: (False, True), 2: (False, False), 3: (True, False)}
+
+
+def test_no_text_or_content_in_shuffles(spark):
+    """Verdicts move flags and hashes, never texts or file bytes."""
+    from quire.operators.register import table_hasher
+
+    parsed = spark.createDataFrame([(1, "/md/a.md", "/a")], "id long, parse_path string, original_path string")
+    store = spark.createDataFrame([("/md/a.md", bytearray(b"x"))], "path string, content binary")
+    replies = spark.createDataFrame([(1, 200, "{}")], "batch_no long, status_code int, body string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [U.raw_upload_verdicts(parsed, store, replies, "/md"), table_hasher(store)(parsed.select(F.col("parse_path").alias("path")).distinct())]
+        for df in plans:
+            for line in df._jdf.queryExecution().optimizedPlan().toString().split("\n"):
+                if "Join" in line:
+                    assert "content" not in line and "text" not in line
+            joined = df._jdf.queryExecution().sparkPlan().toString()
+            assert joined.index("Join") < joined.index("content")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_reply_with_a_very_large_image(spark):
+    """One image of more than 20 million base64 characters beside a small one, a data URI and the Markdown."""
+    image = bytes(range(256)) * 64_000
+    text = base64.b64encode(image).decode()
+    assert len(text) > 20_000_000
+    body = json.dumps({"results": {"a.pdf": {"md_content": "![x](big.png) ![y](small.png)", "images": {
+        "big.png": "data:image/png;base64," + text, "small.png": base64.b64encode(b"s").decode()}}}})
+    requests = spark.createDataFrame([(1, 10, "", "a.pdf", "a.pdf", "/t/a.pdf")],
+                                     "batch_no long, id long, file_uid string, file_name string, local_name string, absolute_path string")
+    files = RP.matched_files(requests, spark.createDataFrame([(1, 200, body)], "batch_no long, status_code int, body string"))
+    got = {r.image_name: (r.n, r.h) for r in RP.stored_images(files).select(
+        "image_name", F.octet_length("bytes").alias("n"), F.sha2("bytes", 256).alias("h")).collect()}
+    assert got == {"big.png": (len(image), hashlib.sha256(image).hexdigest()), "small.png": (1, hashlib.sha256(b"s").hexdigest())}

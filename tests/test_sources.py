@@ -6,8 +6,9 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from quire.sources.files import hash_files, list_files
-from quire.sources.sinks import read_registry, write_registry_snapshot
+from quire.operators.register import register_verdicts
+from quire.sources.files import hash_files, list_files, spark_hasher
+from quire.sources.sinks import read_registry, write_markdown_store, write_registry_snapshot
 
 
 def test_listing_and_hash(spark):
@@ -19,12 +20,27 @@ def test_listing_and_hash(spark):
             fh.write(body)
     listing = list_files(spark, root, mount=root)
     got = {r.path: r.length for r in listing.collect()}
-    # binaryFile lists no zero-length files; the table inventory path covers them.
-    assert got == {f"/volume1/share/{n}": len(b) for n, b in data.items() if b}
+    assert got == {f"/volume1/share/{n}": len(b) for n, b in data.items()}
     plan = listing._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[-1].split("\n")[0]
-    hashes = {r.path: r.file_hash for r in hash_files(listing).collect()}
-    assert hashes == {f"/volume1/share/{n}": hashlib.sha256(b).hexdigest() for n, b in data.items() if b}
+    want = {f"/volume1/share/{n}": hashlib.sha256(b).hexdigest() for n, b in data.items()}
+    assert {r.path: r.file_hash for r in hash_files(listing).collect()} == want
+    assert {r.path: r.file_hash for r in spark_hasher(spark, root, root)(listing.select("path")).collect()} == want
+
+
+def test_unreadable_and_missing_files(spark):
+    root = tempfile.mkdtemp(prefix="quire-files-")
+    os.mkdir(f"{root}/folder.pdf")  # cannot be read as a file
+    rows = [("/a.pdf", f"file:{root}/gone.pdf"), ("/b.pdf", f"file:{root}/folder.pdf"), ("/c.pdf", "nosuchscheme://x/y")]
+    got = {r.path: r for r in hash_files(spark.createDataFrame(rows, "path string, uri string")).collect()}
+    assert got["/a.pdf"].file_hash is None and got["/a.pdf"].error is None
+    assert got["/b.pdf"].error and got["/c.pdf"].error
+    nas = spark.createDataFrame([(i, p, 3) for i, p in enumerate(["/a.pdf", "/b.pdf", "/d.pdf"])], "id long, full_path string, status int")
+    listing = spark.createDataFrame([("/a.pdf", 1), ("/b.pdf", 1)], "path string, length long")
+    registry = spark.createDataFrame([], "id long, original_path string, file_hash string")
+    hashes = spark.createDataFrame([(r.path, r.file_hash, r.error) for r in got.values()], "path string, file_hash string, error string")
+    verdicts = register_verdicts(nas, listing, registry, lambda paths: hashes.join(paths, "path"))
+    assert {r.original_path: r.verdict for r in verdicts.collect()} == {"/a.pdf": "missing_remote", "/b.pdf": "failed", "/d.pdf": "missing_remote"}
 
 
 def test_registry_snapshot(spark):
@@ -33,3 +49,12 @@ def test_registry_snapshot(spark):
     write_registry_snapshot(df, base, 1)
     write_registry_snapshot(df.withColumn("v", F.lit("b")), base, 2)
     assert {r.v for r in read_registry(spark, base).collect()} == {"b"}
+    df.write.parquet(f"{base}/v=3")  # a snapshot that failed before its pointer was written
+    assert {r.v for r in read_registry(spark, base).collect()} == {"b"}
+
+
+def test_markdown_store_keeps_the_largest_id(spark):
+    path = tempfile.mkdtemp(prefix="quire-md-")
+    rows = spark.createDataFrame([("h", i, f"text {i}") for i in range(50)] + [("k", 1, "other")], "doc_key string, id long, markdown string")
+    write_markdown_store(rows.repartition(7), path)
+    assert {(r.doc_key, r.markdown) for r in spark.read.parquet(path).collect()} == {("h", "text 49"), ("k", "other")}
