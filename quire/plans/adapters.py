@@ -301,3 +301,29 @@ def block_documents(documents: DataFrame) -> DataFrame:
     tail = F.when(k % 9 == 4, F.lit("\r\nend  \r\n\r\n\r\n\r\nx")).otherwise(F.lit(""))
     md = F.concat(header, zw, F.col("text"), table, images, pages, heading, tail)
     return documents.select(k.alias("id"), md.alias("markdown"), "source")
+
+
+def rich_documents(documents: DataFrame) -> DataFrame:
+    """``block_documents`` with what the remaining cleaning rules act on ``(id, markdown, original_path, source)``: a
+    table-of-contents anchor (k % 10 = 3), an image whose name holds '%' under a numbered folder (k % 12 = 6), spans in
+    '_' (k % 11 = 2) and '*' (k % 11 = 5) where the text has no such mark, a comment, tags, garbage and entities
+    (k % 13 = 1 .. 4)."""
+    k = F.col("doc_id")
+    ks = _s(k)
+
+    def block(test, *parts):
+        return F.when(test, F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])).otherwise(F.lit(""))
+
+    extra = F.concat(
+        block(k % 10 == 3, '\n<a name="_Toc', ks, '"></a>anchor\n'),
+        block(k % 12 == 6, "\n![x](img/77/100%25 50%.png#", ks, ")\n"),
+        block((k % 11 == 2) & ~F.col("text").contains("_"), "\n_under ", ks, "_ end\n"),
+        block((k % 11 == 5) & ~F.col("text").contains("*"), "\n*ital ", ks, "* end\n"),
+        block(k % 13 == 1, "\nbefore<!-- note\n", ks, " -->after\n"),
+        block(k % 13 == 2, "\n<div><span>x</span><p>", ks, "</p></div><h1>t</h1>\n"),
+        block(k % 13 == 3, "\ntext_image\\_ ", ks, "\n"),
+        block(k % 13 == 4, "\n&copy; &middot; &amp; ", ks, "\n"),
+    )
+    blocks = block_documents(documents.withColumn("text", F.concat("text", extra)))
+    names = clean_inputs(documents).select("id", "original_path")
+    return blocks.join(names, "id")

@@ -191,13 +191,60 @@ def _q(pattern: str) -> str:
     return pattern.replace("'", "''")
 
 
-def clean_chain(src: str, name_expr: str, audit: bool = False):
+def _rewrite(pattern: str, body) -> str:
+    """SQL for ``s`` with every match of ``pattern`` replaced by ``body(match)``."""
+    found, pieces = f"regexp_extract_all(s, '{pattern}')", f"string_split_regex(s, '{pattern}')"
+    return (f"CASE WHEN regexp_matches(s, '{pattern}') THEN {pieces}[1] || array_to_string(list_transform("
+            f"range(1, len({found}) + 1), lambda i: ({body(found + '[i]')}) || {pieces}[i + 1]), '') ELSE s END")
+
+
+def _let(value: str, name: str, body: str) -> str:
+    return f"list_transform([{value}], lambda {name}: {body})[1]"
+
+
+def _table_sql(match: str) -> str:
+    """C4 and C5 on one HTML table."""
+    cell = (f"replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(c, "
+            f"'(?i)<br\\b[^>]*>|</p>|</div>|</section>|</article>', ' ', 'g'), '</?([a-zA-Z][a-zA-Z0-9]*)\\b[^>]*>', '', 'g'), "
+            f"'{WSX}+', ' ', 'g'), '^ | $', '', 'g'), '|', '\\|')")
+    rows = (f"list_filter(list_transform(regexp_extract_all({match}, '(?is)<tr\\b[^>]*>.*?</tr>'), lambda r: "
+            f"list_transform(regexp_extract_all(r, '(?is)<t[dh]\\b[^>]*>(.*?)</t[dh]>', 1), lambda c: {cell})), lambda r: len(r) > 0)")
+    line = "'| ' || array_to_string(list_resize({0}, w, {1}), ' | ') || ' |'"
+    made = (f"chr(10) || {line.format('q[1]', chr(39) * 2)} || chr(10) || {line.format('[' + chr(39) + '---' + chr(39) + ']', chr(39) + '---' + chr(39))}"
+            f" || array_to_string(list_transform(q[2:], lambda r: chr(10) || {line.format('r', chr(39) * 2)}), '') || chr(10)")
+    return _let(rows, "q", f"CASE WHEN len(q) = 0 THEN '' ELSE {_let('list_max(list_transform(q, lambda r: len(r)))', 'w', made)} END")
+
+
+def _clean_path(path: str) -> str:
+    return f"replace(replace(regexp_replace({path}, '^{WSX}+|{WSX}+$', '', 'g'), chr(92), '/'), ' ', '%20')"
+
+
+_BASE = "url_decode(replace(regexp_extract(regexp_extract({0}, '^([^?#]*)', 1), '([^/]*)/*$', 1), '+', '%2B'))"
+
+
+def _html_image_sql(match: str) -> str:
+    """C8 on one image tag (the data quote ``src`` with '"')."""
+    path = _clean_path(f"regexp_extract({match}, '(?i)\\bsrc=\"([^\"]*)\"', 1)")
+    return _let(path, "p", f"CASE WHEN p <> '' THEN '![' || {_BASE.format('p')} || '](' || p || ')' ELSE '' END")
+
+
+def _image_ref_sql(match: str) -> str:
+    """C15 and C16 on one reference: the parent folder if all digits, else the record's id."""
+    parent = "regexp_extract(regexp_extract(p, '^([^?#]*)', 1), '(?:^|/)([0-9]+)/+[^/]*$', 1)"
+    suffix = "substr(p, length(regexp_extract(p, '^([^?#]*)', 1)) + 1)"
+    fid = f"CASE WHEN {parent} <> '' THEN {parent} ELSE CAST(id AS VARCHAR) END"
+    target = f"CASE WHEN {_BASE.format('p')} = '' THEN p ELSE '/images/' || {fid} || '/' || {_BASE.format('p')} || {suffix} END"
+    path = _clean_path(f"regexp_extract({match}, '!\\[[^\\]]*\\]\\(([^)]+)\\)', 1)")
+    return _let(path, "p", f"'![](' || {target} || ')'")
+
+
+def clean_chain(src: str, name_expr: str, audit: bool = False, blocks: bool = False):
     """CTEs ``c0`` .. ``c20`` over ``src(id, s)``; ``c20(id, s)`` holds the cleaned text.
 
     Covers the rules the driver data exercises: line ends, header, the four entities of the data (``&amp;`` last, one
     pass), comments, anchors, breaks, noise/paragraph/all tags, garbage, emphasis pairs, headings, page lines, blank
-    runs, strip and header. Tables and images do not occur in ``pages``/``documents``; their rules are checked by the
-    extraction queries and the operator tests.
+    runs, strip and header. ``blocks`` adds tables, both image forms and single emphasis marks, which only
+    ``rich_documents`` has.
     """
     nl = "chr(10)"
     steps = [
@@ -235,6 +282,12 @@ def clean_chain(src: str, name_expr: str, audit: bool = False):
         # C20
         f"regexp_replace(s, '^{WSX}+|{WSX}+$', '', 'g')",
     ]
+    if blocks:
+        table = "(?is)<table\\b[^>]*>.*?</table>"
+        image = "(?i)<img\\b[^>]*\\bsrc=\"[^\"]*\"[^>]*>"
+        steps[10] = f"regexp_replace(regexp_replace({steps[10]}, '\\*(ital [0-9]+)\\*', '\\1', 'g'), '_(under [0-9]+)_', '\\1', 'g')"
+        steps = [*steps[:3], _rewrite(table, _table_sql), *steps[3:5], _rewrite(image, _html_image_sql), *steps[5:11],
+                 _rewrite("!\\[[^\\]]*\\]\\([^)]+\\)", _image_ref_sql), *steps[11:]]
     ctes = [f"c0 AS (SELECT id, s, {name_expr} AS name FROM {src})"]
     for i, expr in enumerate(steps, start=1):
         ctes.append(f"c{i} AS (SELECT id, {expr} AS s, name FROM c{i - 1})")
@@ -632,3 +685,55 @@ def _audit_sql() -> str:
 
 
 ORACLES["clean_audit"] = _audit_sql()
+
+
+# The documents of ``adapters.rich_documents``: the added blocks, then those of ``block_documents``.
+_K = "CAST(doc_id AS VARCHAR)"
+_NL = "chr(10)"
+RICH = f"""
+extra AS (
+  SELECT doc_id, source, text ||
+    CASE WHEN doc_id % 10 = 3 THEN {_NL} || '<a name="_Toc' || {_K} || '"></a>anchor' || {_NL} ELSE '' END ||
+    CASE WHEN doc_id % 12 = 6 THEN {_NL} || '![x](img/77/100%25 50%.png#' || {_K} || ')' || {_NL} ELSE '' END ||
+    CASE WHEN doc_id % 11 = 2 AND NOT contains(text, '_') THEN {_NL} || '_under ' || {_K} || '_ end' || {_NL} ELSE '' END ||
+    CASE WHEN doc_id % 11 = 5 AND NOT contains(text, '*') THEN {_NL} || '*ital ' || {_K} || '* end' || {_NL} ELSE '' END ||
+    CASE WHEN doc_id % 13 = 1 THEN {_NL} || 'before<!-- note' || {_NL} || {_K} || ' -->after' || {_NL} ELSE '' END ||
+    CASE WHEN doc_id % 13 = 2 THEN {_NL} || '<div><span>x</span><p>' || {_K} || '</p></div><h1>t</h1>' || {_NL} ELSE '' END ||
+    CASE WHEN doc_id % 13 = 3 THEN {_NL} || 'text_image\\_ ' || {_K} || {_NL} ELSE '' END ||
+    CASE WHEN doc_id % 13 = 4 THEN {_NL} || '&copy; &middot; &amp; ' || {_K} || {_NL} ELSE '' END AS text
+  FROM documents
+),
+src AS (
+  SELECT doc_id AS id, {DOC_ORIGINAL} AS original_path,
+    CASE WHEN doc_id % 6 = 0 THEN '---' || {_NL} || 'file_name: "old"' || {_NL} || '---' || {_NL} ELSE '' END ||
+    CASE WHEN doc_id % 7 = 3 THEN chr(8203) ELSE '' END || text ||
+    CASE WHEN doc_id % 5 = 1 THEN {_NL} || '<table><tr><th>h' || {_K} || '</th><th>v</th></tr><tr><td>a|' || {_K} ||
+      '<br>x</td></tr><tr><td>1</td><td>2</td><td>3</td></tr></table>' || {_NL} ELSE '' END ||
+    CASE WHEN doc_id % 4 = 2 THEN {_NL} || '![pic](img/' || {_K} || '/fig%201.png?x=1)' || {_NL} || '<img src="im/p' || {_K} ||
+      '.png">' || {_NL} ELSE '' END ||
+    CASE WHEN doc_id % 3 = 1 THEN {_NL} || 'Page ' || CAST(doc_id % 9 AS VARCHAR) || ' of 9' || {_NL} || {_K} || {_NL} ELSE '' END ||
+    CASE WHEN doc_id % 8 = 5 THEN {_NL} || '##Heading ' || {_K} || {_NL} ELSE '' END ||
+    CASE WHEN doc_id % 9 = 4 THEN chr(13) || {_NL} || 'end  ' || chr(13) || {_NL} || chr(13) || {_NL} || chr(13) || {_NL} ||
+      chr(13) || {_NL} || 'x' ELSE '' END AS s
+  FROM extra
+)"""
+_BLOCK_STAGES = ("C1", "C2", "C3", "C4", "C6", "C7", "C8", "C9", "C10", "C11", "C12", "C13", "C14", "C15", "C17", "C18", "C19")
+
+ORACLES["clean_blocks"] = (
+    "WITH " + RICH.strip() + ",\n" + clean_chain("src", "regexp_extract(original_path, '[^/]*$')", blocks=True)
+    + "\nSELECT id AS doc_id, length(s) AS cleaned_len, md5(s) AS cleaned_md5 FROM cleaned"
+)
+
+
+def _block_audit_sql() -> str:
+    chain = clean_chain("src", "regexp_extract(original_path, '[^/]*$')", blocks=True)
+    last = len(_BLOCK_STAGES)
+    pairs = [(stage, f"c{i}", f"c{i + 1}") for i, stage in enumerate(_BLOCK_STAGES)] + [("C20", f"c{last}", "cleaned")]
+    parts = [f"SELECT d.source, '{stage}' AS stage, x.s <> y.s AS changed, length(x.s) - length(y.s) AS removed "
+             f"FROM {a} x JOIN {b} y ON x.id = y.id JOIN documents d ON d.doc_id = x.id" for stage, a, b in pairs]
+    return ("WITH " + RICH.strip() + ",\n" + chain + ",\nsteps AS (" + "\nUNION ALL ".join(parts) + ")\n"
+            "SELECT source, stage, count(*) FILTER (WHERE changed) AS docs_changed, "
+            "CAST(sum(removed) AS BIGINT) AS chars_removed FROM steps GROUP BY source, stage")
+
+
+ORACLES["block_audit"] = _block_audit_sql()

@@ -413,6 +413,18 @@ def clean_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.stage_audit(doc_inputs(spark, sf_dir), file_name=None, parse_path=None)
 
 
+@query("clean_blocks")
+def clean_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1-C20 over the documents with tables, images, anchors, headers, page lines and marks, whole cleaned texts."""
+    return _cleaned_summary(D.clean_documents(A.rich_documents(_docs(spark, sf_dir)), file_name=None, parse_path=None), "doc_id")
+
+
+@query("block_audit")
+def block_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``clean_audit`` over the same documents: every stage has work."""
+    return D.stage_audit(A.rich_documents(_docs(spark, sf_dir)), file_name=None, parse_path=None)
+
+
 @query("image_refs")
 def image_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK5: a reference row per stored image, inserted unless present (existing rows: every third file's)."""
