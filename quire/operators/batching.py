@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.functions.paths import safe_local_name
+from quire.functions.paths import path_name, safe_local_name
 from quire.functions.text import py_strip
 from quire.operators.numbering import dense_number
 from quire.operators.state import RUNNING, is_cleanable, is_parsed
@@ -97,9 +97,15 @@ def is_large(size: Column, limit: int = LARGE_FILE_BYTES) -> Column:
     return F.coalesce(size.try_cast("bigint"), F.lit(0)) > limit
 
 
-def request_rows(files: DataFrame, local_root: str = "/tmp/parse") -> DataFrame:
+def request_rows(files: DataFrame, local_root: str | None = "/tmp/parse") -> DataFrame:
     """PRJ2: request fields of each file: uploaded under its own name (else the local name), the local copy named
-    safely under ``<root>/<id>/``."""
+    safely under ``<root>/<id>/``. The one-step flow (``local_root=None``) keeps no copies: the file's path and name in
+    the request are those of its original path."""
+    if local_root is None:
+        path = F.coalesce(F.col("original_path"), F.lit(""))
+        base = path_name(path)
+        name = F.coalesce(F.nullif(F.col("file_name"), F.lit("")), base)
+        return files.select("*", base.alias("local_name"), name.alias("request_name"), name.alias("upload_name"), path.alias("absolute_path"))
     local = safe_local_name(F.coalesce(F.col("file_name"), F.lit("")), F.col("id"))
     name = F.coalesce(F.nullif(F.col("file_name"), F.lit("")), local)
     return files.select(

@@ -737,3 +737,35 @@ def _block_audit_sql() -> str:
 
 
 ORACLES["block_audit"] = _block_audit_sql()
+
+
+# ------------------------------------------------------------------------------------------------ whole cycles
+ORACLES["parse_cycle"] = REPLY_CHAIN + f""",
+routed AS (SELECT *, {ROUTE.format(e=NEXT)} AS route FROM pclaims),
+claimed AS (
+  SELECT p.id, p.route, e.id IS NOT NULL AND e.has_md AS has_md, p.file_hash, trim(coalesce(p.original_path, '')) AS path
+  FROM routed p LEFT JOIN exp e ON e.id = p.id
+),
+done AS (
+  SELECT id, CASE route WHEN 'parser' THEN has_md WHEN 'passthrough' THEN path <> '' ELSE false END AS ok,
+         CASE route WHEN 'parser' THEN '{A.MD_ROOT}/' || file_hash || '.md' ELSE path END AS new_path
+  FROM claimed
+)
+SELECT r.id, CAST(CASE WHEN d.ok THEN 2 WHEN d.id IS NOT NULL THEN -1 ELSE r.parse_status END AS TINYINT) AS parse_status,
+       r.clean_status, CASE WHEN d.ok THEN d.new_path ELSE r.parse_path END AS parse_path,
+       CASE WHEN d.id IS NOT NULL THEN {NOW} + 1 ELSE r.updated_at END AS updated_at
+FROM registry r LEFT JOIN done d ON d.id = r.id"""
+
+ORACLES["clean_cycle"] = CLEAN_FLOW.split("src AS (")[0].rstrip().rstrip(",") + f"""
+SELECT r.id, r.parse_status,
+       CAST(CASE WHEN f.ok THEN 2 WHEN f.id IS NOT NULL THEN -1 ELSE c.clean_status END AS TINYINT) AS clean_status,
+       CASE WHEN f.id IS NOT NULL THEN {NOW} + 1 WHEN c.clean_status <> r.clean_status THEN {NOW} ELSE r.updated_at END AS updated_at
+FROM registry r JOIN rec c ON c.id = r.id LEFT JOIN flow f ON f.id = r.id"""
+
+ORACLES["stored_markdown"] = REPLY_CHAIN + """
+SELECT file_hash AS doc_key, length(last(markdown ORDER BY id)) AS md_len, md5(last(markdown ORDER BY id)) AS md_md5
+FROM md WHERE has_md GROUP BY file_hash"""
+
+ORACLES["stored_image_files"] = (
+    ORACLES["images_decoded"].replace("'/images/' || CAST(id AS VARCHAR) || '/p' || CAST(id AS VARCHAR) || '.png' AS url,", "")
+    .replace("'/images/' || CAST(id AS VARCHAR) || '/image_2.png',", ""))

@@ -20,7 +20,8 @@ from quire.operators import metrics as M
 from quire.operators import state as S
 from quire.operators import upload as U
 from quire.plans import adapters as A
-from quire.session import checkpoint_dir
+from quire.session import checkpoint_dir, scratch_path
+from quire.sources.sinks import read_registry, write_image_store, write_markdown_store, write_registry_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -273,6 +274,62 @@ def parse_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.parse_counters(rows)
 
 
+@query("parse_cycle")
+def parse_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1, J6, T3 chained: claims become running, every claimed file gets an outcome (also one that is not at its
+    source, or of no known type), outcomes become states. The registry is written as a snapshot and read back."""
+    reg = _registry(spark, sf_dir)
+    claimed = B.parse_claims(reg).withColumn("route", B.route(F.col("file_ext")))
+    running = B.mark_claimed(reg, claimed, "parse_status", A.NOW)
+    _, results = _parse_results(spark, sf_dir)
+    path = scratch_path(spark, "parse-results")
+    results.write.parquet(path)
+    parsed = RP.parse_verdicts(spark.read.parquet(path), claimed.filter(F.col("route") == "parser"), PARSE_OUTPUT_DIR)
+    passthrough = B.passthrough_results(claimed.filter(F.col("route") == "passthrough"))
+    unknown = claimed.filter(F.col("route") == "unsupported").select(
+        "id", F.lit(False).alias("ok"), F.lit(None).cast("string").alias("parse_path"))
+    outcomes = parsed.unionByName(passthrough).unionByName(unknown)
+    base = scratch_path(spark, "registry")
+    write_registry_snapshot(running.select(*reg.columns), base, 1)
+    final = S.apply_parse_results(read_registry(spark, base), outcomes, A.NOW + 1)
+    write_registry_snapshot(final.select(*reg.columns), base, 2)
+    return read_registry(spark, base).select("id", "parse_status", "clean_status", "parse_path", "updated_at")
+
+
+@query("clean_cycle")
+def clean_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T10, T2, T11 and T4 chained: recovered rows, claims, uploads and the final clean states."""
+    docs = _docs(spark, sf_dir)
+    reg = S.recover_clean(A.registry(docs), A.NOW)
+    claimed = B.clean_claims(reg)
+    running = B.mark_claimed(reg, claimed, "clean_status", A.NOW)
+    outcomes = U.clean_outcomes(claimed, A.markdown_store(docs), A.upload_replies(claimed, "id"))
+    final = S.apply_clean_results(running, outcomes, A.NOW + 1)
+    return final.select("id", "parse_status", "clean_status", "updated_at")
+
+
+@query("stored_markdown")
+def stored_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK2: the Markdown store, written and read back."""
+    requests, results = _parse_results(spark, sf_dir)
+    parsed = scratch_path(spark, "parse-results")
+    results.write.parquet(parsed)  # the Markdown is filtered, keyed and compared: computed once
+    path = scratch_path(spark, "markdown-store")
+    write_markdown_store(RP.markdown_store_rows(spark.read.parquet(parsed), requests), path)
+    md = F.col("markdown")
+    return spark.read.parquet(path).select("doc_key", F.length(md).cast("bigint").alias("md_len"), F.md5(md).alias("md_md5"))
+
+
+@query("stored_image_files")
+def stored_image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK3: the image store, written in buckets and read back."""
+    requests, replies = _reply_inputs(spark, sf_dir)
+    path = scratch_path(spark, "image-store")
+    write_image_store(RP.stored_images(RP.matched_files(requests, replies).where(F.col("entries").isNotNull())), path)
+    return spark.read.parquet(path).select(
+        "file_id", "image_name", F.octet_length("bytes").cast("bigint").alias("n_bytes"), F.md5("bytes").alias("bytes_md5"))
+
+
 # ---------------------------------------------------------------------------------------------- uploads
 
 
@@ -369,7 +426,6 @@ STREAM_PARTS = 3
 def stream_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST1-ST3: the catalogue arrives in three id ranges, one after another; each arrival is registered by an
     ``availableNow`` run of the same stream (same checkpoint). The verdicts equal the one-shot registration."""
-    from quire.session import scratch_path
     from quire.streaming.register_stream import read_verdicts, start_register_stream
 
     docs = _docs(spark, sf_dir)
