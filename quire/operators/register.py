@@ -97,9 +97,11 @@ def register_verdicts(nas_files: DataFrame, listing: DataFrame, registry: DataFr
     open_rows = rows.filter(F.col("early").isNull())
 
     # Per distinct open path: known in the registry (J1), else resolved (J3) and hashed (S4) -- once per path.
-    known = registry.select("original_path").where(F.col("original_path").isNotNull()).distinct()
-    flagged = open_rows.select("original_path").distinct().join(
-        known.withColumn("known", F.lit(True)), "original_path", "left")
+    # The registry is first cut to the paths asked for: a small batch is broadcast to it, and of a large registry only
+    # the hits are shuffled.
+    asked = open_rows.select("original_path").distinct()
+    known = registry.select("original_path").join(asked, "original_path", "left_semi").distinct()
+    flagged = asked.join(known.withColumn("known", F.lit(True)), "original_path", "left")
     resolved = resolve_paths(flagged.filter(F.col("known").isNull()).select("original_path"), listing)
     hashes = hasher(resolved.select(F.col("resolved_path").alias("path")).distinct())
     if "error" not in hashes.columns:
@@ -120,11 +122,9 @@ def register_verdicts(nas_files: DataFrame, listing: DataFrame, registry: DataFr
 
     # W1 + J2: smallest id per new hash (partial aggregation); hashes already registered are removed (distinct,
     # so unique keys); winners come back on the unique id.
-    registered = registry.select("file_hash").where(F.col("file_hash").isNotNull()).distinct()
-    winners = (
-        open_rows.filter("found").groupBy("file_hash").agg(F.min("id").alias("id"))
-        .join(registered, "file_hash", "left_anti").select("id", F.lit(True).alias("winner"))
-    )
+    firsts = open_rows.filter("found").groupBy("file_hash").agg(F.min("id").alias("id"))
+    registered = registry.select("file_hash").join(firsts.select("file_hash"), "file_hash", "left_semi").distinct()
+    winners = firsts.join(registered, "file_hash", "left_anti").select("id", F.lit(True).alias("winner"))
     open_rows = open_rows.join(winners, "id", "left")
 
     verdict = (
