@@ -337,11 +337,22 @@ def c20_finish(s: Column, name: Column) -> Column:
 # ------------------------------------------------------------------------------------------------ extraction
 
 
+def image_entries(raw: Column) -> Column:
+    """AGG6: ``array<struct<name, path, syntax>>`` of the raw text's images, Markdown references first, then HTML ones;
+    of entries with one name the first stays."""
+
+    def entry(path, syntax):
+        return F.struct(image_name(path).alias("name"), path.alias("path"), F.lit(syntax).alias("syntax"))
+
+    md = F.transform(F.regexp_extract_all(raw, F.lit(MD_IMAGE), 2), lambda p: entry(p, "markdown"))
+    tags = F.transform(F.regexp_extract_all(raw, F.lit(HTML_IMAGE), 0), lambda m: entry(html_image_path(m), "html"))
+    named = F.filter(F.concat(md, tags), lambda e: e["name"] != "")
+    return let(named, lambda all_: F.filter(all_, lambda e, i: F.array_position(F.transform(all_, lambda x: x["name"]), e["name"]) == i + 1))
+
+
 def image_names(raw: Column) -> Column:
-    """AGG6: ordered distinct image names of the raw text, Markdown references first, then HTML ones."""
-    md = F.transform(F.regexp_extract_all(raw, F.lit(MD_IMAGE), 2), image_name)
-    tags = F.transform(F.regexp_extract_all(raw, F.lit(HTML_IMAGE), 0), lambda m: image_name(html_image_path(m)))
-    return F.array_distinct(F.filter(F.concat(md, tags), lambda x: x != ""))
+    """AGG6: the ordered distinct image names of the raw text."""
+    return F.transform(image_entries(raw), lambda e: e["name"])
 
 
 def page_line_matcher() -> str:

@@ -82,8 +82,9 @@ def stage_audit(docs: DataFrame, text: str = "markdown", group: str = "source",
 
 
 def doc_images(docs: DataFrame, id_col: str = "id", text: str = "markdown") -> DataFrame:
-    """C21/AGG6: ordered distinct image names of the raw text, one row per ``(doc, pos)``."""
-    return docs.select(F.col(id_col).alias("doc_id"), F.posexplode(C.image_names(F.col(text))).alias("pos", "name"))
+    """C21/AGG6: the images of the raw text, ``(doc, pos, name, path, syntax)``, distinct by name."""
+    return docs.select(F.col(id_col).alias("doc_id"), F.posexplode(C.image_entries(F.col(text))).alias("pos", "e")).select(
+        "doc_id", "pos", "e.name", "e.path", "e.syntax")
 
 
 def doc_tables(docs: DataFrame, id_col: str = "id", text: str = "markdown") -> DataFrame:

@@ -636,9 +636,11 @@ SELECT doc_id, CAST(0 AS INTEGER) AS table_no, CAST(row_no AS INTEGER) AS row_no
        cell FROM cells"""
 
 ORACLES["doc_images"] = """
-SELECT doc_id, CAST(0 AS INTEGER) AS pos, 'fig 1.png' AS name FROM documents WHERE doc_id % 4 = 2
+SELECT doc_id, CAST(0 AS INTEGER) AS pos, 'fig 1.png' AS name, 'img/' || CAST(doc_id AS VARCHAR) || '/fig%201.png?x=1' AS path,
+       'markdown' AS syntax FROM documents WHERE doc_id % 4 = 2
 UNION ALL
-SELECT doc_id, CAST(1 AS INTEGER), 'p' || CAST(doc_id AS VARCHAR) || '.png' FROM documents WHERE doc_id % 4 = 2"""
+SELECT doc_id, CAST(1 AS INTEGER), 'p' || CAST(doc_id AS VARCHAR) || '.png', 'im/p' || CAST(doc_id AS VARCHAR) || '.png', 'html'
+FROM documents WHERE doc_id % 4 = 2"""
 
 ORACLES["removed_lines"] = """
 SELECT doc_id, 'Page ' || CAST(doc_id % 9 AS VARCHAR) || ' of 9' AS line FROM documents WHERE doc_id % 3 = 1
