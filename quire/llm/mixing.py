@@ -175,7 +175,8 @@ def mixture(rows: DataFrame, sources: DataFrame, block: int = BLOCK, shard_slots
     """
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     taken = slots(shard_draws(sources, seed, shard_slots).repartition(n, "rank", "shard"), seed)
-    return taken.join(block_pieces(rows, sources, block), ["rank", "block"])
+    # slots are many more than the rows they grow from, which Spark's estimate doesn't know: never broadcast them
+    return taken.hint("merge").join(block_pieces(rows, sources, block).hint("merge"), ["rank", "block"])
 
 
 def mix(docs: DataFrame, key: str | None = None, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, seed: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
