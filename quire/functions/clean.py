@@ -131,6 +131,11 @@ def _unescape(values: pd.Series) -> pd.Series:
     return values.map(html.unescape, na_action="ignore")
 
 
+# The optimizer merges projections that a Python UDF reads from, copying the text rules before it into every mention:
+# two cleanings in one plan never end planning. It merges nothing across a UDF that is declared nondeterministic.
+_unescape = _unescape.asNondeterministic()
+
+
 def c3_entities(s: Column) -> Column:
     """HTML entities decoded once (full HTML5 table), then NBSP to blank. Only values with '&' go to Python."""
     decoded = F.coalesce(_unescape(F.when(s.contains("&"), s)), s)

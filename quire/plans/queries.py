@@ -221,8 +221,12 @@ def _reply_inputs(spark: SparkSession, sf_dir: str):
 
 
 def _parse_results(spark: SparkSession, sf_dir: str):
+    """Requests and their parse results. The results are written: what follows filters, joins and compares the Markdown,
+    and the optimizer would copy the parsing of a reply into each of these uses."""
     requests, replies = _reply_inputs(spark, sf_dir)
-    return requests, RP.parse_results(requests, replies)
+    path = scratch_path(spark, "parse-results")
+    RP.parse_results(requests, replies).write.parquet(path)
+    return requests, spark.read.parquet(path)
 
 
 @query("reply_audit")
@@ -282,9 +286,7 @@ def parse_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     claimed = B.parse_claims(reg).withColumn("route", B.route(F.col("file_ext")))
     running = B.mark_claimed(reg, claimed, "parse_status", A.NOW)
     _, results = _parse_results(spark, sf_dir)
-    path = scratch_path(spark, "parse-results")
-    results.write.parquet(path)
-    parsed = RP.parse_verdicts(spark.read.parquet(path), claimed.filter(F.col("route") == "parser"), PARSE_OUTPUT_DIR)
+    parsed = RP.parse_verdicts(results, claimed.filter(F.col("route") == "parser"), PARSE_OUTPUT_DIR)
     passthrough = B.passthrough_results(claimed.filter(F.col("route") == "passthrough"))
     unknown = claimed.filter(F.col("route") == "unsupported").select(
         "id", F.lit(False).alias("ok"), F.lit(None).cast("string").alias("parse_path"))
@@ -312,10 +314,8 @@ def clean_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK2: the Markdown store, written and read back."""
     requests, results = _parse_results(spark, sf_dir)
-    parsed = scratch_path(spark, "parse-results")
-    results.write.parquet(parsed)  # the Markdown is filtered, keyed and compared: computed once
     path = scratch_path(spark, "markdown-store")
-    write_markdown_store(RP.markdown_store_rows(spark.read.parquet(parsed), requests), path)
+    write_markdown_store(RP.markdown_store_rows(results, requests), path)
     md = F.col("markdown")
     return spark.read.parquet(path).select("doc_key", F.length(md).cast("bigint").alias("md_len"), F.md5(md).alias("md_md5"))
 
@@ -403,13 +403,10 @@ def one_step_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("upload_batches")
 def upload_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checkpoint_dir(spark)
-    # Parse results are written before cleaning (the Markdown store of the one-step flow): a reliable checkpoint in
-    # the shared folder cuts the lineage and keeps each stage's generated code small.
     prepared = _one_step(spark, sf_dir).filter("prepared").select(
         "id", "file_uid", "file_name", "file_type", "absolute_path", "markdown_content", "claim_no", "claim_pos",
         "original_path",
-    ).checkpoint()
+    )
     records = D.clean_record_from_parse(prepared).join(
         prepared.select("id", "claim_no", "claim_pos", F.col("original_path").alias("src")), "id")
     cleaned = D.clean_documents(records, parse_path=None)

@@ -94,3 +94,16 @@ def test_percent_decoding_equals_python(spark):
     values = ["100%25 50%.png", "a%20b%.png", "%zz%20.png", "a+b%2Bc", "%C3%A9%2", "plain", "%%41%", "%E4%B8%AD"]
     got = spark.createDataFrame([(v,) for v in values], "v string").select("v", percent_decode(F.col("v")).alias("d")).collect()
     assert {r.v: r.d for r in got} == {v: unquote(v) for v in values}
+
+
+def test_two_cleanings_in_one_plan(spark):
+    """A cleaned text can be cleaned again without a checkpoint between: planned at once, and idempotent."""
+    import time
+
+    df = spark.createDataFrame([(1, "a <b>x</b> &amp;amp; y\n\n\n\nPage 3\nz", "/a/b.txt")], "id long, markdown string, original_path string")
+    one = clean_documents(df, file_name=None, parse_path=None).select("id", F.col("cleaned").alias("markdown"), "original_path")
+    began = time.time()
+    two = clean_documents(one, file_name=None, parse_path=None)
+    two._jdf.queryExecution().executedPlan()
+    assert time.time() - began < 10
+    assert two.first().cleaned.startswith('---\nfile_name: "b.txt"\n---\n')
