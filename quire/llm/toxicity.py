@@ -4,16 +4,18 @@ Learning, from a bounded sample of labelled texts (``TRAIN_ROWS``; rows of the t
 
 * Features are lower-case words and, for longer words, their first ``STEM`` letters. For every feature the sample
   gives the number of toxic and of other documents with it; the weighted log-odds with a Dirichlet prior compare
-  both, and features whose z-score reaches ``MIN_Z`` carry their log-odds as a score. All other tokens score a small
-  negative drift, so the expected score of ordinary text is below 0.
+  both, and features whose z-score reaches ``MIN_Z`` and whose log-odds reach ``MIN_SCORE`` carry these as a score (of very
+  many features some have a high z-score by chance, but not high odds too). All other tokens score a small negative
+  drift, so the expected score of ordinary text is below 0.
 * Scores of segments in ordinary text follow an extreme-value law: a text of n tokens has about
   ``K n exp(-lambda S)`` maximal segments of score S or more by chance. Lambda solves the Karlin-Altschul equation
   over the token frequencies of the other documents, K is fitted to the segments that they really have.
-* One logistic curve turns a document's evidence, the sum of -ln E over its significant segments, into a probability.
+* One logistic curve turns a document's evidence, the sum of ln(1 + 1/E) over its segments, into a probability. Each
+  segment counts by its chance there, so the curve holds whatever the law's constants come to.
 
 Scoring is one pass without shuffles: a linear-time scan (Ruzzo and Tompa) finds every maximal segment of a whole
-text, segments with an expected chance count E below ``MAX_E`` are its toxic passages, and their evidence gives the
-score. The model holds the features above the threshold only, ``MAX_FEATURES`` at most.
+text, segments with an expected chance count E below ``MAX_E`` are its toxic passages, and the evidence of all gives
+the score. The model holds the features above the threshold only, ``MAX_FEATURES`` at most.
 
 Cases: null and empty texts have no passage and get the score of no evidence; without labelled rows (or without both
 labels) the score is 0 for every text; rows with null ids are scored and neither learned from nor held out; repeated
@@ -39,6 +41,7 @@ TRAIN_ROWS = 20_000
 STEM = 5
 PRIOR = 0.5
 MIN_Z = 3.0
+MIN_SCORE = 2.75
 MAX_FEATURES = 20_000
 DRIFT = 0.1
 MAX_E = 0.05
@@ -76,19 +79,25 @@ class Model:
         n, hits = self.hits(text)
         return n, maximal_segments(hits, self.drift)
 
-    def passages(self, text: str) -> list[tuple[int, int, float, float]]:
-        """``(first, end, score, expected chance count)`` of every significant segment."""
-        n, found = self.segments(text)
-        rated = [(a, b, s, self.k * n * float(np.exp(-self.lam * s))) for a, b, s in found]
-        return [x for x in rated if x[3] < MAX_E]
+    def chances(self, n: int, scores: list[float]) -> np.ndarray:
+        """The expected number of chance segments of at least each score in ``n`` tokens."""
+        return np.maximum(1e-300, self.k * n * np.exp(-self.lam * np.array(scores, float)))
 
-    def evidence(self, passages: list[tuple[int, int, float, float]]) -> float:
-        return float(np.log1p(sum(-np.log(max(x[3], 1e-300)) for x in passages)))
+    def judged(self, text: str) -> tuple[float, list[tuple[int, int, float, float]]]:
+        """The probability of a text, and ``(first, end, score, expected chance count)`` of its toxic passages."""
+        n, found = self.segments(text)
+        chances = self.chances(n, [s for *_, s in found])
+        passages = [(*x, float(e)) for x, e in zip(found, chances, strict=True) if e < MAX_E]
+        return self.probability(evidence(chances)), passages
 
     def probability(self, evidence: float) -> float:
         return float(1 / (1 + np.exp(-(self.base + self.slope * evidence)))) if np.isfinite(self.base) else 0.0
 
 
+def evidence(chances: np.ndarray) -> float:
+    return float(np.log1p(np.log1p(1 / chances).sum()))
+
+
 def maximal_segments(hits: list[tuple[int, float, int, int]], drift: float) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (Ruzzo-Tompa), in time linear in the number of scored tokens.
 
@@ -161,7 +170,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     odds = F.log(t / (toxic_docs + 2 * PRIOR - t)) - F.log(o / (other_docs + 2 * PRIOR - o))
     chosen = (
         counts.where(F.col("kind").isin("w", "s") & (F.col("toxic") > 1)).withColumn("score", odds)
-        .withColumn("z", F.col("score") / F.sqrt(1 / t + 1 / o)).where(F.col("z") >= MIN_Z)
+        .withColumn("z", F.col("score") / F.sqrt(1 / t + 1 / o))
+        .where((F.col("z") >= MIN_Z) & (F.col("score") >= MIN_SCORE))
         .orderBy(F.desc("z"), "kind", "feature").limit(MAX_FEATURES).collect()
     )
     model = Model(words={r["feature"]: r["score"] for r in chosen if r["kind"] == "w"},
@@ -203,8 +213,7 @@ def calibrate(sample: DataFrame, model: Model) -> Model:
     model.k = (chance + 0.5) / (max(1, tokens) * float(np.exp(-model.lam * least)))
     x, y = np.zeros(len(seen)), np.array([r["y"] for r in seen], float)
     for i, r in enumerate(seen):
-        e = [model.k * r["n"] * float(np.exp(-model.lam * s)) for s in r["scores"]]
-        x[i] = model.evidence([(0, 0, 0.0, v) for v in e if v < MAX_E])
+        x[i] = evidence(model.chances(r["n"], r["scores"]))
     # Platt's targets keep the curve finite where both labels separate
     pos, neg = y.sum(), len(y) - y.sum()
     target = np.where(y == 1, (pos + 1) / (pos + 2), 1 / (neg + 2))
@@ -231,9 +240,9 @@ def toxic_passages(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in byte_slices(batches, "text", BATCH_BYTES):
-            found = [model.passages(t) if t else [] for t in batch.column("text").to_pylist()]
-            scores = [model.probability(model.evidence(x)) for x in found]
-            spans = [[dict(zip(("first", "end", "score", "chance"), x, strict=True)) for x in xs] for xs in found]
+            judged = [model.judged(t or "") for t in batch.column("text").to_pylist()]
+            scores = [p for p, _ in judged]
+            spans = [[dict(zip(("first", "end", "score", "chance"), x, strict=True)) for x in xs] for _, xs in judged]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(scores, pa.float64()), pa.array(spans, arrow_passage)], names=["row", "score", "passages"])
 
     return rows.mapInArrow(scan, schema)
