@@ -483,9 +483,9 @@ def image_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK5: a reference row per stored image, inserted unless present (existing rows: every third file's)."""
     requests, replies = _reply_inputs(spark, sf_dir)
     files = RP.matched_files(requests, replies).where(F.col("entries").isNotNull())
-    stored = RP.stored_images(files).join(
-        requests.select(F.col("id").alias("file_id"), "file_uid"), "file_id")
-    candidates = stored.select("file_uid", F.col("image_name").alias("image_file"))
-    existing = stored.filter(F.col("file_id") % 3 == 0).select(
-        "file_uid", F.col("image_name").alias("image_file"))
+    path = scratch_path(spark, "image-names")
+    files.select("id", "file_uid", F.explode("names").alias("image_file")).write.parquet(path)  # names only, no bytes
+    stored = spark.read.parquet(path)
+    candidates = stored.select("file_uid", "image_file")
+    existing = stored.filter(F.col("id") % 3 == 0).select("file_uid", "image_file")
     return RP.insert_image_refs(existing, candidates.unionByName(candidates))
