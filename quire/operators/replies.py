@@ -326,12 +326,17 @@ def matched_files(requests: DataFrame, replies: DataFrame) -> DataFrame:
 
 
 def parse_results(requests: DataFrame, replies: DataFrame) -> DataFrame:
-    """PRJ3 (+ J8): one parse result per requested file.
+    """``file_results`` of the matched files, in one plan (see there for a written table in between)."""
+    return file_results(matched_files(requests, replies))
+
+
+def file_results(m: DataFrame) -> DataFrame:
+    """PRJ3 (+ J8): one parse result per requested file of ``matched_files``, which is better written first: filters
+    on it would otherwise be pushed below the parsing and copy it.
 
     ``parse_status`` is 'success' for every file of an answered (2xx) request and 'failed' otherwise; the Markdown
     is the matched item's, rewritten to the URLs of the images stored for it, or NULL.
     """
-    m = matched_files(requests, replies)
     names = image_url_map(F.col("id"), F.col("names"))
     md = F.when(F.size("names") > 0, rewrite_image_names(F.col("raw_markdown"), names)).otherwise(
         F.col("raw_markdown"))

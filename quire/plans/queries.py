@@ -220,12 +220,20 @@ def _reply_inputs(spark: SparkSession, sf_dir: str):
     return requests, replies
 
 
+def _matched(spark: SparkSession, sf_dir: str):
+    """Requests and their matched files, written: filters on the latter must not be pushed below the parsing."""
+    requests, replies = _reply_inputs(spark, sf_dir)
+    path = scratch_path(spark, "matched-files")
+    RP.matched_files(requests, replies).write.parquet(path)
+    return requests, spark.read.parquet(path)
+
+
 def _parse_results(spark: SparkSession, sf_dir: str):
     """Requests and their parse results. The results are written: what follows filters, joins and compares the Markdown,
     and the optimizer would copy the parsing of a reply into each of these uses."""
-    requests, replies = _reply_inputs(spark, sf_dir)
+    requests, matched = _matched(spark, sf_dir)
     path = scratch_path(spark, "parse-results")
-    RP.parse_results(requests, replies).write.parquet(path)
+    RP.file_results(matched).write.parquet(path)
     return requests, spark.read.parquet(path)
 
 
@@ -250,8 +258,8 @@ def parse_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("images_decoded")
 def images_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    requests, replies = _reply_inputs(spark, sf_dir)
-    stored = RP.stored_images(RP.matched_files(requests, replies).where(F.col("entries").isNotNull()))
+    _, matched = _matched(spark, sf_dir)
+    stored = RP.stored_images(matched.where(F.col("entries").isNotNull()))
     return stored.select(
         "file_id", "image_name", "url", F.octet_length("bytes").cast("bigint").alias("n_bytes"), F.md5("bytes").alias("bytes_md5")
     )
@@ -259,9 +267,8 @@ def images_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("dangling_images")
 def dangling_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    requests, replies = _reply_inputs(spark, sf_dir)
-    files = RP.matched_files(requests, replies).where(F.col("raw_markdown").isNotNull())
-    return RP.dangling_references(files)
+    _, matched = _matched(spark, sf_dir)
+    return RP.dangling_references(matched.where(F.col("raw_markdown").isNotNull()))
 
 
 @query("parse_counters")
@@ -323,9 +330,9 @@ def stored_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stored_image_files")
 def stored_image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK3: the image store, written in buckets and read back."""
-    requests, replies = _reply_inputs(spark, sf_dir)
+    _, matched = _matched(spark, sf_dir)
     path = scratch_path(spark, "image-store")
-    write_image_store(RP.stored_images(RP.matched_files(requests, replies).where(F.col("entries").isNotNull())), path)
+    write_image_store(RP.stored_images(matched.where(F.col("entries").isNotNull())), path)
     return spark.read.parquet(path).select(
         "file_id", "image_name", F.octet_length("bytes").cast("bigint").alias("n_bytes"), F.md5("bytes").alias("bytes_md5"))
 
@@ -481,11 +488,8 @@ def block_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("image_refs")
 def image_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK5: a reference row per stored image, inserted unless present (existing rows: every third file's)."""
-    requests, replies = _reply_inputs(spark, sf_dir)
-    files = RP.matched_files(requests, replies).where(F.col("entries").isNotNull())
-    path = scratch_path(spark, "image-names")
-    files.select("id", "file_uid", F.explode("names").alias("image_file")).write.parquet(path)  # names only, no bytes
-    stored = spark.read.parquet(path)
+    _, matched = _matched(spark, sf_dir)
+    stored = matched.where(F.col("entries").isNotNull()).select("id", "file_uid", F.explode("names").alias("image_file"))
     candidates = stored.select("file_uid", "image_file")
     existing = stored.filter(F.col("id") % 3 == 0).select("file_uid", "image_file")
     return RP.insert_image_refs(existing, candidates.unionByName(candidates))
