@@ -75,7 +75,7 @@ def inventory(documents: DataFrame, with_content: bool = True) -> DataFrame:
 
 
 def registry(documents: DataFrame) -> DataFrame:
-    """Task registry (``rag_files`` shape), one row per document.
+    """Task registry, one row per document.
 
     Every 29th row is registered under its catalogue path, every 31st under its content hash; the others carry an
     archive path and a hash of other bytes. Both states cycle through (-1, 0, 1, 2); ``parse_path`` takes the
