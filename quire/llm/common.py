@@ -32,15 +32,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def slices(batches: Iterable[pa.RecordBatch], max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that each piece holds about ``max_bytes`` of data, one row at least."""
-    for batch in batches:
-        n = batch.num_rows
-        step = n if batch.nbytes <= max_bytes else max(1, n * max_bytes // max(1, batch.nbytes))
-        for at in range(0, n, max(1, step)):
-            yield batch.slice(at, step)
-
-
 def byte_slices(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that the texts of each piece hold at most ``max_bytes`` together, one row at least."""
     import pyarrow.compute as pc

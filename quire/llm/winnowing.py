@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.text import let
+from quire.llm.common import SPACE
 
 K = 5
 WINDOW = 16
@@ -35,7 +36,7 @@ _LAST = 2**31 - 1
 
 def words(text: Column) -> Column:
     bare = F.btrim(text, F.lit(" \t\n\x0b\f\r"))
-    return F.when(F.length(bare) > 0, F.split(bare, r"[\x20\x09-\x0D]+")).otherwise(F.array().cast("array<string>"))
+    return F.when(F.length(bare) > 0, F.split(bare, SPACE)).otherwise(F.array().cast("array<string>"))
 
 
 def fingerprint(text: Column, k: int = K, window: int = WINDOW) -> Column:
