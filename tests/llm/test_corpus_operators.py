@@ -309,6 +309,24 @@ def test_shards_are_even_and_keep_copies(spark, monkeypatch, hot):
     assert {(r["law"], r["grown_shard"]) for r in got} == {("rows", None)}
 
 
+def test_full_shards_exchange_linked_documents(spark):
+    """Every document has one copy, so no shard has free room; a shard pair can keep one pair apart at most."""
+    rows = [(i, f"text {i // 2}") for i in range(1600)]
+    got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    where = defaultdict(set)
+    for r in got:
+        where[r["doc_id"] // 2].add(r["shard"])
+    assert Counter(r["shard"] for r in got) == dict.fromkeys(range(8), 200)
+    assert sum(len(x) > 1 for x in where.values()) <= 28
+
+
+def test_exchange_of_wishes():
+    assert sharding.exchange({(63, 0, 1): 5, (63, 1, 0): 3}, [0, 0]) == ({(0, 1): 3, (1, 0): 3}, [0, 0])
+    assert sharding.exchange({(63, 0, 1): 2, (63, 1, 2): 4, (63, 2, 0): 3}, [0, 0, 0])[0] == {(0, 1): 2, (1, 2): 2, (2, 0): 2}
+    assert sharding.exchange({(63, 0, 1): 5, (62, 2, 1): 1}, [0, 2, 0]) == ({(2, 1): 1, (0, 1): 1}, [1, 0, 1])
+    assert sharding.exchange({(63, 0, 1): 5}, [3, 0]) == ({}, [3, 0])
+
+
 def test_shards_of_odd_rows(spark):
     assert sharding.shard_documents(edge_docs(spark)).count() == len(texts())
     assert sharding.shard_documents(empty_docs(spark)).count() == 0
