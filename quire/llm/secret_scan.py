@@ -1,9 +1,10 @@
 """Secrets in texts: fixed patterns, and character Markov models of random strings (operator 5).
 
 Base kinds are three patterns (password-like assignments, access keys, long hex runs). The method adds spans of the
-kind ``markov``: maximal runs of at least ``MIN_RUN`` identifier characters that a first-order Markov model of random
-strings explains better than one of ordinary identifiers, by a log-likelihood ratio of ``MIN_LLR`` or more, and that
-touch no base span.
+kind ``markov``: stretches of runs of identifier characters that a first-order Markov model of random strings explains
+better than one of ordinary identifiers, by a log-likelihood ratio of ``MIN_LLR`` or more. A run (``MIN_RUN`` characters
+at least) may hold ordinary text as well, so its best-scoring stretches count, not its total; they grow to the next
+separators (``/``, ``_``, ``=``, ``-``) and have ``MIN_RUN`` characters or more. What base spans cover is cut out of them.
 
 Both models are trained from labelled samples, as transition counts of neighbouring characters. Ordinary: runs of
 identifier characters in a bounded sample of documents (``SAMPLE_DOCS``, those with the smallest hash of the id).
@@ -41,15 +42,22 @@ DIGESTS = 8
 MIN_RUN = 16
 MIN_LLR = 12.0
 RUN = r"[A-Za-z0-9+/_=-]"
+SEPARATOR = "/_=-"
+PARTS = "array<struct<start:int,end:int>>"
 ALPHABET = 128
 PRIOR = 16
 CHUNK = 512
 
 
-def _spans(text: Column, pattern: str, kind: int, keep=None, group: int = 0) -> Column:
-    """``array<struct<start, kind, end>>`` of the matches of ``pattern`` for which ``keep(group of the match)`` holds."""
+def _spans(text: Column, pattern: str, kind: int, keep=None, group: int = 0, parts=None) -> Column:
+    """``array<struct<start, kind, end>>`` of the matches of ``pattern`` for which ``keep(group of the match)`` holds.
+
+    With ``parts``, of the parts ``(start, end)`` that it gives of every match.
+    """
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    if keep is None:
+    if parts is not None:
+        lengths = F.transform(whole, lambda m: F.struct(F.length(m).alias("n"), parts(m).alias("keep")))
+    elif keep is None:
         lengths = F.transform(whole, lambda m: F.struct(F.length(m).alias("n"), F.lit(True).alias("keep")))
     elif group == 0:
         lengths = F.transform(whole, lambda m: F.struct(F.length(m).alias("n"), keep(m).alias("keep")))
@@ -58,12 +66,12 @@ def _spans(text: Column, pattern: str, kind: int, keep=None, group: int = 0) ->
                              lambda m, g: F.struct(F.length(m).alias("n"), keep(g).alias("keep")))
     gaps = F.split(text, pattern, -1)
     items = F.zip_with(lengths, gaps, lambda m, gap: F.struct(F.length(gap).alias("gap"), m.n.alias("n"), m.keep.alias("keep")))
-    found = let(items, lambda x: _positions(F.slice(x, 1, F.size(x) - 1), kind))  # the last gap follows no match
+    found = let(items, lambda x: _positions(F.slice(x, 1, F.size(x) - 1), kind, parts is not None))  # the last gap follows no match
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast("array<struct<start:int,kind:int,end:int>>"))
 
 
-def _positions(items: Column, kind: int) -> Column:
-    """Spans of the kept items from ``(gap, n, keep)``: sums over blocks first, then inside every block."""
+def _positions(items: Column, kind: int, parts: bool = False) -> Column:
+    """Spans of the kept items (or of their kept parts) from ``(gap, n, keep)``: sums over blocks first, then inside every block."""
 
     def block(i: Column) -> Column:
         return F.slice(items, i * CHUNK + 1, CHUNK)
@@ -74,6 +82,9 @@ def _positions(items: Column, kind: int) -> Column:
     def inside(at: Column, i: Column) -> Column:
         def step(acc: Column, x: Column) -> Column:
             start = acc.at + x.gap
+            if parts:
+                shifted = F.transform(x.keep, lambda p: F.struct((start + p.start).alias("start"), F.lit(kind).alias("kind"), (start + p.end).alias("end")))
+                return F.struct((start + x.n).alias("at"), F.concat(acc.out, shifted).alias("out"))
             span = F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), (start + x.n).alias("end")))
             return F.struct((start + x.n).alias("at"), F.when(x.keep, F.concat(acc.out, span)).otherwise(acc.out).alias("out"))
 
@@ -92,11 +103,68 @@ def _codes(run: Column) -> Column:
     return F.transform(F.split(run, ""), lambda c: F.ascii(c))
 
 
-def llr(run: Column, table: Column) -> Column:
-    """The log-likelihood ratio of a run: the sum of its transitions' log ratios."""
-    return let(_codes(run), lambda x: F.aggregate(
-        F.zip_with(F.slice(x, 1, F.size(x) - 1), F.slice(x, 2, F.size(x) - 1), lambda a, b: F.get(table, a * ALPHABET + b)),
-        F.lit(0.0), lambda acc, v: acc + F.coalesce(v, F.lit(0.0))))
+def _ratios(run: Column, table: Column) -> Column:
+    """The log ratios of a run's transitions, in order."""
+    return let(_codes(run), lambda x: F.zip_with(
+        F.slice(x, 1, F.size(x) - 1), F.slice(x, 2, F.size(x) - 1), lambda a, b: F.coalesce(F.get(table, a * ALPHABET + b), F.lit(0.0))))
+
+
+def _best(ratios: Column, least: float) -> Column:
+    """``array<struct<start, end>>`` of the characters of all stretches whose sum is ``least`` or more.
+
+    One scan: a stretch starts over where its sum falls to 0, and ends at its highest sum where it falls by ``least`` below that.
+    """
+
+    def found(acc: Column) -> Column:
+        part = F.array(F.struct(acc.start.alias("start"), acc.end.alias("end")))
+        return F.when(acc.best >= least, F.concat(acc.out, part)).otherwise(acc.out)
+
+    def step(acc: Column, v: Column) -> Column:
+        at, total = acc.at + 1, acc.sum + v
+        over, higher = (total <= 0) | (total < acc.best - least), total > acc.best
+        return F.struct(
+            at.alias("at"), F.when(over, 0.0).otherwise(total).alias("sum"), F.when(over, at).otherwise(acc.start).alias("start"),
+            F.when(over, 0.0).when(higher, total).otherwise(acc.best).alias("best"),
+            F.when(higher & ~over, at + 1).otherwise(acc.end).alias("end"), F.when(over, found(acc)).otherwise(acc.out).alias("out"))
+
+    zero = F.struct(F.lit(0).alias("at"), F.lit(0.0).alias("sum"), F.lit(0).alias("start"), F.lit(0.0).alias("best"), F.lit(0).alias("end"), F.array().cast(PARTS).alias("out"))
+    return F.aggregate(ratios, zero, step, found)
+
+
+def _grown(run: Column, part: Column) -> Column:
+    """A part of a run without separators ahead, grown to the separators around it."""
+    own = F.substring(run, part.start + 1, part.end - part.start)
+    lead = F.length(F.regexp_extract(own, f"^[{SEPARATOR}]+", 0))
+    back = F.length(F.regexp_extract(F.reverse(F.substring(run, F.lit(1), part.start)), f"^[^{SEPARATOR}]*", 0))
+    on = F.length(F.regexp_extract(F.substring(run, part.end + 1, F.length(run)), f"^[^{SEPARATOR}]*", 0))
+    closed = F.substring(run, part.end, F.lit(1)).rlike(f"[{SEPARATOR}]")
+    return F.struct((part.start + F.when(lead > 0, lead).otherwise(-back)).alias("start"), (part.end + F.when(closed, 0).otherwise(on)).alias("end"))
+
+
+def stretches(run: Column, table: Column, least: float) -> Column:
+    """``array<struct<start, end>>``: the random parts of a run, apart from each other."""
+
+    def merged(acc: Column, p: Column) -> Column:
+        last = F.get(acc, F.size(acc) - 1)
+        longer = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.least(last.start, p.start).alias("start"), F.greatest(last.end, p.end).alias("end"))))
+        return F.when((F.size(acc) > 0) & (p.start < last.end), longer).otherwise(F.concat(acc, F.array(p)))
+
+    grown = F.transform(_best(_ratios(run, table), least), lambda p: _grown(run, p))
+    return F.filter(F.aggregate(grown, F.array().cast(PARTS), merged), lambda p: p.end - p.start >= MIN_RUN)
+
+
+def _without(span: Column, others: Column) -> Column:
+    """What sorted spans leave of ``span``."""
+
+    def piece(start: Column, end: Column) -> Column:
+        return F.array(F.struct(start.alias("start"), span.kind.alias("kind"), end.alias("end")))
+
+    def step(acc: Column, b: Column) -> Column:
+        return F.struct(F.greatest(acc.at, b.end).alias("at"), F.when(b.start > acc.at, F.concat(acc.out, piece(acc.at, b.start))).otherwise(acc.out).alias("out"))
+
+    zero = F.struct(span.start.alias("at"), F.array().cast("array<struct<start:int,kind:int,end:int>>").alias("out"))
+    near = F.filter(others, lambda b: (b.start < span.end) & (span.start < b.end))
+    return F.aggregate(near, zero, step, lambda acc: F.when(acc.at < span.end, F.concat(acc.out, piece(acc.at, span.end))).otherwise(acc.out))
 
 
 def training_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
@@ -143,9 +211,9 @@ def with_spans(docs: DataFrame, ratios: list[float], min_llr: float = MIN_LLR) -
     table = F.from_json(F.lit(json.dumps(ratios)), "array<double>")
     base = F.array_sort(F.concat(
         _spans(text, ASSIGN, 0, lambda v: F.length(v) >= MIN_VALUE, 2), _spans(text, ACCESS, 1), _spans(text, HEX, 2)))
-    found = docs.withColumn("base", base).withColumn("extra", _spans(text, RUN + "{%d,}" % MIN_RUN, 3, lambda run: llr(run, table) >= min_llr))
-    touches = lambda s: F.exists("base", lambda b: (b.start < s.end) & (s.start < b.end))
-    return found.withColumn("extra", F.filter("extra", lambda s: ~touches(s)))
+    extra = _spans(text, RUN + "{%d,}" % MIN_RUN, 3, parts=lambda run: stretches(run, table, min_llr))
+    found = docs.withColumn("base", base).withColumn("extra", extra)
+    return found.withColumn("extra", F.flatten(F.transform("extra", lambda s: _without(s, F.col("base")))))
 
 
 def _said(spans: Column) -> Column:

@@ -199,6 +199,26 @@ def test_markov_spans(spark):
     assert secret_scan.secret_scan(empty_docs(spark)).count() == 0 and secret_scan.redacted(empty_docs(spark)).count() == 0
 
 
+def test_markov_spans_behind_ordinary_text(spark):
+    """Random values glued to long ordinary text, two of them in one run, and around a base span."""
+    rng = random.Random(8)
+    made = lambda n: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+    words = "data projects production config client authorization header service account settings manager default".split()
+    plain = [(i, " ".join(rng.choice("/_-=").join(rng.choice(words) for _ in range(6)) for _ in range(20))) for i in range(200)]
+    ratios = secret_scan.train(secret_scan.training_sample(spark.createDataFrame(plain, "doc_id long, text string")))
+    a, b = made(24), made(24)
+    cases = [
+        (f"x client_authorization_header_default_settings_manager={a} y", "x client_authorization_header_default_settings_manager=[SECRET] y"),
+        (f"/data/projects/production/config/service/account/{a}/default/settings/manager/production/header/{b}",
+         "/data/projects/production/config/service/account/[SECRET]/default/settings/manager/production/header/[SECRET]"),
+        (plain[0][1], plain[0][1])]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)] + [(9, a + "Z" + "0a" * 12 + "Q" + b)], "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.secret_scan(docs, ratios).collect()}
+    assert got[9] == "markov:0:25,hex:25:49,markov:49:74"
+    clean = {r["doc_id"]: r["text"] for r in secret_scan.redacted(docs, ratios=ratios).collect()}
+    assert [clean[i] for i in range(3)] == [c for _, c in cases]
+
+
 # ------------------------------------------------------------------------------------------------ winnowing
 
 
