@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import attention_quality, mixing, packing, quality_rules, secret_scan, sharding, shingle_join, token_counts, toxicity, winnowing
+from quire.llm import attention_quality, conversation_repair, mixing, packing, quality_rules, secret_scan, sharding, shingle_join, token_counts, toxicity, winnowing
 from quire.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,8 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_digests(read(spark, sf_dir, "conversations"))
