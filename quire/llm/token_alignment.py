@@ -26,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import struct
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -71,7 +72,6 @@ class Tokens:
             self.bytes = [special[i].encode() if i in special else bytes(alphabet[c] for c in vocab.get(i, "")) for i in range(max(vocab) + 1)]
             self.encode = lambda texts: [e.ids for e in tok.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
         self.sizes = np.array([len(b) for b in self.bytes], np.int64)
-        self.names = [str(i) for i in range(len(self.bytes))]
 
     def text(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
@@ -89,34 +89,56 @@ class Pair:
 
     def __init__(self, path_a: str, path_b: str) -> None:
         self.a, self.b = _tokens(path_a), _tokens(path_b)
-        self.cache: dict[str, tuple[bytes, bytes] | None] = {}
+        self.cache_a: dict[str, bytes] = {}
+        self.cache_b: dict[str, bytes] = {}
+        self.odd: set[str] = set()
+        # an id as it stands in a list of groups: inside a group, at the end of its side
+        size = len(self.a.bytes)
+        self.b_names = 2 * size
+        self.names = [f"{i}{mark}" for i in range(size) for mark in ",|"] + [f"{i}{mark}" for i in range(len(self.b.bytes)) for mark in ",;"]
+
+    def groups_text(self, ids_a: np.ndarray, ids_b: np.ndarray, stops_a: np.ndarray, stops_b: np.ndarray) -> str:
+        """``a1,a2|b1;a3|b2,b3``: the ids of every group."""
+        sizes_a, sizes_b = np.diff(stops_a, prepend=0), np.diff(stops_b, prepend=0)
+        last_a, last_b = np.zeros(len(ids_a), np.int64), np.zeros(len(ids_b), np.int64)
+        last_a[stops_a - 1] = 1
+        last_b[stops_b - 1] = 1
+        names = np.empty(len(ids_a) + len(ids_b), np.int64)
+        names[np.arange(len(ids_a)) + np.repeat(stops_b - sizes_b, sizes_a)] = 2 * ids_a + last_a
+        names[np.arange(len(ids_b)) + np.repeat(stops_a, sizes_b)] = self.b_names + 2 * ids_b + last_b
+        return "".join(map(self.names.__getitem__, names.tolist()))[:-1]
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of A and B per text; none where the joined bytes are not those of space + text."""
         if not (self.a.piecewise and self.b.piecewise):
             return [self._whole(t) for t in texts]
         pieces = [SAFE.split(t) if t else [] for t in texts]
-        cache = self.cache
-        new = list(set().union(*pieces).difference(cache))
-        if len(cache) + len(new) > CACHE_PIECES:
-            cache.clear()
-            new = list(set().union(*pieces))
+        cache_a, cache_b, odd = self.cache_a, self.cache_b, self.odd
+        known = set().union(*pieces)
+        new = list(known.difference(cache_a))
+        if len(cache_a) + len(new) > CACHE_PIECES:
+            cache_a.clear()
+            cache_b.clear()
+            odd.clear()
+            new = list(known)
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
             for piece, a, b in zip(part, self.a.encode(part), self.b.encode(part), strict=True):
                 want = b" " + piece.encode()
-                same = self.a.text(a) == want and self.b.text(b) == want
-                cache[piece] = (np.array(a, np.int32).tobytes(), np.array(b, np.int32).tobytes()) if same else None
+                if self.a.text(a) != want or self.b.text(b) != want:
+                    odd.add(piece)
+                cache_a[piece] = struct.pack(f"{len(a)}i", *a)
+                cache_b[piece] = struct.pack(f"{len(b)}i", *b)
         out = []
         for text, own in zip(texts, pieces):
-            found = list(map(cache.__getitem__, own))
-            if None in found:
+            if odd and not odd.isdisjoint(own):
                 out.append(self._whole(text))
             else:
-                out.append((np.frombuffer(b"".join([x[0] for x in found]), np.int32), np.frombuffer(b"".join([x[1] for x in found]), np.int32)))
+                out.append((np.frombuffer(b"".join(map(cache_a.__getitem__, own)), np.int32), np.frombuffer(b"".join(map(cache_b.__getitem__, own)), np.int32)))
         for piece in new:
             if len(piece) > LONGEST_CACHED:
-                del cache[piece]
+                del cache_a[piece], cache_b[piece]
+                odd.discard(piece)
         return out
 
     def _whole(self, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -135,38 +157,39 @@ def _tokens(path: str) -> Tokens:
     return _TOKENS[path]
 
 
-def align(ends_a: list[int], ends_b: list[int]) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, int]], list[int], list[int]]:
-    """One-to-one stretches (i, j, length), irregular groups (i, i end, j, j end) and the links (i, j) inside the latter.
+def align(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int], list[int], list[int]]:
+    """Ends of the groups as indexes into A and B (exclusive), and the links as indexes into A and B.
 
     Both arrays rise and end at the same byte.
     """
-    runs, groups, links_i, links_j = [], [], [], []
+    stops_a: list[int] = []
+    stops_b: list[int] = []
+    links_a: list[int] = []
+    links_b: list[int] = []
     i, j, n = 0, 0, len(ends_a)
     while i < n:
-        start, step = i, 1
-        while ends_a[i : i + step] == ends_b[j : j + step] and i < n:  # probe ahead on the diagonal
+        shift, start, step = j - i, i, 1
+        while i < n and ends_a[i : i + step] == ends_b[j : j + step]:  # probe ahead on the diagonal
             i += step
             j += step
             step += step
-        if i > n:  # slices beyond both ends are equal
-            j -= i - n
-            i = n
         while step > 1 and i < n:  # the first difference lies within the last stretch
             step >>= 1
             if ends_a[i : i + step] == ends_b[j : j + step]:
                 i += step
                 j += step
-                if i > n:
-                    j -= i - n
-                    i = n
-        if i > start:
-            runs.append((start, j - i + start, i - start))
-        if i < n:
-            i0, j0 = i, j
+        if i > n:  # slices beyond both ends are equal
+            i, j = n, n + shift
+        if i > start:  # one-to-one up to here
+            links_a += range(start, i)
+            links_b += range(start + shift, j)
+            stops_a += range(start + 1, i + 1)
+            stops_b += range(start + shift + 1, j + 1)
+        if i < n:  # an irregular group: step the side that ends first until both meet
             x, y = ends_a[i], ends_b[j]
             while True:
-                links_i.append(i)
-                links_j.append(j)
+                links_a.append(i)
+                links_b.append(j)
                 if x < y:
                     i += 1
                     x = ends_a[i]
@@ -177,27 +200,16 @@ def align(ends_a: list[int], ends_b: list[int]) -> tuple[list[tuple[int, int, in
                     break
             i += 1
             j += 1
-            groups.append((i0, i, j0, j))
-    return runs, groups, links_i, links_j
+            stops_a.append(i)
+            stops_b.append(j)
+    return stops_a, stops_b, links_a, links_b
 
 
 def aligned(tokens: Pair, ids_a: np.ndarray, ids_b: np.ndarray) -> tuple[int, str, np.ndarray, np.ndarray]:
     """(number of groups, groups as text, A ids and B ids of the links) of one document."""
-    ends_a, ends_b = tokens.a.sizes[ids_a].cumsum().tolist(), tokens.b.sizes[ids_b].cumsum().tolist()
-    runs, groups, links_i, links_j = align(ends_a, ends_b)
-    names_a, names_b = tokens.a.names, tokens.b.names
-    a, b = ids_a.tolist(), ids_b.tolist()
-    parts: list[tuple[int, str]] = []
-    pieces_i, pieces_j = [np.array(links_i, np.int64)], [np.array(links_j, np.int64)]
-    for i, j, k in runs:
-        parts.append((i, ";".join([f"{x}|{y}" for x, y in zip(a[i : i + k], b[j : j + k])])))
-        pieces_i.append(np.arange(i, i + k))
-        pieces_j.append(np.arange(j, j + k))
-    for i, i_end, j, j_end in groups:
-        parts.append((i, ",".join([names_a[x] for x in a[i:i_end]]) + "|" + ",".join([names_b[x] for x in b[j:j_end]])))
-    parts.sort()
-    total = sum(k for _, _, k in runs) + len(groups)
-    return total, ";".join([p for _, p in parts]), ids_a[np.concatenate(pieces_i)], ids_b[np.concatenate(pieces_j)]
+    found = align(tokens.a.sizes[ids_a].cumsum().tolist(), tokens.b.sizes[ids_b].cumsum().tolist())
+    stops_a, stops_b, links_a, links_b = (np.array(x, np.int64) for x in found)
+    return len(stops_a), tokens.groups_text(ids_a, ids_b, stops_a, stops_b), ids_a[links_a], ids_b[links_b]
 
 
 # ------------------------------------------------------------------------------------------------ corpus
