@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import attention_quality, conversation_repair, mixing, packing, quality_rules, secret_scan, sharding, shingle_join, token_alignment, token_counts, toxicity, winnowing
+from quire.llm import attention_quality, conversation_repair, mixing, packing, quality_rules, repeated_passages, secret_scan, sharding, shingle_join, token_alignment, token_counts, toxicity, winnowing
 from quire.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(read(spark, sf_dir, "documents"))
 
 
+@query
+def op11_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages.without_repeats(read(spark, sf_dir, "documents")).drop("spans", "kept_text")
+
+
 @query
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
