@@ -260,7 +260,7 @@ def opened(rows: DataFrame, marked: DataFrame) -> DataFrame:
             by_doc = np.argsort(doc[covers], kind="stable")
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(wid, wid + len(texts))), batch.column("doc_id"), *results,
-                 pc.if_else(pa.array(waits), batch.column("text"), pa.scalar(None, pa.string())),
+                 pa.array([t.decode() if w else None for t, w in zip(texts, waits.tolist())], pa.string()),
                  _lists(np.bincount(doc[covers], minlength=len(texts)), place[covers][by_doc]),
                  *[_lists(per_doc, x) for x in (index - graph.begins[owner], first, second, weight)]], names=[f.name for f in schema])
             wid += len(texts)
