@@ -74,6 +74,15 @@ def inventory(documents: DataFrame, with_content: bool = True) -> DataFrame:
     return documents.filter(k % 13 != 0).select(*cols)
 
 
+def stored_inventory(documents: DataFrame) -> DataFrame:
+    """The inventory as files of a mounted folder ``(path, content, vanishes)``: absolute paths, every 11th file (from 2)
+    without bytes, every 17th (from 3) gone after the folder was listed."""
+    k = F.col("doc_id")
+    path = F.when(k % 3 == 0, _catalogue_path(k)).otherwise(F.substring(_catalogue_path(k), F.lit(9), F.length(_catalogue_path(k))))
+    content = F.when(k % 11 == 2, F.lit("")).otherwise(F.col("text"))
+    return documents.filter(k % 13 != 0).select(path.alias("path"), F.encode(content, "UTF-8").alias("content"), (k % 17 == 3).alias("vanishes"))
+
+
 def registry(documents: DataFrame) -> DataFrame:
     """Task registry, one row per document.
 

@@ -128,6 +128,16 @@ ORACLES: dict[str, str] = {}
 
 ORACLES["register_verdicts"] = VERDICTS + "\nSELECT * FROM verdicts"
 
+STORED = f"""
+inventory AS (
+  SELECT CASE WHEN doc_id % 3 = 0 THEN {_catpath('doc_id')} ELSE '/' || substr({_catpath('doc_id')}, 10) END AS path,
+         CAST(CASE WHEN doc_id % 11 = 2 THEN 0 ELSE strlen(text) END AS BIGINT) AS length,
+         CASE WHEN doc_id % 17 = 3 THEN NULL WHEN doc_id % 11 = 2 THEN encode('') ELSE encode(text) END AS content
+  FROM documents WHERE doc_id % 13 <> 0
+)"""
+
+ORACLES["register_files"] = VERDICTS.replace(INVENTORY.strip(), STORED.strip()) + "\nSELECT * FROM verdicts"
+
 ORACLES["register_counters"] = VERDICTS + """
 SELECT count(*) AS fetched, count(*) AS checked,
        count(*) FILTER (WHERE verdict = 'inserted') AS inserted,

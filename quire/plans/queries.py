@@ -21,6 +21,8 @@ from quire.operators import state as S
 from quire.operators import upload as U
 from quire.plans import adapters as A
 from quire.session import checkpoint_dir, scratch_path
+from quire.sources.files import listing_hasher, remove_files, store_files
+from quire.sources.inventory import list_files
 from quire.sources.sinks import read_registry, write_image_store, write_markdown_store, write_registry_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +60,22 @@ def register_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _verdicts(spark, sf_dir)
 
 
+@query("register_files")
+def register_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC2 with real files: the documents' files are written to the shared folder, listed by the inventory source, and
+    hashed from storage; some hold no bytes, some are gone between listing and hashing."""
+    docs = _docs(spark, sf_dir)
+    root = scratch_path(spark, "mounted")
+    stored = A.stored_inventory(docs)
+    files = store_files(stored, root).join(stored.select("path", "vanishes"), "path")
+    files.write.parquet(f"{root}-files")
+    mount = root.removeprefix("file://")
+    list_files(spark, root, mount).write.parquet(f"{root}-listing")
+    listing = spark.read.parquet(f"{root}-listing")
+    remove_files(spark.read.parquet(f"{root}-files").filter("vanishes")).write.format("noop").mode("overwrite").save()
+    return R.register_verdicts(A.nas_files(docs), listing.select("path", "length"), A.registry(docs), listing_hasher(listing))
+
+
 @query("register_counters")
 def register_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.scan_counters(_verdicts(spark, sf_dir))

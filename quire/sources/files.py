@@ -1,25 +1,24 @@
-"""File sources: the catalogue table (SRC1), file listings (SRC2) and content hashes (S4), parser replies (SRC4).
-
-A listing is read with Spark's ``binaryFile`` source without its ``content`` column, so no file bytes are read. The
-source leaves out files of no bytes; they are added from the same file index. Bytes are read only for the files that
-still need a hash, by ``hash_files``: a ``mapInPandas`` over the (partitioned) path table that streams each file in
-1 MiB chunks into SHA-256, so memory per task stays flat whatever the file size. A file that cannot be read is told
-apart from one that is not there by its ``error``. (Spark's index of the listed files is held by the driver, as for
-every file source; a catalogue of very many files is better listed into a table.)
+"""File sources: the catalogue table (SRC1), content hashes (S4), stored files, parser replies (SRC4).
+
+Files are listed by ``quire.sources.inventory``. Bytes are read only for the files that still need a hash, by
+``hash_files``: a ``mapInPandas`` over the (partitioned) path table that streams each file in 1 MiB chunks into SHA-256,
+so memory per task stays flat whatever the file size. A file that cannot be read is told apart from one that is not
+there by its ``error``.
 """
 
 from __future__ import annotations
 
 import hashlib
-import re
+import os
+import posixpath
 from collections.abc import Iterator
-from urllib.parse import quote, unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.paths import content_hash
+from quire.sources.inventory import open_storage
 
 CHUNK_BYTES = 1024 * 1024  # hash read size (fixed value of the reference)
 
@@ -34,44 +33,10 @@ def read_catalogue(spark: SparkSession, path: str, fmt: str = "parquet", **optio
     return df.select(F.col("id").cast("bigint"), F.col("full_path").cast("string"), F.col("status").cast("int"))
 
 
-def list_files(spark: SparkSession, root: str, mount: str = "", glob: str | None = None) -> DataFrame:
-    """SRC2: listing ``(path, uri, modificationTime, length)`` of every file under ``root``, empty ones included
-    (their ``modificationTime`` is NULL).
-
-    ``path`` is the file's location as the catalogue names it: the URI without its scheme and without the
-    ``mount`` prefix (``file:/mnt/nas/volume1/a.pdf`` with mount ``/mnt/nas`` -> ``/volume1/a.pdf``).
-    """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(root)
-    df = files.select(F.col("path").alias("uri"), "modificationTime", "length")
-    # the index writes file:///x, the rows file:/x
-    names = spark.createDataFrame([(unquote(u).replace("file:///", "file:/"),) for u in files.inputFiles()], "uri string")
-    none = names.join(df.select("uri"), "uri", "left_anti").select(
-        "uri", F.lit(None).cast("timestamp").alias("modificationTime"), F.lit(0).cast("bigint").alias("length"))
-    df = df.unionByName(none)
-    return df.select(_bare(F.col("uri"), mount).alias("path"), "uri", "modificationTime", "length")
-
-
-def _bare(uri: Column, mount: str) -> Column:
-    bare = F.regexp_replace(uri, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
-    return F.regexp_replace(bare, "^" + _regex_literal(mount.rstrip("/")), "") if mount else bare
-
-
-def _regex_literal(text: str) -> str:
-    return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
-
-
 def _sha256_stream(uri: str) -> tuple[str | None, str | None]:
     """``(hash, None)``, ``(None, None)`` for a file that is not there, or ``(None, error)``."""
-    import pyarrow.fs as pafs
-
     try:
-        if "://" in uri or uri.startswith("file:/"):
-            fs, path = pafs.FileSystem.from_uri(quote(re.sub("^file:/+", "file:///", uri), safe="/:@?=&+,;"))
-        else:
-            fs, path = pafs.LocalFileSystem(), uri
+        fs, path, _ = open_storage(uri)
         digest = hashlib.sha256()
         with fs.open_input_stream(path) as stream:
             while True:
@@ -98,20 +63,34 @@ def hash_files(paths: DataFrame) -> DataFrame:
     return paths.select("path", "uri").mapInPandas(_hash_batches, "path string, file_hash string, error string")
 
 
-def spark_hasher(spark: SparkSession, root: str, mount: str = ""):
-    """A registration ``hasher`` for storage that only Spark reads: hashes in the scan, then keeps the wanted paths."""
+def spark_hasher(spark: SparkSession, listing: DataFrame):
+    """A registration ``hasher`` for storage that only Spark reads: hashes the wanted files of a listing in the scan.
+
+    Spark reads what lies under the wanted files' common folder (its reader takes folders, not a table of files);
+    ``listing_hasher`` reads wanted files only. A file that the scan does not give back is either one of no bytes,
+    which the listing knows, or gone: its hash stays NULL.
+    """
 
     def hasher(paths: DataFrame) -> DataFrame:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-        rows = files.select(_bare(F.col("path"), mount).alias("path"), content_hash(F.col("content")).alias("file_hash"))
-        empty = F.sha2(F.lit("").cast("binary"), 256)
-        wanted = paths.select("path").distinct()
-        return wanted.join(rows, "path", "left").select(
-            "path", F.coalesce("file_hash", empty).alias("file_hash"), F.lit(None).cast("string").alias("error"))
+        wanted = listing.join(paths.select("path").distinct(), "path", "left_semi").select("path", "uri", "length")
+        bounds = wanted.agg(F.min("uri"), F.max("uri")).first()
+        if bounds[0] is None:
+            return wanted.select("path", F.lit(None).cast("string").alias("file_hash"), F.lit(None).cast("string").alias("error"))
+        root = os.path.commonpath([u.rsplit("/", 1)[0] for u in bounds])
+        scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true").load(root)
+        hashed = scan.select(_slashes(F.col("path")).alias("uri"), content_hash(F.col("content")).alias("file_hash"))
+        none = F.when(F.col("length") == 0, F.sha2(F.lit("").cast("binary"), 256))
+        return wanted.withColumn("uri", _slashes(F.col("uri"))).join(hashed, "uri", "left").select(
+            "path", F.coalesce("file_hash", none).alias("file_hash"), F.lit(None).cast("string").alias("error"))
 
     return hasher
 
 
+def _slashes(uri: Column) -> Column:
+    """One spelling of a URI: the index writes file:///x, rows file:/x."""
+    return F.regexp_replace(uri, "^file:/+", "file:/")
+
+
 def listing_hasher(listing: DataFrame):
     """A registration ``hasher`` for a real listing: joins the requested paths to their URIs, then streams them."""
 
@@ -122,6 +101,37 @@ def listing_hasher(listing: DataFrame):
     return hasher
 
 
+def store_files(files: DataFrame, root: str) -> DataFrame:
+    """Write ``(path, content)`` rows as files under ``root``, in tasks; ``(path, uri)`` of each. Reruns overwrite."""
+
+    def store(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, top, prefix = open_storage(root.rstrip("/"))
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                fs.create_dir(posixpath.dirname(f"{top}{path}"), recursive=True)
+                with fs.open_output_stream(f"{top}{path}") as stream:
+                    stream.write(content)
+            yield pd.DataFrame({"path": batch["path"], "uri": prefix + top + batch["path"]})
+
+    return files.select("path", "content").mapInPandas(store, "path string, uri string")
+
+
+def remove_files(files: DataFrame) -> DataFrame:
+    """Delete files by ``uri``, in tasks; a file that is gone already counts as deleted."""
+
+    def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for uri in batch["uri"]:
+                fs, path, _ = open_storage(uri)
+                try:
+                    fs.delete_file(path)
+                except FileNotFoundError:
+                    pass
+            yield batch
+
+    return files.select("uri").mapInPandas(remove, "uri string")
+
+
 def read_replies(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """SRC4: parser replies ``(batch_no, status_code, body)``; bodies are parsed later, once, as VARIANT."""
     return spark.read.format(fmt).load(path).select(

@@ -7,7 +7,8 @@ import tempfile
 from pyspark.sql import functions as F
 
 from quire.operators.register import register_verdicts
-from quire.sources.files import hash_files, list_files, spark_hasher
+from quire.sources.files import hash_files, listing_hasher, remove_files, spark_hasher, store_files
+from quire.sources.inventory import InventoryReader, list_files
 from quire.sources.sinks import read_registry, write_markdown_store, write_registry_snapshot
 
 
@@ -21,11 +22,33 @@ def test_listing_and_hash(spark):
     listing = list_files(spark, root, mount=root)
     got = {r.path: r.length for r in listing.collect()}
     assert got == {f"/volume1/share/{n}": len(b) for n, b in data.items()}
-    plan = listing._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan.split("ReadSchema")[-1].split("\n")[0]
     want = {f"/volume1/share/{n}": hashlib.sha256(b).hexdigest() for n, b in data.items()}
     assert {r.path: r.file_hash for r in hash_files(listing).collect()} == want
-    assert {r.path: r.file_hash for r in spark_hasher(spark, root, root)(listing.select("path")).collect()} == want
+    table = spark.createDataFrame(listing.collect(), listing.schema)  # as listed, before a file goes
+    os.remove(f"{root}/volume1/share/a.pdf")
+    asked = table.select("path").union(spark.createDataFrame([("/nowhere.pdf",)], "path string"))
+    for hasher in (spark_hasher(spark, table), listing_hasher(table)):
+        got = {r.path: r.file_hash for r in hasher(asked).collect()}
+        assert got == {**want, "/volume1/share/a.pdf": None}
+
+
+def test_folders_become_partitions(spark):
+    root = tempfile.mkdtemp(prefix="quire-tree-")
+    rows = [(f"/v{i % 3}/s{i % 5}/d{i % 2}/f {i}é#%.txt", bytes(str(i), "ascii") if i % 4 else b"") for i in range(60)] + [("/top.md", b"x"), ("/v1/mid.md", b"")]
+    files = spark.createDataFrame(rows, "path string, content binary").repartition(4)
+    uris = {r.path: r.uri for r in store_files(files, root).collect()}
+    for folders in (1, 4, 10_000):
+        listing = list_files(spark, root, root, folders)
+        got = {r.path: (r.uri, r.length, r.modificationTime is not None) for r in listing.collect()}
+        assert got == {p: (uris[p], len(c), True) for p, c in rows}
+        assert listing.rdd.getNumPartitions() == len(InventoryReader(root, root, folders).partitions())
+    parts = InventoryReader(root, "", 10_000).partitions()
+    assert len(parts) == 1 + 3 + 15 + 30 and sum(p.deep for p in parts) == 30
+    assert InventoryReader(root, "", 1).partitions()[0].deep
+    assert {r.path: r.file_hash for r in hash_files(listing).collect()} == {p: hashlib.sha256(c).hexdigest() for p, c in rows}
+    remove_files(listing.filter("path like '/v0/%'")).collect()
+    assert {r.path for r in list_files(spark, root, root).collect()} == {p for p, _ in rows if not p.startswith("/v0/")}
+    assert list_files(spark, f"{root}/gone").count() == 0
 
 
 def test_unreadable_and_missing_files(spark):
