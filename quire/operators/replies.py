@@ -1,303 +1,150 @@
 """Parser replies: container, per-file match, Markdown, images, rewrite, outcomes.
 
-Operators: SRC4 (reply as VARIANT, NULL when not JSON), JS1 (container), J4/J5 (object / array match with the
-single-entry fallback), J6/SET3 (files without a result), JS2 (Markdown of an item, string-typed only), JS3-JS6
-(images, strict base64, URL, last duplicate wins), J8/J9 (image rewrite and dangling references), FLT8, FLT10,
-PRJ3, SNK2, T3 inputs, AGG2.
+Operators: SRC4 and JS1 (reply and container), J4/J5 (object / array match with the single-entry fallback), J6/SET3 (files
+without a result), JS2-JS6 (Markdown, images, strict base64, URL), J8/J9 (image rewrite and dangling references), FLT8,
+FLT10, PRJ3, SNK2, T3 inputs, AGG2.
 
 Replies are rows ``(batch_no, status_code, body)``, one per batch; requests are rows ``(batch_no, id, file_uid,
-file_name, local_name, absolute_path, ...)``. Matching is one equi-join of a batch's requests (a few, gathered into a
-row) with its reply; each file then chooses its item in that row.
+file_name, local_name, absolute_path, ...)``. A batch's requests (a few, gathered into a row) are joined to its reply
+once, so a body crosses the network once; an Arrow function then reads the body by events
+(``quire.operators.reply_reader``) and gives one row per file, or one row per image where images are asked for. Bodies
+and strings may be of any size that a Spark string holds.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from quire.functions.clean import MD_IMAGE, rewrite_matches
-from quire.functions.paths import name_stem, path_name
-from quire.functions.text import WS, has_text, let, literal_replacement, py_strip, regex_quote
-
-# Fixed values that must equal the reference's: field names tried, in order.
-MARKDOWN_KEYS = ("md_content", "markdown", "markdown_content", "md", "content")
-ITEM_NAME_KEYS = ("file_name", "filename", "name", "file_uid", "uid", "original_file_name")
-IMAGE_NAME_KEYS = ("image_name", "file_name", "filename", "name")
-IMAGE_CONTENT_KEYS = ("content", "base64", "data", "image_base64")
-IMAGE_URL_ROOT = "/images/"
-
-LARGE_BODY = 16 * 1024 * 1024  # no string in a smaller body reaches the parser's bound
-BLOB = "[A-Za-z0-9+/=]{1048576,}"
-VMAP = "map<string,variant>"
-VARR = "array<variant>"
-
-
-def _vtype(v: Column) -> Column:
-    return F.schema_of_variant(v)
-
-
-def _is_string(v: Column) -> Column:
-    return F.coalesce(_vtype(v) == "STRING", F.lit(False))
-
-
-def _vstr(v: Column, path: str = "$") -> Column:
-    return F.try_variant_get(v, path, "string")
-
-
-def _field(v: Column, key: str) -> Column:
-    return F.try_variant_get(v, f'$["{key}"]', "variant")
-
+from collections.abc import Iterator
 
-def _falsy(v: Column, t: Column) -> Column:
-    """Python falsiness of a JSON value ``v`` whose variant type is ``t``: null, '', 0, false, {} and []."""
-    return (
-        F.when(t.isNull() | (t == "VOID"), F.lit(True))
-        .when(t.startswith("OBJECT"), t == "OBJECT<>")
-        .when(t.startswith("ARRAY"), F.coalesce(F.size(F.try_variant_get(v, "$", VARR)) == 0, F.lit(True)))
-        .when(t == "BOOLEAN", ~F.coalesce(F.try_variant_get(v, "$", "boolean"), F.lit(False)))
-        .when(t == "STRING", F.coalesce(_vstr(v) == "", F.lit(True)))
-        .otherwise(F.coalesce(F.try_variant_get(v, "$", "double") == 0, F.lit(False)))
-    )
-
-
-def _is_truthy(v: Column) -> Column:
-    return let(_vtype(v), lambda t: ~_falsy(v, t))
-
-
-def _truthy_string(v: Column) -> Column:
-    """The string form of a truthy JSON value, NULL when falsy."""
-    return let(_vtype(v), lambda t: F.when(~_falsy(v, t), _vstr(v)))
-
-
-def _first_truthy(v: Column, keys) -> Column:
-    return F.coalesce(*[_truthy_string(_field(v, k)) for k in keys])
-
-
-def _first_truthy_value(v: Column, keys) -> Column:
-    return F.coalesce(*[F.when(_is_truthy(_field(v, k)), _field(v, k)) for k in keys])
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from quire.functions.clean import MD_IMAGE
+from quire.functions.paths import path_name
+from quire.functions.text import has_text, py_strip
+from quire.operators import reply_reader as reader
 
 # ------------------------------------------------------------------------------------------------ containers
 
 
-def reply_containers(replies: DataFrame, *keep: str) -> DataFrame:
-    """SRC4 + JS1: per reply, the result container as a map (object form) or an array (array form).
-
-    ``results`` is used unless it is missing or falsy (empty object, empty array, '', 0), then ``result``. A reply
-    that is not JSON gives neither. ``response_success`` is FLT10's 2xx test; a request not answered 2xx failed.
-    The body is parsed once; each step reads the previous one as a column. Of repeated keys the last one counts.
-    The JSON parser behind VARIANT takes strings of up to 20 million characters, less than a large image in base64. A
-    large body that it refuses is parsed again with its long base64 runs cut out; they are kept in ``blobs`` and put
-    back where an image's content is read. ``over_limit`` marks a large body in braces that cannot be parsed even then.
-    """
-    replies.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    body = F.col("body")
-    df = replies.withColumn("_v", F.try_parse_json(body))
-    refused = F.col("_v").isNull() & (F.octet_length(body) > LARGE_BODY)
-    df = df.withColumn("blobs", F.when(refused, F.regexp_extract_all(body, F.lit(BLOB), F.lit(0))))
-    rest = F.slice(F.split(body, BLOB, -1), 2, F.size("blobs"))
-    slim = F.concat(F.element_at(F.split(body, BLOB, -1), 1), F.array_join(F.transform(
-        rest, lambda piece, i: F.concat(_blob_mark(i), piece)), ""))
-    df = df.withColumn("_v", F.coalesce("_v", F.when(F.size("blobs") > 0, F.try_parse_json(slim))))
-    df = df.withColumn("_res", F.try_variant_get("_v", "$.results", "variant"))
-    df = df.withColumn("_c", F.when(_is_truthy(F.col("_res")), F.col("_res"))
-                       .otherwise(F.try_variant_get("_v", "$.result", "variant")))
-    large = F.col("_v").isNull() & (F.octet_length(body) > LARGE_BODY)
-    braced = let(py_strip(body), lambda s: s.startswith("{") & s.endswith("}"))
-    return df.select(
-        "batch_no", "status_code", F.col("_v").isNotNull().alias("is_json"),
-        F.coalesce(large & braced, F.lit(False)).alias("over_limit"),
-        F.coalesce(F.col("status_code").between(200, 299), F.lit(False)).alias("response_success"),
-        F.try_variant_get("_c", "$", VMAP).alias("entries"),
-        F.try_variant_get("_c", "$", VARR).alias("items"), "blobs", *keep,
-    )
+def _answered(status_code: int | None) -> bool:
+    """FLT10: a request not answered 2xx failed."""
+    return status_code is not None and 200 <= status_code < 300
 
 
 def reply_audit(replies: DataFrame) -> DataFrame:
     """Per reply: HTTP success (FLT10), JSON or not, container form and its number of entries."""
-    c = reply_containers(replies)
-    form = F.when(F.col("entries").isNotNull(), F.lit("object")).when(F.col("items").isNotNull(), F.lit("array"))
-    return c.select(
-        "batch_no", "status_code", "response_success", "is_json",
-        F.coalesce(form, F.lit("none")).alias("form"),
-        F.coalesce(F.size("entries"), F.size("items"), F.lit(0)).alias("entries"),
-    )
-
-
-# ------------------------------------------------------------------------------------------------ matching
-
-
-def match_items(requests: DataFrame, replies: DataFrame) -> DataFrame:
-    """J4 + J5: the result item of every requested file (NULL when none matches), with its batch facts.
-
-    A request batch holds a few files (its size is a parameter), so they are gathered into one row, joined to the reply
-    of their batch once, and each file chooses its item from the parsed container in that row: the body, with its
-    images, crosses the network once. Object form, by rank: uid, file name, local name, local stem, local path. Array
-    form: the first item named like the uid, the file name or its stem (an object without a name is named ''). A
-    container of exactly one entry serves any file.
-    """
-    asked = requests.groupBy("batch_no").agg(F.collect_list(F.struct(*requests.columns)).alias("_asked"))
-    bodies = replies.select("batch_no", "status_code", "body")
-    joined = asked.join(bodies, "batch_no", "left")
-    c = reply_containers(joined, "_asked")
-    c = c.withColumn("form", F.when(F.col("entries").isNotNull(), F.lit("object"))
-                     .when(F.col("items").isNotNull(), F.lit("array")))
-    c = c.withColumn("_names", F.transform("items", lambda x: F.when(
-        F.coalesce(_vtype(x).startswith("OBJECT"), F.lit(False)), F.coalesce(_first_truthy(x, ITEM_NAME_KEYS), F.lit("")))))
-    c = c.withColumn("_file", F.explode("_asked")).drop("_asked")
-    uid, name, local = F.coalesce(F.col("_file.file_uid"), F.lit("")), F.col("_file.file_name"), F.col("_file.local_name")
-    by_key = F.coalesce(*[F.try_element_at(F.col("entries"), k) for k in (
-        uid, name, local, name_stem(local), F.col("_file.absolute_path"))])
-    wanted = F.array(uid, name, name_stem(name))
-    spot = F.filter(F.transform("_names", lambda x, i: F.when(F.array_contains(wanted, x), i + 1)), lambda i: i.isNotNull())
-    by_name = F.try_element_at(F.col("items"), F.try_element_at(spot, F.lit(1)))
-    only = F.when(F.size("entries") == 1, F.element_at(F.map_values("entries"), 1)).when(
-        F.size("items") == 1, F.element_at("items", 1))
-    item = F.coalesce(F.when(F.col("form") == "object", by_key).when(F.col("form") == "array", by_name), only)
-    answered = F.when(F.col("status_code").isNotNull(), F.col("response_success"))
-    return c.select(*[F.col("_file")[x].alias(x) for x in requests.columns],
-                    answered.alias("response_success"), "status_code", "form", item.alias("item"), "blobs")
-
-
-def item_markdown(item: Column) -> Column:
-    """JS2: a bare string item is the Markdown; else the first string-typed, non-blank value of the Markdown keys."""
-    candidates = []
-    for k in MARKDOWN_KEYS:
-        v = _field(item, k)
-        candidates.append(F.when(_is_string(v) & has_text(_vstr(v)), _vstr(v)))
-    is_obj = F.coalesce(_vtype(item).startswith("OBJECT"), F.lit(False))
-    return F.when(_is_string(item), _vstr(item)).when(is_obj, F.coalesce(*candidates))
-
-
-# ------------------------------------------------------------------------------------------------ images
-
 
-def _blob_mark(i: Column) -> Column:
-    return F.concat(F.lit("@@blob:"), i.cast("string"), F.lit("@@"))
+    def audit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for number, status, body in zip(*(batch.column(c).to_pylist() for c in ("batch_no", "status_code", "body"))):
+                is_json, results = reader.container(body)
+                size = 0 if results is None else len(results.members()) or len(results.elements())
+                rows.append((number, status, _answered(status), is_json, "none" if results is None else results.kind, size))
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows) if rows else [[]] * 6, out)], schema=out)
 
+    schema = T.StructType([replies.schema["batch_no"], replies.schema["status_code"], T.StructField("response_success", T.BooleanType()),
+                           T.StructField("is_json", T.BooleanType()), T.StructField("form", T.StringType()), T.StructField("entries", T.IntegerType())])
+    out = _arrow_schema(schema)
+    return replies.select("batch_no", "status_code", "body").mapInArrow(audit, schema)
 
-def _with_blobs(content: Column, blobs: Column) -> Column:
-    """An image's content with the base64 runs that were cut out of its reply."""
-    put = F.aggregate(F.sequence(F.lit(0), F.size(blobs) - 1), content,
-                      lambda s, i: F.replace(s, _blob_mark(i), F.get(blobs, i)))
-    return F.when(content.contains("@@blob:"), put).otherwise(content)
 
+def _arrow_schema(schema: T.StructType) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
 
-def _after_first_comma(s: Column) -> Column:
-    return F.substring(s, F.instr(s, ",") + 1, F.length(s))
+    return to_arrow_schema(schema)
 
 
-def _image_text(content: Column) -> Column:
-    """The base64 text of an image value: data-URI prefix cut at the first comma, white space removed."""
-    bare = let(py_strip(content), lambda s: F.when(
-        F.lower(F.substring(s, 1, 5)).startswith("data:") & s.contains(","), _after_first_comma(s)).otherwise(s))
-    return F.regexp_replace(bare, WS + "+", "")
+# ------------------------------------------------------------------------------------------------ matching
 
 
-def _is_base64(s: Column) -> Column:
-    return s.rlike(r"^[A-Za-z0-9+/]*={0,2}\z") & (F.length(s) % 4 == 0)
+def _asked(requests: DataFrame, replies: DataFrame) -> DataFrame:
+    """``(batch_no, asked, status_code, body)``: the requests of a batch, whose size is a parameter, with its reply."""
+    asked = requests.groupBy("batch_no").agg(F.collect_list(F.struct(*requests.columns)).alias("asked"))
+    return asked.join(replies.select("batch_no", "status_code", "body"), "batch_no", "left")
 
 
-def decode_image(content: Column) -> Column:
-    """JS5: strict base64; NULL when invalid. Spark's ``unbase64`` accepts missing padding and junk characters, so
-    validity is tested first."""
-    return let(_image_text(content), lambda s: F.when(_is_base64(s), F.unbase64(s)))
+def _answers(row: dict) -> Iterator[tuple[dict, str | None, reader.Value | None]]:
+    """(request, form of the reply, item) of the files asked for in one batch."""
+    _, results = reader.container(row["body"])
+    form = None if results is None else results.kind
+    entries, items, names = {}, [], []
+    if results is not None:
+        entries, items = results.members(), results.elements()
+        names = [reader.item_name(x) for x in items]
+    for file in row["asked"]:
+        yield file, form, None if results is None else reader.find_item(results, entries, items, names, file)
 
 
-def is_image(content: Column) -> Column:
-    """Whether ``decode_image`` gives bytes, without decoding."""
-    return let(_image_text(content), lambda s: F.coalesce(_is_base64(s), F.lit(False)))
+_FILE_FACTS = [("response_success", T.BooleanType()), ("status_code", T.IntegerType()), ("form", T.StringType()),
+               ("raw_markdown", T.StringType()), ("markdown", T.StringType()), ("names", T.ArrayType(T.StringType()))]
 
 
-def image_entries(item: Column) -> Column:
-    """JS3 + JS4: image entries ``array<struct<pos, raw_name, content>>`` of one result item.
+def matched_files(requests: DataFrame, replies: DataFrame) -> DataFrame:
+    """J4, J5, JS2-JS6, J8: per requested file its batch's facts, the Markdown as it came (NULL unless answered and not
+    empty) and with its stored images' URLs, and the names under which images are stored, in order.
 
-    Object form: name -> content (a nested object yields its first content field, else ''). Array form: objects
-    (name fields, else ``image_<n>.png``; no content -> dropped) and bare strings (``image_<n>.png``).
+    No image content leaves the function; ``reply_images`` gives that.
     """
-    images = F.try_variant_get(item, "$.images", "variant")
-    t = "struct<pos:int,raw_name:string,content:string>"
-
-    def content_of(v):
-        nested = F.coalesce(_first_truthy(v, IMAGE_CONTENT_KEYS), F.lit(""))
-        return F.when(F.coalesce(_vtype(v).startswith("OBJECT"), F.lit(False)), nested).otherwise(_vstr(v))
-
-    obj = F.transform(F.map_entries(F.try_variant_get(images, "$", VMAP)), lambda e, i: F.struct(
-        i.alias("pos"), e["key"].alias("raw_name"), content_of(e["value"]).alias("content")))
-
-    def from_item(x, i):
-        is_obj = F.coalesce(_vtype(x).startswith("OBJECT"), F.lit(False))
-        default = F.concat(F.lit("image_"), (i + 1).cast("string"), F.lit(".png"))
-        raw = _first_truthy_value(x, IMAGE_CONTENT_KEYS)
-        return F.struct(
-            i.alias("pos"),
-            F.when(is_obj, F.coalesce(_first_truthy(x, IMAGE_NAME_KEYS), default))
-            .when(_is_string(x), default).alias("raw_name"),
-            F.when(is_obj, content_of(raw)).when(_is_string(x), _vstr(x)).alias("content"),
-        )
-
-    named = F.filter(F.transform(F.try_variant_get(images, "$", VARR), from_item),
-                     lambda e: e["raw_name"].isNotNull() & e["content"].isNotNull())
-
-    def last_of_name(all_):
-        """One entry per raw name, at its first place and with its last content (also one that will not decode)."""
-        firsts = F.filter(all_, lambda e: ~F.exists(all_, lambda x: (x["pos"] < e["pos"]) & (x["raw_name"] == e["raw_name"])))
-        return F.transform(firsts, lambda e: F.struct(
-            e["pos"].alias("pos"), e["raw_name"].alias("raw_name"),
-            F.element_at(F.filter(all_, lambda x: x["raw_name"] == e["raw_name"]), -1)["content"].alias("content")))
-
-    arr = let(named, last_of_name)
-    return F.coalesce(obj.cast(f"array<{t}>"), arr.cast(f"array<{t}>"), F.array().cast(f"array<{t}>"))
-
-
-def stored_image_names(entries: Column) -> Column:
-    """Base names of the entries that decode (the names an image is stored under), distinct."""
-    ok = F.filter(entries, lambda e: (path_name(e["raw_name"]) != "") & is_image(e["content"]))
-    return F.array_distinct(F.transform(ok, lambda e: path_name(e["raw_name"])))
-
-
-def image_url_map(file_id: Column, names: Column) -> Column:
-    """JS6: base name -> ``/images/<file_id>/<name>``."""
-    return F.map_from_arrays(names, F.transform(names, lambda n: F.concat(
-        F.lit(IMAGE_URL_ROOT), file_id.cast("string"), F.lit("/"), n)))
-
-
-def stored_images(files: DataFrame) -> DataFrame:
-    """JS5 + JS6 + SNK3 over ``files(id, entries)``: decoded images ``(file_id, image_name, url, bytes, pos)``;
-    undecodable ones skipped; of two entries with the same base name the later one is stored."""
-    e = files.select("id", F.inline("entries"))
-    decoded = e.select("id", "pos", path_name(F.col("raw_name")).alias("image_name"),
-                       decode_image(F.col("content")).alias("bytes"))
-    decoded = decoded.filter((F.col("image_name") != "") & F.col("bytes").isNotNull())
-    best = decoded.groupBy("id", "image_name").agg(F.max_by("bytes", "pos").alias("bytes"), F.min("pos").alias("pos"))
-    return best.select(
-        F.col("id").alias("file_id"), "image_name",
-        F.concat(F.lit(IMAGE_URL_ROOT), F.col("id").cast("string"), F.lit("/"), F.col("image_name")).alias("url"),
-        "bytes", "pos",
-    )
-
-
-def rewrite_image_names(md: Column, names: Column) -> Column:
-    """``names`` is a map base name -> stored URL. Markdown references whose base name is stored get the URL
-    (alt text kept); then bare mentions not touching ``[\\w/.-]`` on either side are replaced."""
-
-    def ref(m):
-        path = py_strip(F.regexp_extract(m, MD_IMAGE, 2))
-        base = path_name(F.regexp_extract(path, r"^([^#?]*)", 1))
-        new = F.element_at(names, base)
-        return F.when(new.isNotNull(), F.concat(F.lit("!["), F.regexp_extract(m, MD_IMAGE, 1), F.lit("]("), new,
-                                                F.lit(")"))).otherwise(m)
-
-    step1 = rewrite_matches(md, MD_IMAGE, ref, guard=r"!\[", prefilter="![")
-    edge = r"[\p{L}\p{N}_/.\-]"
-
-    def bare(acc, e):
-        pattern = F.concat(F.lit("(?<!" + edge + ")"), regex_quote(e["key"]), F.lit("(?!" + edge + ")"))
-        return F.regexp_replace(acc, pattern, literal_replacement(e["value"]))
-
-    return F.when(F.coalesce(F.size(names), F.lit(0)) == 0, md).otherwise(
-        F.aggregate(F.map_entries(names), step1, bare)
-    )
+    schema = T.StructType([*requests.schema, *[T.StructField(c, t) for c, t in _FILE_FACTS]])
+    out = _arrow_schema(schema)
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                status, rows = row["status_code"], []
+                for file, form, item in _answers(row):
+                    raw = text = names = None
+                    if item is not None and _answered(status):
+                        members = item.members()
+                        raw = reader.item_markdown(item, members)
+                        if raw is not None:
+                            stored = {n: reader.image_url(file["id"], n) for n, _ in _stored(members)}
+                            names, text = list(stored), reader.rewritten(raw, stored)
+                    rows.append({**file, "response_success": None if status is None else _answered(status), "status_code": status,
+                                 "form": form, "raw_markdown": raw, "markdown": text, "names": names})
+                yield pa.RecordBatch.from_pylist(rows, schema=out)
+
+    return _asked(requests, replies).mapInArrow(match, schema)
+
+
+def _stored(members: dict[str, reader.Value]) -> Iterator[tuple[str, bytes]]:
+    """(base name, bytes) of the images that decode."""
+    for raw_name, content in reader.item_images(members):
+        name = reader.PurePosixPath(raw_name).name
+        data = reader.decoded_image(content) if name else None
+        if data is not None:
+            yield name, data
+
+
+def stored_images(requests: DataFrame, replies: DataFrame) -> DataFrame:
+    """JS3-JS6 + SNK3: decoded images ``(file_id, image_name, url, bytes, pos)``, one row each; undecodable ones and
+    those of files without Markdown are skipped; of two entries with the same base name the later one is stored."""
+    schema = T.StructType([T.StructField("file_id", requests.schema["id"].dataType), T.StructField("image_name", T.StringType()),
+                           T.StructField("url", T.StringType()), T.StructField("bytes", T.BinaryType()), T.StructField("pos", T.IntegerType())])
+    out = _arrow_schema(schema)
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                if not _answered(row["status_code"]):
+                    continue
+                for file, _, item in _answers(row):
+                    members = {} if item is None else item.members()
+                    if item is None or reader.item_markdown(item, members) is None:
+                        continue
+                    last = {name: pos for pos, (name, _) in enumerate(_stored(members))}
+                    for pos, (name, data) in enumerate(_stored(members)):
+                        if last[name] == pos:
+                            yield pa.RecordBatch.from_pylist([{
+                                "file_id": file["id"], "image_name": name, "url": reader.image_url(file["id"], name),
+                                "bytes": data, "pos": pos}], schema=out)
+
+    return _asked(requests.select("batch_no", "id", "file_uid", "file_name", "local_name", "absolute_path"), replies).mapInArrow(decode, schema)
 
 
 def dangling_references(files: DataFrame) -> DataFrame:
@@ -312,40 +159,24 @@ def dangling_references(files: DataFrame) -> DataFrame:
         "id", "pos", "image_name")
 
 
-def matched_files(requests: DataFrame, replies: DataFrame) -> DataFrame:
-    """Per requested file: batch facts, the raw Markdown (NULL unless answered and non-empty), image entries and the
-    names stored for it. Everything after the match is row-local."""
-    m = match_items(requests, replies)
-    m = m.withColumn("raw_markdown", F.when(F.col("response_success"), item_markdown(F.col("item"))))
-    m = m.withColumn("raw_markdown", F.when(F.col("raw_markdown") != "", F.col("raw_markdown")))
-    m = m.withColumn("entries", F.when(F.col("raw_markdown").isNotNull(), image_entries(F.col("item"))))
-    whole = F.transform("entries", lambda e: F.struct(
-        e["pos"].alias("pos"), e["raw_name"].alias("raw_name"), _with_blobs(e["content"], F.col("blobs")).alias("content")))
-    m = m.withColumn("entries", F.when(F.size("blobs") > 0, whole).otherwise(F.col("entries"))).drop("blobs")
-    return m.withColumn("names", stored_image_names(F.col("entries"))).drop("item")
-
-
 def parse_results(requests: DataFrame, replies: DataFrame) -> DataFrame:
     """``file_results`` of the matched files, in one plan (see there for a written table in between)."""
     return file_results(matched_files(requests, replies))
 
 
 def file_results(m: DataFrame) -> DataFrame:
-    """PRJ3 (+ J8): one parse result per requested file of ``matched_files``, which is better written first: filters
-    on it would otherwise be pushed below the parsing and copy it.
+    """PRJ3: one parse result per requested file of ``matched_files``, which is better written first where it has
+    several readers.
 
     ``parse_status`` is 'success' for every file of an answered (2xx) request and 'failed' otherwise; the Markdown
     is the matched item's, rewritten to the URLs of the images stored for it, or NULL.
     """
-    names = image_url_map(F.col("id"), F.col("names"))
-    md = F.when(F.size("names") > 0, rewrite_image_names(F.col("raw_markdown"), names)).otherwise(
-        F.col("raw_markdown"))
     return m.select(
         F.col("file_ext").alias("file_type"), "id", "file_uid", "file_name", "absolute_path",
         F.when(F.col("response_success"), F.lit("success")).otherwise(F.lit("failed")).alias("parse_status"),
         F.when(F.col("response_success"), F.col("status_code")).alias("status_code"),
         F.coalesce(F.col("response_success"), F.lit(False)).alias("response_success"),
-        md.alias("markdown_content"), "batch_no",
+        F.col("markdown").alias("markdown_content"), "batch_no",
     )
 
 

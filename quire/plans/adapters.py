@@ -277,6 +277,28 @@ def parser_replies(requests: DataFrame, documents: DataFrame) -> DataFrame:
     return per_batch.select("batch_no", status.alias("status_code"), body.alias("body"))
 
 
+HEAVY_COPIES = 8
+
+
+def heavy_replies(documents: DataFrame) -> DataFrame:
+    """One reply per document ``(batch_no, status_code, body, file_name)`` that holds it many times: as Markdown beside
+    an inline data URI of the text's bytes, as an image of ``HEAVY_COPIES`` times the text (with line ends every few
+    characters when ``k % 2 = 1``), as an older Markdown and an older image that later keys replace, and under
+    ``result`` beside a repeated, empty ``results``."""
+    k = F.col("doc_id")
+    name = F.concat(F.lit("doc"), _s(k), F.lit(".pdf"))
+    image = F.concat(F.lit("p"), _s(k), F.lit(".png"))
+    b64 = F.regexp_replace(F.base64(F.encode(F.col("text"), "UTF-8")), r"[\r\n]", "")
+    large = F.regexp_replace(F.base64(F.encode(F.repeat("text", F.lit(HEAVY_COPIES)), "UTF-8")), r"[\r\n]", "")
+    broken = F.when(k % 2 == 1, F.regexp_replace(large, "(.{60})", "$1\n ")).otherwise(large)
+    md = F.concat(F.col("text"), F.lit("\n![inline](data:image/png;base64,"), b64, F.lit(")\n![fig](a/"), image, F.lit(")"))
+    item = F.concat(
+        F.lit('{"md": "old", "images": {'), _json_str(image), F.lit(': "b2xk", '), _json_str(image), F.lit(": "),
+        _json_str(F.concat(F.lit("data:image/png;base64,"), broken)), F.lit('}, "md": '), _json_str(md), F.lit("}"))
+    body = F.concat(F.lit('{"results": {"x": 1}, "result": {'), _json_str(name), F.lit(": "), item, F.lit('}, "results": {}}'))
+    return documents.select(k.alias("batch_no"), F.lit(200).alias("status_code"), body.alias("body"), name.alias("file_name"))
+
+
 UPLOAD_REPLY_BODIES = ('{"status":"success"}', '{"status":"failure"}', '{"status":"partial_success"}',
                        '{"status":"duplicated"}', "ok")
 

@@ -488,6 +488,16 @@ SELECT id, batch_no, CASE WHEN answered THEN 'success' ELSE 'failed' END AS pars
        length(markdown) AS md_len, md5(markdown) AS md_md5
 FROM md"""
 
+ORACLES["large_replies"] = f"""
+WITH d AS (SELECT doc_id AS id, text, CAST(doc_id AS VARCHAR) AS k FROM documents),
+md AS (
+  SELECT id, text || chr(10) || '![inline](data:image/png;base64,' || base64(encode(text)) || ')' || chr(10)
+         || '![fig](/images/' || k || '/p' || k || '.png)' AS markdown FROM d
+)
+SELECT id, '' AS name, length(markdown) AS size, md5(markdown) AS digest FROM md
+UNION ALL
+SELECT id, 'p' || k || '.png', CAST(strlen(text) * {A.HEAVY_COPIES} AS BIGINT), md5(repeat(text, {A.HEAVY_COPIES})) FROM d"""
+
 ORACLES["parse_outcomes"] = REPLY_CHAIN + f"""
 SELECT id, has_md AS ok, CASE WHEN has_md THEN '{A.MD_ROOT}/' || file_hash || '.md' END AS parse_path FROM exp"""
 

@@ -239,11 +239,9 @@ def _reply_inputs(spark: SparkSession, sf_dir: str):
 
 
 def _matched(spark: SparkSession, sf_dir: str):
-    """Requests and their matched files, written: filters on the latter must not be pushed below the parsing."""
+    """Requests and their matched files, without image contents; one reader or a written table, never parsed twice."""
     requests, replies = _reply_inputs(spark, sf_dir)
-    path = scratch_path(spark, "matched-files")
-    RP.matched_files(requests, replies).write.parquet(path)
-    return requests, spark.read.parquet(path)
+    return requests, RP.matched_files(requests, replies)
 
 
 def _parse_results(spark: SparkSession, sf_dir: str):
@@ -263,11 +261,26 @@ def reply_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("reply_match")
 def reply_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, results = _parse_results(spark, sf_dir)
+    _, matched = _matched(spark, sf_dir)
+    results = RP.file_results(matched)
     md = F.col("markdown_content")
     return results.select("id", "batch_no", "parse_status", F.length(md).cast("bigint").alias("md_len"), F.md5(md).alias("md_md5"))
 
 
+@query("large_replies")
+def large_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC4 and JS1-JS6 over replies that hold their documents several times: inline data URIs in the Markdown,
+    repeated keys, blanks in the base64 and images of the documents' whole size. Whole texts and bytes are compared."""
+    replies = A.heavy_replies(_docs(spark, sf_dir))
+    requests = replies.select("batch_no", F.col("batch_no").alias("id"), F.lit("").alias("file_uid"), "file_name",
+                              F.col("file_name").alias("local_name"), F.concat(F.lit("/t/"), "file_name").alias("absolute_path"))
+    files = RP.matched_files(requests, replies)
+    images = RP.stored_images(requests, replies).select(
+        F.col("file_id").alias("id"), F.col("image_name").alias("name"), F.octet_length("bytes").cast("bigint").alias("size"), F.md5("bytes").alias("digest"))
+    md = F.col("markdown")
+    return files.select("id", F.lit("").alias("name"), F.length(md).cast("bigint").alias("size"), F.md5(md).alias("digest")).unionByName(images)
+
+
 @query("parse_outcomes")
 def parse_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests, results = _parse_results(spark, sf_dir)
@@ -276,8 +289,7 @@ def parse_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("images_decoded")
 def images_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, matched = _matched(spark, sf_dir)
-    stored = RP.stored_images(matched.where(F.col("entries").isNotNull()))
+    stored = RP.stored_images(*_reply_inputs(spark, sf_dir))
     return stored.select(
         "file_id", "image_name", "url", F.octet_length("bytes").cast("bigint").alias("n_bytes"), F.md5("bytes").alias("bytes_md5")
     )
@@ -348,9 +360,8 @@ def stored_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stored_image_files")
 def stored_image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK3: the image store, written in buckets and read back."""
-    _, matched = _matched(spark, sf_dir)
     path = scratch_path(spark, "image-store")
-    write_image_store(RP.stored_images(matched.where(F.col("entries").isNotNull())), path)
+    write_image_store(RP.stored_images(*_reply_inputs(spark, sf_dir)), path)
     return spark.read.parquet(path).select(
         "file_id", "image_name", F.octet_length("bytes").cast("bigint").alias("n_bytes"), F.md5("bytes").alias("bytes_md5"))
 
@@ -507,7 +518,7 @@ def block_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def image_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK5: a reference row per stored image, inserted unless present (existing rows: every third file's)."""
     _, matched = _matched(spark, sf_dir)
-    stored = matched.where(F.col("entries").isNotNull()).select("id", "file_uid", F.explode("names").alias("image_file"))
+    stored = matched.select("id", "file_uid", F.explode("names").alias("image_file"))
     candidates = stored.select("file_uid", "image_file")
     existing = stored.filter(F.col("id") % 3 == 0).select("file_uid", "image_file")
     return RP.insert_image_refs(existing, candidates.unionByName(candidates))

@@ -3,10 +3,15 @@
 import base64
 import hashlib
 import json
+import random
+import re
+import time
+from pathlib import PurePosixPath
 
 from pyspark.sql import functions as F
 
 from quire.operators import replies as RP
+from quire.operators import reply_reader as reader
 from quire.operators import upload as U
 
 
@@ -60,8 +65,7 @@ def test_images_and_rewrite(spark):
     got = _match(spark, req, [(1, 200, body)])
     assert got[7][1] == "![alt](/images/7/p1.png) see /images/7/p1.png, not xp1.png or d/p1.png"
     reps = spark.createDataFrame([(1, 200, body)], "batch_no bigint, status_code int, body string")
-    files = RP.matched_files(req, reps)
-    stored = {r.image_name: bytes(r.bytes) for r in RP.stored_images(files).collect()}
+    stored = {r.image_name: bytes(r.bytes) for r in RP.stored_images(req, reps).collect()}
     assert stored == {"q.png": b"hello", "image_2.png": b"hello", "p1.png": b"hello"}
 
 
@@ -121,9 +125,6 @@ def test_repeated_status_and_large_replies(spark):
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
     got = {r.i: r.ok for r in df.select("i", U.reply_ok(F.lit(200), F.col("body")).alias("ok")).collect()}
     assert got == {1: False, 2: True, 3: True, 4: True, 5: False}
-    big = '{"results": {"a": {"md": "' + "x, " * (7 << 20) + '"}}}'
-    c = RP.reply_containers(spark.createDataFrame([(1, 200, big), (2, 200, "junk"), (3, 200, "{}")], "batch_no long, status_code int, body string"))
-    assert {r.batch_no: (r.is_json, r.over_limit) for r in c.select("batch_no", "is_json", "over_limit").collect()} == {1: (False, True), 2: (False, False), 3: (True, False)}
 
 
 def test_no_text_or_content_in_shuffles(spark):
@@ -146,16 +147,80 @@ def test_no_text_or_content_in_shuffles(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_reply_with_a_very_large_image(spark):
-    """One image of more than 20 million base64 characters beside a small one, a data URI and the Markdown."""
-    image = bytes(range(256)) * 64_000
-    text = base64.b64encode(image).decode()
-    assert len(text) > 20_000_000
-    body = json.dumps({"results": {"a.pdf": {"md_content": "![x](big.png) ![y](small.png)", "images": {
-        "big.png": "data:image/png;base64," + text, "small.png": base64.b64encode(b"s").decode()}}}})
+def test_replies_of_any_size(spark):
+    """Images and Markdown of more than 25 MB, a data URI of 2 MiB in the Markdown, repeated keys: exact bytes and text."""
+    image = bytes(range(256)) * 100_000
+    inline = base64.b64encode(image[: 3 << 19]).decode()
+    text = "long, " * 5_000_000 + f"![x](data:image/png;base64,{inline}) ![big](big.png)"
+    data = base64.b64encode(image).decode()
+    body = '{"results": {"a.pdf": "old", "a.pdf": ' + json.dumps({"md_content": text, "images": {
+        "big.png": "data:image/png;base64," + data, "small.png": base64.b64encode(b"s").decode()}}) + '}, "other": "' + "x" * (1 << 20) + '"}'
     requests = spark.createDataFrame([(1, 10, "", "a.pdf", "a.pdf", "/t/a.pdf")],
                                      "batch_no long, id long, file_uid string, file_name string, local_name string, absolute_path string")
-    files = RP.matched_files(requests, spark.createDataFrame([(1, 200, body)], "batch_no long, status_code int, body string"))
-    got = {r.image_name: (r.n, r.h) for r in RP.stored_images(files).select(
+    replies = spark.createDataFrame([(1, 200, body)], "batch_no long, status_code int, body string")
+    got = {r.image_name: (r.n, r.h) for r in RP.stored_images(requests, replies).select(
         "image_name", F.octet_length("bytes").alias("n"), F.sha2("bytes", 256).alias("h")).collect()}
     assert got == {"big.png": (len(image), hashlib.sha256(image).hexdigest()), "small.png": (1, hashlib.sha256(b"s").hexdigest())}
+    (file,) = RP.matched_files(requests, replies).select("names", F.sha2("raw_markdown", 256).alias("raw"), F.sha2("markdown", 256).alias("md")).collect()
+    assert file.raw == hashlib.sha256(text.encode()).hexdigest()
+    assert file.md == hashlib.sha256(text.replace("![big](big.png)", "![big](/images/10/big.png)").encode()).hexdigest()
+    assert file.names == ["big.png", "small.png"]
+
+
+def test_reader_equals_json(spark):
+    """Event reading against ``json.loads`` on random values, whole, cut and damaged."""
+    rng = random.Random(3)
+
+    def value(depth):
+        kind = rng.randrange(9 if depth else 5)
+        if kind > 6:
+            return {rng.choice(["results", "result", "a", "é\n", ""]): value(depth - 1) for _ in range(rng.randrange(4))}
+        if kind > 4:
+            return [value(depth - 1) for _ in range(rng.randrange(4))]
+        return [None, True, rng.choice([0, 1.5, -3, 0.0]), rng.choice(["", "x", 'q"\\u\u2028'])][rng.randrange(4)]
+
+    def loaded(v):
+        return {k: loaded(x) for k, x in v.members().items()} if v.kind == "object" else [loaded(x) for x in v.elements()] if v.kind == "array" else v.load()
+
+    for _ in range(4000):
+        text = json.dumps(value(4), indent=rng.choice([None, 1]), ensure_ascii=rng.random() < 0.5)
+        if rng.random() < 0.5:
+            at = rng.randrange(len(text) + 1)
+            text = text[:at] + rng.choice(["", ",", "}", '"', " ", "1"]) + text[at + rng.randrange(2):]
+        try:
+            whole, ok = json.loads(text), True
+        except ValueError:
+            whole, ok = None, False
+        is_json, found = reader.container(text)
+        assert is_json == ok
+        results = (whole.get("results") or whole.get("result")) if isinstance(whole, dict) else None
+        assert (None if found is None else loaded(found)) == (results if isinstance(results, (dict, list)) else None)
+    assert reader.container("[" * 100_000) == (False, None) and reader.container(None) == (False, None)
+
+
+def plain_rewrite(text, urls):
+    def ref(m):
+        name = PurePosixPath(m.group(2).strip().split("#", 1)[0].split("?", 1)[0]).name
+        return f"![{m.group(1)}]({urls[name]})" if name in urls else m.group(0)
+
+    text = re.sub(r"!\[([^\]]*)]\(([^)]+)\)", ref, text)
+    for old, new in urls.items():
+        text = re.sub(rf"(?<![\w/.-]){re.escape(old)}(?![\w/.-])", lambda _: new, text)
+    return text
+
+
+def test_image_rewrite_takes_one_pass():
+    rng = random.Random(6)
+    names = ["p.png", "a b.png", "b.png", "ü-1.jpg", "x(1).png", "1", "b", "images", "."]
+    marks = [*names, " ", " ", "![", "](", ")", "/", "-", "![f](d/b.png?x)", "\n"]
+    for _ in range(3000):
+        urls = {n: f"/images/1/{n}" for n in rng.sample(names, rng.randrange(6))}
+        text = "".join(rng.choice(marks) for _ in range(rng.randrange(14)))
+        assert reader.rewritten(text, urls) == plain_rewrite(text, urls)
+    took = []
+    text = " ".join(f"p{i}.png word" for i in range(20_000))
+    for n in (10, 10_000):
+        began = time.perf_counter()
+        reader.rewritten(text, {f"p{i}.png": f"/images/1/p{i}.png" for i in range(n)})
+        took.append(time.perf_counter() - began)
+    assert took[1] < 10 * took[0] + 0.5
