@@ -26,6 +26,7 @@ from quire.functions.paths import (
 from quire.functions.text import py_strip
 from quire.operators.numbering import dense_number
 from quire.session import checkpoint_dir
+from quire.sources.registry_log import RegistryLog
 
 VERDICTS = ("inserted", "skipped_existing", "skipped_unsupported", "skipped_temp", "missing_remote", "failed")
 COUNTERS = ("fetched", "checked") + VERDICTS
@@ -74,7 +75,14 @@ def resolve_paths(paths: DataFrame, listing: DataFrame) -> DataFrame:
     )
 
 
-def register_verdicts(nas_files: DataFrame, listing: DataFrame, registry: DataFrame, hasher: Hasher) -> DataFrame:
+def known_values(registry: DataFrame | RegistryLog, column: str, values: DataFrame) -> DataFrame:
+    """The values that the registry holds; a log opens only their buckets."""
+    if isinstance(registry, RegistryLog):
+        return registry.known(column, values)
+    return registry.select(column).join(values, column, "left_semi").distinct()
+
+
+def register_verdicts(nas_files: DataFrame, listing: DataFrame, registry: DataFrame | RegistryLog, hasher: Hasher) -> DataFrame:
     """FLT4: one verdict per ready catalogue row, in the reference's rule order.
 
     blank -> missing_remote; unsupported type -> skipped_unsupported; Office temp -> skipped_temp; path already in
@@ -100,7 +108,7 @@ def register_verdicts(nas_files: DataFrame, listing: DataFrame, registry: DataFr
     # The registry is first cut to the paths asked for: a small batch is broadcast to it, and of a large registry only
     # the hits are shuffled.
     asked = open_rows.select("original_path").distinct()
-    known = registry.select("original_path").join(asked, "original_path", "left_semi").distinct()
+    known = known_values(registry, "original_path", asked)
     flagged = asked.join(known.withColumn("known", F.lit(True)), "original_path", "left")
     resolved = resolve_paths(flagged.filter(F.col("known").isNull()).select("original_path"), listing)
     hashes = hasher(resolved.select(F.col("resolved_path").alias("path")).distinct())
@@ -123,7 +131,7 @@ def register_verdicts(nas_files: DataFrame, listing: DataFrame, registry: DataFr
     # W1 + J2: smallest id per new hash (partial aggregation); hashes already registered are removed (distinct,
     # so unique keys); winners come back on the unique id.
     firsts = open_rows.filter("found").groupBy("file_hash").agg(F.min("id").alias("id"))
-    registered = registry.select("file_hash").join(firsts.select("file_hash"), "file_hash", "left_semi").distinct()
+    registered = known_values(registry, "file_hash", firsts.select("file_hash"))
     winners = firsts.join(registered, "file_hash", "left_anti").select("id", F.lit(True).alias("winner"))
     open_rows = open_rows.join(winners, "id", "left")
 
@@ -152,7 +160,7 @@ def scan_counters(verdicts: DataFrame) -> DataFrame:
     )
 
 
-def new_registry_rows(verdicts: DataFrame, registry: DataFrame, now: int) -> DataFrame:
+def new_registry_rows(verdicts: DataFrame, registry: DataFrame | RegistryLog, now: int) -> DataFrame:
     """PRJ1: registry rows for inserted files; ids continue after the registry's largest id, in catalogue order.
 
     Both states start at 0 and ``parse_path`` at '' (the table defaults); ``now`` is a parameter so reruns are
@@ -161,7 +169,7 @@ def new_registry_rows(verdicts: DataFrame, registry: DataFrame, now: int) -> Dat
     inserted = verdicts.filter(F.col("verdict") == "inserted").select(
         F.col("id").alias("catalogue_id"), "file_name", "file_ext", "file_size", "file_hash", "original_path"
     )
-    base = registry.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
+    base = F.lit(registry.max_id()) if isinstance(registry, RegistryLog) else registry.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
     numbered = dense_number(inserted, ["catalogue_id"], name="seq", start=1)
     return numbered.select(
         (base + F.col("seq")).cast("bigint").alias("id"),

@@ -791,3 +791,16 @@ FROM md WHERE has_md GROUP BY file_hash"""
 ORACLES["stored_image_files"] = (
     ORACLES["images_decoded"].replace("'/images/' || CAST(id AS VARCHAR) || '/p' || CAST(id AS VARCHAR) || '.png' AS url,", "")
     .replace("'/images/' || CAST(id AS VARCHAR) || '/image_2.png',", ""))
+
+ORACLES["stream_cycle"] = ORACLES["parse_cycle"].replace("WITH ", f"WITH {STORE.strip()}, ", 1).replace(
+    "SELECT r.id, CAST(CASE WHEN d.ok", ", p AS (SELECT r.id, coalesce(d.ok, false) AND c.route = 'parser' AS fresh, CAST(CASE WHEN d.ok").replace(
+    "FROM registry r LEFT JOIN done d ON d.id = r.id", "FROM registry r LEFT JOIN done d ON d.id = r.id LEFT JOIN claimed c ON c.id = r.id)") + f""",
+rec AS (SELECT *, clean_status = 1 AND updated_at < {NOW} - 3600 AS late FROM p),
+flow AS (
+  SELECT r.id, (s.path IS NOT NULL OR r.fresh) AND {UPLOAD_OK.format(k='r.id')} AS ok
+  FROM rec r LEFT JOIN store s ON s.path = r.parse_path
+  WHERE (r.clean_status = 0 OR r.late) AND r.parse_status = 2 AND r.parse_path <> ''
+)
+SELECT r.id, r.parse_status, CAST(CASE WHEN f.ok THEN 2 WHEN f.id IS NOT NULL THEN -1 WHEN r.late THEN 0 ELSE r.clean_status END AS TINYINT) AS clean_status,
+       r.parse_path, CASE WHEN f.id IS NOT NULL THEN {NOW} + 1 WHEN r.late THEN {NOW} ELSE r.updated_at END AS updated_at
+FROM rec r LEFT JOIN flow f ON f.id = r.id"""

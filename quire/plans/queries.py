@@ -478,6 +478,29 @@ def stream_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_verdicts(spark, f"{base}/out").select("id", "original_path", "verdict")
 
 
+@query("stream_cycle")
+def stream_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1-ST4: the parser's replies arrive in three parts; each is matched, judged, cleaned, uploaded and committed by
+    an ``availableNow`` run of the same stream, late clean claims are taken back, and the registry is compacted between."""
+    from quire.sources.registry_log import RegistryLog
+    from quire.streaming.cycle_stream import Cycle, start_cycle_stream, start_cycles
+
+    docs, registry = _docs(spark, sf_dir), _registry(spark, sf_dir)
+    requests, replies = _reply_inputs(spark, sf_dir)
+    base = scratch_path(spark, "stream-cycle")
+    log = RegistryLog(spark, f"{base}/state")
+    claimed = B.parse_claims(registry).withColumn("route", B.route(F.col("file_ext")))
+    start_cycles(log, registry, claimed, requests, A.NOW)
+    cycle = Cycle(log, f"{base}/out", requests, A.markdown_store(docs), lambda rows: A.upload_replies(rows, "id"), A.NOW,
+                  output_dir=PARSE_OUTPUT_DIR)
+    for part in range(STREAM_PARTS):
+        replies.where(F.pmod(F.hash("batch_no"), F.lit(STREAM_PARTS)) == part).write.mode("append").parquet(f"{base}/source")
+        start_cycle_stream(spark, cycle, f"{base}/source", f"{base}/checkpoint").awaitTermination()
+        if part == 0:
+            log.compact()
+    return log.rows().select("id", "parse_status", "clean_status", "parse_path", "updated_at")
+
+
 # ---------------------------------------------------------------------------------------------- extraction
 
 

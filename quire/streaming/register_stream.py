@@ -3,68 +3,57 @@
 Catalogue files arriving in a folder are read with ``readStream``; every micro-batch runs the batch registration
 job (``quire.operators.register``) inside ``foreachBatch``:
 
-* the dedup state is the registry itself (ST3): the base registry plus every row earlier batches inserted, read
-  back from the output folder; no unbounded state store is kept;
-* each batch writes its verdicts and new registry rows under ``batch_id=<n>`` with overwrite, so a replayed batch
-  (after a failure) rewrites the same folder and changes nothing;
-* ``trigger(availableNow=True)`` runs until idle (ST1); ``processingTime`` polls (ST2); ``recover`` (ST4) is applied
-  to the registry at the head of every batch when given (e.g. the stale-clean recovery).
+* the dedup state is the registry itself (ST3), kept as a compacted base and a log of changes
+  (``quire.sources.registry_log``): a batch opens the buckets of its own paths and hashes and appends its own rows; no
+  unbounded state store is kept;
+* each batch writes its verdicts and new rows under ``batch_id=<n>`` with overwrite and then commits; a replayed batch
+  (after a failure) rewrites the same folders, or finds its commit and changes nothing;
+* ``trigger(availableNow=True)`` runs until idle (ST1); ``processingTime`` polls (ST2). Parsing, cleaning and late work
+  are the other stream's (``quire.streaming.cycle_stream``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from quire.operators import register as R
+from quire.sources.registry_log import RegistryLog
 
 CATALOGUE_SCHEMA = StructType([
     StructField("id", LongType()), StructField("full_path", StringType()), StructField("status", IntegerType()),
 ])
 
 
-def _read_written(spark: SparkSession, path: str, before: int) -> DataFrame | None:
-    """Rows that batches before ``before`` have written; None before the first one. Errors of a read are raised."""
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
-        return None
-    return spark.read.parquet(path).filter(F.col("batch_id") < before).drop("batch_id")
-
-
 def register_batch_writer(spark: SparkSession, out_dir: str, listing: DataFrame, base_registry: DataFrame,
-                          hasher: R.Hasher, now: int,
-                          recover: Callable[[DataFrame], DataFrame] | None = None):
+                          hasher: R.Hasher, now: int):
     """The ``foreachBatch`` function: register one micro-batch of catalogue rows against the registry so far."""
+    log = RegistryLog(spark, f"{out_dir}/state")
+    log.create(base_registry)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        registry = base_registry
-        written = _read_written(spark, f"{out_dir}/registry", batch_id)
-        if written is not None:
-            registry = registry.unionByName(written.select(*base_registry.columns), allowMissingColumns=False)
-        if recover is not None:
-            registry = recover(registry)
-        verdicts = R.register_verdicts(batch, listing, registry, hasher).cache()
-        verdicts.write.mode("overwrite").parquet(f"{out_dir}/verdicts/batch_id={batch_id}")
-        new_rows = R.new_registry_rows(verdicts, registry, now).drop("catalogue_id")
-        new_rows.write.mode("overwrite").parquet(f"{out_dir}/registry/batch_id={batch_id}")
-        verdicts.unpersist()
+        if log.committed(batch_id):
+            return
+        verdicts_path, rows_path = f"{out_dir}/verdicts/batch_id={batch_id}", f"{out_dir}/registry/batch_id={batch_id}"
+        R.register_verdicts(batch, listing, log, hasher).write.mode("overwrite").parquet(verdicts_path)
+        verdicts = spark.read.parquet(verdicts_path)
+        new_rows = R.new_registry_rows(verdicts, log, now).select(*base_registry.columns)
+        new_rows.write.mode("overwrite").parquet(rows_path)
+        log.commit(batch_id, spark.read.schema(new_rows.schema).parquet(rows_path))
 
     return run
 
 
 def start_register_stream(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, listing: DataFrame,
                           base_registry: DataFrame, hasher: R.Hasher, now: int, trigger: dict | None = None,
-                          files_per_batch: int = 1, recover=None):
+                          files_per_batch: int = 1):
     """Start the stream over catalogue parquet files in ``source_dir``; returns the ``StreamingQuery``."""
     stream = (
         spark.readStream.schema(CATALOGUE_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
         .parquet(source_dir)
     )
     writer = stream.writeStream.foreachBatch(
-        register_batch_writer(spark, out_dir, listing, base_registry, hasher, now, recover)
+        register_batch_writer(spark, out_dir, listing, base_registry, hasher, now)
     ).option("checkpointLocation", checkpoint)
     writer = writer.trigger(**(trigger or {"availableNow": True}))
     return writer.start()
