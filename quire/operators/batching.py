@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from quire.functions.paths import path_name, safe_local_name
 from quire.functions.text import py_strip
 from quire.operators.numbering import dense_number
-from quire.operators.state import RUNNING, is_cleanable, is_parsed
+from quire.operators.state import RUNNING, is_cleanable
 
 # Fixed values that must equal the reference's.
 PARSER_TYPES = ("pdf", "docx", "xlsx", "pptx")
@@ -87,11 +87,6 @@ def first_claim(rows: DataFrame, order: list[str], n: int) -> DataFrame:
     return rows.orderBy(*order).limit(n)
 
 
-def parsed_page(registry: DataFrame, limit: int, offset: int = 0) -> DataFrame:
-    """TOP4: offset page of parsed rows by id."""
-    return registry.filter(is_parsed()).orderBy("id").offset(offset).limit(limit)
-
-
 def is_large(size: Column, limit: int = LARGE_FILE_BYTES) -> Column:
     """FLT9: strictly over the limit; a size that does not parse counts as not large."""
     return F.coalesce(size.try_cast("bigint"), F.lit(0)) > limit
@@ -148,5 +143,5 @@ def passthrough_results(files: DataFrame) -> DataFrame:
 
 
 def restore_order(results: DataFrame) -> DataFrame:
-    """TOP5: results back in request order (claim, batch, position)."""
-    return results.orderBy("claim_no", "batch_in_claim", "batch_pos")
+    """TOP5: results back in request order (claim, batch, position): their ``position`` from 0."""
+    return dense_number(results, ["claim_no", "batch_in_claim", "batch_pos"], name="position", start=0)

@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,12 +79,14 @@ def _answers(row: dict) -> Iterator[tuple[dict, str | None, reader.Value | None]
 
 
 _FILE_FACTS = [("response_success", T.BooleanType()), ("status_code", T.IntegerType()), ("form", T.StringType()),
-               ("raw_markdown", T.StringType()), ("markdown", T.StringType()), ("names", T.ArrayType(T.StringType()))]
+               ("raw_markdown", T.StringType()), ("markdown", T.StringType()), ("names", T.ArrayType(T.StringType())),
+               ("error", T.StringType())]
 
 
 def matched_files(requests: DataFrame, replies: DataFrame) -> DataFrame:
     """J4, J5, JS2-JS6, J8: per requested file its batch's facts, the Markdown as it came (NULL unless answered and not
-    empty) and with its stored images' URLs, and the names under which images are stored, in order.
+    empty) and with its stored images' URLs, and the names under which images are stored, in order. Markdown that
+    cannot be written (JSON can name half a surrogate pair) has an ``error``; U+FFFD stands for what is wrong.
 
     No image content leaves the function; ``reply_images`` gives that.
     """
@@ -97,15 +99,16 @@ def matched_files(requests: DataFrame, replies: DataFrame) -> DataFrame:
                 row = batch.slice(k, 1).to_pylist()[0]
                 status, rows = row["status_code"], []
                 for file, form, item in _answers(row):
-                    raw = text = names = None
+                    raw = text = names = error = None
                     if item is not None and _answered(status):
                         members = item.members()
                         raw = reader.item_markdown(item, members)
                         if raw is not None:
                             stored = {n: reader.image_url(file["id"], n) for n, _ in _stored(members)}
+                            raw, error = reader.writable(raw)
                             names, text = list(stored), reader.rewritten(raw, stored)
                     rows.append({**file, "response_success": None if status is None else _answered(status), "status_code": status,
-                                 "form": form, "raw_markdown": raw, "markdown": text, "names": names})
+                                 "form": form, "raw_markdown": raw, "markdown": text, "names": names, "error": error})
                 yield pa.RecordBatch.from_pylist(rows, schema=out)
 
     return _asked(requests, replies).mapInArrow(match, schema)
@@ -115,7 +118,7 @@ def _stored(members: dict[str, reader.Value]) -> Iterator[tuple[str, bytes]]:
     """(base name, bytes) of the images that decode."""
     for raw_name, content in reader.item_images(members):
         name = reader.PurePosixPath(raw_name).name
-        data = reader.decoded_image(content) if name else None
+        data = reader.decoded_image(content) if name and reader.writable(name)[1] is None else None
         if data is not None:
             yield name, data
 
@@ -176,19 +179,24 @@ def file_results(m: DataFrame) -> DataFrame:
         F.when(F.col("response_success"), F.lit("success")).otherwise(F.lit("failed")).alias("parse_status"),
         F.when(F.col("response_success"), F.col("status_code")).alias("status_code"),
         F.coalesce(F.col("response_success"), F.lit(False)).alias("response_success"),
-        F.col("markdown").alias("markdown_content"), "batch_no",
+        F.col("markdown").alias("markdown_content"), "batch_no", "error",
     )
 
 
+def is_parsed_result() -> Column:
+    """FLT8: answered, with Markdown that is not blank and can be written."""
+    return (F.col("parse_status") == "success") & has_text(F.col("markdown_content")) & F.col("error").isNull()
+
+
 def parse_verdicts(results: DataFrame, requested: DataFrame, output_dir: str = "/md") -> DataFrame:
     """FLT8 + SNK2 + J6/SET3: per requested file ``(id, ok, parse_path)`` for T3.
 
     Success needs status 'success' and non-blank Markdown; the Markdown is stored as ``<dir>/<hash or id>.md``.
-    Requested files with no result at all fail.
+    Requested files with no result at all fail, and those whose Markdown cannot be written.
     """
-    ok = (F.col("parse_status") == "success") & has_text(F.col("markdown_content"))
+    ok = is_parsed_result()
     key = F.coalesce(F.nullif(F.col("file_hash"), F.lit("")), F.col("id").cast("string"))
-    got = results.select("id", "parse_status", "markdown_content")
+    got = results.select("id", "parse_status", "markdown_content", "error")
     missing = requested.join(got, "id", "left_anti").select("id", F.lit(False).alias("ok"), "file_hash")
     found = requested.select("id", "file_hash").join(got, "id").select("id", ok.alias("ok"), "file_hash")
     both = found.unionByName(missing)
@@ -200,8 +208,7 @@ def parse_verdicts(results: DataFrame, requested: DataFrame, output_dir: str = "
 
 def markdown_store_rows(results: DataFrame, requested: DataFrame) -> DataFrame:
     """SNK2: ``(doc_key, markdown)``: one object per document, named by its hash, else its id."""
-    ok = (F.col("parse_status") == "success") & has_text(F.col("markdown_content"))
-    rows = results.filter(ok).join(requested.select("id", "file_hash"), "id")
+    rows = results.filter(is_parsed_result()).join(requested.select("id", "file_hash"), "id")
     key = F.coalesce(F.nullif(F.col("file_hash"), F.lit("")), F.col("id").cast("string"))
     return rows.select(key.alias("doc_key"), "id", F.col("markdown_content").alias("markdown"))
 

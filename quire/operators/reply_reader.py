@@ -198,6 +198,15 @@ def decoded_image(content: str) -> bytes | None:
         return None
 
 
+def writable(text: str) -> tuple[str, str | None]:
+    """A text as UTF-8 can hold it, and why it could not: half a surrogate pair becomes U+FFFD."""
+    try:
+        text.encode()
+    except UnicodeEncodeError as error:
+        return text.encode("utf-16-le", "surrogatepass").decode("utf-16-le", "replace"), f"{type(error).__name__}: {error.reason}"
+    return text, None
+
+
 def image_url(file_id: object, name: str) -> str:
     """JS6."""
     return f"{IMAGE_URL_ROOT}{file_id}/{name}"

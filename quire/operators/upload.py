@@ -114,13 +114,15 @@ def clean_outcomes(claimed: DataFrame, store: DataFrame, replies: DataFrame) ->
 
 
 def one_step_outcomes(results: DataFrame, replies: DataFrame, batch: str = "claim_no") -> DataFrame:
-    """T12 inputs: per parse result ``outcome``: 'parse_failed' (not success or blank Markdown), else the
-    cycle's single upload decides 'uploaded' / 'upload_failed' for every prepared document of the cycle."""
-    prepared = (F.col("parse_status") == "success") & has_text(F.col("markdown_content"))
-    rows = results.withColumn("prepared", prepared)
+    """T12 inputs: per parse result ``outcome``: 'parse_failed' (not success or blank Markdown), 'clean_failed' (its
+    Markdown has an ``error``: it cannot be cleaned and written), else the cycle's single upload decides 'uploaded' /
+    'upload_failed' for every prepared document of the cycle."""
+    parsed = (F.col("parse_status") == "success") & has_text(F.col("markdown_content"))
+    rows = results.withColumn("parsed", parsed).withColumn("prepared", parsed & F.col("error").isNull())
     with_reply = batch_verdicts(rows, replies, batch)
     outcome = (
-        F.when(~F.col("prepared"), F.lit("parse_failed"))
+        F.when(~F.col("parsed"), F.lit("parse_failed"))
+        .when(~F.col("prepared"), F.lit("clean_failed"))
         .when(F.col("upload_ok"), F.lit("uploaded"))
         .otherwise(F.lit("upload_failed"))
     )

@@ -299,6 +299,32 @@ def heavy_replies(documents: DataFrame) -> DataFrame:
     return documents.select(k.alias("batch_no"), F.lit(200).alias("status_code"), body.alias("body"), name.alias("file_name"))
 
 
+BROKEN_BATCH = 4
+
+
+def broken_replies(documents: DataFrame) -> DataFrame:
+    """One reply per four documents ``(batch_no, status_code, body)``, keyed by file name; ``k % 6 = 1``: the Markdown ends
+    with half a surrogate pair, ``k % 6 = 3``: it is blank; every 9th reply (from 4) is a 500."""
+    k = F.col("doc_id")
+    name = F.concat(F.lit("doc"), _s(k), F.lit(".pdf"))
+    md = F.when(k % 6 == 3, F.lit('" \\n"')).when(
+        k % 6 == 1, F.concat(F.regexp_replace(_json_str(F.col("text")), '"\\z', ""), F.lit('\\ud800"'))).otherwise(_json_str(F.col("text")))
+    entry = F.concat(_json_str(name), F.lit(': {"md": '), md, F.lit("}"))
+    rows = documents.select(F.floor(k / BROKEN_BATCH).cast("bigint").alias("batch_no"), k.alias("k"), entry.alias("entry"))
+    bodies = rows.groupBy("batch_no").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("k", "entry"))), lambda x: x["entry"]), ", ").alias("e"))
+    return bodies.select("batch_no", F.when(F.col("batch_no") % 9 == 4, 500).otherwise(200).alias("status_code"),
+                         F.concat(F.lit('{"results": {'), F.col("e"), F.lit("}}")).alias("body"))
+
+
+def messy_names(registry_df: DataFrame) -> DataFrame:
+    """Registry rows with file names that no local file may carry, by ``id % 5``: illegal characters, none, blanks and
+    dots only, folders in front."""
+    k = F.col("id")
+    name = (F.when(k % 5 == 0, F.concat(F.lit(' a<b>:"c|?*'), _s(k), F.lit(" .pdf"))).when(k % 5 == 1, F.lit(None).cast("string"))
+            .when(k % 5 == 2, F.lit(" . .docx")).when(k % 5 == 3, F.concat(F.lit("x/y/d"), _s(k), F.lit(".PDF"))).otherwise(F.col("file_name")))
+    return registry_df.withColumn("file_name", name)
+
+
 UPLOAD_REPLY_BODIES = ('{"status":"success"}', '{"status":"failure"}', '{"status":"partial_success"}',
                        '{"status":"duplicated"}', "ok")
 

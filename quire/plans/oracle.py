@@ -804,3 +804,82 @@ flow AS (
 SELECT r.id, r.parse_status, CAST(CASE WHEN f.ok THEN 2 WHEN f.id IS NOT NULL THEN -1 WHEN r.late THEN 0 ELSE r.clean_status END AS TINYINT) AS clean_status,
        r.parse_path, CASE WHEN f.id IS NOT NULL THEN {NOW} + 1 WHEN r.late THEN {NOW} ELSE r.updated_at END AS updated_at
 FROM rec r LEFT JOIN flow f ON f.id = r.id"""
+
+PREPARED = ONE_STEP + f""",
+src AS (SELECT m.id, m.markdown AS s, m.file_name FROM md m JOIN one o ON o.id = m.id WHERE o.outcome <> 'parse_failed'),
+{clean_chain('src', 'trim(file_name)', blocks=True)}"""
+
+ORACLES["clean_records"] = PREPARED + """
+SELECT m.id, m.file_uid, m.file_name, lower(m.file_ext) AS file_ext,
+       '/tmp/parse/' || CAST(m.id AS VARCHAR) || '/' || m.file_name AS original_path, md5(m.markdown) AS markdown_md5
+FROM md m WHERE m.has_md"""
+
+ORACLES["upload_payloads"] = PREPARED + """
+SELECT o.claim_no, CAST(count(*) AS INTEGER) AS n_texts, md5(string_agg(md5(c.s), ',' ORDER BY o.claim_pos)) AS texts_md5,
+       string_agg(o.original_path, '|' ORDER BY o.claim_pos) AS file_sources
+FROM one o JOIN cleaned c ON c.id = o.id GROUP BY o.claim_no"""
+
+ORACLES["stored_cleaned"] = PREPARED + """
+SELECT CAST(id AS VARCHAR) AS doc_key, md5(s) AS cleaned_md5 FROM cleaned"""
+
+ORACLES["one_step_requests"] = f"""
+WITH {REGISTRY.strip()},
+f AS (
+  SELECT id, original_path,
+         CASE id % 5 WHEN 0 THEN ' a<b>:"c|?*' || CAST(id AS VARCHAR) || ' .pdf' WHEN 1 THEN NULL WHEN 2 THEN ' . .docx'
+              WHEN 3 THEN 'x/y/d' || CAST(id AS VARCHAR) || '.PDF' ELSE file_name END AS name,
+         CASE id % 5 WHEN 0 THEN 'a_b___c___' || CAST(id AS VARCHAR) || '.pdf' WHEN 1 THEN 'file_' || CAST(id AS VARCHAR)
+              WHEN 2 THEN 'file_' || CAST(id AS VARCHAR) || '.docx' WHEN 3 THEN 'd' || CAST(id AS VARCHAR) || '.PDF'
+              ELSE file_name END AS local,
+         {NAME.format(p='original_path')} AS base
+  FROM registry
+)
+SELECT 'copies' AS flow, id, local AS local_name, coalesce(name, local) AS request_name, coalesce(name, local) AS upload_name,
+       '/tmp/parse/' || CAST(id AS VARCHAR) || '/' || local AS absolute_path FROM f
+UNION ALL
+SELECT 'one_step', id, base, coalesce(name, base), coalesce(name, base), original_path FROM f"""
+
+ORACLES["ordered_results"] = REPLY_CHAIN + """
+SELECT row_number() OVER (ORDER BY claim_no, batch_in_claim, batch_pos) - 1 AS position, id,
+       CASE WHEN answered THEN 'success' ELSE 'failed' END AS parse_status
+FROM exp"""
+
+ORACLES["one_step_errors"] = f"""
+WITH {REGISTRY.strip()},
+o AS (
+  SELECT id, CASE WHEN (id // 4) % 9 = 4 OR id % 6 = 3 OR NOT regexp_matches(text, '[^\\s]') AND id % 6 <> 1 THEN 'parse_failed'
+                  WHEN id % 6 = 1 THEN 'clean_failed' WHEN {UPLOAD_OK.format(k='(id // 4)')} THEN 'uploaded' ELSE 'upload_failed' END AS outcome,
+         clean_status
+  FROM registry
+)
+SELECT id, outcome, CAST(CASE WHEN outcome = 'uploaded' THEN 2 ELSE -1 END AS TINYINT) AS parse_status,
+       CAST(CASE outcome WHEN 'uploaded' THEN 2 WHEN 'parse_failed' THEN clean_status ELSE -1 END AS TINYINT) AS clean_status
+FROM o"""
+
+ORACLES["registry_views"] = f"""
+WITH {REGISTRY.strip()}
+SELECT 'pending_parse' AS view, id, original_path FROM registry WHERE parse_status = 0
+UNION ALL SELECT 'failed_parse', id, original_path FROM registry WHERE parse_status = -1
+UNION ALL SELECT 'pending_clean', id, original_path FROM registry WHERE clean_status = 0 AND parse_status = 2 AND parse_path <> ''
+UNION ALL SELECT 'parsed', id, original_path FROM registry WHERE parse_status = 2 AND parse_path <> ''"""
+
+ORACLES["status_pairs"] = f"""
+WITH {REGISTRY.strip()}
+SELECT parse_status, clean_status, count(*) AS files FROM registry GROUP BY ALL"""
+
+ORACLES["parsed_pages"] = f"""
+WITH {REGISTRY.strip()},
+n AS (SELECT row_number() OVER (ORDER BY id) - 1 AS position, id, parse_path FROM registry WHERE parse_status = 2 AND parse_path <> '')
+SELECT CAST(position // 50 AS INTEGER) AS page, position, id, parse_path FROM n WHERE position // 50 IN (0, 1, 4)"""
+
+ORACLES["run_totals"] = CLEAN_FLOW.split("src AS (")[0].rstrip().rstrip(",") + f""",
+raw AS ({ORACLES["raw_upload_counters"]}),
+parse AS ({ORACLES["parse_counters"]})
+SELECT 'clean' AS run,
+       (SELECT count(*) FROM registry WHERE clean_status = 1 AND updated_at < {NOW} - 3600) AS recovered_processing,
+       (SELECT count(*) FROM registry WHERE clean_status = -1) AS recovered_failed,
+       count(*) AS picked, count(*) FILTER (WHERE ok) AS success, count(*) FILTER (WHERE NOT ok) AS failed,
+       count(*) FILTER (WHERE ok) AS uploaded, CAST(NULL AS BIGINT) AS skipped,
+       CAST(NULL AS BIGINT) AS downloaded, CAST(NULL AS BIGINT) AS unsupported, CAST(NULL AS BIGINT) AS passthrough FROM flow
+UNION ALL SELECT 'raw_upload', NULL, NULL, picked, success, failed, uploaded, skipped, NULL, NULL, NULL FROM raw
+UNION ALL SELECT 'parse', NULL, NULL, picked, success, failed, NULL, NULL, downloaded, unsupported, passthrough FROM parse WHERE claim_no IS NULL"""

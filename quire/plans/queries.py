@@ -7,6 +7,7 @@ equal those of the matching DuckDB statement in ``quire.plans.oracle``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from quire.operators import replies as RP
 from quire.operators import metrics as M
 from quire.operators import state as S
 from quire.operators import upload as U
+from quire.operators.paging import read_page, write_pages
 from quire.plans import adapters as A
 from quire.session import checkpoint_dir, scratch_path
 from quire.sources.files import listing_hasher, remove_files, store_files
@@ -301,8 +303,7 @@ def dangling_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RP.dangling_references(matched.where(F.col("raw_markdown").isNotNull()))
 
 
-@query("parse_counters")
-def parse_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _parse_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs(spark, sf_dir)
     claimed = B.parse_claims(A.registry(docs)).withColumn("route", B.route(F.col("file_ext")))
     requests, results = _parse_results(spark, sf_dir)
@@ -311,8 +312,12 @@ def parse_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcome = verdicts.select("id", "ok", F.lit(True).alias("downloaded")).unionByName(
         passthrough.select("id", "ok", F.lit(False).alias("downloaded"))
     )
-    rows = claimed.join(outcome, "id", "left")
-    return M.parse_counters(rows)
+    return claimed.join(outcome, "id", "left")
+
+
+@query("parse_counters")
+def parse_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.parse_counters(_parse_rows(spark, sf_dir))
 
 
 @query("parse_cycle")
@@ -450,6 +455,117 @@ def upload_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pay.select("claim_no", "n_texts", F.array_join("file_sources", "|").alias("file_sources"))
 
 
+def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean records of the prepared one-step results (PRJ4) with their place in the cycle and their cleaned text."""
+    prepared = _one_step(spark, sf_dir).filter("prepared")
+    records = D.clean_record_from_parse(prepared.withColumn("file_type", F.lower("file_type")))
+    places = prepared.select("id", "claim_no", "claim_pos", F.col("original_path").alias("src"))
+    return D.clean_documents(records, parse_path=None).join(places, "id")
+
+
+@query("clean_records")
+def clean_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ4: every column of the records that go to cleaning."""
+    return _prepared(spark, sf_dir).select("id", "file_uid", "file_name", "file_ext", "original_path", F.md5("markdown").alias("markdown_md5"))
+
+
+@query("upload_payloads")
+def upload_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK4: the payloads as written JSON: what a server reads from them are the cleaned texts, in order."""
+    pay = U.payloads(_prepared(spark, sf_dir), batch="claim_no", order="claim_pos", text="cleaned", source="src")
+    path = scratch_path(spark, "payloads")
+    pay.select("claim_no", "payload").write.parquet(path)
+    sent = F.from_json("payload", "texts array<string>, file_sources array<string>")
+    return spark.read.parquet(path).select("claim_no", sent.alias("p")).select(
+        "claim_no", F.size("p.texts").alias("n_texts"), F.md5(F.array_join(F.transform("p.texts", F.md5), ",")).alias("texts_md5"),
+        F.array_join("p.file_sources", "|").alias("file_sources"))
+
+
+@query("stored_cleaned")
+def stored_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK6: the optional store of cleaned Markdown, written and read back."""
+    path = scratch_path(spark, "cleaned-store")
+    write_markdown_store(U.cleaned_store_rows(_prepared(spark, sf_dir)), path)
+    return spark.read.parquet(path).select("doc_key", F.md5("markdown").alias("cleaned_md5"))
+
+
+@query("one_step_requests")
+def one_step_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ2 and S6: request rows of both flows for files with unsafe, missing and nested names."""
+    files = A.messy_names(_registry(spark, sf_dir)).select("id", "file_name", "original_path")
+    cols = ("id", "local_name", "request_name", "upload_name", "absolute_path")
+    return B.request_rows(files).select(F.lit("copies").alias("flow"), *cols).unionByName(
+        B.request_rows(files, local_root=None).select(F.lit("one_step").alias("flow"), *cols))
+
+
+@query("ordered_results")
+def ordered_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TOP5: parse results in the order of their requests."""
+    requests, results = _parse_results(spark, sf_dir)
+    places = requests.select("id", "claim_no", "batch_in_claim", "batch_pos")
+    return B.restore_order(results.select("id", "parse_status").join(places, "id")).select("position", "id", "parse_status")
+
+
+@query("one_step_errors")
+def one_step_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T12 with rows that cannot be cleaned and stored: each is an outcome of its own, not a failed task."""
+    docs = _docs(spark, sf_dir)
+    k = F.col("doc_id")
+    name = F.concat(F.lit("doc"), k.cast("string"), F.lit(".pdf"))
+    requests = docs.select(
+        F.floor(k / A.BROKEN_BATCH).cast("bigint").alias("batch_no"), k.alias("id"), F.lit("u").alias("file_uid"), name.alias("file_name"),
+        name.alias("local_name"), F.lit("/t").alias("absolute_path"), F.lit("pdf").alias("file_ext"))
+    results = RP.parse_results(requests, A.broken_replies(docs))
+    replies = A.upload_replies(requests.select("batch_no").distinct())
+    outcomes = U.one_step_outcomes(results.withColumnRenamed("batch_no", "claim_no"), replies).withColumn("parse_path", F.lit(""))
+    states = S.apply_one_step_results(_registry(spark, sf_dir), outcomes, A.NOW)
+    return outcomes.select("id", "outcome").join(states.select("id", "parse_status", "clean_status"), "id")
+
+
+@query("registry_views")
+def registry_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC3: the four views of the registry by state."""
+    reg = _registry(spark, sf_dir)
+    views = {"pending_parse": S.pending_parse, "failed_parse": S.failed_parse, "pending_clean": S.pending_clean, "parsed": S.parsed}
+    path = F.coalesce(F.col("original_path"), F.lit(""))
+    return reduce(DataFrame.unionByName, [view(reg).select(F.lit(name).alias("view"), "id", path.alias("original_path")) for name, view in views.items()])
+
+
+@query("status_pairs")
+def status_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.status_summary(_registry(spark, sf_dir))
+
+
+PAGE_SIZE, PAGES = 50, (0, 1, 4)
+
+
+@query("parsed_pages")
+def parsed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TOP4: offset pages of the parsed rows through a page directory; a page opens the ranges it lies in."""
+    path = scratch_path(spark, "pages")
+    write_pages(S.parsed(_registry(spark, sf_dir)), ["id"], path, ranges=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    pages = [read_page(spark, path, ["id"], page, PAGE_SIZE).select(F.lit(page).alias("page"), "position", "id", "parse_path") for page in PAGES]
+    return reduce(DataFrame.unionByName, pages)
+
+
+@query("run_totals")
+def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG2, AGG3 and AGG4 observed while the runs' rows are written, recovered rows included; one row per run."""
+    docs = _docs(spark, sf_dir)
+    base = scratch_path(spark, "totals")
+    reg = S.recover_clean(A.registry(docs), A.NOW)
+    claimed = B.clean_claims(reg)
+    outcomes = U.clean_outcomes(claimed, A.markdown_store(docs), A.upload_replies(claimed, "id")).select("id", "ok", F.lit(True).alias("claimed"))
+    rows = reg.join(outcomes, "id", "left").withColumn("claimed", F.coalesce("claimed", F.lit(False)))
+    clean = M.written_with_totals(rows, f"{base}/clean", M.clean_totals())
+    parse = M.written_with_totals(_parse_rows(spark, sf_dir), f"{base}/parse", M.parse_totals())
+    raw = M.written_with_totals(_raw_upload(spark, sf_dir), f"{base}/raw", M.upload_totals())
+    names = ("recovered_processing", "recovered_failed", "picked", "success", "failed", "uploaded", "skipped", "downloaded", "unsupported",
+             "passthrough")
+    return spark.createDataFrame([(run, *(t.get(n) for n in names)) for run, t in (("parse", parse), ("clean", clean), ("raw_upload", raw))],
+                                 "run string, " + ", ".join(f"{n} bigint" for n in names))
+
+
 # ---------------------------------------------------------------------------------------------- streaming
 
 STREAM_PARTS = 3

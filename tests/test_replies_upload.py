@@ -224,3 +224,15 @@ def test_image_rewrite_takes_one_pass():
         reader.rewritten(text, {f"p{i}.png": f"/images/1/p{i}.png" for i in range(n)})
         took.append(time.perf_counter() - began)
     assert took[1] < 10 * took[0] + 0.5
+
+
+def test_text_that_cannot_be_written_is_a_row_error(spark):
+    req = _requests(spark, [(1, 1, "u1", "a.pdf"), (1, 2, "u2", "b.pdf")])
+    reps = spark.createDataFrame([(1, 200, '{"results": {"a.pdf": "x \\ud800 y \\ud83d\\ude00", "b.pdf": "fine"}}')], "batch_no bigint, status_code int, body string")
+    got = {r.id: r for r in RP.matched_files(req, reps).collect()}
+    assert got[1].raw_markdown == "x � y \U0001f600" and "UnicodeEncodeError" in got[1].error
+    assert got[2].raw_markdown == "fine" and got[2].error is None
+    results = RP.parse_results(req, reps)
+    assert {r.id: r.ok for r in RP.parse_verdicts(results, req).collect()} == {1: False, 2: True}
+    uploads = spark.createDataFrame([(1, 200, "{}")], "batch_no bigint, status_code int, body string")
+    assert {r.id: r.outcome for r in U.one_step_outcomes(results, uploads, "batch_no").collect()} == {1: "clean_failed", 2: "uploaded"}

@@ -81,3 +81,18 @@ def test_markdown_store_keeps_the_largest_id(spark):
     rows = spark.createDataFrame([("h", i, f"text {i}") for i in range(50)] + [("k", 1, "other")], "doc_key string, id long, markdown string")
     write_markdown_store(rows.repartition(7), path)
     assert {(r.doc_key, r.markdown) for r in spark.read.parquet(path).collect()} == {("h", "text 49"), ("k", "other")}
+
+
+def test_pages_open_their_ranges_only(spark):
+    from quire.operators.paging import read_page, write_pages
+
+    path = tempfile.mkdtemp(prefix="quire-pages-")
+    ids = sorted({i * i % 10_007 for i in range(3000)})
+    write_pages(spark.createDataFrame([(i, f"v{i}") for i in ids], "id long, v string").repartition(5), ["id"], path, ranges=20)
+    for page in (0, 1, 7, len(ids) // 70, 10_000):
+        got = [(r.position, r.id) for r in read_page(spark, path, ["id"], page, 70).orderBy("position").collect()]
+        assert got == list(enumerate(ids))[page * 70 : page * 70 + 70]
+    files = read_page(spark, path, ["id"], 7, 70)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(range" in files or "PartitionFilters: [range" in files
+    write_pages(spark.createDataFrame([], "id long, v string"), ["id"], f"{path}/none", ranges=4)
+    assert read_page(spark, f"{path}/none", ["id"], 0, 10).count() == 0
