@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -32,10 +32,33 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_HELD: dict[str, object] = {}
+_HELD_BY: list[int | None] = [None]
+
+
+def forget_other_stages() -> None:
+    """Drop what this Python worker holds for tasks of another stage. Workers live on from stage to stage, and what one
+    operator cached would otherwise stay beside the next one's."""
+    ctx = TaskContext.get()
+    stage = None if ctx is None else ctx.stageId()
+    if _HELD_BY[0] != stage:
+        _HELD.clear()
+        _HELD_BY[0] = stage
+
+
+def held(name: str, make: Callable[[], object]):
+    """A value that a worker makes once per stage: a loaded tokenizer, a cache of bounded size."""
+    forget_other_stages()
+    if name not in _HELD:
+        _HELD[name] = make()
+    return _HELD[name]
+
+
 def byte_slices(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that the texts of each piece hold at most ``max_bytes`` together, one row at least."""
     import pyarrow.compute as pc
 
+    forget_other_stages()
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         at = total = 0

@@ -207,7 +207,8 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     keyed = written(docs.select(F.monotonically_increasing_id().alias("uid"), F.struct("*").alias("row")), "mix-docs")
     _, _, mixed = mix(keyed.select("uid", "row.doc_id", "row.source", "row.text"), "uid")
     spans = mixed.groupBy("uid", "round").agg(F.sort_array(F.collect_list(F.struct("first", "n_words"))).alias("pieces"))
-    cut = keyed.join(spans, "uid").select("row", F.col("row.text").alias("text"), F.col("pieces.first").alias("first"), F.col("pieces.n_words").alias("n_words"))
+    others = F.struct(*[F.col("row")[c].alias(c) for c in docs.columns if c != "text"])
+    cut = keyed.join(spans, "uid").select(others.alias("row"), F.col("row.text").alias("text"), F.col("pieces.first").alias("first"), F.col("pieces.n_words").alias("n_words"))
     out = _with_pieces(cut)
     fields = [F.col("text") if c == "text" else F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col("row")[c].alias(c) for c in docs.columns]
     return out.select(*fields)

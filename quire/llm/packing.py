@@ -29,16 +29,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import byte_slices, partition_id, written
+from quire.llm.common import byte_slices, held, partition_id, written
 
 SEQ_LEN = 2048
 SEPARATOR = 1
 CACHE_WORDS = 800_000
 BATCH_BYTES = 1 << 20
 
-_ENCODERS: dict[str, Callable[[list[str]], list[bytes]]] = {}
-
-
 #: A full stop or comma beside a mark: they would be one pre-token.
 _RUN = re.compile(r"[.,][^\w \t\n\r\x0b\f]|[^\w \t\n\r\x0b\f][.,]|_[.,]|[.,]_")
 
@@ -65,8 +62,10 @@ def word_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     up in a cache of bounded size. New words of letters are encoded many at a time, joined by spaces: each is one
     pre-token and its last id carries the end-of-word mark, which tells the words' ids apart again.
     """
-    if path in _ENCODERS:
-        return _ENCODERS[path]
+    return held(f"words {path}", lambda: _word_encoder(path))
+
+
+def _word_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
@@ -108,7 +107,6 @@ def word_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
                 del cache[w]
         return ids
 
-    _ENCODERS[path] = encode
     return encode
 
 

@@ -24,36 +24,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import byte_slices
+from quire.llm.common import byte_slices, held
 
 BATCH_BYTES = 1 << 20
 CACHE_PIECES = 800_000
 LONGEST_CACHED = 64
 SAFE = re.compile(r"(?<=\S) (?=\S)")
 
-_TOKENIZERS: dict[str, Callable[[list[str]], list[int]]] = {}
-_CACHES: dict[str, dict[str, int]] = {}
+def encoder(path: str) -> Callable[[list[str]], list[int]]:
+    """``texts -> token counts`` of the library that reads ``path``; loaded once per Python worker and stage."""
+    return held(f"counts {path}", lambda: _encoder(path))
 
 
-def encoder(path: str) -> Callable[[list[str]], list[int]]:
-    """``texts -> token counts`` of the library that reads ``path``; loaded once per Python worker."""
-    if path not in _TOKENIZERS:
-        if path.endswith(".model"):
-            import sentencepiece
+def _encoder(path: str) -> Callable[[list[str]], list[int]]:
+    if path.endswith(".model"):
+        import sentencepiece
 
-            model = sentencepiece.SentencePieceProcessor(model_file=path)
-            _TOKENIZERS[path] = lambda texts: [len(x) for x in model.encode(texts, num_threads=1)]
-        else:
-            import os
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        return lambda texts: [len(x) for x in model.encode(texts, num_threads=1)]
+    import os
 
-            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-            from tokenizers import Tokenizer
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
 
-            tok = Tokenizer.from_file(path)
-            tok.no_truncation()
-            tok.no_padding()
-            _TOKENIZERS[path] = lambda texts: [len(x) for x in tok.encode_batch_fast(texts, add_special_tokens=False)]
-    return _TOKENIZERS[path]
+    tok = Tokenizer.from_file(path)
+    tok.no_truncation()
+    tok.no_padding()
+    return lambda texts: [len(x) for x in tok.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 def safe_pieces(text: str) -> list[str]:
@@ -67,7 +64,7 @@ def count_texts(texts: list[str], path: str) -> list[int]:
     encode = encoder(path)
     if path.endswith(".model"):  # the normalizer of these files looks across spaces: whole texts only
         return encode(texts)
-    cache = _CACHES.setdefault(path, {})
+    cache = held(f"pieces {path}", dict)
     pieces = [safe_pieces(t) for t in texts]
     new = list(set().union(*pieces) - cache.keys())
     if len(cache) + len(new) > CACHE_PIECES:

@@ -229,12 +229,13 @@ def calibrate(sample: DataFrame, model: Model) -> Model:
     return model
 
 
-def toxic_passages(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
-    """Every row of ``docs`` with ``score`` and ``passages`` (first, end, score, chance), besides the columns ``keep``."""
+def toxic_passages(docs: DataFrame, model: Model, *keep: str, with_text: bool = False) -> DataFrame:
+    """Every row of ``docs`` with ``score`` and ``passages`` (first, end, score, chance), besides the columns ``keep`` in
+    ``row`` and the ``text``, which goes to Python once."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     passage = T.StructType([T.StructField("first", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("score", T.DoubleType()), T.StructField("chance", T.DoubleType())])
-    rows = docs.select(F.struct(*keep).alias("row"), F.col("text").alias("text"))
-    schema = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType()), T.StructField("passages", T.ArrayType(passage))])
+    rows = docs.select(F.struct(*[docs[c] for c in keep]).alias("row"), docs["text"].alias("text"))
+    schema = T.StructType([rows.schema["row"], T.StructField("text", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("passages", T.ArrayType(passage))])
     arrow_passage = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32()), ("score", pa.float64()), ("chance", pa.float64())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,7 +244,9 @@ def toxic_passages(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
             judged = [model.judged(t or "") for t in batch.column("text").to_pylist()]
             scores = [p for p, _ in judged]
             spans = [[dict(zip(("first", "end", "score", "chance"), x, strict=True)) for x in xs] for _, xs in judged]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(scores, pa.float64()), pa.array(spans, arrow_passage)], names=["row", "score", "passages"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), batch.column("text") if with_text else pa.nulls(batch.num_rows, pa.string()),
+                 pa.array(scores, pa.float64()), pa.array(spans, arrow_passage)], names=["row", "text", "score", "passages"])
 
     return rows.mapInArrow(scan, schema)
 
@@ -258,5 +261,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, predict_at: float = PREDICT_AT)
 
 def clean_documents(docs: DataFrame, labels: DataFrame, predict_at: float = PREDICT_AT) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with all their columns."""
-    scored = toxic_passages(docs, fit(docs, labels), *docs.columns)
-    return scored.where(F.col("score") < predict_at).select("row.*")
+    scored = toxic_passages(docs, fit(docs, labels), *[c for c in docs.columns if c != "text"], with_text=True)
+    return scored.where(F.col("score") < predict_at).select(*["text" if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
