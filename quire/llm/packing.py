@@ -44,12 +44,15 @@ def pre_tokens(text: str) -> list[bytes]:
     """The words of a text, in a form that has the same ids and fewer different words.
 
     The tokenizer lower-cases what it reads and keeps a run of marks apart from letters and digits. So a composed text
-    may be lower-cased here (but for special strings, and a letter whose lower case depends on its neighbours), and
-    single full stops and commas may stand apart.
+    may be lower-cased here (but for special strings, a letter whose lower case depends on its neighbours, and texts
+    whose lower case is longer or no longer composed), and single full stops and commas may stand apart.
     """
     if "<|" in text or "\u03a3" in text or not unicodedata.is_normalized("NFC", text):
         return text.encode().split()
-    text = text.lower()
+    lower = text.lower()
+    if len(lower) != len(text) or not unicodedata.is_normalized("NFC", lower):
+        return text.encode().split()
+    text = lower
     if not _RUN.search(text):
         text = text.replace(".", " . ").replace(",", " , ")
     return text.encode().split()
