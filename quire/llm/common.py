@@ -87,10 +87,16 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, rows: int) -> DataFrame:
-    """``(doc_id, text, y)`` of at most ``rows`` labelled training rows, the ones with the smallest hash of the id.
+#: A text longer than this serves for no fit (it is scored like any other); the sample has at most ``rows`` times it.
+SAMPLE_TEXT_BYTES = 1 << 20
 
-    Only the ids of the sample, ``rows`` at most, are broadcast, so the texts of other rows move nowhere.
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, rows: int, text_bytes: int = SAMPLE_TEXT_BYTES) -> DataFrame:
+    """``(doc_id, text, y)`` of at most ``rows`` labelled training rows with texts of at most ``text_bytes`` bytes: the ids
+    with the smallest hash, one row per id.
+
+    Of conflicting labels the larger counts; of several texts of an id the one with the least hash (copies are combined
+    where they are). Only the ids of the sample, ``rows`` at most, are broadcast, so the texts of other rows move nowhere.
     """
     ids = (
         labels.select("doc_id", F.col(target).cast("int").alias("y"))
@@ -98,4 +104,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, rows: int)
         .groupBy("doc_id").agg(F.max("y").alias("y"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
-    return docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(ids), "doc_id")
+    texts = docs.select("doc_id", "text").where(F.octet_length("text") <= text_bytes).join(F.broadcast(ids), "doc_id")
+    return texts.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t"), F.max("y").alias("y")).select(
+        "doc_id", F.col("t.text").alias("text"), "y")

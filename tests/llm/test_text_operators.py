@@ -271,3 +271,34 @@ def test_edited_fingerprints(spark, monkeypatch):
     assert winnowing.edited_fingerprints(empty_docs(spark)).count() == 0
     one = winnowing.edited_fingerprints(docs.where("doc_id = 5")).first()
     assert one["near_next"] == 1.0
+
+
+def test_packing_ids_of_random_unicode():
+    """Letters whose lower case is longer, combining marks in any order, white space of every kind."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok, encode = Tokenizer.from_file(path), packing.word_encoder(path)
+    rng = random.Random(12)
+    some = [chr(c) for c in [0x130, 0x1E9E, 0x3A3, 0x212A, 0x2126, 0xC5, 0x41, 0x69, 0x307, 0x301, 0x33B, 0x345, 0x20, 0x2E, 0x2C, 0xA0, 0x2028, 0x1F600, 0x1C4, 0x5F, 0x27]]
+    wide = [c for c in range(1, 0x30000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(rng.choice(some) if rng.random() < 0.8 else chr(rng.choice(wide)) for _ in range(rng.randint(0, 10))) for _ in range(100_000)]
+    want = [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+    for at in range(0, len(texts), 5000):
+        part = encode(texts[at : at + 5000])
+        assert part == want[at : at + 5000], next(t for t, a, b in zip(texts[at:], part, want[at:]) if a != b)
+
+
+def test_samples_are_bounded(spark):
+    from quire.llm.common import labelled_sample, train_side
+    from pyspark.sql import functions as F
+
+    ids = [r.id for r in spark.range(200).where(train_side(F.col("id"))).collect()][:40]
+    rows = [(ids[0], f"text {i % 7}") for i in range(20_000)] + [(i, "x") for i in ids[1:]] + [(ids[1], "y" * 2000), (ids[2], None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    judged = labels(spark, [(i, 1, k % 2) for k, i in enumerate(ids)] + [(ids[0], 0, 1)])
+    got = labelled_sample(docs, judged, "toxic", 20).collect()
+    assert len(got) == 20 == len({r.doc_id for r in got})
+    full = {r.doc_id: r for r in labelled_sample(docs, judged, "toxic", 1000, text_bytes=100).collect()}
+    assert set(full) == set(ids) and full[ids[1]].text == "x" and full[ids[2]].text == "x" and full[ids[0]].y == 1
+    assert labelled_sample(docs, judged, "toxic", 1000).repartition(3).count() == len(ids)
