@@ -28,6 +28,7 @@ import os
 import re
 import struct
 from collections.abc import Callable, Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +36,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import byte_slices, partition_id, written
+from quire.llm.common import byte_slices, held, partition_id, written
 
 CHUNK_BYTES = 8 << 20
 SLICE_BYTES = 1 << 20
-CACHE_PIECES = 300_000
+CACHE_PIECES, CACHE_TOKENS = 600_000, 8_000_000
 LONGEST_CACHED = 64
 SAFE = re.compile(r"(?<=\S) (?=\S)")
 SPACE_MARK = "▁"
@@ -85,17 +86,25 @@ def _byte_alphabet() -> dict[str, int]:
 
 
 class Pair:
-    """Two tokenizers over the same texts, with a cache of pieces of bounded size; lives as long as a task."""
+    """Two tokenizers over the same texts, with a cache of pieces of bounded size; lives as long as a task.
+
+    The cache numbers pieces; the tokens of all pieces stand in one array per side.
+    """
 
     def __init__(self, path_a: str, path_b: str) -> None:
-        self.a, self.b = _tokens(path_a), _tokens(path_b)
-        self.cache_a: dict[str, bytes] = {}
-        self.cache_b: dict[str, bytes] = {}
-        self.odd: set[str] = set()
+        self.sides = (_tokens(path_a), _tokens(path_b))
+        self.a, self.b = self.sides
         # an id as it stands in a list of groups: inside a group, at the end of its side
         size = len(self.a.bytes)
         self.b_names = 2 * size
         self.names = [f"{i}{mark}" for i in range(size) for mark in ",|"] + [f"{i}{mark}" for i in range(len(self.b.bytes)) for mark in ",;"]
+        self._clear()
+
+    def _clear(self) -> None:
+        self.index: dict[str, int] = {}
+        self.flat = [np.empty(0, np.int32), np.empty(0, np.int32)]
+        self.starts = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
+        self.odd: set[str] = set()
 
     def groups_text(self, ids_a: np.ndarray, ids_b: np.ndarray, stops_a: np.ndarray, stops_b: np.ndarray) -> str:
         """``a1,a2|b1;a3|b2,b3``: the ids of every group."""
@@ -108,53 +117,71 @@ class Pair:
         names[np.arange(len(ids_b)) + np.repeat(stops_a, sizes_b)] = self.b_names + 2 * ids_b + last_b
         return "".join(map(self.names.__getitem__, names.tolist()))[:-1]
 
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids of A and B per text; none where the joined bytes are not those of space + text."""
+    def encode(self, texts: list[str]) -> list[list[tuple[np.ndarray, np.ndarray]]]:
+        """Ids of A and B per text, in blocks that end at safe boundaries; none where the joined bytes are not those of
+        space + text."""
         if not (self.a.piecewise and self.b.piecewise):
             return [self._whole(t) for t in texts]
-        pieces = [SAFE.split(t) if t else [] for t in texts]
-        cache_a, cache_b, odd = self.cache_a, self.cache_b, self.odd
-        known = set().union(*pieces)
-        new = list(known.difference(cache_a))
-        if len(cache_a) + len(new) > CACHE_PIECES:
-            cache_a.clear()
-            cache_b.clear()
-            odd.clear()
+        blocks: list[list[str]] = []
+        owner: list[int] = []
+        for k, text in enumerate(texts):
+            pieces = SAFE.split(text) if text else []
+            step = len(pieces) if len(text) <= SLICE_BYTES else max(len(pieces) * SLICE_BYTES // len(text), 1)
+            for at in range(0, len(pieces), step or 1):
+                blocks.append(pieces[at : at + step])
+                owner.append(k)
+        self._learn(set().union(*blocks))
+        found = np.fromiter(map(self.index.__getitem__, chain.from_iterable(blocks)), np.int64)
+        stops = np.cumsum([len(x) for x in blocks])
+        sides = [_gather(flat, starts, found, stops) for flat, starts in zip(self.flat, self.starts)]
+        out: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in texts]
+        for k, a, b in zip(owner, *sides):
+            out[k].append((a, b))
+        for k in {k for k, block in zip(owner, blocks) if self.odd and not self.odd.isdisjoint(block)}:
+            out[k] = self._whole(texts[k])
+        for piece in [x for x in self.fresh if len(x) > LONGEST_CACHED]:
+            del self.index[piece]
+            self.odd.discard(piece)
+        return out
+
+    def _learn(self, known: set[str]) -> None:
+        new = list(known.difference(self.index))
+        if len(self.index) + len(new) > CACHE_PIECES or len(self.flat[0]) > CACHE_TOKENS:
+            self._clear()
             new = list(known)
+        self.fresh = new
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
-            for piece, a, b in zip(part, self.a.encode(part), self.b.encode(part), strict=True):
-                want = b" " + piece.encode()
-                if self.a.text(a) != want or self.b.text(b) != want:
-                    odd.add(piece)
-                cache_a[piece] = struct.pack(f"{len(a)}i", *a)
-                cache_b[piece] = struct.pack(f"{len(b)}i", *b)
-        out = []
-        for text, own in zip(texts, pieces):
-            if odd and not odd.isdisjoint(own):
-                out.append(self._whole(text))
-            else:
-                out.append((np.frombuffer(b"".join(map(cache_a.__getitem__, own)), np.int32), np.frombuffer(b"".join(map(cache_b.__getitem__, own)), np.int32)))
-        for piece in new:
-            if len(piece) > LONGEST_CACHED:
-                del cache_a[piece], cache_b[piece]
-                odd.discard(piece)
-        return out
-
-    def _whole(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+            want = [b" " + x.encode() for x in part]
+            number = len(self.starts[0]) - 1
+            self.index.update(zip(part, range(number, number + len(part))))
+            for side, tokens in enumerate(self.sides):
+                ids = tokens.encode(part)
+                sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+                flat = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
+                held = np.concatenate([np.zeros(1, np.int64), np.cumsum(tokens.sizes[flat])])[np.cumsum(sizes)]
+                if tokens.text(flat.tolist()) != b"".join(want) or held.tolist() != list(accumulate(map(len, want))):
+                    self.odd.update(x for x, w, i in zip(part, want, ids) if tokens.text(i) != w)
+                self.starts[side] = np.concatenate([self.starts[side], len(self.flat[side]) + np.cumsum(sizes)])
+                self.flat[side] = np.concatenate([self.flat[side], flat])
+
+    def _whole(self, text: str) -> list[tuple[np.ndarray, np.ndarray]]:
         (a,), (b,), want = self.a.encode([text]), self.b.encode([text]), b" " + text.encode()
         if not text or self.a.text(a) != want or self.b.text(b) != want:
-            a = b = []
-        return np.array(a, np.int32), np.array(b, np.int32)
+            return []
+        return [(np.array(a, np.int32), np.array(b, np.int32))]
 
 
-_TOKENS: dict[str, Tokens] = {}
+def _gather(flat: np.ndarray, starts: np.ndarray, found: np.ndarray, stops: np.ndarray) -> list[np.ndarray]:
+    """The tokens of numbered pieces one after the other, cut after the pieces ``stops``."""
+    sizes = starts[found + 1] - starts[found]
+    ends = np.cumsum(sizes)
+    ids = flat[np.repeat(starts[found] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
+    return np.split(ids, ends[stops - 1][:-1]) if len(stops) else []
 
 
 def _tokens(path: str) -> Tokens:
-    if path not in _TOKENS:
-        _TOKENS[path] = Tokens(path)
-    return _TOKENS[path]
+    return held(f"tokens {path}", lambda: Tokens(path))
 
 
 def align(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int], list[int], list[int]]:
@@ -168,25 +195,27 @@ def align(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int], l
     links_b: list[int] = []
     i, j, n = 0, 0, len(ends_a)
     while i < n:
-        shift, start, step = j - i, i, 1
-        while i < n and ends_a[i : i + step] == ends_b[j : j + step]:  # probe ahead on the diagonal
-            i += step
-            j += step
-            step += step
-        while step > 1 and i < n:  # the first difference lies within the last stretch
-            step >>= 1
-            if ends_a[i : i + step] == ends_b[j : j + step]:
+        x, y = ends_a[i], ends_b[j]
+        if x == y:
+            shift, start, step = j - i, i, 2
+            i += 1
+            j += 1
+            while i < n and ends_a[i : i + step] == ends_b[j : j + step]:  # probe ahead on the diagonal
                 i += step
                 j += step
-        if i > n:  # slices beyond both ends are equal
-            i, j = n, n + shift
-        if i > start:  # one-to-one up to here
+                step += step
+            while step > 1 and i < n:  # the first difference lies within the last stretch
+                step >>= 1
+                if ends_a[i : i + step] == ends_b[j : j + step]:
+                    i += step
+                    j += step
+            if i > n:  # slices beyond both ends are equal
+                i, j = n, n + shift
             links_a += range(start, i)
             links_b += range(start + shift, j)
             stops_a += range(start + 1, i + 1)
             stops_b += range(start + shift + 1, j + 1)
-        if i < n:  # an irregular group: step the side that ends first until both meet
-            x, y = ends_a[i], ends_b[j]
+        else:  # an irregular group: step the side that ends first until both meet
             while True:
                 links_a.append(i)
                 links_b.append(j)
@@ -253,13 +282,15 @@ def chunks(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", te
 
         for batch in byte_slices(batches, "text", SLICE_BYTES):
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            for doc_id, text, (a, b) in zip(batch.column("doc_id").to_pylist(), texts, tokens.encode(texts), strict=True):
-                if len(a):
+            for doc_id, text, blocks in zip(batch.column("doc_id").to_pylist(), texts, tokens.encode(texts), strict=True):
+                row, digest, links = [0, 0, 0, 0], hashlib.sha256(), []
+                for a, b in blocks:
                     n_groups, groups, links_a, links_b = aligned(tokens, a, b)
-                    pairs, times = np.unique((links_a.astype(np.int64) << 32) | links_b, return_counts=True)
-                    rows.append((doc_id, len(a), len(b), n_groups, len(links_a), hashlib.sha256(groups.encode()).hexdigest(), pairs, times))
-                else:
-                    rows.append((doc_id, 0, 0, 0, 0, "", np.empty(0, np.int64), np.empty(0, np.int64)))
+                    row = [x + y for x, y in zip(row, (len(a), len(b), n_groups, len(links_a)))]
+                    digest.update((";" + groups if links else groups).encode())
+                    links.append((links_a.astype(np.int64) << 32) | links_b)
+                pairs, times = np.unique(np.concatenate([np.empty(0, np.int64), *links]), return_counts=True)
+                rows.append((doc_id, *row, digest.hexdigest() if blocks else "", pairs, times))
                 held += len(text) + 64
                 if held > chunk_bytes:
                     yield closed()

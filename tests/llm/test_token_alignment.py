@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
-from llm_cases import edge_docs, empty_docs, texts  # noqa: E402
+from llm_cases import edge_docs, empty_docs, sentence, texts  # noqa: E402
 from quire.llm import token_alignment as ta  # noqa: E402
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -78,9 +78,17 @@ def test_pieces_encode_like_whole_texts(libraries):
     marks = ["a", "b'll", " ", " ", "  ", "\n", "\t", "é", "é", "1", "23", ".", "!!", "<|endoftext|>", "<s>", "\x1f", "\x85", " ", "中", "▁", "\x00", "😀", "the", "ing", " "]
     tests = ["".join(rng.choice(marks) for _ in range(rng.randint(0, 14))) for _ in range(3000)]
     tests += ["".join(chr(c) for c in rng.choices([c for c in range(1, 0x3000) if not 0xD800 <= c < 0xE000], k=12)) for _ in range(1000)]
-    for text, (a, b) in zip(tests, tokens.encode(tests)):
+    for text, blocks in zip(tests, tokens.encode(tests)):
         want = plain_tokens(libraries, text)
-        assert (a.tolist(), b.tolist()) == tuple([i for i, _ in x] for x in want), repr(text)
+        assert tuple([i for b in blocks for i in b[side].tolist()] for side in (0, 1)) == tuple([i for i, _ in x] for x in want), repr(text)
+
+
+def test_long_texts_go_in_blocks(libraries, monkeypatch):
+    monkeypatch.setattr(ta, "SLICE_BYTES", 100)
+    text = sentence(random.Random(8), 300)
+    (blocks,) = ta.Pair(A, B).encode([text])
+    assert len(blocks) > 5
+    assert tuple([i for b in blocks for i in b[side].tolist()] for side in (0, 1)) == tuple([i for i, _ in x] for x in plain_tokens(libraries, text))
 
 
 def test_query_equals_plain_python(spark, libraries):
