@@ -251,28 +251,78 @@ def test_winnowing_choices(spark):
     assert set(x["b"]) <= set(x["a"])
 
 
-def test_edited_fingerprints(spark, monkeypatch):
-    monkeypatch.setattr(winnowing, "RANGE_DOCS", 4)
-    rows = texts()
-    order = sorted((r for r in rows if r[0] is not None and r[0] != 22), key=lambda r: -r[0])
-    docs = edge_docs(spark).where("doc_id is null or doc_id <> 22")
-    got = {r["doc_id"]: r for r in winnowing.edited_fingerprints(docs.where("doc_id is not null")).collect()}
-    assert len(got) == len(order)
-    for (i, text), (_, after) in zip(order, order[1:] + order[:1]):
-        text, after = text or "", after or ""
+def plain_choices(text: str) -> list[tuple[int, int]]:
+    """(hash, position) of every choice by plain loops."""
+    import xxhash
+
+    words = [w for w in re.split("[\x20\x09-\x0D]+", text) if w]
+    grams = []
+    for at in range(max(1, len(words) - winnowing.K + 1) if words else 0):
+        h = 42
+        for w in words[at : at + winnowing.K]:
+            h = xxhash.xxh64_intdigest(w.encode(), seed=h)
+        grams.append(h & 0xFFFFFFFF)
+    out = []
+    for at in range(max(1, len(grams) - winnowing.WINDOW + 1) if grams else 0):
+        window = grams[at : at + winnowing.WINDOW]
+        best = at + max(i for i, h in enumerate(window) if h == min(window))
+        if not out or out[-1] != (grams[best], best):
+            out.append((grams[best], best))
+    return out
+
+
+def plain_edited(rows: list[tuple]) -> Counter:
+    """The whole result for ``(doc_id, text)`` rows by plain loops."""
+    def key(i, text):
+        return hashlib.md5((("-" if i is None else f"+{i}") + "\0" + text).encode()).hexdigest()
+
+    def said(c):
+        return ",".join(f"{h:x}:{p}" for h, p in c)
+
+    def likeness(a, b):
+        a, b = {h for h, _ in a}, {h for h, _ in b}
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    rows = sorted(((i, t or "") for i, t in rows), key=lambda r: key(*r))
+    rows = sorted((r for r in rows if r[0] is not None), key=lambda r: r[0], reverse=True) + [r for r in rows if r[0] is None]
+    out = Counter()
+    for (i, text), (_, after) in zip(rows, rows[1:] + rows[:1]):
         cut = len(text) // 3
         edited = text[: len(text) - cut] + after[:cut]
-        assert got[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest() and got[i]["n_chars"] == len(text)
-        assert 0 <= got[i]["near_next"] <= 1 and 0 <= got[i]["near_edited"] <= 1
-        if edited == text:
-            assert got[i]["near_edited"] == 1 and got[i]["fingerprint"] == got[i]["edited_fingerprint"]
-    assert got[4]["fingerprint"] == got[20]["fingerprint"] != ""
-    assert winnowing.edited_fingerprints(edge_docs(spark)).count() == len(rows)
+        own, other, following = plain_choices(text), plain_choices(edited), plain_choices(after)
+        out[i, len(text), hashlib.sha256(edited.encode()).hexdigest(), said(own), said(other), likeness(own, other), likeness(own, following)] += 1
+    return out
+
+
+def of_edited(df) -> Counter:
+    return Counter((r["doc_id"], r["n_chars"], r["edited_sha256"], r["fingerprint"], r["edited_fingerprint"], r["near_edited"], r["near_next"]) for r in df.collect())
+
+
+def test_edited_fingerprints(spark):
+    """Every value against plain loops: nulls, repeated ids with equal and other texts, outlying and clustered ids, text ids."""
+    rows = [r[:2] for r in texts() if not r[1] or len(r[1]) < 40_000]
+    rows += [(10**15, "one far id " * 9), (-(10**15), "another far id " * 9)] + [(24, "equal rows " * 30)] * 23 + [(None, "")] * 17
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert of_edited(winnowing.edited_fingerprints(docs, chunk=4)) == plain_edited(rows)
+    named = [(None if i is None else f"id {i}", t) for i, t in rows]
+    got = winnowing.edited_fingerprints(spark.createDataFrame(named, "doc_id string, text string").repartition(3))
+    assert of_edited(got) == plain_edited(named)
+    assert winnowing.edited_fingerprints(edge_docs(spark)).count() == len(texts())
     assert winnowing.edited_fingerprints(empty_docs(spark)).count() == 0
     one = winnowing.edited_fingerprints(docs.where("doc_id = 5")).first()
     assert one["near_next"] == 1.0
 
 
+def test_outlying_ids_stay_spread(spark):
+    """5,000 clustered ids and a far one: no task holds more than twice the mean of texts, and texts are shuffled once."""
+    from pyspark.sql import functions as F
+
+    docs = spark.range(5000).union(spark.createDataFrame([(10**15,)], "id long")).select(F.col("id").alias("doc_id"), F.concat_ws(" ", "id", F.lit("some words of a text")).alias("text"))
+    lasts, _ = winnowing.with_next(docs)
+    parts = lasts.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in parts) == 5001 and max(r["count"] for r in parts) < 2 * 5001 / len(parts)
+
+
 def test_packing_ids_of_random_unicode():
     """Letters whose lower case is longer, combining marks in any order, white space of every kind."""
     from tokenizers import Tokenizer
