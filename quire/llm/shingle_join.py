@@ -10,12 +10,15 @@ Texts are sets of runs of five words; two texts are linked if the Jaccard simila
    expected to stay together in one child. Nodes of one set end, nodes of up to ``BUCKET`` sets are compared by brute
    force, larger ones split again, down to ``DEPTH``; what is large then is brute-forced all the same, in tiles.
    ``runs`` gives how many runs with other choices reach the target recall; all runs advance together, level by level.
-3. Brute force works on tiles: a bucket is dealt into blocks of at most about ``BUCKET`` sets, and every pair of
+3. A cluster of very many near copies is a large bucket of nearly the same sets in every run. Such buckets are joined to
+   a family, where that means fewer comparisons than one bucket after the other; any other bucket is a family of its own.
+   Brute force works on tiles: a family is dealt into blocks of at most about ``BLOCK`` sets, and every pair of
    blocks is a task's work of bounded size, so a group of very many near copies is spread over many tasks. No pair
-   leaves a tile as a row. A pair that meets in several buckets counts in the one with the least path only, which both
-   sets' lists of buckets tell. First tiles of sketches find the sets that have a likely partner; only these sets'
-   shingles are then fetched, and the same tiles check the pairs exactly. A tile returns, for each set, its number
-   of links and the least set that it is connected with there.
+   leaves a tile as a row. A pair counts in the family of the least bucket that both sets lie in, which their lists of
+   buckets tell. First tiles of sketches find the sets that have a likely partner; only these sets'
+   shingles are then fetched, and the same tiles check the pairs exactly: few pairs one by one, many at once by a product
+   of set-by-shingle matrices. A tile returns, for each set, its number of links and the least set that it is connected
+   with there.
 4. Connected components of these links, by spreading and jumping to least labels until nothing changes.
 
 Sketches reject pairs whose estimate lies over four standard deviations below the threshold; all others are checked
@@ -34,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T_
 
@@ -46,6 +49,7 @@ RECALL = 0.999
 T = 128
 DEPTH = 3
 BUCKET = 256
+BLOCK = 1024
 BLOCK_SHINGLES = 1_000_000
 BATCH_BYTES = 2 << 20
 
@@ -147,7 +151,7 @@ def _split(batches: Iterator[pa.RecordBatch], roots: np.ndarray | None, similari
 
 
 def leaves(reps: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, depth: int = DEPTH, bucket: int = BUCKET) -> DataFrame:
-    """``(path, uid, blocks)``: the buckets of two sets or more that the recursion ends in, over all runs."""
+    """``(path, uid, size, total)``: the buckets of two sets or more that the recursion ends in, over all runs."""
     roots = _mix(np.arange(1, runs(similarity, recall, depth) + 1, dtype=np.uint64) * np.uint64(_GOLDEN))
     schema = "path long, uid long, n int"
     nodes = reps.where("n > 0").select("uid", "n", "sketch").mapInArrow(lambda b: _split(b, roots, similarity), schema)
@@ -156,8 +160,7 @@ def leaves(reps: DataFrame, similarity: float = SIMILARITY, recall: float = RECA
         sizes = nodes.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("total")).where("size > 1")
         shared = written(nodes.join(written(sizes, f"join-sizes{level}"), "path"), f"join-level{level}")
         small = (F.col("size") <= bucket) & (F.col("total") <= BLOCK_SHINGLES) if level < depth else F.lit(True)
-        blocks = F.greatest(F.ceil(F.col("size") / bucket), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks")
-        here = shared.where(small).select("path", "uid", blocks)
+        here = shared.where(small).select("path", "uid", "size", "total")
         ended = here if ended is None else ended.unionByName(here)
         if level < depth:
             large = shared.where(~small).select("path", "uid", "n").join(reps.select("uid", "sketch"), "uid")
@@ -165,17 +168,46 @@ def leaves(reps: DataFrame, similarity: float = SIMILARITY, recall: float = RECA
     return ended
 
 
-def tiles(ended: DataFrame, reps: DataFrame) -> DataFrame:
-    """``(path, a, b, side, uid, n, sketch, buckets)``: the sets of every pair of blocks of every bucket."""
-    own = ended.groupBy("uid").agg(F.sort_array(F.collect_list("path")).alias("buckets"))
-    short = reps.join(own, "uid").select("uid", "n", "sketch", "buckets")
-    block = F.pmod(F.xxhash64("uid", "path"), F.col("blocks")).cast("int")
-    dealt = ended.withColumn("block", block).select("path", "uid", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    placed = dealt.select("path", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), (F.col("block") > F.col("other")).cast("int").alias("side"), "uid")
-    return placed.join(short, "uid").select("path", "a", "b", "side", "uid", "n", F.col("sketch"), "buckets")
+def _blocks(block: int) -> Column:
+    return F.greatest(F.ceil(F.col("size") / block), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
 
 
-_TILE = "path long, a int, b int, side int, uid long, n int, sketch binary, buckets array<long>"
+def families(ended: DataFrame, reps: DataFrame, bucket: int = BUCKET, block: int = BLOCK) -> DataFrame:
+    """``(path, uid, family, blocks)``: every bucket with the family that its pairs are compared in.
+
+    Buckets of more than ``bucket`` sets that hold a set with the same least bucket are one family if it has fewer pairs
+    than its buckets have together. All this is counted by partial aggregations over (bucket, set) rows.
+    """
+    sized = ended.withColumn("blocks", _blocks(block))
+    large = sized.where(F.col("size") > bucket)
+    least = large.groupBy("uid").agg(F.min("path").alias("least"))
+    joined = large.join(least, "uid").groupBy("path").agg(F.min("least").alias("family"), F.first(F.col("size").cast("double")).alias("own"))
+    apart = joined.groupBy("family").agg(F.sum(F.col("own") * F.col("own")).alias("apart"))
+    own = written(large.select("path", "uid").join(joined.select("path", "family"), "path"), "join-families")
+    united = own.select("family", "uid").distinct().join(reps.select("uid", "n"), "uid").groupBy("family").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("total"))
+    gain = united.join(apart, "family").where(F.col("size").cast("double") * F.col("size") <= F.col("apart"))
+    chosen = joined.select("path", "family").join(gain.select("family", _blocks(block).alias("together")), "family")
+    told = sized.join(written(chosen, "join-chosen"), "path", "left")
+    return told.select("path", "uid", F.coalesce("family", "path").alias("family"), F.coalesce("together", "blocks").alias("blocks"))
+
+
+def tiles(dealt: DataFrame, reps: DataFrame) -> DataFrame:
+    """``(family, a, b, side, uid, n, sketch, buckets, families)``: the sets of every pair of blocks of every family.
+
+    ``families`` goes along with ``buckets``; it is null where every bucket of the set is its own family.
+    """
+    lists = F.sort_array(F.collect_list(F.struct("path", "family")))
+    own = dealt.groupBy("uid").agg(lists.alias("all")).select(
+        "uid", F.col("all.path").alias("buckets"), F.when(F.col("all.path") != F.col("all.family"), F.col("all.family")).alias("families"))
+    short = reps.join(own, "uid").select("uid", "n", "sketch", "buckets", "families")
+    once = dealt.groupBy("family", "uid").agg(F.first("blocks").alias("blocks"))
+    block = F.pmod(F.xxhash64("uid", "family"), F.col("blocks")).cast("int")
+    spread = once.withColumn("block", block).select("family", "uid", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    placed = spread.select("family", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), (F.col("block") > F.col("other")).cast("int").alias("side"), "uid")
+    return placed.join(short, "uid").select("family", "a", "b", "side", "uid", "n", "sketch", "buckets", "families")
+
+
+_TILE = "family long, a int, b int, side int, uid long, n int, sketch binary, buckets array<long>, families array<long>"
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -185,7 +217,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         table = pa.Table.from_batches([batch])
         rest = table if rest is None else pa.concat_tables([rest, table])
         if rest.num_rows >= 4096 or rest.nbytes >= 32 << 20:
-            keys = [np.asarray(rest.column(c)) for c in ("path", "a", "b")]
+            keys = [np.asarray(rest.column(c)) for c in ("family", "a", "b")]
             last = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys]))
             if len(last):
                 yield rest.slice(0, last[-1] + 1)
@@ -194,22 +226,27 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield rest
 
 
+def _padded(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(buckets, known, here)`` by row and position: a row's buckets in order, whether there is one at the position, and
+    whether its family is the tile's."""
+    family = np.asarray(table.column("family"))
+    lists, told = table.column("buckets").combine_chunks(), table.column("families").combine_chunks()
+    width = np.diff(np.asarray(lists.offsets))
+    known = np.arange(max(1, width.max(initial=0))) < width[:, None]
+    buckets = np.zeros(known.shape, np.int64)
+    buckets[known] = np.asarray(lists.flatten())
+    of = buckets.copy()
+    other = np.asarray(told.is_valid())
+    of[other[:, None] & known] = np.asarray(told.drop_null().flatten())
+    return buckets, known, known & (of == family[:, None])
+
+
 def _pairs(table: pa.Table, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of rows of one tile whose sizes and sketches allow the similarity and that have no lesser bucket in common."""
-    path, a, b, side, n = (np.asarray(table.column(c)) for c in ("path", "a", "b", "side", "n"))
+    """Pairs of rows of one tile whose sizes and sketches allow the similarity and whose least common bucket is of its family."""
+    family, a, b, side, n = (np.asarray(table.column(c)) for c in ("family", "a", "b", "side", "n"))
     sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint32).reshape(-1, T).astype(np.uint8)
-    lists = table.column("buckets").combine_chunks()
-    starts = np.asarray(lists.offsets)
-    flat, own = np.asarray(lists.values)[starts[0] : starts[-1]], np.diff(starts)
-    tile = np.cumsum(np.concatenate([[False], (path[1:] != path[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-    row = np.repeat(np.arange(len(path)), own)
-    lesser = flat < path[row]  # the buckets that come before this one
-    row, flat = row[lesser], flat[lesser]
-    width = np.bincount(row, minlength=len(path))
-    before = np.full((len(path), max(1, width.max(initial=0))), -1, np.int64)
-    used = np.zeros(before.shape, bool)
-    column = np.arange(len(row)) - np.repeat(np.cumsum(width) - width, width)
-    before[row, column], used[row, column] = flat, True
+    buckets, known, ours = _padded(table)
+    tile = np.cumsum(np.concatenate([[False], (family[1:] != family[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
     least = similarity - 4.2 * math.sqrt(similarity * (1 - similarity) / T)
     longest = int(np.bincount(tile).max())
     for gap in range(1, longest):
@@ -223,13 +260,70 @@ def _pairs(table: pa.Table, similarity: float) -> Iterator[tuple[np.ndarray, np.
             x, y = i[at : at + 8192], j[at : at + 8192]
             alike = (sketches[x] == sketches[y]).sum(1) >= least * T
             x, y = x[alike], y[alike]
-            if not len(x):
-                continue
-            met = np.zeros(len(x), bool)
-            for c in range(before.shape[1]):
-                met |= (used[x, c][:, None] & used[y] & (before[x, c][:, None] == before[y])).any(1)
-            if not met.all():
-                yield x[~met], y[~met]
+            keep = np.zeros(len(x), bool)
+            left = np.arange(len(x))  # pairs whose least common bucket is not found yet
+            for c in range(buckets.shape[1]):
+                if not len(left):
+                    break
+                p, q = x[left], y[left]
+                common = known[p, c] & (known[q] & (buckets[p, c][:, None] == buckets[q])).any(1)
+                keep[left[common]] = ours[p[common], c]
+                left = left[~common]
+            if keep.any():
+                yield x[keep], y[keep]
+
+
+def _least_linked(uid: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """For every row the least uid that it is connected with by the links ``x, y``."""
+    order = np.argsort(uid, kind="stable")
+    rank = np.empty_like(order)
+    rank[order] = np.arange(len(uid))
+    x, y, label = rank[x], rank[y], np.arange(len(uid))
+    while True:
+        low = np.minimum(label[x], label[y])
+        new = label.copy()
+        np.minimum.at(new, x, low)
+        np.minimum.at(new, y, low)
+        new = new[new]
+        if (new == label).all():
+            return uid[order[label[rank]]]
+        label = new
+
+
+def _common(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The sizes of the intersections of the pairs ``x, y`` of sets, exactly.
+
+    Many pairs of few sets go through a product of 0/1 matrices (in blocks of shingles), few pairs are looked up.
+    """
+    rows = np.unique(np.concatenate([x, y]))
+    sizes = np.array([len(sets[i]) for i in rows])
+    at = np.zeros(rows[-1] + 1, np.int64)
+    at[rows] = np.arange(len(rows))
+    if len(x) >= 4 * len(rows):
+        _, column, often = np.unique(np.concatenate([sets[i] for i in rows]), return_inverse=True, return_counts=True)
+    # about 16 products or one thirtieth of a lookup in a nanosecond
+    if len(x) >= 4 * len(rows) and len(rows) ** 2 * float((often > 1).sum()) / 16 < sizes[at[y]].sum() * 30.0:
+        row = np.repeat(np.arange(len(rows)), sizes)
+        shared = often[column] > 1
+        row, column = row[shared], (np.cumsum(often > 1) - 1)[column[shared]]
+        by_column = np.argsort(column, kind="stable")
+        row, column = row[by_column], column[by_column]
+        both = np.zeros((len(rows), len(rows)), np.float32)
+        for low in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+            p, q = np.searchsorted(column, [low, low + 4096])
+            part = np.zeros((len(rows), 4096), np.float32)
+            part[row[p:q], column[p:q] - low] = 1
+            both += part @ part.T
+        return both[at[x], at[y]].astype(np.int64)
+    out = np.zeros(len(x), np.int64)
+    by_left = np.argsort(x, kind="stable")
+    for some in np.split(by_left, np.flatnonzero(np.diff(x[by_left])) + 1):
+        mine = sets[x[some[0]]]
+        every = np.concatenate([sets[j] for j in y[some]])
+        own = sizes[at[y[some]]]
+        spot = np.minimum(np.searchsorted(mine, every), len(mine) - 1)
+        out[some] = np.add.reduceat(mine[spot] == every, np.cumsum(own) - own, dtype=np.int64)
+    return out
 
 
 def _likely(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
@@ -245,40 +339,25 @@ def _likely(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa
 def _checked(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
     """``(uid, root, links)`` per row of a tile: its exact links there, and the least set connected with it."""
     for table in _groups(batches):
-        keys = [np.asarray(table.column(c)) for c in ("path", "a", "b", "uid")]
+        keys = [np.asarray(table.column(c)) for c in ("family", "a", "b", "uid")]
         again = np.concatenate([[False], np.logical_and.reduce([k[1:] == k[:-1] for k in keys])])  # equal rows of the input
         table = table.filter(pa.array(~again))
         uid = np.asarray(table.column("uid"))
         sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
-        links, parent = np.zeros(len(uid), np.int64), np.arange(len(uid))
-
-        def top(i: int) -> int:
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
-
-        partners: dict[int, list[int]] = {}
-        for x, y in _pairs(table, similarity):
-            for i, j in zip(x.tolist(), y.tolist(), strict=True):
-                partners.setdefault(i, []).append(j)
-        for i, some in partners.items():
-            mine = sets[i]
-            sizes = np.array([len(sets[j]) for j in some])
-            every = np.concatenate([sets[j] for j in some])
-            spot = np.minimum(np.searchsorted(mine, every), len(mine) - 1)
-            both = np.add.reduceat(mine[spot] == every, np.cumsum(sizes) - sizes, dtype=np.int64)
-            linked = both >= similarity * (len(mine) + sizes - both) - 1e-9
-            for j in np.array(some)[linked].tolist():
-                links[i] += 1
-                links[j] += 1
-                p, q = top(i), top(j)
-                if p != q:
-                    if uid[p] > uid[q]:
-                        p, q = q, p
-                    parent[q] = p
+        found = list(_pairs(table, similarity))
+        x, y = (np.concatenate([np.zeros(0, np.int64), *some]) for some in (zip(*found, strict=True) if found else ((), ())))
+        first = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([np.asarray(table.column(c))[1:] != np.asarray(table.column(c))[:-1] for c in ("family", "a", "b")])]))
+        tile = np.searchsorted(first, x, side="right")
+        by_tile = np.argsort(tile, kind="stable")
+        x, y = x[by_tile], y[by_tile]
+        both = [_common(sets, x[p], y[p]) for p in np.split(np.arange(len(x)), np.flatnonzero(np.diff(tile[by_tile])) + 1) if len(p)]
+        both = np.concatenate([np.zeros(0, np.int64), *both])
+        size = np.array([len(v) for v in sets], np.int64)
+        linked = both >= similarity * (size[x] + size[y] - both) - 1e-9
+        x, y = x[linked], y[linked]
+        links = np.bincount(np.concatenate([x, y]), minlength=len(uid))
         has = np.flatnonzero(links)
-        root = uid[[top(i) for i in has.tolist()]] if len(has) else np.zeros(0, np.int64)
+        root = _least_linked(uid, x, y)[has]
         yield pa.RecordBatch.from_arrays([pa.array(uid[has]), pa.array(root), pa.array(links[has])], names=["uid", "root", "links"])
 
 
@@ -286,9 +365,10 @@ def links(docs: DataFrame, reps: DataFrame, similarity: float = SIMILARITY) -> D
     """``(uid, root, links)`` over all tiles: counts add up to a set's number of links, roots connect linked sets."""
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ["path", "a", "b", "uid"]
+    order = ["family", "a", "b", "uid"]
     ended = written(leaves(reps, similarity), "join-leaves")
-    dealt = tiles(ended, reps).repartition(n, "path", "a", "b").sortWithinPartitions(*order)
+    grouped = written(families(ended, reps, BUCKET, BLOCK), "join-grouped")
+    dealt = tiles(grouped, reps).repartition(n, "family", "a", "b").sortWithinPartitions(*order)
     likely = written(dealt.mapInArrow(lambda b: _likely(b, similarity), _TILE), "join-likely")
     wanted = likely.select("uid").distinct().join(reps.select("uid", "doc_id", "text_hash"), "uid")
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
@@ -302,7 +382,7 @@ def links(docs: DataFrame, reps: DataFrame, similarity: float = SIMILARITY) -> D
             yield pa.RecordBatch.from_arrays([batch.column("uid"), pa.array(sets, pa.binary())], names=["uid", "shingles"])
 
     sets = fetched.mapInArrow(cut, "uid long, shingles binary")
-    full = likely.join(sets, "uid").repartition(n, "path", "a", "b").sortWithinPartitions(*order)
+    full = likely.join(sets, "uid").repartition(n, "family", "a", "b").sortWithinPartitions(*order)
     return full.mapInArrow(lambda b: _checked(b, similarity), "uid long, root long, links long")
 
 

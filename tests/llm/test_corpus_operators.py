@@ -15,6 +15,7 @@ sys.path.insert(0, os.path.dirname(__file__))
 from llm_cases import edge_docs, empty_docs, labels, sentence, texts  # noqa: E402
 
 from quire.llm import attention_quality, mixing, sharding, shingle_join, toxicity  # noqa: E402
+from quire.llm.common import written  # noqa: E402
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -68,9 +69,10 @@ def near_rows():
     return rows
 
 
-@pytest.mark.parametrize("bucket", [4, 256])
-def test_near_duplicates_against_all_pairs(spark, monkeypatch, bucket):
+@pytest.mark.parametrize(("bucket", "block"), [(4, 4), (4, 1024), (256, 16)])
+def test_near_duplicates_against_all_pairs(spark, monkeypatch, bucket, block):
     monkeypatch.setattr(shingle_join, "BUCKET", bucket)
+    monkeypatch.setattr(shingle_join, "BLOCK", block)
     monkeypatch.setattr(shingle_join.leaves, "__defaults__", (0.8, 0.9999, 3, bucket))
     rows = near_rows()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
@@ -78,6 +80,59 @@ def test_near_duplicates_against_all_pairs(spark, monkeypatch, bucket):
     assert Counter((r["doc_id"], r["class_id"], r["copies"], r["n_links"]) for r in got) == brute_classes(rows)
 
 
+def near_cluster(n, words=400, edits=14):
+    """``n`` copies of one text, each with its own edits, so that similarities lie on both sides of 0.8."""
+    rng = random.Random(11)
+    base = sentence(rng, words).split()
+    rows = []
+    for i in range(n):
+        near = list(base)
+        for at in rng.sample(range(words), rng.randint(1, edits)):
+            near[at] = f"e{rng.randrange(50)}"
+        rows.append((i, " ".join(near)))
+    return rows
+
+
+def test_a_cluster_of_near_copies_is_compared_about_once(spark):
+    """Links of 1,500 near copies (over 10^5 at 0.8 to 0.85): recall, and the pairs in all tiles against all pairs."""
+    from pyspark.sql import functions as F
+
+    rows = near_cluster(1500)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    grams = [set(zip(*[(w := t.split())[k:] for k in range(5)])) for _, t in rows]
+    number = {}
+    x = np.zeros((len(rows), len({g for s in grams for g in s})), np.float32)
+    for i, s in enumerate(grams):
+        x[i, [number.setdefault(g, len(number)) for g in s]] = 1
+    both, size = x @ x.T, x.sum(1)
+    likeness = both / (size[:, None] + size - both)
+    linked = likeness >= 0.8 - 1e-7
+    np.fill_diagonal(linked, False)
+    got = {r["doc_id"]: r["n_links"] for r in shingle_join.near_duplicates(docs).collect()}
+    want, found = linked.sum(1), np.array([got[i] for i in range(len(rows))])
+    assert ((likeness < 0.85) & linked).sum() / 2 > 10**5
+    assert (found <= want).all() and found.sum() >= 0.99 * want.sum()
+    reps = written(shingle_join.equal_classes(shingle_join.sketched(docs)), "test-reps")
+    grouped = written(shingle_join.families(shingle_join.leaves(reps), reps), "test-grouped")
+    tile = shingle_join.tiles(grouped, reps).groupBy("family", "a", "b").agg(F.count_if(F.col("side") == 0).alias("l"), F.count_if(F.col("side") == 1).alias("r"))
+    pairs = tile.agg(F.sum(F.when(F.col("a") == F.col("b"), F.col("l") * (F.col("l") - 1) / 2).otherwise(F.col("l") * F.col("r")))).first()[0]
+    assert pairs < 2 * len(rows) * (len(rows) - 1) / 2
+
+
+def test_least_linked_and_common():
+    rng = np.random.default_rng(3)
+    uid = rng.permutation(1000)[:60]
+    x, y = np.array([0, 1, 2, 10, 30, 12]), np.array([1, 2, 3, 11, 31, 30])
+    want = uid.copy()
+    for group in ([0, 1, 2, 3], [10, 11], [30, 31, 12]):
+        want[group] = uid[group].min()
+    assert (shingle_join._least_linked(uid, x, y) == want).all()
+    sets = [np.unique(rng.integers(0, 400, rng.integers(1, 300)).astype(np.uint64)) for _ in range(40)]
+    i, j = np.triu_indices(40, 1)
+    for some in (slice(None), slice(0, None, 40)):  # by matrices, by lookups
+        assert shingle_join._common(sets, i[some], j[some]).tolist() == [len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i[some], j[some])]
+
+
 def test_near_duplicates_of_odd_rows(spark):
     docs = edge_docs(spark)
     got = shingle_join.near_duplicates(docs).collect()
