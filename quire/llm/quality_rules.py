@@ -6,9 +6,10 @@ corpus, both smoothed by one count per bucket. A document's score is the mean of
 so long and short texts compare. Thresholding is deterministic: a document is kept if the base rules pass and its
 score is at least ``THRESHOLD``.
 
-Counting is one pass over all texts, which looks up trusted ids in a broadcast block of at most about ``BLOCK_IDS`` (more
-ids take more passes): a task adds up its own counts and returns at most ``BUCKETS`` rows, summed by bucket. The model has ``BUCKETS`` numbers whatever the corpus; that is all that
-reaches the driver. Scoring is a second pass without any shuffle.
+Counting is one pass over all texts beside a mark for trusted ids, which a Spark join sets (ids go to the texts while
+they are small by Spark's own size check, else both are shuffled by id once and skewed ids are split): a task adds up
+its own counts and returns at most ``BUCKETS`` rows, summed by bucket. The model has ``BUCKETS`` numbers whatever the
+corpus; that is all that reaches the driver. Scoring is a second pass without any shuffle.
 
 Base rules, over words ``[^\\x20\\x09-\\x0D]+``: characters in words, symbol characters, lines that repeat an earlier
 line, and words in 8-word windows that occur twice or more.
@@ -37,7 +38,6 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 BATCH_BYTES = 4 << 20
-BLOCK_IDS = 4_000_000
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -97,18 +97,13 @@ def base_counts(text: bytes, words: list[bytes], hashes: np.ndarray) -> tuple[in
     return chars, int(_SYMBOL[raw].sum()), len(lines) - len(set(lines)), repeated_words(words, hashes)
 
 
-def gram_counts(docs: DataFrame, trusted: np.ndarray, buckets: int = BUCKETS) -> DataFrame:
-    """``(bucket, good, n)``: n-grams of the rows whose hashed id is in ``trusted`` (sorted), and of all rows."""
-    shared = docs.sparkSession.sparkContext.broadcast(trusted)
+def gram_counts(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """``(bucket, good, n)``: n-grams of the rows whose id is in ``trusted``, and of all rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = shared.value
         total = np.zeros((2, buckets), np.int64)
         for batch in byte_slices(batches, "text", BATCH_BYTES):
-            ours = np.asarray(batch.column("id"))
-            spot = np.minimum(np.searchsorted(ids, ours), len(ids) - 1)
-            good = ids[spot] == ours if len(ids) else np.zeros(len(ours), bool)
-            for text, is_good in zip(batch.column("text").cast(pa.binary()).to_pylist(), good.tolist(), strict=True):
+            for text, is_good in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("good").to_pylist(), strict=True):
                 if text:
                     n = np.bincount(gram_buckets(word_hashes(text.split()), buckets), minlength=buckets)
                     total[1] += n
@@ -117,27 +112,21 @@ def gram_counts(docs: DataFrame, trusted: np.ndarray, buckets: int = BUCKETS) ->
         at = np.flatnonzero(total[1])
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[0][at]), pa.array(total[1][at])], names=["bucket", "good", "n"])
 
-    rows = docs.select(F.xxhash64("doc_id").alias("id"), "text")
-    counted = rows.mapInArrow(count, "bucket long, good long, n long")
+    ids = trusted.select("doc_id").where(F.col("doc_id").isNotNull()).distinct().withColumn("good", F.lit(True))
+    marked = docs.select("doc_id", "text").join(ids, "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
+    counted = marked.mapInArrow(count, "bucket long, good long, n long")
     return counted.groupBy("bucket").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, block: int = BLOCK_IDS) -> np.ndarray:
+def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
     """Per bucket: log of its share among the n-grams of trusted documents over its share in the whole corpus.
 
-    ``trusted`` holds ids. Their hashes are broadcast in blocks of about ``block``, one pass over ``docs`` for each
-    (one in all, but for very many ids), so no text is shuffled to find out which rows are trusted.
+    ``trusted`` holds ids, any number of them.
     """
-    ids = trusted.where(F.col("doc_id").isNotNull()).select(F.xxhash64("doc_id").alias("id")).distinct()
-    blocks = max(1, -(-ids.count() // block))
     good, raw = np.ones(buckets), np.ones(buckets)
-    for i in range(blocks):
-        part = ids.where(F.pmod("id", F.lit(blocks)) == i).toArrow().column("id").to_numpy()
-        counts = gram_counts(docs, np.sort(part), buckets).collect()  # at most one row per bucket
-        for row in counts:
-            good[row["bucket"]] += row["good"]
-            if i == 0:
-                raw[row["bucket"]] += row["n"]
+    for row in gram_counts(docs, trusted, buckets).collect():  # at most one row per bucket
+        good[row["bucket"]] += row["good"]
+        raw[row["bucket"]] += row["n"]
     return np.log(good / good.sum()) - np.log(raw / raw.sum())
 
 
