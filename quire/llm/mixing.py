@@ -6,19 +6,23 @@
 2. The words of a source, its documents in order of their ids, are packed into blocks of ``block`` words (the last
    one may be shorter). Where a document starts within its source comes from two passes of prefix sums: inside
    range partitions and over the partitions' totals, so a source that holds most rows is spread over many tasks.
-3. Every source gets as many block slots as its target needs and draws how many of them each output shard takes
-   from a multinomial over the shards, seeded by the source. Over one shard the counts of the sources are
-   multinomial at the target weights, while each source's total is exact.
+3. Every source gets as many block slots as its target needs. An output shard holds ``shard_slots`` slots and draws how
+   many of them each source gets from a multinomial at the target weights, given that the sources' totals come out
+   exactly. Given totals, shards are not independent, so the draw goes in two steps that need no task to see all
+   shards: each source deals its slots to groups of ``GROUP_SHARDS`` shards by a multinomial, and a group halves its
+   shards again and again, the sources' counts of either half drawn from what the group has (a multivariate
+   hypergeometric, which is what multinomial draws of fixed size are once their total is known). Only the last shard
+   of a group may be shorter.
 4. Slot ``k`` of a source takes block ``permutation(k mod blocks)``, with another pseudorandom permutation
    (a keyed Feistel network) for each round ``k div blocks``. So no block is used once more before all others were,
    and with at most ``repeat`` rounds no document exceeds ``repeat`` times its size.
 5. Slots and the documents' pieces of blocks are joined by (source, block index): fine-grained keys, no hot one.
 
-The result depends on the rows alone, not on partitions or on retries: reruns agree.
+The result depends on the rows alone, not on partitions or on retries: reruns agree. Rows are ordered by id, size and a
+hash of the text, so only rows that agree in all three may change places.
 
 Cases: a null text has size 0 and a null source is a source of its own; documents of size 0 take 0 words; an empty
-table gives no rows; rows with equal ids keep apart (each row has a key of its own) and are ordered by size; extra
-columns are ignored.
+table gives no rows; rows with equal ids keep apart (each row has a key of its own); extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,16 +39,19 @@ from quire.operators.numbering import dense_number
 
 BLOCK = 128
 SHARD_SLOTS = 4096
+GROUP_SHARDS = 256
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 REPEAT = 2
 
 
 def sized(docs: DataFrame, key: str | None = None) -> DataFrame:
-    """``(uid, doc_id, source, size)``: a key for every row (the column ``key`` or a new one) and its number of words."""
+    """``(uid, doc_id, source, size, text_hash)``: a key for every row (the column ``key`` or a new one), its number of words
+    and what orders rows of one id and size."""
     uid = F.col(key) if key else F.monotonically_increasing_id()
     words = F.regexp_count(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+"))
-    return docs.select(uid.alias("uid"), "doc_id", "source", F.coalesce(words, F.lit(0)).cast("long").alias("size"))
+    return docs.select(uid.alias("uid"), "doc_id", "source", F.coalesce(words, F.lit(0)).cast("long").alias("size"),
+                       F.xxhash64("text").alias("text_hash"))
 
 
 def source_targets(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, repeat: int = REPEAT,
@@ -80,7 +87,7 @@ def block_pieces(rows: DataFrame, sources: DataFrame, block: int = BLOCK) -> Dat
     """``(rank, block, uid, first, n_words)``: the words of each document that each block of its source holds."""
     spark = rows.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ["doc_id", "size", "uid"]
+    order = ["doc_id", "size", "text_hash", "uid"]
     ranked = rows.join(sources.select(F.col("source").alias("s"), "rank"), F.col("source").eqNullSafe(F.col("s")))
     placed = ranked.select("rank", *order).where("size > 0").repartitionByRange(n, "rank", *order)
     placed = written(placed.withColumn("part", F.spark_partition_id()), "mix-placed")
@@ -128,26 +135,60 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def shard_draws(sources: DataFrame, seed: int = 0, shard_slots: int = SHARD_SLOTS) -> DataFrame:
-    """``(rank, blocks, shard, first_slot, n)``: how many slots of each source each output shard takes."""
+    """``(rank, blocks, shard, first_slot, n)``: how many slots of each source each output shard takes.
+
+    Shards are numbered from ``2 * GROUP_SHARDS * group``. A task holds one source's counts per group, or one group's
+    slots per source and shard (at most as many rows as the group has slots).
+    """
     total = sources.agg(F.sum("slots")).first()[0] or 0
-    shards = max(1, round(total / shard_slots))
+    groups = max(1, round(total / (shard_slots * GROUP_SHARDS)))
 
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rank, blocks, slots in zip(*(batch.column(c).to_pylist() for c in ("rank", "blocks", "slots")), strict=True):
-                if not slots:
-                    continue
-                rng = np.random.Generator(np.random.Philox(key=[seed, rank]))
-                n = rng.multinomial(slots, np.full(shards, 1 / shards)).astype(np.int64)
+                n = _drawn(seed, 0, rank).multinomial(slots, np.full(groups, 1 / groups)).astype(np.int64)
                 first, some = np.cumsum(n) - n, np.flatnonzero(n)
                 for at in range(0, len(some), 65536):
-                    s = some[at : at + 65536]
+                    g = some[at : at + 65536]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(s), rank, np.int64)), pa.array(np.full(len(s), blocks, np.int64)), pa.array(s), pa.array(first[s]), pa.array(n[s])],
-                        names=["rank", "blocks", "shard", "first_slot", "n"])
+                        [pa.array(g), pa.array(np.full(len(g), rank, np.int64)), pa.array(np.full(len(g), blocks, np.int64)), pa.array(first[g]), pa.array(n[g])],
+                        names=["group", "rank", "blocks", "first_slot", "n"])
+
+    def split(rows: pa.Table) -> pa.Table:
+        group, rank, blocks, first, n = (x[np.argsort(rows["rank"].to_numpy(), kind="stable")] for x in (rows[c].to_numpy() for c in ("group", "rank", "blocks", "first_slot", "n")))
+        parts = list(shard_counts(n, shard_slots, _drawn(seed, 1, int(group[0]))))
+        source = np.concatenate([at for _, at, _, _ in parts])
+        shard = np.repeat([2 * GROUP_SHARDS * int(group[0]) + s for s, *_ in parts], [len(at) for _, at, _, _ in parts])
+        ahead, count = (np.concatenate([x[i] for x in parts]) for i in (2, 3))
+        return pa.table({"rank": rank[source], "blocks": blocks[source], "shard": shard.astype(np.int64), "first_slot": first[source] + ahead, "n": count})
+
+    dealt = sources.select("rank", "blocks", "slots").where("slots > 0").mapInArrow(deal, "group long, rank long, blocks long, first_slot long, n long")
+    return dealt.groupBy("group").applyInArrow(split, "rank long, blocks long, shard long, first_slot long, n long")
+
 
-    return sources.select("rank", "blocks", "slots").mapInArrow(
-        draw, "rank long, blocks long, shard long, first_slot long, n long")
+def _drawn(*key: int) -> np.random.Generator:
+    """Random numbers that follow from the key alone, whichever task asks."""
+    return np.random.Generator(np.random.Philox(np.random.SeedSequence(key)))
+
+
+def shard_counts(n: np.ndarray, shard_slots: int, rng: np.random.Generator) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """``(shard, sources, slots of each source before the shard, slots in it)`` for the ``n`` slots of each source.
+
+    Every shard takes ``shard_slots`` slots, the last one the rest. Halves carry the sources they have only, so the work of
+    a level is bounded by its slots as well as by its sources.
+    """
+    shards = -(-int(n.sum()) // shard_slots)
+    todo = [(0, shards, np.flatnonzero(n), np.zeros(np.count_nonzero(n), np.int64), n[n > 0].astype(np.int64))] if shards else []
+    while todo:
+        low, high, at, ahead, count = todo.pop()
+        if high - low == 1:
+            yield low, at, ahead, count
+            continue
+        middle = (low + high) // 2
+        left = rng.multivariate_hypergeometric(count, (middle - low) * shard_slots, method="marginals").astype(np.int64)
+        right = count - left
+        todo.append((middle, high, at[right > 0], (ahead + left)[right > 0], right[right > 0]))
+        todo.append((low, middle, at[left > 0], ahead[left > 0], left[left > 0]))
 
 
 def slots(draws: DataFrame, seed: int = 0) -> DataFrame:

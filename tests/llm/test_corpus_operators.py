@@ -314,6 +314,51 @@ def test_targets_and_taken_words(spark):
     assert {(r["doc_id"], r["taken"]) for r in got} == {(r["doc_id"], r["taken"]) for r in again}
 
 
+def test_shards_hold_fixed_numbers_of_slots(spark, monkeypatch):
+    """Shards are full, sources' totals exact, slots of a source gapless, and counts spread as multinomial ones do."""
+    monkeypatch.setattr(mixing, "GROUP_SHARDS", 4)
+    want = {0: 5000, 1: 2000, 2: 7, 3: 0, 4: 993}
+    sources = spark.createDataFrame([(r, 700, n) for r, n in want.items()], "rank long, blocks long, slots long")
+    drawn = [mixing.shard_draws(sources.repartition(k), 3, 50).collect() for k in (1, 4)]
+    assert sorted(drawn[0]) == sorted(drawn[1])
+    by_shard, by_source = defaultdict(int), defaultdict(list)
+    for r in drawn[0]:
+        by_shard[r["shard"]] += r["n"]
+        by_source[r["rank"]].append((r["first_slot"], r["n"]))
+    groups = round(8000 / 200)
+    assert sum(v != 50 for v in by_shard.values()) <= groups and max(by_shard.values()) == 50
+    for rank, spans in by_source.items():
+        spans.sort()
+        assert spans[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:])) and sum(spans[-1]) == want[rank]
+    assert set(by_source) == {0, 1, 2, 4}
+    full = [s for s, n in by_shard.items() if n == 50]
+    share = np.array([next((r["n"] for r in drawn[0] if r["shard"] == s and r["rank"] == 0), 0) for s in full])
+    p = 5000 / 8000
+    assert abs(share.mean() - 50 * p) < 1 and 0.6 < share.var() / (50 * p * (1 - p)) < 1.5
+
+
+def test_shard_counts_keep_both_margins():
+    rng = np.random.default_rng(5)
+    for _ in range(50):
+        n = rng.integers(0, 40, rng.integers(1, 12))
+        parts = list(mixing.shard_counts(n, 16, np.random.default_rng(1)))
+        assert [s for s, *_ in parts] == list(range(-(-int(n.sum()) // 16)))
+        seen = np.zeros(len(n), np.int64)
+        for shard, at, ahead, count in parts:
+            assert (ahead == seen[at]).all() and (count > 0).all() and count.sum() == min(16, n.sum() - 16 * shard)
+            seen[at] += count
+        assert (seen == n).all()
+
+
+def test_mixed_texts_do_not_depend_on_the_layout(spark):
+    """Rows of one id and one size differ by their texts, and these are cut alike however rows are spread."""
+    rng = random.Random(31)
+    rows = [(i // 8, sentence(rng, 90), rng.choice(["a", "a", "b"])) for i in range(160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    one, other = (sorted(mixing.mixed_documents(d).collect()) for d in (docs.repartition(7), docs.orderBy("text").coalesce(2)))
+    assert one == other
+
+
 def test_permutations_are_permutations():
     for n in (1, 2, 3, 7, 64, 1000, 4097):
         key = np.full(n, 99, np.uint64)
