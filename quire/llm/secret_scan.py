@@ -7,9 +7,11 @@ at least) may hold ordinary text as well, so its best-scoring stretches count, n
 separators (``/``, ``_``, ``=``, ``-``) and have ``MIN_RUN`` characters or more. What base spans cover is cut out of them.
 
 Both models are trained from labelled samples, as transition counts of neighbouring characters. Ordinary: runs of
-identifier characters in a bounded sample of documents (``SAMPLE_DOCS``, those with the smallest hash of the id).
-Random: the base matches in these documents, and ``DIGESTS`` digests of each sampled id in hex, base 64 and upper case. A model has
-one number per pair of ASCII characters, smoothed by a uniform prior.
+identifier characters outside base matches, in all documents. Random: the values of the base matches in all documents,
+and ``DIGESTS`` made digests in hex, base 64 and upper case. Runs are counted before their characters are (words repeat),
+so a run met a billion times is taken apart once. No kind of base match weighs more than the digests together, so a
+corpus full of one kind of key does not teach that randomness looks like that. A model has one number per pair of ASCII
+characters, smoothed by a uniform prior.
 
 Everything is DataFrame expressions. A text is scanned where it is read, without any shuffle. Spark gives matches but
 not where they are, so positions are running sums over the lengths of the matches and of the gaps between them
@@ -37,8 +39,7 @@ HEX = r"[0-9a-f]{24,}"
 MIN_VALUE = 6
 KINDS = ("assign", "access", "hex", "markov")
 
-SAMPLE_DOCS = 4_000
-DIGESTS = 8
+DIGESTS = 32_000
 MIN_RUN = 16
 MIN_LLR = 12.0
 RUN = r"[A-Za-z0-9+/_=-]"
@@ -167,22 +168,26 @@ def _without(span: Column, others: Column) -> Column:
     return F.aggregate(near, zero, step, lambda acc: F.when(acc.at < span.end, F.concat(acc.out, piece(acc.at, span.end))).otherwise(acc.out))
 
 
-def training_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """``(run, random)``: labelled runs from at most ``sample_docs`` documents."""
-    ids = docs.select("doc_id").where(F.col("text").isNotNull()).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-    sampled = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+def training_sample(docs: DataFrame, digests: int = DIGESTS) -> DataFrame:
+    """``(kind, run, n)``: labelled runs and how often they occur. Kind -1 is ordinary, a base kind its secrets, and the
+    kind after the last base kind the made digests."""
     base = "|".join(f"(?:{p})" for p in (ASSIGN, ACCESS, HEX))
-    ordinary = F.regexp_extract_all(F.regexp_replace("text", base, " "), F.lit(RUN + "{6,}"), F.lit(0))
-    secret = F.regexp_extract_all("text", F.lit(f"{ACCESS}|{HEX}"), F.lit(0))
+    marked = F.col("text").rlike(base)
+    rest = F.when(marked, F.regexp_replace("text", base, " ")).otherwise(F.col("text"))
 
-    def strings(i: Column) -> Column:
-        digest = F.sha2(F.concat_ws(":", F.col("doc_id").cast("string"), i.cast("string")).cast("binary"), 256)
-        dense = F.translate(F.base64(F.unhex(digest)), "=\r\n", "")
-        return F.array(digest, dense, F.translate(F.upper(dense), "+/", ""))
+    def runs(kind: int, found: Column) -> Column:
+        return F.transform(found, lambda r: F.struct(F.lit(kind).alias("kind"), r.alias("run")))
 
-    made = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(DIGESTS)), strings))
-    return sampled.select(F.explode(ordinary).alias("run"), F.lit(False).alias("random")).unionAll(
-        sampled.select(F.explode(F.concat(secret, made)).alias("run"), F.lit(True).alias("random")))
+    values = F.filter(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)), lambda v: F.length(v) >= MIN_VALUE)
+    secrets = F.concat(runs(0, values), *[runs(i, F.regexp_extract_all("text", F.lit(p), F.lit(0))) for i, p in ((1, ACCESS), (2, HEX))])
+    ordinary = runs(-1, F.regexp_extract_all(rest, F.lit(RUN + "{6,}"), F.lit(0)))
+    met = docs.select(F.inline(F.when(marked, F.concat(ordinary, secrets)).otherwise(ordinary)))
+
+    digest = F.sha2(F.col("id").cast("string").cast("binary"), 256)
+    dense = F.translate(F.base64(F.unhex(digest)), "=\r\n", "")
+    made = docs.sparkSession.range(digests).select(
+        F.lit(len(KINDS)).alias("kind"), F.explode(F.array(digest, dense, F.translate(F.upper(dense), "+/", ""))).alias("run"))
+    return met.groupBy("kind", "run").agg(F.count(F.lit(1)).alias("n")).unionAll(made.select("kind", "run", F.lit(1).cast("long").alias("n")))
 
 
 def train(sample: DataFrame) -> list[float]:
@@ -190,17 +195,25 @@ def train(sample: DataFrame) -> list[float]:
     pairs = let(_codes(F.col("run")), lambda x: F.zip_with(
         F.slice(x, 1, F.size(x) - 1), F.slice(x, 2, F.size(x) - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b"))))
     counts = (
-        sample.select("random", F.inline(pairs))
+        sample.select("kind", "n", F.inline(pairs))
         .where((F.col("a") < ALPHABET) & (F.col("b") < ALPHABET) & (F.col("a") > 0) & (F.col("b") > 0))
-        .groupBy("random", "a", "b").count().collect())  # at most two rows per pair of ASCII characters
-    size = {label: sum(r["count"] for r in counts if r["random"] == label) for label in (True, False)}
+        .groupBy("kind", "a", "b").agg(F.sum("n").alias("n")).collect())  # at most five rows per pair of ASCII characters
+    of_kind: dict[int, float] = {}
+    for r in counts:
+        of_kind[r["kind"]] = of_kind.get(r["kind"], 0) + r["n"]
+    made = of_kind.get(len(KINDS), 0)
+    weigh = {k: 1.0 if k < 0 else min(1.0, made / size) for k, size in of_kind.items()}
+    size = {label: sum(of_kind[k] * weigh[k] for k in of_kind if (k >= 0) == label) for label in (True, False)}
     least = min(size.values())
     models = []
     for label in (True, False):  # scaled to the smaller sample, so that what neither has seen speaks for neither
-        n = {(r["a"], r["b"]): r["count"] * least / size[label] for r in counts if r["random"] == label}
+        n: dict[tuple[int, int], float] = {}
         first = [0.0] * ALPHABET
-        for (a, _), k in n.items():
-            first[a] += k
+        for r in sorted(counts, key=lambda r: (r["kind"], r["a"], r["b"])):
+            if (r["kind"] >= 0) == label:
+                k = r["n"] * weigh[r["kind"]] * least / size[label]
+                n[r["a"], r["b"]] = n.get((r["a"], r["b"]), 0.0) + k
+                first[r["a"]] += k
         models.append([math.log((n.get((a, b), 0) + PRIOR / ALPHABET) / (first[a] + PRIOR)) for a in range(ALPHABET) for b in range(ALPHABET)])
     return [round(x - y, 6) for x, y in zip(*models, strict=True)]
 

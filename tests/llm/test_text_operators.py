@@ -1,5 +1,6 @@
 """Operators that look at one text at a time, against plain Python."""
 
+import base64
 import hashlib
 import os
 import random
@@ -199,6 +200,51 @@ def test_markov_spans(spark):
     assert secret_scan.secret_scan(empty_docs(spark)).count() == 0 and secret_scan.redacted(empty_docs(spark)).count() == 0
 
 
+def test_markov_training_against_counts(spark):
+    """The models are transition counts over all documents, however often a run occurs and wherever it lies."""
+    rng = random.Random(21)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    made = [sentence(rng, 30) + f" token={''.join(rng.choice(alphabet) for _ in range(20))} settings_manager" for _ in range(150)]
+    made += ["a" * 24 + " secret: abc", "AKIA" + "Q7" * 9 + " " + made[0], made[0], "", "settings_manager " * 500]
+    docs = spark.createDataFrame(list(enumerate([*made, None])), "doc_id long, text string").repartition(5)
+    counts = {k: Counter() for k in (-1, 0, 1, 2, 4)}
+
+    def learn(kind, run):
+        counts[kind].update(zip(run, run[1:]))
+
+    for t in made:
+        assign = re.compile(secret_scan.ASSIGN, re.A)
+        for m in assign.finditer(t):
+            if len(m[2]) >= secret_scan.MIN_VALUE:
+                learn(0, m[2])
+        for kind, pattern in ((1, secret_scan.ACCESS), (2, secret_scan.HEX)):
+            for m in re.finditer(pattern, t):
+                learn(kind, m[0])
+        base = "|".join(f"(?:{p.replace('(?i)', '')})" for p in (secret_scan.ACCESS, secret_scan.HEX))
+        rest = re.sub(f"(?i:{secret_scan.ASSIGN.replace('(?i)', '')})|{base}", " ", t, flags=re.A)
+        for m in re.finditer(secret_scan.RUN + "{6,}", rest):
+            learn(-1, m[0])
+    digests = 300
+    for i in range(digests):
+        d = hashlib.sha256(str(i).encode())
+        dense = base64.b64encode(d.digest()).decode().rstrip("=")
+        for run in (d.hexdigest(), dense, dense.upper().replace("+", "").replace("/", "")):
+            learn(4, run)
+    weigh = {k: 1 if k < 0 else min(1, counts[4].total() / max(1, c.total())) for k, c in counts.items()}
+    sides = [[k for k in counts if k >= 0], [-1]]
+    size = [sum(counts[k].total() * weigh[k] for k in side) for side in sides]
+
+    def log_share(i, a, b):
+        scale = min(size) / size[i]
+        n = lambda pred: sum(v * weigh[k] * scale for k in sides[i] for pair, v in counts[k].items() if pred(pair))
+        return np.log((n(lambda p: p == (a, b)) + secret_scan.PRIOR / 128) / (n(lambda p: p[0] == a) + secret_scan.PRIOR))
+
+    got = secret_scan.train(secret_scan.training_sample(docs, digests))
+    for a, b in [("a", "b"), ("e", "t"), ("_", "m"), ("A", "K"), ("Q", "7"), ("0", "f"), ("z", "9"), ("+", "/"), ("a", "a")]:
+        assert got[ord(a) * 128 + ord(b)] == pytest.approx(log_share(0, a, b) - log_share(1, a, b), abs=2e-6), (a, b)
+    assert len(secret_scan.train(secret_scan.training_sample(empty_docs(spark), 10))) == 128 * 128
+
+
 def test_markov_spans_behind_ordinary_text(spark):
     """Random values glued to long ordinary text, two of them in one run, and around a base span."""
     rng = random.Random(8)
