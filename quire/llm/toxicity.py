@@ -2,20 +2,22 @@
 
 Learning, from a bounded sample of labelled texts (``TRAIN_ROWS``; rows of the training side only):
 
-* Features are lower-case words and, for longer words, their first ``STEM`` letters. For every feature the sample
-  gives the number of toxic and of other documents with it; the weighted log-odds with a Dirichlet prior compare
-  both, and features whose z-score reaches ``MIN_Z`` and whose log-odds reach ``MIN_SCORE`` carry these as a score (of very
-  many features some have a high z-score by chance, but not high odds too). All other tokens score a small negative
-  drift, so the expected score of ordinary text is below 0.
+* Features are lower-case words and, for longer words, their first ``STEM`` letters. The sample gives every feature's
+  tokens in toxic and in other texts. Its score is the log-odds of both with an informative Dirichlet prior: pseudo-counts
+  in the shares that features have in the whole sample, as many together as the toxic texts have tokens. Features
+  whose z-score and log-odds reach two limits carry these odds; all other tokens score a small negative drift, so the
+  expected score of ordinary text is below 0.
+* The limits are those of the grid ``LIMITS`` with the least log loss by cross-validation: each of ``FOLDS`` parts of the
+  sample is scored by features learned from the other parts.
 * Scores of segments in ordinary text follow an extreme-value law: a text of n tokens has about
   ``K n exp(-lambda S)`` maximal segments of score S or more by chance. Lambda solves the Karlin-Altschul equation
-  over the token frequencies of the other documents, K is fitted to the segments that they really have.
-* One logistic curve turns a document's evidence, the sum of ln(1 + 1/E) over its segments, into a probability. Each
+  over the token frequencies of the other documents, K is fitted to the segments that they really have (out of fold).
+* One logistic curve, fitted out of fold as well, turns a document's evidence, the sum of ln(1 + 1/E) over its segments, into a probability. Each
   segment counts by its chance there, so the curve holds whatever the law's constants come to.
 
 Scoring is one pass without shuffles: a linear-time scan (Ruzzo and Tompa) finds every maximal segment of a whole
 text, segments with an expected chance count E below ``MAX_E`` are its toxic passages, and the evidence of all gives
-the score. The model holds the features above the threshold only, ``MAX_FEATURES`` at most.
+the score. The model holds the features within the limits, so its size is bounded by the sample's vocabulary.
 
 Cases: null and empty texts have no passage and get the score of no evidence; without labelled rows (or without both
 labels) the score is 0 for every text; rows with null ids are scored and neither learned from nor held out; repeated
@@ -27,11 +29,11 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,10 +41,8 @@ from quire.llm.common import byte_slices, held_out, labelled_sample, written
 
 TRAIN_ROWS = 20_000
 STEM = 5
-PRIOR = 0.5
-MIN_Z = 3.0
-MIN_SCORE = 2.75
-MAX_FEATURES = 20_000
+FOLDS = 3
+LIMITS = tuple((z, odds) for z in (2.0, 3.0, 4.5) for odds in (1.0, 2.0, 3.0))
 DRIFT = 0.1
 MAX_E = 0.05
 PREDICT_AT = 0.7
@@ -63,21 +63,16 @@ class Model:
     slope: float = 0.0
     base: float = -np.inf
 
-    def hits(self, text: str) -> tuple[int, list[tuple[int, float, int, int]]]:
-        """The number of tokens, and ``(token index, score, first, end)`` of every token with a score."""
-        low = text.lower()
-        if len(low) != len(text):  # a letter whose lower case is longer would shift positions
-            low = "".join(c if len(x := c.lower()) != 1 else x for c in text)
-        tokens = WORD.findall(low)
+    def hits(self, low: str, tokens: list[str]) -> list[tuple[int, float, int, int]]:
+        """``(token index, score, first, end)`` of every token with a score."""
         scores = {w: s for w in set(tokens) if (s := self.words.get(w) or self.stems.get(w[:STEM] if len(w) > STEM else None))}
         if not scores:
-            return len(tokens), []
-        return len(tokens), [(i, scores[m[0]], *m.span()) for i, m in enumerate(WORD.finditer(low)) if m[0] in scores]
+            return []
+        return [(i, scores[m[0]], *m.span()) for i, m in enumerate(WORD.finditer(low)) if m[0] in scores]
 
-    def segments(self, text: str) -> tuple[int, list[tuple[int, int, float]]]:
-        """The number of tokens, and ``(first, end, score)`` of every maximal segment, in characters."""
-        n, hits = self.hits(text)
-        return n, maximal_segments(hits, self.drift)
+    def segments(self, low: str, tokens: list[str]) -> list[tuple[int, int, float]]:
+        """``(first, end, score)`` of every maximal segment, in characters."""
+        return maximal_segments(self.hits(low, tokens), self.drift)
 
     def chances(self, n: int, scores: list[float]) -> np.ndarray:
         """The expected number of chance segments of at least each score in ``n`` tokens."""
@@ -85,8 +80,9 @@ class Model:
 
     def judged(self, text: str) -> tuple[float, list[tuple[int, int, float, float]]]:
         """The probability of a text, and ``(first, end, score, expected chance count)`` of its toxic passages."""
-        n, found = self.segments(text)
-        chances = self.chances(n, [s for *_, s in found])
+        low, tokens = tokenised(text)
+        found = self.segments(low, tokens)
+        chances = self.chances(len(tokens), [s for *_, s in found])
         passages = [(*x, float(e)) for x, e in zip(found, chances, strict=True) if e < MAX_E]
         return self.probability(evidence(chances)), passages
 
@@ -94,6 +90,14 @@ class Model:
         return float(1 / (1 + np.exp(-(self.base + self.slope * evidence)))) if np.isfinite(self.base) else 0.0
 
 
+def tokenised(text: str) -> tuple[str, list[str]]:
+    """The text in lower case, character by character where it is, and its tokens."""
+    low = text.lower()
+    if len(low) != len(text):  # a letter whose lower case is longer would shift positions
+        low = "".join(c if len(x := c.lower()) != 1 else x for c in text)
+    return low, WORD.findall(low)
+
+
 def evidence(chances: np.ndarray) -> float:
     return float(np.log1p(np.log1p(1 / chances).sum()))
 
@@ -125,62 +129,86 @@ def maximal_segments(hits: list[tuple[int, float, int, int]], drift: float) -> l
 
 
 def feature_counts(sample: DataFrame) -> DataFrame:
-    """``(kind, feature, y, n)``: documents of each label with each feature; kind ``t`` sums tokens, ``d`` documents."""
+    """``(kind, feature, toxic, other)``: arrays, by fold, of a feature's tokens in texts of each label; of kind ``t`` all
+    tokens and of kind ``d`` the documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for batch in byte_slices(batches, "text", BATCH_BYTES):
-            for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                tokens = WORD.findall(text.lower())
-                words = set(tokens)
-                seen.update(("w", w, y) for w in words)
-                seen.update(("s", s, y) for s in {w[:STEM] for w in words if len(w) > STEM})
-                seen[("t", "", y)] += len(tokens)
-                seen[("d", "", y)] += 1
+            for text, y, fold in zip(*(batch.column(c).to_pylist() for c in ("text", "y", "fold")), strict=True):
+                _, tokens = tokenised(text)
+                for w, n in Counter(tokens).items():
+                    seen["w", w, y, fold] += n
+                    if len(w) > STEM:
+                        seen["s", w[:STEM], y, fold] += n
+                seen["t", "", y, fold] += len(tokens)
+                seen["d", "", y, fold] += 1
             if len(seen) > 200_000:
                 yield _rows(seen)
                 seen = Counter()
         yield _rows(seen)
 
-    return (
-        sample.select("text", "y").mapInArrow(count, "kind string, feature string, y int, n long")
-        .groupBy("kind", "feature").agg(
-            F.coalesce(F.sum(F.when(F.col("y") == 1, F.col("n"))), F.lit(0)).alias("toxic"),
-            F.coalesce(F.sum(F.when(F.col("y") == 0, F.col("n"))), F.lit(0)).alias("other"))
-    )
+    def by_fold(y: int):
+        return F.array(*[F.coalesce(F.sum(F.when((F.col("y") == y) & (F.col("fold") == f), F.col("n"))), F.lit(0)) for f in range(FOLDS)])
+
+    counted = sample.select("text", "y", "fold").mapInArrow(count, "kind string, feature string, y int, fold int, n long")
+    return counted.groupBy("kind", "feature").agg(by_fold(1).alias("toxic"), by_fold(0).alias("other"))
 
 
 def _rows(seen: Counter) -> pa.RecordBatch:
-    kind, feature, y = zip(*seen, strict=True) if seen else ((), (), ())
+    kind, feature, y, fold = zip(*seen, strict=True) if seen else ((), (), (), ())
     return pa.RecordBatch.from_arrays(
-        [pa.array(kind, pa.string()), pa.array(feature, pa.string()), pa.array(y, pa.int32()), pa.array(list(seen.values()), pa.int64())],
-        names=["kind", "feature", "y", "n"])
+        [pa.array(kind, pa.string()), pa.array(feature, pa.string()), pa.array(y, pa.int32()), pa.array(fold, pa.int32()), pa.array(list(seen.values()), pa.int64())],
+        names=["kind", "feature", "y", "fold", "n"])
+
+
+def log_odds(toxic, other, all_toxic: int, all_other: int):
+    """Log-odds and z-score of features with these tokens, of all tokens of either label; for numbers, arrays and columns.
+
+    The prior has ``all_toxic`` pseudo-tokens, each feature's in proportion to its share of all tokens.
+    """
+    log, sqrt = (F.log, F.sqrt) if isinstance(toxic, Column) else (np.log, np.sqrt)
+    prior = (toxic + other) * (all_toxic / (all_toxic + all_other))
+    t, o = toxic + prior, other + prior
+    odds = log(t / (2 * all_toxic - t)) - log(o / (all_other + all_toxic - o))
+    return odds, odds / sqrt(1 / t + 1 / o)
+
+
+def models(counts: DataFrame, out: int | None) -> list[Model]:
+    """A model without calibration for each of ``LIMITS``, learned from all folds but ``out``."""
+    def tokens(side: str) -> Column:
+        kept = [F.col(side)[f] for f in range(FOLDS) if f != out]
+        return sum(kept[1:], kept[0])
+
+    slim = counts.select("kind", "feature", tokens("toxic").alias("toxic"), tokens("other").alias("other"))
+    total = slim.where("kind = 't'").first()
+    if not total or not total["toxic"] or not total["other"]:
+        return [Model() for _ in LIMITS]
+    odds, z = log_odds(F.col("toxic").cast("double"), F.col("other").cast("double"), total["toxic"], total["other"])
+    chosen = (
+        slim.where(F.col("kind").isin("w", "s") & (F.col("toxic") > 1)).withColumn("score", odds).withColumn("z", z)
+        .where((F.col("z") >= min(z for z, _ in LIMITS)) & (F.col("score") >= min(s for _, s in LIMITS)))
+        .collect())  # features of the sample, which is bounded
+    made = []
+    for least_z, least_odds in LIMITS:
+        rows = [r for r in chosen if r["z"] >= least_z and r["score"] >= least_odds]
+        model = Model(words={r["feature"]: r["score"] for r in rows if r["kind"] == "w"}, stems={r["feature"]: r["score"] for r in rows if r["kind"] == "s"})
+        if rows:
+            rates = np.array([r["other"] + 0.5 for r in rows]) / (total["other"] + 1)
+            model.lam = karlin_altschul(np.array([r["score"] for r in rows]), rates, model.drift)
+        made.append(model)
+    return made
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
-    """Learn features, extreme-value law and curve from a sample of at most ``rows`` labelled training rows."""
-    sample = written(labelled_sample(docs, labels, "toxic", rows), "toxic-sample")
+    """Learn features, limits, extreme-value law and curve from a sample of at most ``rows`` labelled training rows."""
+    fold = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(FOLDS)).cast("int")
+    sample = written(labelled_sample(docs, labels, "toxic", rows).withColumn("fold", fold), "toxic-sample")
     counts = written(feature_counts(sample), "toxic-counts")
-    sums = {r["kind"]: (r["toxic"], r["other"]) for r in counts.where(F.col("kind").isin("t", "d")).collect()}
-    toxic_docs, other_docs = sums.get("d", (0, 0))
-    if not toxic_docs or not other_docs:
+    seen = counts.where("kind = 'd'").first()
+    if not seen or not sum(seen["toxic"]) or not sum(seen["other"]):
         return Model()
-    # the prior adds PRIOR documents with and without the feature to either side
-    t, o = F.col("toxic") + PRIOR, F.col("other") + PRIOR
-    odds = F.log(t / (toxic_docs + 2 * PRIOR - t)) - F.log(o / (other_docs + 2 * PRIOR - o))
-    chosen = (
-        counts.where(F.col("kind").isin("w", "s") & (F.col("toxic") > 1)).withColumn("score", odds)
-        .withColumn("z", F.col("score") / F.sqrt(1 / t + 1 / o))
-        .where((F.col("z") >= MIN_Z) & (F.col("score") >= MIN_SCORE))
-        .orderBy(F.desc("z"), "kind", "feature").limit(MAX_FEATURES).collect()
-    )
-    model = Model(words={r["feature"]: r["score"] for r in chosen if r["kind"] == "w"},
-                  stems={r["feature"]: r["score"] for r in chosen if r["kind"] == "s"})
-    if chosen:
-        scores = np.array([r["score"] for r in chosen])
-        rates = np.array([r["other"] + PRIOR for r in chosen]) / (sums["t"][1] + 1)
-        model.lam = karlin_altschul(scores, rates, model.drift)
-    return calibrate(sample, model)
+    return calibrated(sample, [models(counts, f) for f in range(FOLDS)], models(counts, None))
 
 
 def karlin_altschul(scores: np.ndarray, rates: np.ndarray, drift: float) -> float:
@@ -196,24 +224,46 @@ def karlin_altschul(scores: np.ndarray, rates: np.ndarray, drift: float) -> floa
     return max(low, 1e-3)
 
 
-def calibrate(sample: DataFrame, model: Model) -> Model:
-    """Fit K to the chance segments of the other documents, then the curve from evidence to probability."""
+def calibrated(sample: DataFrame, by_fold: list[list[Model]], whole: list[Model]) -> Model:
+    """The model of ``whole`` whose limits lose least out of fold, with the K and the curve that they have there."""
+    shared = sample.sparkSession.sparkContext.broadcast(by_fold)
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def chance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segments, least, tokens = np.zeros(len(LIMITS), np.int64), np.full(len(LIMITS), np.inf), 0
         for batch in byte_slices(batches, "text", BATCH_BYTES):
-            rows = [model.segments(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("y"), pa.array([n for n, _ in rows], pa.int64()), pa.array([[s for *_, s in x] for _, x in rows], pa.list_(pa.float64()))],
-                names=["y", "n", "scores"])
-
-    seen = sample.select("text", "y").mapInArrow(scan, "y int, n long, scores array<double>").collect()  # the sample is bounded
-    chance = sum(len(r["scores"]) for r in seen if r["y"] == 0)
-    least = min((s for r in seen if r["y"] == 0 for s in r["scores"]), default=0.0)
-    tokens = sum(r["n"] for r in seen if r["y"] == 0)
-    model.k = (chance + 0.5) / (max(1, tokens) * float(np.exp(-model.lam * least)))
-    x, y = np.zeros(len(seen)), np.array([r["y"] for r in seen], float)
-    for i, r in enumerate(seen):
-        x[i] = evidence(model.chances(r["n"], r["scores"]))
+            for text, fold in zip(batch.column("text").to_pylist(), batch.column("fold").to_pylist(), strict=True):
+                low, words = tokenised(text)
+                tokens += len(words)
+                for i, model in enumerate(shared.value[fold]):
+                    found = [s for *_, s in model.segments(low, words)]
+                    segments[i] += len(found)
+                    least[i] = min(least[i], min(found, default=np.inf))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(LIMITS))), pa.array(segments), pa.array(least), pa.array(np.full(len(LIMITS), tokens))], names=["i", "segments", "least", "tokens"])
+
+    law = sample.where("y = 0").select("text", "fold").mapInArrow(chance, "i long, segments long, least double, tokens long")
+    ks = np.ones(len(LIMITS))
+    for r in law.groupBy("i").agg(F.sum("segments").alias("segments"), F.min("least").alias("least"), F.sum("tokens").alias("tokens")).collect():
+        lam, least = whole[r["i"]].lam, r["least"] if np.isfinite(r["least"]) else 0.0
+        ks[r["i"]] = (r["segments"] + 0.5) / (max(1, r["tokens"]) * float(np.exp(-lam * least)))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in byte_slices(batches, "text", BATCH_BYTES):
+            out = []
+            for text, fold in zip(batch.column("text").to_pylist(), batch.column("fold").to_pylist(), strict=True):
+                low, words = tokenised(text)
+                out.append([evidence(replace(m, k=k).chances(len(words), [s for *_, s in m.segments(low, words)])) for m, k in zip(shared.value[fold], ks, strict=True)])
+            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(out, pa.list_(pa.float64()))], names=["y", "evidence"])
+
+    seen = sample.select("text", "y", "fold").mapInArrow(judge, "y int, evidence array<double>").collect()  # a few numbers per row of the sample
+    seen.sort(key=lambda r: (r["y"], r["evidence"]))
+    y, x = np.array([r["y"] for r in seen], float), np.array([r["evidence"] for r in seen])
+    curves = [logistic(x[:, i], y) for i in range(len(LIMITS))]
+    best = min(range(len(LIMITS)), key=lambda i: (round(curves[i][2], 9), i))
+    return replace(whole[best], k=float(ks[best]), base=curves[best][0], slope=curves[best][1])
+
+
+def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
+    """Base and slope of the curve from evidence to probability, and its mean log loss."""
     # Platt's targets keep the curve finite where both labels separate
     pos, neg = y.sum(), len(y) - y.sum()
     target = np.where(y == 1, (pos + 1) / (pos + 2), 1 / (neg + 2))
@@ -225,8 +275,9 @@ def calibrate(sample: DataFrame, model: Model) -> Model:
         w += step * min(1.0, 2.0 / max(1e-12, np.abs(step).max()))
         if np.abs(step).max() < 1e-9:
             break
-    model.base, model.slope = float(w[0]), max(0.0, float(w[1]))
-    return model
+    base, slope = float(w[0]), max(0.0, float(w[1]))
+    at = base + slope * x
+    return base, slope, float((np.logaddexp(0, at) - target * at).mean())
 
 
 def toxic_passages(docs: DataFrame, model: Model, *keep: str, with_text: bool = False) -> DataFrame:

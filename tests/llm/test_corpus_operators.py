@@ -1,6 +1,7 @@
 """Operators over whole tables: joins, models, mixtures, shards and the pipeline."""
 
 import itertools
+import math
 import os
 import random
 import re
@@ -222,6 +223,36 @@ def test_toxicity_on_held_out_rows(spark):
     assert [(s["first"], s["end"]) for s in spans] == [(7, 18)]
 
 
+def test_toxic_features_against_counts(spark):
+    """Every model's features, out of each fold and of the whole sample, from token counts in plain Python."""
+    docs, marks, truth = labelled(spark, 300)
+    F = sharding.F
+    sample = toxicity.labelled_sample(docs, marks, "toxic", 10_000).withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(toxicity.FOLDS)).cast("int"))
+    rows = sample.collect()
+    assert {r["doc_id"] for r in rows} == {i for i, *_ in truth if zlib.crc32(str(i).encode()) % 3 != 1}
+    counts = toxicity.written(toxicity.feature_counts(sample), "test-counts")
+    for out in (0, 1, 2, None):
+        n, total = defaultdict(lambda: [0, 0]), [0, 0]
+        for r in rows:
+            if r["fold"] != out:
+                for w in toxicity.WORD.findall(r["text"].lower()):
+                    total[r["y"]] += 1
+                    n["w", w][r["y"]] += 1
+                    if len(w) > toxicity.STEM:
+                        n["s", w[: toxicity.STEM]][r["y"]] += 1
+        other, toxic = total
+        got = toxicity.models(counts, out)
+        for (least_z, least_odds), model in zip(toxicity.LIMITS, got, strict=True):
+            want = {"w": {}, "s": {}}
+            for (kind, feature), (o, t) in n.items():
+                prior = toxic * (t + o) / (toxic + other)
+                odds = math.log((t + prior) / (toxic + toxic - t - prior)) - math.log((o + prior) / (other + toxic - o - prior))
+                z = odds / math.sqrt(1 / (t + prior) + 1 / (o + prior))
+                if t > 1 and z >= least_z and odds >= least_odds:
+                    want[kind][feature] = odds
+            assert model.words == pytest.approx(want["w"]) and model.stems == pytest.approx(want["s"])
+
+
 def test_toxicity_of_odd_rows(spark):
     _, marks, _ = labelled(spark, 5)
     docs = edge_docs(spark)
