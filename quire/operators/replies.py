@@ -13,7 +13,7 @@ and strings may be of any size that a Spark string holds.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -25,6 +25,8 @@ from quire.functions.paths import path_name
 from quire.functions.text import has_text, py_strip
 from quire.operators import reply_reader as reader
 
+BATCH_ROWS, BATCH_SIZE = 1000, 1 << 20
+
 # ------------------------------------------------------------------------------------------------ containers
 
 
@@ -57,13 +59,34 @@ def _arrow_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
+def _batched(rows: Iterator[dict], schema: pa.Schema, size: Callable[[dict], int]) -> Iterator[pa.RecordBatch]:
+    """Rows as batches that close once they hold ``BATCH_ROWS`` rows, or ``BATCH_SIZE`` bytes or characters."""
+    held, total = [], 0
+    for row in rows:
+        held.append(row)
+        total += size(row)
+        if total >= BATCH_SIZE or len(held) >= BATCH_ROWS:
+            yield pa.RecordBatch.from_pylist(held, schema=schema)
+            held, total = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema=schema)
+
+
 # ------------------------------------------------------------------------------------------------ matching
 
 
 def _asked(requests: DataFrame, replies: DataFrame) -> DataFrame:
-    """``(batch_no, asked, status_code, body)``: the requests of a batch, whose size is a parameter, with its reply."""
+    """``(batch_no, asked, status_code, body)``: the requests of a batch, whose size is a parameter, with its reply.
+
+    The requests are the hashed side: bodies are large and stream past them, where a merge join would sort them."""
     asked = requests.groupBy("batch_no").agg(F.collect_list(F.struct(*requests.columns)).alias("asked"))
-    return asked.join(replies.select("batch_no", "status_code", "body"), "batch_no", "left")
+    return asked.hint("shuffle_hash").join(replies.select("batch_no", "status_code", "body"), "batch_no", "left")
+
+
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch of ``_asked``; a body becomes a string when its row is reached."""
+    for asked, status, body in zip(batch.column("asked").to_pylist(), batch.column("status_code").to_pylist(), batch.column("body")):
+        yield {"asked": asked, "status_code": status, "body": body.as_py()}
 
 
 def _answers(row: dict) -> Iterator[tuple[dict, str | None, reader.Value | None]]:
@@ -94,35 +117,27 @@ def matched_files(requests: DataFrame, replies: DataFrame) -> DataFrame:
     out = _arrow_schema(schema)
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _batched(files(batches), out, lambda row: len(row["raw_markdown"] or "") + len(row["markdown"] or ""))
+
+    def files(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1).to_pylist()[0]
-                status, rows = row["status_code"], []
+            for row in _rows(batch):
+                status = row["status_code"]
                 for file, form, item in _answers(row):
                     raw = text = names = error = None
                     if item is not None and _answered(status):
                         members = item.members()
                         raw = reader.item_markdown(item, members)
                         if raw is not None:
-                            stored = {n: reader.image_url(file["id"], n) for n, _ in _stored(members)}
+                            stored = {n: reader.image_url(file["id"], n) for n, _, _ in reader.stored_images(members)}
                             raw, error = reader.writable(raw)
                             names, text = list(stored), reader.rewritten(raw, stored)
-                    rows.append({**file, "response_success": None if status is None else _answered(status), "status_code": status,
-                                 "form": form, "raw_markdown": raw, "markdown": text, "names": names, "error": error})
-                yield pa.RecordBatch.from_pylist(rows, schema=out)
+                    yield {**file, "response_success": None if status is None else _answered(status), "status_code": status,
+                           "form": form, "raw_markdown": raw, "markdown": text, "names": names, "error": error}
 
     return _asked(requests, replies).mapInArrow(match, schema)
 
 
-def _stored(members: dict[str, reader.Value]) -> Iterator[tuple[str, bytes]]:
-    """(base name, bytes) of the images that decode."""
-    for raw_name, content in reader.item_images(members):
-        name = reader.PurePosixPath(raw_name).name
-        data = reader.decoded_image(content) if name and reader.writable(name)[1] is None else None
-        if data is not None:
-            yield name, data
-
-
 def stored_images(requests: DataFrame, replies: DataFrame) -> DataFrame:
     """JS3-JS6 + SNK3: decoded images ``(file_id, image_name, url, bytes, pos)``, one row each; undecodable ones and
     those of files without Markdown are skipped; of two entries with the same base name the later one is stored."""
@@ -131,21 +146,21 @@ def stored_images(requests: DataFrame, replies: DataFrame) -> DataFrame:
     out = _arrow_schema(schema)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _batched(images(batches), out, lambda row: len(row["bytes"]))
+
+    def images(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1).to_pylist()[0]
+            for row in _rows(batch):
                 if not _answered(row["status_code"]):
                     continue
                 for file, _, item in _answers(row):
                     members = {} if item is None else item.members()
                     if item is None or reader.item_markdown(item, members) is None:
                         continue
-                    last = {name: pos for pos, (name, _) in enumerate(_stored(members))}
-                    for pos, (name, data) in enumerate(_stored(members)):
-                        if last[name] == pos:
-                            yield pa.RecordBatch.from_pylist([{
-                                "file_id": file["id"], "image_name": name, "url": reader.image_url(file["id"], name),
-                                "bytes": data, "pos": pos}], schema=out)
+                    for pos, (name, data, stored) in enumerate(reader.stored_images(members)):
+                        if stored:
+                            yield {"file_id": file["id"], "image_name": name, "url": reader.image_url(file["id"], name),
+                                   "bytes": data, "pos": pos}
 
     return _asked(requests.select("batch_no", "id", "file_uid", "file_name", "local_name", "absolute_path"), replies).mapInArrow(decode, schema)
 

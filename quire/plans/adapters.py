@@ -193,7 +193,8 @@ def parse_outcomes(registry_df: DataFrame) -> DataFrame:
 
 def _json_str(c: Column) -> Column:
     """A JSON string literal of ``c`` (escaped by ``to_json``)."""
-    return F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
+    listed = F.to_json(F.array(c))
+    return F.substring(listed, F.lit(2), F.length(listed) - 2)  # without the brackets
 
 
 def reply_markdown(k: Column, text: Column) -> Column:
@@ -288,13 +289,15 @@ def heavy_replies(documents: DataFrame) -> DataFrame:
     k = F.col("doc_id")
     name = F.concat(F.lit("doc"), _s(k), F.lit(".pdf"))
     image = F.concat(F.lit("p"), _s(k), F.lit(".png"))
-    b64 = F.regexp_replace(F.base64(F.encode(F.col("text"), "UTF-8")), r"[\r\n]", "")
-    large = F.regexp_replace(F.base64(F.encode(F.repeat("text", F.lit(HEAVY_COPIES)), "UTF-8")), r"[\r\n]", "")
-    broken = F.when(k % 2 == 1, F.regexp_replace(large, "(.{60})", "$1\n ")).otherwise(large)
+    b64 = F.replace(F.base64(F.encode(F.col("text"), "UTF-8")), F.lit("\r\n"), F.lit(""))
+    large = F.replace(F.base64(F.encode(F.repeat("text", F.lit(HEAVY_COPIES)), "UTF-8")), F.lit("\r\n"), F.lit(""))
+    # as JSON: of what stands in base64 nothing is escaped, a line end is written as one
+    broken = F.when(k % 2 == 1, F.regexp_replace(large, "(.{60})", "$1\\\\n ")).otherwise(large)
+    uri = F.coalesce(F.concat(F.lit('"data:image/png;base64,'), broken, F.lit('"')), F.lit("null"))
     md = F.concat(F.col("text"), F.lit("\n![inline](data:image/png;base64,"), b64, F.lit(")\n![fig](a/"), image, F.lit(")"))
     item = F.concat(
         F.lit('{"md": "old", "images": {'), _json_str(image), F.lit(': "b2xk", '), _json_str(image), F.lit(": "),
-        _json_str(F.concat(F.lit("data:image/png;base64,"), broken)), F.lit('}, "md": '), _json_str(md), F.lit("}"))
+        uri, F.lit('}, "md": '), _json_str(md), F.lit("}"))
     body = F.concat(F.lit('{"results": {"x": 1}, "result": {'), _json_str(name), F.lit(": "), item, F.lit('}, "results": {}}'))
     return documents.select(k.alias("batch_no"), F.lit(200).alias("status_code"), body.alias("body"), name.alias("file_name"))
 
