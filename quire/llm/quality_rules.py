@@ -6,8 +6,8 @@ corpus, both smoothed by one count per bucket. A document's score is the mean of
 so long and short texts compare. Thresholding is deterministic: a document is kept if the base rules pass and its
 score is at least ``THRESHOLD``.
 
-Counting is one pass over all texts beside a mark for trusted ids, which a Spark join sets (ids go to the texts while
-they are small by Spark's own size check, else both are shuffled by id once and skewed ids are split): a task adds up
+Counting is one pass over all texts beside a mark for trusted ids, which a merge join sets: texts and ids are shuffled by
+id once, whatever their number, so that disk grows in proportion to the texts, and skewed ids are split. A task adds up
 its own counts and returns at most ``BUCKETS`` rows, summed by bucket. The model has ``BUCKETS`` numbers whatever the
 corpus; that is all that reaches the driver. Scoring is a second pass without any shuffle.
 
@@ -113,7 +113,7 @@ def gram_counts(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) ->
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[0][at]), pa.array(total[1][at])], names=["bucket", "good", "n"])
 
     ids = trusted.select("doc_id").where(F.col("doc_id").isNotNull()).distinct().withColumn("good", F.lit(True))
-    marked = docs.select("doc_id", "text").join(ids, "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
+    marked = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
     counted = marked.mapInArrow(count, "bucket long, good long, n long")
     return counted.groupBy("bucket").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
 
