@@ -89,8 +89,10 @@ class RegistryLog:
             bucketed.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(self._path(gen, table, commit))
 
         put(rows, "id", "rows")
+        # paths and hashes come from the written rows: what gives the rows (hashes of contents, say) runs once
+        stored = self.spark.read.schema(rows.schema).parquet(self._path(gen, "rows", commit))
         for column, table in KEYS.items():
-            put(rows.select("id", F.col(column).alias("value")), "value", table)
+            put(stored.select("id", F.col(column).alias("value")), "value", table)
 
     def _path(self, gen: int, table: str, commit: int) -> str:
         return f"{self.base}/gen={gen}/{table}/commit={commit}"
