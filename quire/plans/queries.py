@@ -581,12 +581,14 @@ def stream_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     inv = A.inventory(docs)
     catalogue = A.nas_files(docs)
     base = scratch_path(spark, "stream-register")
+    inv.select("path", "length").write.parquet(f"{base}/listing")  # each batch reads the listing, not the contents
+    listing = spark.read.parquet(f"{base}/listing")
     top = catalogue.agg(F.max("id")).first()[0] or 0
     part = F.floor(F.col("id") * STREAM_PARTS / (top + 1))
     for i in range(STREAM_PARTS):
         catalogue.filter(part == i).repartitionByRange("id").write.mode("append").parquet(f"{base}/source")
         q = start_register_stream(spark, f"{base}/source", f"{base}/out", f"{base}/checkpoint",
-                                  inv.select("path", "length"), A.registry(docs), R.table_hasher(inv), A.NOW,
+                                  listing, A.registry(docs), R.table_hasher(inv), A.NOW,
                                   files_per_batch=10_000)
         q.awaitTermination()
     # Verdicts equal the one-shot job; the file facts of a repeated path may differ (a path inserted by an earlier
