@@ -13,8 +13,10 @@ a pair that every document holds costs one row per chunk. Then each chunk meets
 
 Encoding: a text is cut at spaces between two characters that are no white space. The pre-tokenizer of a byte-level
 BPE starts a new pre-token there, and no piece of the other model holds a space after another character, so the pieces
-of a text are encoded independently and equal pieces once. Where a piece's bytes are not its text's (or the piece model
-does not hold to that rule) the whole text is encoded by the libraries.
+of a text are encoded independently and equal pieces once. Both sides end where a piece ends, so no group or link crosses
+one: equal pieces are aligned once as well, and a text's groups and links are its pieces' one after the other. Where a
+piece's bytes are not its text's (or the piece model does not hold to that rule) the whole text is encoded by the
+libraries and aligned.
 
 Cases: a null or empty text, or one whose joined token bytes differ from space + text (such as one with U+2581), has no
 tokens: zeros and an empty digest; empty tables give no rows; repeated rows count as documents of their own; extra
@@ -27,8 +29,9 @@ import hashlib
 import os
 import re
 import struct
+from collections import defaultdict
 from collections.abc import Callable, Iterator
-from itertools import accumulate, chain
+from itertools import accumulate, chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +43,7 @@ from quire.llm.common import byte_slices, held, partition_id, written
 
 CHUNK_BYTES = 8 << 20
 SLICE_BYTES = 1 << 20
-CACHE_PIECES, CACHE_TOKENS = 600_000, 8_000_000
+CACHE_PIECES, CACHE_TOKENS = 600_000, 4_000_000
 LONGEST_CACHED = 64
 SAFE = re.compile(r"(?<=\S) (?=\S)")
 SPACE_MARK = "▁"
@@ -88,40 +91,90 @@ def _byte_alphabet() -> dict[str, int]:
 class Pair:
     """Two tokenizers over the same texts, with a cache of pieces of bounded size; lives as long as a task.
 
-    The cache numbers pieces; the tokens of all pieces stand in one array per side.
+    The cache numbers pieces; the A ids, B ids and linked pairs of all pieces stand in one array each.
     """
 
     def __init__(self, path_a: str, path_b: str) -> None:
         self.sides = (_tokens(path_a), _tokens(path_b))
         self.a, self.b = self.sides
-        # an id as it stands in a list of groups: inside a group, at the end of its side
+        # an id as it stands in a list of groups: inside a group, at the end of its side, at the end of its piece
         size = len(self.a.bytes)
         self.b_names = 2 * size
-        self.names = [f"{i}{mark}" for i in range(size) for mark in ",|"] + [f"{i}{mark}" for i in range(len(self.b.bytes)) for mark in ",;"]
+        self.names = [b"%d%b" % (i, mark) for i in range(size) for mark in (b",", b"|")]
+        self.names += [b"%d%b" % (i, mark) for i in range(len(self.b.bytes)) for mark in (b",", b";", b"\n")]
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat = [np.empty(0, np.int32), np.empty(0, np.int32)]
-        self.starts = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
+        self.index: defaultdict[str, int] = defaultdict(count().__next__)
+        self.flat = [np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.int64)]
+        self.starts = [np.zeros(1, np.int64) for _ in self.flat]
+        self.n_groups = np.empty(0, np.int64)
+        self.groups: list[bytes] = []
         self.odd: set[str] = set()
+        self.long: list[str] = []
 
-    def groups_text(self, ids_a: np.ndarray, ids_b: np.ndarray, stops_a: np.ndarray, stops_b: np.ndarray) -> str:
-        """``a1,a2|b1;a3|b2,b3``: the ids of every group."""
+    def encode(self, texts: list[str]) -> list[list[tuple[np.ndarray, np.ndarray]]]:
+        """Ids of A and B per text, in blocks that end at safe boundaries; none where the joined bytes are not those of
+        space + text."""
+        owner, found, stops, whole = self._pieces(texts)
+        out: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in texts]
+        for k, a, b in zip(owner, *[_gather(self.flat[x], self.starts[x], found, stops) for x in (0, 1)]):
+            out[k].append((a, b))
+        for k in whole:
+            out[k] = self._whole(texts[k])
+        return out
+
+    def aligned(self, texts: list[str]) -> list[list[tuple[list[int], bytes, np.ndarray]]]:
+        """(numbers of A tokens, B tokens, groups and links, groups as text, linked pairs) per text, in blocks like those
+        of ``encode``. A pair is ``a << 32 | b``."""
+        owner, found, stops, whole = self._pieces(texts)
+        sums = [np.cumsum(x[found])[stops - 1] for x in (*map(np.diff, self.starts), self.n_groups)]
+        n_a, n_b, n_links, n_groups = (np.diff(x, prepend=0).tolist() for x in sums)
+        numbers, at = found.tolist(), 0
+        out: list[list[tuple[list[int], bytes, np.ndarray]]] = [[] for _ in texts]
+        for k, stop, *row, pairs in zip(owner, stops.tolist(), n_a, n_b, n_groups, n_links, _gather(self.flat[2], self.starts[2], found, stops)):
+            out[k].append((row, b";".join(map(self.groups.__getitem__, numbers[at:stop])), pairs))
+            at = stop
+        for k in whole:
+            out[k] = []
+            for a, b in self._whole(texts[k]):
+                n_groups, groups, _, pairs = self._align(a, b, np.array([len(b)]))
+                out[k].append(([len(a), len(b), int(n_groups[0]), len(pairs)], groups[0], pairs))
+        return out
+
+    def _align(self, ids_a: np.ndarray, ids_b: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+        """Tokens of pieces one after the other, ``ends_b`` where those of each end in B: the number of groups of each,
+        the groups as text of those that have tokens, the number of links of each, and the linked pairs."""
+        found = align(self.a.sizes[ids_a].cumsum().tolist(), self.b.sizes[ids_b].cumsum().tolist())
+        stops_a, stops_b, links_a, links_b = (np.array(x, np.int64) for x in found)
+        n_groups = np.diff(np.searchsorted(stops_b, ends_b, side="right"), prepend=0)
+        n_links = np.diff(np.searchsorted(links_b, ends_b), prepend=0)
+        pairs = (ids_a[links_a].astype(np.int64) << 32) | ids_b[links_b]
+        return n_groups, self._groups_texts(ids_a, ids_b, stops_a, stops_b, ends_b[ends_b > 0]), n_links, pairs
+
+    def _groups_texts(self, ids_a: np.ndarray, ids_b: np.ndarray, stops_a: np.ndarray, stops_b: np.ndarray, ends_b: np.ndarray) -> list[bytes]:
+        """``a1,a2|b1;a3|b2,b3``: the ids of every group, per piece."""
         sizes_a, sizes_b = np.diff(stops_a, prepend=0), np.diff(stops_b, prepend=0)
         last_a, last_b = np.zeros(len(ids_a), np.int64), np.zeros(len(ids_b), np.int64)
         last_a[stops_a - 1] = 1
         last_b[stops_b - 1] = 1
+        last_b[ends_b - 1] = 2
         names = np.empty(len(ids_a) + len(ids_b), np.int64)
         names[np.arange(len(ids_a)) + np.repeat(stops_b - sizes_b, sizes_a)] = 2 * ids_a + last_a
-        names[np.arange(len(ids_b)) + np.repeat(stops_a, sizes_b)] = self.b_names + 2 * ids_b + last_b
-        return "".join(map(self.names.__getitem__, names.tolist()))[:-1]
-
-    def encode(self, texts: list[str]) -> list[list[tuple[np.ndarray, np.ndarray]]]:
-        """Ids of A and B per text, in blocks that end at safe boundaries; none where the joined bytes are not those of
-        space + text."""
+        names[np.arange(len(ids_b)) + np.repeat(stops_a, sizes_b)] = self.b_names + 3 * ids_b + last_b
+        return b"".join(map(self.names.__getitem__, names.tolist())).split(b"\n")[:-1]
+
+    def _pieces(self, texts: list[str]) -> tuple[list[int], np.ndarray, np.ndarray, set[int]]:
+        """The text of every block, the numbers of all blocks' pieces, where each block ends in them, and the texts that
+        are encoded whole instead."""
+        for piece in self.long:
+            self.groups[self.index.pop(piece)] = b""
+            self.odd.discard(piece)
+        self.long = []
+        if len(self.index) > CACHE_PIECES or len(self.flat[0]) > CACHE_TOKENS:
+            self._clear()
         if not (self.a.piecewise and self.b.piecewise):
-            return [self._whole(t) for t in texts]
+            return [], np.empty(0, np.int64), np.empty(0, np.int64), set(range(len(texts)))
         blocks: list[list[str]] = []
         owner: list[int] = []
         for k, text in enumerate(texts):
@@ -130,40 +183,42 @@ class Pair:
             for at in range(0, len(pieces), step or 1):
                 blocks.append(pieces[at : at + step])
                 owner.append(k)
-        self._learn(set().union(*blocks))
+        known = len(self.index)
         found = np.fromiter(map(self.index.__getitem__, chain.from_iterable(blocks)), np.int64)
-        stops = np.cumsum([len(x) for x in blocks])
-        sides = [_gather(flat, starts, found, stops) for flat, starts in zip(self.flat, self.starts)]
-        out: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in texts]
-        for k, a, b in zip(owner, *sides):
-            out[k].append((a, b))
-        for k in {k for k, block in zip(owner, blocks) if self.odd and not self.odd.isdisjoint(block)}:
-            out[k] = self._whole(texts[k])
-        for piece in [x for x in self.fresh if len(x) > LONGEST_CACHED]:
-            del self.index[piece]
-            self.odd.discard(piece)
-        return out
-
-    def _learn(self, known: set[str]) -> None:
-        new = list(known.difference(self.index))
-        if len(self.index) + len(new) > CACHE_PIECES or len(self.flat[0]) > CACHE_TOKENS:
-            self._clear()
-            new = list(known)
-        self.fresh = new
+        new = list(islice(reversed(self.index), len(self.index) - known))[::-1]  # numbered just now, in this order
+        self._learn(new)
+        self.long = [x for x in new if len(x) > LONGEST_CACHED]
+        whole = {k for k, block in zip(owner, blocks) if self.odd and not self.odd.isdisjoint(block)}
+        return owner, found, np.cumsum([len(x) for x in blocks], dtype=np.int64), whole
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode and align pieces. An odd piece, whose tokens do not hold its bytes, has none."""
+        flat, sizes, n_groups = [[x] for x in self.flat], [[] for _ in self.flat], [self.n_groups]
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
             want = [b" " + x.encode() for x in part]
-            number = len(self.starts[0]) - 1
-            self.index.update(zip(part, range(number, number + len(part))))
-            for side, tokens in enumerate(self.sides):
-                ids = tokens.encode(part)
-                sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-                flat = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
-                held = np.concatenate([np.zeros(1, np.int64), np.cumsum(tokens.sizes[flat])])[np.cumsum(sizes)]
-                if tokens.text(flat.tolist()) != b"".join(want) or held.tolist() != list(accumulate(map(len, want))):
-                    self.odd.update(x for x, w, i in zip(part, want, ids) if tokens.text(i) != w)
-                self.starts[side] = np.concatenate([self.starts[side], len(self.flat[side]) + np.cumsum(sizes)])
-                self.flat[side] = np.concatenate([self.flat[side], flat])
+            ids = [tokens.encode(part) for tokens in self.sides]
+            sides = [_joined(x) for x in ids]
+            odd: set[int] = set()
+            for tokens, found, (joined, lengths) in zip(self.sides, ids, sides):
+                ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(tokens.sizes[joined])])[np.cumsum(lengths)]
+                if tokens.text(joined.tolist()) != b"".join(want) or ends.tolist() != list(accumulate(map(len, want))):
+                    odd.update(k for k, (w, i) in enumerate(zip(want, found)) if tokens.text(i) != w)
+            if odd:
+                self.odd.update(part[k] for k in odd)
+                sides = [_joined([[] if k in odd else i for k, i in enumerate(found)]) for found in ids]
+            (a, sizes_a), (b, sizes_b) = sides
+            counted, groups, n_links, pairs = self._align(a, b, np.cumsum(sizes_b))
+            texts = iter(groups)
+            self.groups += [next(texts) if size else b"" for size in sizes_b.tolist()]
+            n_groups.append(counted)
+            for x, values, lengths in zip(range(3), (a, b, pairs), (sizes_a, sizes_b, n_links)):
+                flat[x].append(values)
+                sizes[x].append(lengths)
+        if new:
+            self.n_groups = np.concatenate(n_groups)
+            self.starts = [np.concatenate([s, s[-1] + np.cumsum(np.concatenate(x))]) for s, x in zip(self.starts, sizes)]
+            self.flat = [np.concatenate(x) for x in flat]
 
     def _whole(self, text: str) -> list[tuple[np.ndarray, np.ndarray]]:
         (a,), (b,), want = self.a.encode([text]), self.b.encode([text]), b" " + text.encode()
@@ -172,8 +227,13 @@ class Pair:
         return [(np.array(a, np.int32), np.array(b, np.int32))]
 
 
+def _joined(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids, and how many each list has."""
+    return np.fromiter(chain.from_iterable(ids), np.int32), np.fromiter(map(len, ids), np.int64, len(ids))
+
+
 def _gather(flat: np.ndarray, starts: np.ndarray, found: np.ndarray, stops: np.ndarray) -> list[np.ndarray]:
-    """The tokens of numbered pieces one after the other, cut after the pieces ``stops``."""
+    """The values of numbered pieces one after the other, cut after the pieces ``stops``."""
     sizes = starts[found + 1] - starts[found]
     ends = np.cumsum(sizes)
     ids = flat[np.repeat(starts[found] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
@@ -234,13 +294,6 @@ def align(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int], l
     return stops_a, stops_b, links_a, links_b
 
 
-def aligned(tokens: Pair, ids_a: np.ndarray, ids_b: np.ndarray) -> tuple[int, str, np.ndarray, np.ndarray]:
-    """(number of groups, groups as text, A ids and B ids of the links) of one document."""
-    found = align(tokens.a.sizes[ids_a].cumsum().tolist(), tokens.b.sizes[ids_b].cumsum().tolist())
-    stops_a, stops_b, links_a, links_b = (np.array(x, np.int64) for x in found)
-    return len(stops_a), tokens.groups_text(ids_a, ids_b, stops_a, stops_b), ids_a[links_a], ids_b[links_b]
-
-
 # ------------------------------------------------------------------------------------------------ corpus
 
 
@@ -282,13 +335,12 @@ def chunks(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", te
 
         for batch in byte_slices(batches, "text", SLICE_BYTES):
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            for doc_id, text, blocks in zip(batch.column("doc_id").to_pylist(), texts, tokens.encode(texts), strict=True):
+            for doc_id, text, blocks in zip(batch.column("doc_id").to_pylist(), texts, tokens.aligned(texts), strict=True):
                 row, digest, links = [0, 0, 0, 0], hashlib.sha256(), []
-                for a, b in blocks:
-                    n_groups, groups, links_a, links_b = aligned(tokens, a, b)
-                    row = [x + y for x, y in zip(row, (len(a), len(b), n_groups, len(links_a)))]
-                    digest.update((";" + groups if links else groups).encode())
-                    links.append((links_a.astype(np.int64) << 32) | links_b)
+                for counts, groups, pairs in blocks:
+                    row = [x + y for x, y in zip(row, counts)]
+                    digest.update(b";" + groups if links else groups)
+                    links.append(pairs)
                 pairs, times = np.unique(np.concatenate([np.empty(0, np.int64), *links]), return_counts=True)
                 rows.append((doc_id, *row, digest.hexdigest() if blocks else "", pairs, times))
                 held += len(text) + 64

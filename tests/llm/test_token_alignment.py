@@ -91,6 +91,34 @@ def test_long_texts_go_in_blocks(libraries, monkeypatch):
     assert tuple([i for b in blocks for i in b[side].tolist()] for side in (0, 1)) == tuple([i for i, _ in x] for x in plain_tokens(libraries, text))
 
 
+def test_equal_pieces_are_aligned_once(libraries, monkeypatch):
+    rng, seen, align = random.Random(5), [], ta.align
+    monkeypatch.setattr(ta, "align", lambda x, y: seen.append(len(x)) or align(x, y))
+    words = sentence(rng, 60).split()
+    tests = [" ".join(rng.choices(words, k=200)) for _ in range(40)]
+    tokens = ta.Pair(A, B)
+    assert sum(row[0] for blocks in tokens.aligned(tests) for row, *_ in blocks) > 8000
+    assert sum(seen) == len(tokens.flat[0]) < 400
+    tokens.aligned(tests)
+    assert sum(seen) < 400
+
+
+@pytest.mark.parametrize("limits", [{}, {"CACHE_PIECES": 40, "LONGEST_CACHED": 5}, {"SLICE_BYTES": 30}])
+def test_alignment_of_pieces_is_that_of_the_text(libraries, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(ta, name, value)
+    rng, tokens = random.Random(6), ta.Pair(A, B)
+    marks = ["thheingble", "é", "ﬁ", "中文", "▁", "  ", "\n", "\t", "1234", "!!", "<s>", "a▁b", "\x00", "😀", "unhappinessly", "e\u0301", "x" * 30]
+    tests = ["", "▁", "\u3000"] + [" ".join("".join(rng.choices(marks, k=rng.randint(1, 2))) for _ in range(rng.randint(1, 9))) for _ in range(1500)]
+    for at in range(0, len(tests), 100):
+        for text, blocks in zip(tests[at : at + 100], tokens.aligned(tests[at : at + 100])):
+            a, b = plain_tokens(libraries, text)
+            groups, n_groups, links = plain_alignment(a, b)
+            assert b";".join(x for _, x, _ in blocks).decode() == groups, repr(text)
+            assert [sum(x) for x in zip(*[row for row, *_ in blocks])] == ([len(a), len(b), n_groups, len(links)] if a else []), repr(text)
+            assert [(p >> 32, p & 0xFFFFFFFF) for *_, pairs in blocks for p in pairs.tolist()] == links, repr(text)
+
+
 def test_query_equals_plain_python(spark, libraries):
     rows = [(i, t) for i, t in texts() if t is None or len(t) < 5000] + [(50, "a▁b c"), (51, " x  y "), (52, "<s> <|endoftext|>"), (53, "x" * 700)]
     frame = spark.createDataFrame([(i, t, "7", "c", [1]) for i, t in rows], "doc_id long, text string, chunk string, pair string, docs array<int>").repartition(3)
