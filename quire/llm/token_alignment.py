@@ -43,7 +43,7 @@ from quire.llm.common import byte_slices, held, partition_id, written
 
 CHUNK_BYTES = 8 << 20
 SLICE_BYTES = 1 << 20
-CACHE_PIECES, CACHE_TOKENS = 600_000, 4_000_000
+CACHE_PIECES, CACHE_TOKENS = 400_000, 3_000_000
 LONGEST_CACHED = 64
 SAFE = re.compile(r"(?<=\S) (?=\S)")
 SPACE_MARK = "▁"
@@ -193,7 +193,7 @@ class Pair:
 
     def _learn(self, new: list[str]) -> None:
         """Encode and align pieces. An odd piece, whose tokens do not hold its bytes, has none."""
-        flat, sizes, n_groups = [[x] for x in self.flat], [[] for _ in self.flat], [self.n_groups]
+        flat, sizes, n_groups = [[] for _ in self.flat], [[] for _ in self.flat], [self.n_groups]
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
             want = [b" " + x.encode() for x in part]
@@ -217,8 +217,9 @@ class Pair:
                 sizes[x].append(lengths)
         if new:
             self.n_groups = np.concatenate(n_groups)
-            self.starts = [np.concatenate([s, s[-1] + np.cumsum(np.concatenate(x))]) for s, x in zip(self.starts, sizes)]
-            self.flat = [np.concatenate(x) for x in flat]
+            for x in range(3):  # one after the other: each frees what it replaces
+                self.starts[x] = np.concatenate([self.starts[x], self.starts[x][-1] + np.cumsum(np.concatenate(sizes[x]))])
+                self.flat[x] = np.concatenate([self.flat[x], *flat[x]])
 
     def _whole(self, text: str) -> list[tuple[np.ndarray, np.ndarray]]:
         (a,), (b,), want = self.a.encode([text]), self.b.encode([text]), b" " + text.encode()
