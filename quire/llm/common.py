@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -54,6 +55,33 @@ def held(name: str, make: Callable[[], object]):
     return _HELD[name]
 
 
+def release_memory() -> None:
+    """Give memory that this worker has freed back to the system; else it stays beside the JVM's until the worker ends."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+@contextmanager
+def small_batches(spark: SparkSession, max_bytes: int = 4 << 20) -> Iterator[None]:
+    """Arrow batches of about so many bytes for what runs meanwhile: each stands in the JVM's direct memory and twice in a
+    Python worker (the next is read while one is held). Results don't depend on it."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(max_bytes))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def byte_slices(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that the texts of each piece hold at most ``max_bytes`` together, one row at least."""
     import pyarrow.compute as pc

@@ -7,9 +7,13 @@ stretches are jumped; where they disagree the irregular group is resolved by ste
 both meet, which updates the shift.
 
 **Links** are pairs of an A and a B token whose byte ranges overlap. How many documents hold a pair of ids linked is a
-statistic of the whole corpus. It is joined per chunk, not per document: a task packs about ``CHUNK_BYTES`` of text
-into one row with the chunk's own dictionary of pairs, so what is counted, joined and shuffled are dictionaries, and
-a pair that every document holds costs one row per chunk. Then each chunk meets the counts of its dictionary once.
+statistic of the whole corpus. It is joined per chunk, not per document: about ``CHUNK_BYTES`` of text share a
+dictionary of pairs, so what is counted, joined and shuffled are dictionaries, and a pair that every document holds costs
+one row per chunk. Then each chunk meets the counts of its dictionary once.
+
+Memory: no row holds a chunk. A slice of documents (``SLICE_BYTES`` of text) leaves a task as soon as it is aligned, its links
+compressed; a dictionary grows with the slices and follows them in parts of ``PART_PAIRS``. Both meet again in order of
+the chunk, the dictionary first, so a task holds one chunk's counts and one slice.
 
 Encoding: a text is cut at spaces between two characters that are no white space. The pre-tokenizer of a byte-level
 BPE starts a new pre-token there, and no piece of the other model holds a space after another character, so the pieces
@@ -39,11 +43,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import byte_slices, held, partition_id, written
+from quire.llm.common import byte_slices, forget_other_stages, held, partition_id, release_memory, small_batches, written
 
 CHUNK_BYTES = 8 << 20
 SLICE_BYTES = 1 << 20
-CACHE_PIECES, CACHE_TOKENS = 400_000, 3_000_000
+PART_PAIRS = 1 << 14
+CACHE_PIECES, CACHE_TOKENS = 250_000, 2_000_000
 LONGEST_CACHED = 64
 SAFE = re.compile(r"(?<=\S) (?=\S)")
 SPACE_MARK = "▁"
@@ -91,7 +96,8 @@ def _byte_alphabet() -> dict[str, int]:
 class Pair:
     """Two tokenizers over the same texts, with a cache of pieces of bounded size; lives as long as a task.
 
-    The cache numbers pieces; the A ids, B ids and linked pairs of all pieces stand in one array each.
+    The cache numbers pieces; the A ids, B ids and linked pairs of all pieces stand in one array each. When it is full, the
+    pieces met in most calls stay, half of it at most; one met in a single call goes.
     """
 
     def __init__(self, path_a: str, path_b: str) -> None:
@@ -109,10 +115,31 @@ class Pair:
         self.flat = [np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.int64)]
         self.starts = [np.zeros(1, np.int64) for _ in self.flat]
         self.n_groups = np.empty(0, np.int64)
+        self.uses = np.empty(0, np.int32)  # calls that met the piece, since the cache was full
         self.groups: list[bytes] = []
         self.odd: set[str] = set()
         self.long: list[str] = []
 
+    def _thin(self) -> None:
+        """Keep the pieces that several calls met."""
+        pieces, numbers = list(self.index), np.fromiter(self.index.values(), np.int64)
+        order = np.argsort(-self.uses[numbers], kind="stable")
+        order = order[: min(int((self.uses[numbers] > 1).sum()), CACHE_PIECES // 2)]
+        tokens = np.cumsum(np.diff(self.starts[0])[numbers[order]])
+        order = np.sort(order[: np.searchsorted(tokens, CACHE_TOKENS // 2, side="right")])
+        kept = numbers[order]
+        flat, starts, n_groups, groups, odd = self.flat, self.starts, self.n_groups, self.groups, self.odd
+        self._clear()
+        if not len(kept):
+            return
+        self.index.update((pieces[k], self.index.default_factory()) for k in order.tolist())
+        for x in range(3):
+            (self.flat[x],) = _gather(flat[x], starts[x], kept, np.array([len(kept)]))
+            self.starts[x] = np.concatenate([np.zeros(1, np.int64), np.cumsum(np.diff(starts[x])[kept])])
+        self.n_groups, self.uses = n_groups[kept], np.zeros(len(kept), np.int32)
+        self.groups = [groups[k] for k in kept.tolist()]
+        self.odd = {x for x in odd if x in self.index}
+
     def encode(self, texts: list[str]) -> list[list[tuple[np.ndarray, np.ndarray]]]:
         """Ids of A and B per text, in blocks that end at safe boundaries; none where the joined bytes are not those of
         space + text."""
@@ -172,7 +199,7 @@ class Pair:
             self.odd.discard(piece)
         self.long = []
         if len(self.index) > CACHE_PIECES or len(self.flat[0]) > CACHE_TOKENS:
-            self._clear()
+            self._thin()
         if not (self.a.piecewise and self.b.piecewise):
             return [], np.empty(0, np.int64), np.empty(0, np.int64), set(range(len(texts)))
         blocks: list[list[str]] = []
@@ -187,6 +214,8 @@ class Pair:
         found = np.fromiter(map(self.index.__getitem__, chain.from_iterable(blocks)), np.int64)
         new = list(islice(reversed(self.index), len(self.index) - known))[::-1]  # numbered just now, in this order
         self._learn(new)
+        self.uses = np.concatenate([self.uses, np.zeros(len(self.groups) - len(self.uses), np.int32)])
+        self.uses += np.bincount(found, minlength=len(self.uses)) > 0
         self.long = [x for x in new if len(x) > LONGEST_CACHED]
         whole = {k for k, block in zip(owner, blocks) if self.odd and not self.odd.isdisjoint(block)}
         return owner, found, np.cumsum([len(x) for x in blocks], dtype=np.int64), whole
@@ -306,49 +335,103 @@ def _chunk_schema(doc_id: T.DataType) -> T.StructType:
         return T.ArrayType(kind)
 
     return T.StructType([
-        T.StructField("chunk", T.LongType()), T.StructField("doc_ids", many(doc_id)),
-        *[T.StructField(c, many(T.LongType())) for c in _COUNTS], T.StructField("sha", many(T.StringType())),
-        T.StructField("sizes", many(T.IntegerType())),  # different pairs per document
-        T.StructField("codes", many(T.IntegerType())), T.StructField("times", many(T.IntegerType())),
+        T.StructField("chunk", T.LongType()), T.StructField("at", T.IntegerType()),  # number of a slice, first code of a part
+        T.StructField("doc_ids", many(doc_id)), *[T.StructField(c, many(T.LongType())) for c in _COUNTS],
+        T.StructField("sha", many(T.StringType())), T.StructField("links", T.BinaryType()),
         T.StructField("pairs", many(T.LongType())), T.StructField("docs", many(T.IntegerType())),
     ])
 
 
+def _links(sizes: np.ndarray, ranks: np.ndarray, times: np.ndarray, codes: np.ndarray) -> bytes:
+    """Links of a slice as bytes: different pairs per document, their ranks among the slice's pairs (rising in a document)
+    and times, and the code of every rank. Values are parted into bytes by place, which compress better."""
+    arrays = [np.asarray(x, "<i4") for x in (sizes, np.diff(ranks, prepend=0), times, codes)]
+    raw = b"".join(x.view(np.uint8).reshape(-1, 4).T.tobytes() for x in arrays)
+    return struct.pack("<4i", *map(len, arrays)) + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unlinked(links: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes, codes and times of ``_links``."""
+    lengths = struct.unpack_from("<4i", links)
+    raw = np.frombuffer(pa.decompress(memoryview(links)[16:], 4 * sum(lengths), codec="zstd"), np.uint8)
+    parts = np.split(raw, 4 * np.cumsum(lengths[:3]))
+    sizes, steps, times, codes = (np.ascontiguousarray(x.reshape(4, -1).T).view("<i4").ravel() for x in parts)
+    return sizes, codes[np.cumsum(steps, dtype=np.int64)], times.astype(np.int64)
+
+
+class Dictionary:
+    """The pairs of a chunk, numbered as they come, and how many documents hold each."""
+
+    def __init__(self) -> None:
+        self.pairs, self.codes = np.empty(0, np.int64), np.empty(0, np.int32)  # rising, and their codes
+        self.docs = np.empty(0, np.int32)  # by code
+
+    def add(self, pairs: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        """Codes of different, rising pairs that so many more documents hold."""
+        at = np.searchsorted(self.pairs, pairs)
+        new = np.ones(len(pairs), bool)
+        inside = at < len(self.pairs)
+        new[inside] = self.pairs[at[inside]] != pairs[inside]
+        first = len(self.docs)
+        self.docs = np.concatenate([self.docs, np.zeros(int(new.sum()), np.int32)])
+        self.codes = np.insert(self.codes, at[new], np.arange(first, len(self.docs), dtype=np.int32))
+        self.pairs = np.insert(self.pairs, at[new], pairs[new])
+        codes = self.codes[np.searchsorted(self.pairs, pairs)]
+        self.docs[codes] += docs.astype(np.int32)
+        return codes
+
+    def parts(self, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """First code, pairs and documents of stretches of codes."""
+        pairs = np.empty_like(self.pairs)
+        pairs[self.codes] = self.pairs
+        for at in range(0, len(pairs), size):
+            yield at, pairs[at : at + size], self.docs[at : at + size]
+
+
 def chunks(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """One row per chunk: its documents' alignment counts, their links as codes into the chunk's dictionary ``pairs``,
-    and in how many of its documents each pair is linked (``docs``). A pair is ``a << 32 | b``."""
+    """Rows of two kinds per chunk. Slices: some documents' alignment counts and their links as codes into the chunk's
+    dictionary (``links``). Parts of the dictionary: ``pairs`` from code ``at`` on, and in how many of the chunk's documents
+    each is linked (``docs``). A pair is ``a << 32 | b``."""
     schema = _chunk_schema(docs.schema[id_col].dataType)
     kinds = _arrow_schema(schema)
 
+    def row(*values: object) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x], type=f.type) for x, f in zip(values, kinds, strict=True)], schema=kinds)
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made, tokens = partition_id(), 0, Pair(path_a, path_b)
-        rows, held = [], 0
-
-        def closed() -> pa.RecordBatch:
-            nonlocal rows, held, made
-            pairs = np.concatenate([r[6] for r in rows])
-            known, codes, docs = np.unique(pairs, return_inverse=True, return_counts=True)
-            row = [(part << 32) + made, *[[r[k] for r in rows] for k in range(6)], [len(r[6]) for r in rows],
-                   codes.astype(np.int32), np.concatenate([r[7] for r in rows]).astype(np.int32), known, docs.astype(np.int32)]
-            batch = pa.RecordBatch.from_arrays([pa.array([x], type=f.type) for x, f in zip(row, kinds)], schema=kinds)
-            rows, held, made = [], 0, made + 1
-            return batch
-
-        for batch in byte_slices(batches, "text", SLICE_BYTES):
+        known, held, n_slices = Dictionary(), 0, 0
+
+        def closed() -> Iterator[pa.RecordBatch]:
+            nonlocal known, held, n_slices, made
+            for at, pairs, docs in known.parts(PART_PAIRS):
+                yield row((part << 32) + made, at, *[None] * 7, pairs, docs)
+            known, held, n_slices, made = Dictionary(), 0, 0, made + 1
+
+        for batch in byte_slices(batches, "text", min(SLICE_BYTES, chunk_bytes)):
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            for doc_id, text, blocks in zip(batch.column("doc_id").to_pylist(), texts, tokens.aligned(texts), strict=True):
-                row, digest, links = [0, 0, 0, 0], hashlib.sha256(), []
-                for counts, groups, pairs in blocks:
-                    row = [x + y for x, y in zip(row, counts)]
+            rows, found, n_times = [], [], []
+            for text, blocks in zip(texts, tokens.aligned(texts), strict=True):
+                counts, digest, links = [0, 0, 0, 0], hashlib.sha256(), []
+                for some, groups, pairs in blocks:
+                    counts = [x + y for x, y in zip(counts, some)]
                     digest.update(b";" + groups if links else groups)
                     links.append(pairs)
                 pairs, times = np.unique(np.concatenate([np.empty(0, np.int64), *links]), return_counts=True)
-                rows.append((doc_id, *row, digest.hexdigest() if blocks else "", pairs, times))
+                rows.append((*counts, digest.hexdigest() if blocks else ""))
+                found.append(pairs)
+                n_times.append(times)
                 held += len(text) + 64
-                if held > chunk_bytes:
-                    yield closed()
-        if rows:
-            yield closed()
+            pairs, ranks, n_docs = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+            links = _links([len(x) for x in found], ranks, np.concatenate(n_times), known.add(pairs, n_docs))
+            yield row((part << 32) + made, n_slices, batch.column("doc_id").to_pylist(), *map(list, zip(*rows)), links, None, None)
+            n_slices += 1
+            if held > chunk_bytes:
+                yield from closed()
+        if n_slices:
+            yield from closed()
+        del tokens
+        release_memory()
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(pack, schema)
 
@@ -371,14 +454,18 @@ def pair_counts(packed: DataFrame) -> DataFrame:
 
 def alignment_digests(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Per document the sizes of its alignment, its links' corpus counts and a digest of its groups."""
-    packed = written(chunks(docs, path_a, path_b, chunk_bytes=chunk_bytes), "aligned")
-    entries = packed.select("chunk", F.posexplode("pairs").alias("code", "pair"))
+    with small_batches(docs.sparkSession):
+        packed = written(chunks(docs, path_a, path_b, chunk_bytes=chunk_bytes), "aligned")
+    entries = packed.select("chunk", F.posexplode("pairs").alias("pos", "pair"), "at").withColumn("code", F.col("at") + F.col("pos"))
+    code = F.col("code")
     known = (
         entries.join(pair_counts(packed), "pair")
-        .groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("code", "n_docs", "is_best"))).alias("known"))
-        .select("chunk", F.col("known.n_docs").alias("n_docs"), F.col("known.is_best").alias("is_best"))
+        .groupBy("chunk", (code - code % PART_PAIRS).alias("at")).agg(F.sort_array(F.collect_list(F.struct("code", "n_docs", "is_best"))).alias("known"))
+        .select("chunk", "at", F.col("known.n_docs").alias("n_docs"), F.col("known.is_best").alias("is_best"))
     )
-    rows = packed.drop("pairs", "docs").join(known, "chunk", "left")
+    slices = packed.where(F.col("links").isNotNull()).drop("pairs", "docs")
+    # a chunk's dictionary goes before its slices: it is sent once, not with each of them
+    rows = known.unionByName(slices, allowMissingColumns=True).repartition("chunk").sortWithinPartitions("chunk", F.col("links").isNotNull(), "at")
     doc_type = packed.schema["doc_ids"].dataType.elementType
     schema = T.StructType([
         T.StructField("doc_id", doc_type), *[T.StructField(c, T.LongType()) for c in _COUNTS],
@@ -387,19 +474,23 @@ def alignment_digests(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: in
     names = [f.name for f in schema]
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_other_stages()
+        release_memory()
+        chunk, n_docs, is_best = None, np.empty(0, np.int64), np.empty(0, bool)
         for batch in batches:
-            for k in range(batch.num_rows):
-                row = {c: batch.column(c).slice(k, 1).flatten() for c in batch.schema.names if c != "chunk"}
-                sizes = row["sizes"].to_numpy()
-                times, codes = row["times"].to_numpy().astype(np.int64), row["codes"].to_numpy()
-                best = np.zeros(len(codes) + 1, np.int64)
-                total = np.zeros(len(codes) + 1, np.int64)
-                if len(codes):
-                    np.cumsum(times * row["is_best"].to_numpy(zero_copy_only=False)[codes], out=best[1:])
-                    np.cumsum(times * row["n_docs"].to_numpy()[codes], out=total[1:])
+            for k, at in enumerate(batch.column("chunk").to_pylist()):
+                row = batch.slice(k, 1)
+                if at != chunk:
+                    chunk, n_docs, is_best = at, np.empty(0, np.int64), np.empty(0, bool)
+                links = row.column("links")[0].as_py()
+                if links is None:
+                    n_docs = np.concatenate([n_docs, row.column("n_docs").flatten().to_numpy()])
+                    is_best = np.concatenate([is_best, row.column("is_best").flatten().to_numpy(zero_copy_only=False)])
+                    continue
+                sizes, codes, times = _unlinked(links)
                 stops = np.cumsum(sizes, dtype=np.int64)
-                starts = stops - sizes
+                sums = [np.concatenate([np.zeros(1, np.int64), np.cumsum(times * x[codes])]) for x in (is_best, n_docs)]
                 yield pa.RecordBatch.from_arrays(
-                    [row["doc_ids"], *[row[c] for c in _COUNTS], pa.array(best[stops] - best[starts]), pa.array(total[stops] - total[starts]), row["sha"]], names=names)
+                    [*[row.column(c).flatten() for c in ("doc_ids", *_COUNTS)], *[pa.array(x[stops] - x[stops - sizes]) for x in sums], row.column("sha").flatten()], names=names)
 
     return rows.mapInArrow(counted, schema)

@@ -6,12 +6,14 @@ import random
 import sys
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
 from llm_cases import edge_docs, empty_docs, sentence, texts  # noqa: E402
 from quire.llm import token_alignment as ta  # noqa: E402
+from quire.llm.common import small_batches  # noqa: E402
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
@@ -137,3 +139,76 @@ def test_query_equals_plain_python(spark, libraries):
         assert got == want
     assert ta.alignment_digests(empty_docs(spark), A, B).count() == 0
     assert ta.alignment_digests(edge_docs(spark), A, B).count() == edge_docs(spark).count()
+
+
+def test_repeated_pieces_outlive_a_full_cache(libraries, monkeypatch):
+    monkeypatch.setattr(ta, "CACHE_PIECES", 600)
+    rng, seen, align = random.Random(9), [], ta.align
+    monkeypatch.setattr(ta, "align", lambda x, y: seen.append(len(x)) or align(x, y))
+    hot = [f"{x}q" for x in range(200)]
+    tests = [" ".join([*hot, *(f"z{rng.random():.9f}" for _ in range(30))]) for _ in range(80)]
+    tokens, n_hot = ta.Pair(A, B), sum(len(plain_tokens(libraries, x)[0]) for x in hot)
+    for text in tests:
+        (blocks,) = tokens.aligned([text])
+        a, b = plain_tokens(libraries, text)
+        groups, n_groups, links = plain_alignment(a, b)
+        assert b";".join(x for _, x, _ in blocks).decode() == groups
+        assert [(p >> 32, p & 0xFFFFFFFF) for *_, pairs in blocks for p in pairs.tolist()] == links
+        assert len(tokens.index) <= 600 + 30
+    cold = sum(len(plain_tokens(libraries, t)[0]) - n_hot for t in tests)
+    assert sum(seen) < cold + 2 * n_hot  # hot pieces are aligned once, however often the cache is full
+
+
+def test_rows_hold_slices_and_not_chunks(spark):
+    """Rows of whole chunks stood in the JVM's heap, in Arrow's buffers and in workers at once."""
+    rng = random.Random(10)
+    docs = [(i, sentence(rng, 12_000)) for i in range(40)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    total = sum(len(t) for _, t in docs)
+    rows = ta.chunks(frame, A, B).collect()
+    assert total > 2 * ta.SLICE_BYTES and len({r.chunk for r in rows}) == 1
+    slices = [[dict(docs)[i] for i in r.doc_ids] for r in rows if r.doc_ids]
+    assert sorted(t for x in slices for t in x) == sorted(t for _, t in docs)
+    assert all(sum(len(t.encode()) for t in x) <= ta.SLICE_BYTES for x in slices)
+    assert all(len(r.pairs) <= ta.PART_PAIRS for r in rows if r.pairs is not None)
+    assert max(len(r.links) for r in rows if r.links) < ta.SLICE_BYTES
+
+
+def test_arrow_batches_are_small(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    frame = spark.range(0, 3000, 1, 1).selectExpr("repeat('ab ', 3000) as text")
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.get_total_buffer_size()]})
+
+    with small_batches(spark):
+        got = [r.n for r in frame.mapInArrow(sizes, "n long").collect()]
+    assert sum(got) >= 27_000_000 and max(got) < 6 << 20
+    assert spark.conf.get(name) == before
+
+
+def test_links_pack_and_unpack():
+    rng = np.random.default_rng(11)
+    for sizes in ([], [0], [0, 3, 0, 5], [70_000]):
+        ranks = np.concatenate([np.empty(0, np.int64), *[np.sort(rng.choice(100_000, n, replace=False)) for n in sizes]])
+        times, codes = rng.integers(1, 1 << 30, len(ranks)), rng.permutation(100_000)
+        got = ta._unlinked(ta._links(sizes, ranks, times, codes))
+        assert [x.tolist() for x in got] == [sizes, codes[ranks].tolist() if len(ranks) else [], times.tolist()]
+
+
+def test_dictionary_numbers_pairs_as_they_come():
+    rng, known, docs, codes = random.Random(12), ta.Dictionary(), Counter(), {}
+    for _ in range(50):
+        pairs = np.array(sorted(rng.sample(range(1 << 40, (1 << 40) + 500), rng.randint(0, 60))), np.int64)
+        held = np.array([rng.randint(1, 9) for _ in pairs], np.int64)
+        for p, c, n in zip(pairs.tolist(), known.add(pairs, held).tolist(), held.tolist()):
+            assert codes.setdefault(p, c) == c
+            docs[p] += n
+    parts = list(known.parts(64))
+    assert [at for at, *_ in parts] == list(range(0, len(codes), 64))
+    assert {p: at + k for at, x, _ in parts for k, p in enumerate(x.tolist())} == codes
+    assert {p: n for _, x, y in parts for p, n in zip(x.tolist(), y.tolist())} == docs
